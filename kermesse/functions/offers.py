@@ -61,7 +61,7 @@ def expiry_in(*texts: Column) -> Column:
         short = r"(\d{1,2})[/-](\d{1,2})[/-](\d{4})"
         g = lambda p, k: F.regexp_extract(s, p, k)
         num = lambda c: F.when(c != "", c.try_cast("int"))
-        full_names = [m for m in cal.MONTHS if len(m) > 4]
+        full_names = [m for m in cal.MONTHS if len(m) > 4 or m == "mayo"]
         known = g(long, 2).isin(*full_names)
         day = lambda y, m, d: F.try_make_timestamp_ntz(
             y, m, d, F.lit(0), F.lit(0), F.lit(0).cast("decimal(16,6)")).cast("date")

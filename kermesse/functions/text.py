@@ -96,7 +96,7 @@ ENTITIES = {"&nbsp;": " ", "&#038;": "&", "&#38;": "&", "&#039;": "'", "&#39;":
             "&aacute;": "á", "&eacute;": "é", "&iacute;": "í", "&oacute;": "ó",
             "&uacute;": "ú", "&ntilde;": "ñ", "&Aacute;": "Á", "&Eacute;": "É",
             "&Iacute;": "Í", "&Oacute;": "Ó", "&Uacute;": "Ú", "&Ntilde;": "Ñ",
-            "&uuml;": "ü", "&deg;": "°", "&ordm;": "º", "&ordf;": "ª"}
+            "&uuml;": "ü", "&deg;": "°", "&middot;": "·", "&copy;": "©", "&ordm;": "º", "&ordf;": "ª"}
 
 
 @F.pandas_udf(StringType())
