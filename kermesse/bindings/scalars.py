@@ -231,7 +231,7 @@ def h20(spark, sf):
         (F.col("o_custkey") % 7).cast("int"), F.dayofmonth("o_orderdate"), F.lit("1998-06-15")), "yyyy-MM-dd").alias("fecha"))
 
 
-@register("h21_parse_published", "SELECT event_id, CASE event_id % 3 WHEN 2 THEN strftime(ts, '%Y-%m-%d %H:%M:00') ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS publicado FROM events")
+@register("h21_parse_published", "SELECT event_id, CASE event_id % 3 WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') ELSE strftime(ts, '%Y-%m-%d %H:%M:00') END AS publicado FROM events")
 def h21(spark, sf):
     k = F.col("event_id") % 3
     t = (F.when(k == 0, F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss '+0000'"))

@@ -18,11 +18,13 @@ def facet_counts(df: DataFrame, filters: dict[str, Column], options: dict[str, C
     ``options`` gives the array of options a row belongs to in each facet.
     """
     marked = with_failed(df, filters)
-    choices = F.flatten(F.array(*[
-        F.when(F.size(F.array_remove("fallan", name)) == 0, F.transform(
-            opts, lambda o, n=name: F.struct(F.lit(n).alias("faceta"), o.cast("string").alias("opcion"))))
-        .otherwise(F.array().cast("array<struct<faceta:string,opcion:string>>"))
-        for name, opts in options.items()]))
+
+    def labelled(name: str, opts: Column) -> Column:
+        pairs = F.transform(opts, lambda o: F.struct(F.lit(name).alias("faceta"), o.cast("string").alias("opcion")))
+        return F.when(F.size(F.array_remove("fallan", name)) == 0, pairs).otherwise(
+            F.array().cast("array<struct<faceta:string,opcion:string>>"))
+
+    choices = F.flatten(F.array(*[labelled(name, opts) for name, opts in options.items()]))
     return (marked.select(F.explode(choices).alias("c")).groupBy("c.faceta", "c.opcion")
             .agg(F.count(F.lit(1)).alias("n")))
 

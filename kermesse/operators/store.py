@@ -98,10 +98,20 @@ def store_summary(store: DataFrame, as_of: Column) -> DataFrame:
         F.count_if(is_current(F.col("inicio"), F.col("fin"), as_of)).alias("vigentes"))
 
 
+# Wall-clock stamps keep their microseconds in the text form.
+JSON_OPTIONS = {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def snapshot_lines(store: DataFrame) -> DataFrame:
     """``(hash_dedup, line)``: one JSON text per row with sorted keys and explicit NULLs."""
     cols = sorted(c for c in names(STORE) if c in store.columns)
-    return store.select("hash_dedup", F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("line"))
+    return store.select("hash_dedup", F.to_json(F.struct(*cols), JSON_OPTIONS).alias("line"))
+
+
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """Store rows from snapshot lines; unknown columns are ignored, absent ones are NULL."""
+    row = F.from_json("line", STORE, {"timestampNTZFormat": JSON_OPTIONS["timestampNTZFormat"]})
+    return conform(lines.select(row.alias("r")).select("r.*"), STORE)
 
 
 def table_fingerprint(df: DataFrame, *cols: str) -> DataFrame:
@@ -125,7 +135,7 @@ def write_snapshot(store: DataFrame, path: str) -> None:
 def restore_snapshot(spark, path: str, current: DataFrame | None) -> DataFrame:
     """The stored rows when the table is empty or differs; an empty file never wipes it."""
     raw = spark.read.text(f"{path}/rows")
-    loaded = conform(raw.select(F.from_json("value", STORE).alias("r")).select("r.*"), STORE)
+    loaded = parse_lines(raw.select(F.col("value").alias("line")))
     if current is None or current.isEmpty():
         return loaded
     if raw.isEmpty():

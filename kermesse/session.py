@@ -16,6 +16,7 @@ def local_session(cores: str = "8", partitions: int = 8, memory: str = "8g") ->
             .config("spark.sql.adaptive.skewJoin.enabled", "true")
             .config("spark.driver.memory", memory)
             .config("spark.ui.enabled", "false")
+            .config("spark.ui.showConsoleProgress", "false")
             .getOrCreate())
 
 
