@@ -154,7 +154,7 @@ def is_workshop(title: Column, category: Column, source: Column, weekdays: Colum
 
 
 def _any_word(words) -> str:
-    return "(?i)" + "|".join(rf"\b{w}\b" for w in words)
+    return "(?iu)" + "|".join(rf"\b{w}\b" for w in words)
 
 
 ADULT_SIGNAL = _any_word(d.ADULT_SIGNAL_WORDS)

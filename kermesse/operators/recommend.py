@@ -147,6 +147,14 @@ def situations_for_company(company: str) -> list[str]:
     return [s for s in v.SITUATIONS if s not in banned]
 
 
+def allowed_pairs(pairs: DataFrame) -> DataFrame:
+    """Company and situation pairs without the vetoed ones."""
+    vetoed = F.lit(False)
+    for company, banned in v.SITUATION_VETOES.items():
+        vetoed = vetoed | ((F.col("compania") == company) & F.col("situacion").isin(*banned))
+    return pairs.filter(~vetoed)
+
+
 def rank_diverse(scored: DataFrame) -> DataFrame:
     """Adds ``elegido``: kept by the greedy pass that demotes a repeated source, title or category.
 

@@ -291,7 +291,7 @@ def extract_detail_page(entries: DataFrame, captures: DataFrame, src: PageSource
     head = strip_html(F.regexp_extract("body", r"(?is)<title[^>]*>(.*?)</title>", 1))
     rows = plain.withColumns({"_t": F.when(og != "", og).otherwise(head), "_x": visible_text(F.col("body"))}).filter("_t != ''")
     rows = rows.withColumns({"_d": dates.parse_date_es(F.col("_x"), as_of, F.col("publicado")), "_p": parse_price_clp(F.col("_x"))})
-    closing = dates.parse_date_es(F.regexp_extract("_x", r"(?i)\bhasta\s+(?:el\s+)?([^,.;]{0,40})", 1), as_of, F.col("publicado"))
+    closing = dates.parse_date_es(F.regexp_extract("_x", r"(?iu)\bhasta\s+(?:el\s+)?([^,.;]{0,40})", 1), as_of, F.col("publicado"))
     lone = F.coalesce(closing.cast("date") == F.col("_d").cast("date"), F.lit(False)) & F.col("publicado").isNotNull()
     title = F.trim(F.substring_index(F.substring_index("_t", "|", 1), " - ", 1))
     text_rows = as_candidates(rows.filter("_d is not null").select(
@@ -321,7 +321,7 @@ def extract_two_level_listing(index: DataFrame, venues: DataFrame, src: PageSour
         chosen = chosen.unionByName(more).distinct()
     pages = chosen.join(venues.withColumn("link", F.regexp_replace("url", "/+$", "")).drop("source_id"), "link")
     page_title = strip_html(F.regexp_extract("body", r"(?is)<title[^>]*>(.*?)</title>", 1))
-    pages = pages.filter(~page_title.rlike(r"(?i)eventos\s+en\s*$"))
+    pages = pages.filter(~page_title.rlike(r"(?iu)eventos\s+en\s*$"))
     anchors = pages.select("seq", F.posexplode(F.regexp_extract_all("body", F.lit(
         r"(?is)<a\b[^>]*\bhref=[\"'][^\"']*[\"'][^>]*>.*?</a>"), 0)).alias("pos", "a"))
     href = F.regexp_extract("a", r"(?is)\bhref=[\"']([^\"']*)[\"']", 1)
@@ -357,7 +357,7 @@ def extract_two_level_listing(index: DataFrame, venues: DataFrame, src: PageSour
 # -- showings ----------------------------------------------------------------------------
 
 # One showing is an hour followed by a title up to the next hour.
-SHOWING = (r"(?i)(\d{1,2})[:.](\d{2})\s*(?:hrs?\.?|horas?)?\s*(.+?)"
+SHOWING = (r"(?iu)(\d{1,2})[:.](\d{2})\s*(?:hrs?\.?|horas?)?\s*(.+?)"
            r"(?=\s*\d{1,2}[:.]\d{2}\s*(?:hrs?\.?|horas?)|$)")
 
 
@@ -370,7 +370,7 @@ def extract_cinema_week(captures: DataFrame, src: PageSource, as_of: Column, add
     rows = captures.select(F.col("seq").alias("captura"), "url", F.posexplode(F.slice(
         cut, 2, F.greatest(F.size(cut), F.lit(1)))).alias("sec", "html"))
     day = F.array_position(F.array(*[F.lit(n) for n in cal.WEEKDAYS]),
-                           F.lower(F.regexp_extract("html", rf"(?i)\b({names})\b", 1))) - 1
+                           F.lower(F.regexp_extract("html", rf"(?iu)\b({names})\b", 1))) - 1
     heading = r"(?is)<h[1-6]\b[^>]*>(.*?)</h[1-6]>"
     number = F.regexp_extract(strip_html(F.regexp_extract("html", heading, 1)), r"(\d{1,2})", 1).try_cast("int")
     rows = rows.withColumns({"fecha": dates.date_from_weekday_and_day(day.cast("int"), number, as_of),
@@ -403,10 +403,10 @@ TABLE_HEADERS = {
     "lugar": ("recinto", "lugar", "sede", "establecimiento"),
     "comuna": ("comuna", "barrio", "sector"),
 }
-ADDRESS_LABEL = r"(?i)direcci[oó]n\s*:\s*(.+)"
-IGNORED_ROW = r"(?i)horario de funcionamiento|tel[eé]fono|mail|correo|domingos? y festivos"
-GENERIC_TITLE = r"(?i)^(bloque|grupo|turno|horario|nivel|cupo|secci[oó]n)\s*[nº#]?\s*\d+$"
-LOOKS_LIKE_ADDRESS = r"(?i)\b(av(da?)?\.?|avenida|calle|pasaje|psje\.?|camino|bandej[oó]n)\b|#\s*\d|\d{3,}"
+ADDRESS_LABEL = r"(?iu)direcci[oó]n\s*:\s*(.+)"
+IGNORED_ROW = r"(?iu)horario de funcionamiento|tel[eé]fono|mail|correo|domingos? y festivos"
+GENERIC_TITLE = r"(?iu)^(bloque|grupo|turno|horario|nivel|cupo|secci[oó]n)\s*[nº#]?\s*\d+$"
+LOOKS_LIKE_ADDRESS = r"(?iu)\b(av(da?)?\.?|avenida|calle|pasaje|psje\.?|camino|bandej[oó]n)\b|#\s*\d|\d{3,}"
 
 
 def table_rows(captures: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Signals, companies and situations of the recommendation jobs."""
 
 # Text signals (matched on title and description as written).
-CHILD_SIGNAL = (r"(?i)\b(infantil(es)?|niñ[oa]s?|nino|cuentacuentos|t[ií]teres|marionetas"
+CHILD_SIGNAL = (r"(?iu)\b(infantil(es)?|niñ[oa]s?|nino|cuentacuentos|t[ií]teres|marionetas"
                 r"|familiar|preescolar|kinder|escolar|guagua|beb[eé]s?|matin[eé]"
                 r"|para toda la familia|p[úu]blico familiar)\b")
 ADULT_SIGNAL_WORDS = (
@@ -23,13 +23,13 @@ SPORT_SIGNAL_WORDS = (
     "artes marciales", "baile entretenido", "acondicionamiento", "motricidad", "chikung",
     "tai chi", "taichi", "kayak", "remo", "surf",
 )
-COUPLE_SIGNAL = (r"(?i)\b(cena|romantic|rom[áa]ntic|jazz|bolero|tango|vino|degustaci[óo]n"
+COUPLE_SIGNAL = (r"(?iu)\b(cena|romantic|rom[áa]ntic|jazz|bolero|tango|vino|degustaci[óo]n"
                  r"|concierto[s]? [íi]ntim|acústic|acustic|serenata|cabaret|clásica|clasica"
                  r"|c[áa]mara|ballet|[óo]pera|opera)\b")
-GROUP_SIGNAL = (r"(?i)\b(fiesta|carrete|tocata|festival|karaoke|torneo|campeonato|pichanga"
+GROUP_SIGNAL = (r"(?iu)\b(fiesta|carrete|tocata|festival|karaoke|torneo|campeonato|pichanga"
                 r"|cumbia|reggaet[óo]n|electr[óo]nic|techno|house|dj|banda|rock|metal|punk"
                 r"|trivia|juegos|competencia)\b")
-TALK_FORMAT = (r"(?i)\b(webinar|conversatorio|charla|seminario|coloquio|panel|foro"
+TALK_FORMAT = (r"(?iu)\b(webinar|conversatorio|charla|seminario|coloquio|panel|foro"
                r"|conferencia|mesa redonda|clase magistral|masterclass|lanzamiento de libro"
                r"|presentaci[óo]n del libro)\b")
 DAY_PATTERN = r"(?i)\b(lu|ma|mi|ju|vi|sa|do)(-(lu|ma|mi|ju|vi|sa|do))+\b"

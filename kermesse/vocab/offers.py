@@ -74,7 +74,7 @@ ONLINE = r"online|delivery|en linea|pedidos ya|rappi|uber eats"
 GIFT = r"\bgratis\b|\bde regalo\b|\bregalo\b"
 COMBO = r"\bcombo|\bpack\b|\bprecio especial|\bprecio fijo"
 DANGLING_TITLE = (" - Hasta un", " - Hasta", " – Hasta un", " - hasta un")
-DAY_IN_TEXT = (r"(?i)\b(lunes|martes|mi[eé]rcoles|jueves|viernes|s[áa]bados?|domingos?"
+DAY_IN_TEXT = (r"(?iu)\b(lunes|martes|mi[eé]rcoles|jueves|viernes|s[áa]bados?|domingos?"
                r"|fin de semana|finde)\b")
 
 # Fetch-failure marks -> explained cause, first contained wins.
