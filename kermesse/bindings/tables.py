@@ -292,15 +292,15 @@ def f01(spark, sf):
     return store.agenda_order(i.published(spark, sf)).select("seq", "titulo")
 
 
-@register("f02_offer_value_order", f"WITH {i.OFFERS} SELECT seq, coalesce(porcentaje, 0) AS pct FROM offers ORDER BY pct DESC, lower(comercio), banco, seq LIMIT 500")
+@register("f02_offer_value_order", f"WITH {i.OFFERS} SELECT seq, coalesce(porcentaje, 0) AS pct FROM offers ORDER BY pct DESC, lower(comercio), banco, seq")
 def f02(spark, sf):
     rows = i.offers(spark, sf).withColumn("id", F.col("seq"))
-    return off.offer_value_order(rows).limit(500).select("seq", F.coalesce("porcentaje", F.lit(0)).alias("pct"))
+    return off.offer_value_order(rows).select("seq", F.coalesce("porcentaje", F.lit(0)).alias("pct"))
 
 
-@register("f03_impact_order", f"WITH {i.PUB} SELECT lugar, comuna, count(*) AS eventos FROM pub WHERE precision IN ('comuna', 'sin_ubicar') GROUP BY lugar, comuna ORDER BY eventos DESC, lugar, comuna LIMIT 30")
+@register("f03_impact_order", f"WITH {i.PUB} SELECT lugar, comuna, count(*) AS eventos FROM pub WHERE precision IN ('comuna', 'sin_ubicar') GROUP BY lugar, comuna ORDER BY eventos DESC, lugar, comuna")
 def f03(spark, sf):
-    return review.impact_order(review.place_queue(i.published(spark, sf)), "eventos", "lugar", "comuna").limit(30).select("lugar", "comuna", "eventos")
+    return review.impact_order(review.place_queue(i.published(spark, sf)), "eventos", "lugar", "comuna").select("lugar", "comuna", "eventos")
 
 
 @register("f05_snapshot_order", f"WITH {KEYED} SELECT hash_dedup, titulo, fuente_url FROM stored ORDER BY hash_dedup")

@@ -123,23 +123,24 @@ def parse_date_es(text: Column, as_of: Column, published: Column | None = None)
             day = F.when(~dated & ~running & stale,
                          _stamp(F.year(h["ts"]) + 1, F.month(h["ts"]), F.dayofmonth(h["ts"]))
                          ).otherwise(h["ts"])
-            return with_hour_after(day, F.substring(s, h["pos"] + 1, F.lit(120)))
+            return let(F.struct(day.alias("d"), F.substring(s, h["pos"] + 1, F.lit(120)).alias("w")),
+                       lambda p: with_hour_after(p["d"], p["w"]))
 
-        return F.when(hit.isNotNull(), let(hit, settle))
+        return let(hit, settle)
 
-    return F.when(F.coalesce(text, F.lit("")) != "", let(fold_text(text), parse))
+    return let(fold_text(text), parse)
 
 
 def with_hour_after(day: Column, window: Column) -> Column:
     """Give a midnight date the hour written in the text that follows it."""
-    hh = _int(F.regexp_extract(window, HOUR_MINUTE, 1))
-    mm = _int(F.regexp_extract(window, HOUR_MINUTE, 2))
-    only = _int(F.regexp_extract(window, HOUR_ONLY, 1))
+    found = F.struct(_int(F.regexp_extract(window, HOUR_MINUTE, 1)).alias("hh"),
+                     _int(F.regexp_extract(window, HOUR_MINUTE, 2)).alias("mm"),
+                     _int(F.regexp_extract(window, HOUR_ONLY, 1)).alias("only"))
     at = lambda h, m: _stamp(F.year(day), F.month(day), F.dayofmonth(day), h, m)
-    return (F.when((F.hour(day) != 0) | (F.minute(day) != 0), day)
-            .when(hh.isNotNull(), F.coalesce(at(hh, mm), day))
-            .when(only.isNotNull(), at(only, F.lit(0)))
-            .otherwise(day))
+    timed = let(found, lambda f: F.when(f["hh"].isNotNull(), at(f["hh"], f["mm"])).when(
+        f["only"].isNotNull(), at(f["only"], F.lit(0))))
+    midnight = (F.hour(day) == 0) & (F.minute(day) == 0)
+    return F.when(midnight, F.coalesce(timed, day)).otherwise(day)
 
 
 def parse_time(text: Column) -> Column:

@@ -150,7 +150,7 @@ def offers_manual_capture(captures: DataFrame, bank: Issuer) -> DataFrame:
         F.try_variant_get("doc", "$.fuente", "string").alias("fue")), "captura")
     t = lambda k: F.trim(_text(v, k))
     rows = rows.withColumn("comercio", t("comercio")).filter("comercio != ''")
-    regions = F.filter(F.transform(F.split(t("region"), ","), F.trim), lambda r: r != "")
+    regions = F.filter(F.transform(F.split(t("region"), ","), lambda x: F.trim(x)), lambda r: r != "")
     cond = F.when(t("condiciones") != "", t("condiciones")).otherwise(t("cuando"))
     return offer_rows(_issuer(rows.select(
         order_number(c("captura"), c("pos")).alias("seq"), "comercio", t("categoria").alias("categoria"),
@@ -241,7 +241,7 @@ def offers_nested_active(captures: DataFrame, bank: Issuer, card: str = "") -> D
     rows = inner.withColumn("comercio", p("txtNameComercio")).filter("comercio != ''").withColumns({
         "where": p("txtDetalleCard"), "legal": p("details.txtLegal"), "dir": _wrapped_list(v, "params.details.arrDireccion"),
         "vig": _wrapped_list(v, "params.details.arrVigencia"), "hor": _wrapped_list(v, "params.details.arrHorarios")})
-    areas = F.transform(F.split(F.regexp_extract("where", r"\(([^)]*)\)", 1), "/"), F.trim)
+    areas = F.transform(F.split(F.regexp_extract("where", r"\(([^)]*)\)", 1), "/"), lambda x: F.trim(x))
     return offer_rows(_issuer(rows.select(
         order_number(c("captura"), c("box") * 1000 + c("pos")).alias("seq"), "comercio", F.lit("restaurantes").alias("categoria"),
         p("txtSubtitulo").alias("cocina"), F.when(F.size(areas) == 1, F.get(areas, F.lit(0))).otherwise("").alias("comuna"),

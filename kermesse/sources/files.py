@@ -85,7 +85,7 @@ def read_pasted_table(lines: DataFrame, as_of: Column, source: str,
     """Rows of a tab- or pipe-separated table pasted as text lines ``(seq, value)``."""
     line = F.trim("value")
     cells = F.filter(F.transform(F.when(F.contains(line, F.lit("\t")), F.split(line, "\t"))
-                                 .when(F.contains(line, F.lit("|")), F.split(line, r"\|")), F.trim), lambda c: c != "")
+                                 .when(F.contains(line, F.lit("|")), F.split(line, r"\|")), lambda x: F.trim(x)), lambda c: c != "")
     rows = lines.withColumn("c", cells).filter(F.size("c") >= 3)
     flat = F.lower(F.array_join("c", " "))
     rows = rows.filter(~flat.rlike(r"^[-: |]*$") & ~(flat.startswith("fecha") & F.contains(flat, F.lit("evento"))))

@@ -220,11 +220,12 @@ def extract_html_cards(captures: DataFrame, src: PageSource, as_of: Column) -> D
     by_text = dates.parse_date_es(F.when(c("fecha") != "", c("fecha")).otherwise(c("texto")), as_of)
     rows = rows.withColumn("inicio", F.coalesce(by_attr, by_text)).filter("inicio is not null")
     tail = F.get(F.split(c("fecha"), r"\s*[-–—]\s*|\s+al\s+|\s+hasta\s+", 2), F.lit(1))
-    until = dates.parse_date_es(tail, as_of)
-    rows = rows.withColumn("fin", F.when((c("date_attr") == "") & (c("fecha") != "") & (until >= c("inicio")), until))
-    hhmm = dates.parse_time(c("hora"))
+    ranged = (c("date_attr") == "") & (c("fecha") != "")
+    rows = rows.withColumns({"_until": dates.parse_date_es(F.when(ranged, tail), as_of), "_hh": dates.parse_time(c("hora"))})
     midnight = (F.hour("inicio") == 0) & (F.minute("inicio") == 0)
-    rows = rows.withColumn("inicio", F.when(midnight & hhmm.isNotNull(), dates.at_time(c("inicio"), hhmm)).otherwise(c("inicio")))
+    rows = rows.withColumns({
+        "fin": F.when(c("_until") >= c("inicio"), c("_until")),
+        "inicio": F.when(midnight & c("_hh").isNotNull(), dates.at_time(c("inicio"), c("_hh"))).otherwise(c("inicio"))})
     room_place, room_area = F.lit(None).cast("string"), F.lit("")
     for css, (place, area) in reversed(src.rooms.items()):
         here = F.array_contains("clases", css)
@@ -292,7 +293,9 @@ def extract_detail_page(entries: DataFrame, captures: DataFrame, src: PageSource
     rows = plain.withColumns({"_t": F.when(og != "", og).otherwise(head), "_x": visible_text(F.col("body"))}).filter("_t != ''")
     rows = rows.withColumns({"_d": dates.parse_date_es(F.col("_x"), as_of, F.col("publicado")), "_p": parse_price_clp(F.col("_x"))})
     closing = dates.parse_date_es(F.regexp_extract("_x", r"(?iu)\bhasta\s+(?:el\s+)?([^,.;]{0,40})", 1), as_of, F.col("publicado"))
-    lone = F.coalesce(closing.cast("date") == F.col("_d").cast("date"), F.lit(False)) & F.col("publicado").isNotNull()
+    rows = rows.withColumn("_lone", F.coalesce(closing.cast("date") == F.col("_d").cast("date"), F.lit(False))
+                           & F.col("publicado").isNotNull())
+    lone = F.col("_lone")
     title = F.trim(F.substring_index(F.substring_index("_t", "|", 1), " - ", 1))
     text_rows = as_candidates(rows.filter("_d is not null").select(
         order_number(F.col("seq"), F.lit(0)).alias("seq"), F.substring(title, 1, 120).alias("titulo"),
@@ -326,7 +329,7 @@ def extract_two_level_listing(index: DataFrame, venues: DataFrame, src: PageSour
         r"(?is)<a\b[^>]*\bhref=[\"'][^\"']*[\"'][^>]*>.*?</a>"), 0)).alias("pos", "a"))
     href = F.regexp_extract("a", r"(?is)\bhref=[\"']([^\"']*)[\"']", 1)
     parts = F.filter(F.transform(F.regexp_extract_all("a", F.lit(
-        r"(?is)<(?:p|h2|h3|h4|span|div)\b[^>]*>(.*?)</(?:p|h2|h3|h4|span|div)>"), 1), strip_html), lambda t: t != "")
+        r"(?is)<(?:p|h2|h3|h4|span|div)\b[^>]*>(.*?)</(?:p|h2|h3|h4|span|div)>"), 1), lambda x: strip_html(x)), lambda t: t != "")
     rows = anchors.withColumns({"href": F.substring_index(absolute_url(href, base), "?", 1), "parts": parts,
                                 "whole": strip_html(F.col("a"))}).filter(F.contains(href, F.lit(event_part)))
     rest = F.slice("parts", 2, F.greatest(F.size("parts"), F.lit(1)))
@@ -415,7 +418,7 @@ def table_rows(captures: DataFrame) -> DataFrame:
         "body", F.lit(r"(?is)<table\b[^>]*>.*?</table>"), 0)).alias("tabla", "t"))
     rows = tables.select("captura", "url", "tabla", F.posexplode(F.regexp_extract_all(
         "t", F.lit(r"(?is)<tr\b[^>]*>.*?(?=<tr\b|</tr>|</table>)"), 0)).alias("fila", "r"))
-    cells = F.transform(F.regexp_extract_all("r", F.lit(r"(?is)<t[hd]\b[^>]*>.*?(?=<t[hd]\b|</t[hd]>|$)"), 0), strip_html)
+    cells = F.transform(F.regexp_extract_all("r", F.lit(r"(?is)<t[hd]\b[^>]*>.*?(?=<t[hd]\b|</t[hd]>|$)"), 0), lambda x: strip_html(x))
     return rows.select("captura", "url", "tabla", "fila", cells.alias("celdas"))
 
 

@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from kermesse.functions import dates
 from kermesse.functions.money import parse_price_clp, pesos
 from kermesse.functions.places import detect_area
-from kermesse.functions.text import is_machine_url, let, squeeze, strip_html, summarise
+from kermesse.functions.text import is_machine_url, squeeze, strip_html, summarise
 from kermesse.sources.captures import as_candidates, order_number
-from kermesse.vocab.labels import MAX_PRICE_CLP
 
 LOCAL_ZONE = "America/Santiago"
 
@@ -99,74 +98,76 @@ def from_template(v: Column, template: str) -> Column:
     return F.when(out.endswith("/") | F.contains(out, F.lit("{")), F.lit("")).otherwise(out)
 
 
-def sessions_of(v: Column, m: JsonMapping, as_of: Column) -> Column:
-    """``struct(starts, cadence, fin)``: weekly blocks become sessions, else one dated row."""
-    f = m.fields
-    start = dates.parse_date_es(text_at(v, f.get("inicio", "")), as_of)
-    end = dates.parse_date_es(text_at(v, f.get("fin", "")), as_of)
+def with_sessions(rows: DataFrame, m: JsonMapping, as_of: Column) -> DataFrame:
+    """Adds starts, cadence and fin: weekly blocks become sessions, else one dated row.
+
+    Each step is its own column, so a parsed date is computed once per row.
+    """
+    f, v = m.fields, F.col("item")
+    rows = rows.withColumns({"_t0": text_at(v, f.get("inicio", "")), "_t1": text_at(v, f.get("fin", ""))})
+    rows = rows.withColumns({"_start": dates.parse_date_es(F.col("_t0"), as_of),
+                             "_end": dates.parse_date_es(F.col("_t1"), as_of) if f.get("fin") else
+                             F.lit(None).cast("timestamp_ntz")})
     if f.get("hora_inicio"):
-        hhmm = dates.parse_time(text_at(v, f["hora_inicio"]))
-        start = F.when(hhmm.isNotNull(), dates.at_time(start, hhmm)).otherwise(start)
+        rows = rows.withColumn("_hh", dates.parse_time(text_at(v, f["hora_inicio"])))
+        rows = rows.withColumn("_start", F.when(F.col("_hh").isNotNull(), dates.at_time(
+            F.col("_start"), F.col("_hh"))).otherwise(F.col("_start")))
     if f.get("hora_inicio_segundos"):
-        secs = raw_at(v, f["hora_inicio_segundos"]).try_cast("int")
-        hhmm = F.date_format(F.make_timestamp_ntz(F.lit(2000), F.lit(1), F.lit(1), F.floor(secs / 3600).cast("int"),
-                                                  F.floor(secs % 3600 / 60).cast("int"), F.lit(0)), "HH:mm")
-        ok = secs.between(0, 86399)
-        start = F.when(ok, dates.at_time(start, F.when(ok, hhmm))).otherwise(start)
-    single = lambda s, e: F.struct(
-        F.when(s.isNotNull(), F.array(s)).otherwise(F.array().cast("array<timestamp_ntz>")).alias("starts"),
-        F.lit("").alias("cadence"), e.alias("fin"))
+        rows = rows.withColumn("_sec", raw_at(v, f["hora_inicio_segundos"]).try_cast("int"))
+        hhmm = F.format_string("%02d:%02d", F.floor(F.col("_sec") / 3600), F.floor(F.col("_sec") % 3600 / 60))
+        rows = rows.withColumn("_start", F.when(F.col("_sec").between(0, 86399), dates.at_time(
+            F.col("_start"), hhmm)).otherwise(F.col("_start")))
+    start, end = F.col("_start"), F.col("_end")
+    single = F.when(start.isNotNull(), F.array(start)).otherwise(F.array().cast("array<timestamp_ntz>"))
     if not m.recurrence:
-        return single(start, end)
+        return rows.withColumns({"starts": single, "cadence": F.lit(""), "fin": end})
     rec = {"dias": "dias", "hora_inicio": "inicio", "hora_fin": "fin", **m.recurrence}
-    blocks = values(v, rec["bloques"])
-    words = F.array_join(F.flatten(F.transform(blocks, lambda b: F.coalesce(
+    rows = rows.withColumn("_blocks", values(v, rec["bloques"]))
+    words = F.array_join(F.flatten(F.transform("_blocks", lambda b: F.coalesce(
         F.try_variant_get(b, _json_path(rec["dias"]), "array<string>"),
         F.array(F.try_variant_get(b, _json_path(rec["dias"]), "string"))))), " ")
-    first_hour = lambda k: F.get(F.filter(F.transform(blocks, lambda b: dates.parse_time(
-        F.try_variant_get(b, _json_path(rec[k]), "string"))), lambda h: h.isNotNull()), F.lit(0))
-
-    def weekly(days: Column) -> Column:
-        h0, h1 = first_hour("hora_inicio"), first_hour("hora_fin")
-        return F.when(F.size(days) > 0, F.struct(
-            dates.future_sessions(days, h0, start, end, as_of, m.horizon_days).alias("starts"),
-            dates.cadence_phrase(days, h0, h1).alias("cadence"),
-            F.lit(None).cast("timestamp_ntz").alias("fin"))).otherwise(single(start, end))
-
-    return F.when(start.isNotNull(), let(dates.parse_weekdays(words), weekly)).otherwise(single(start, end))
+    hours = lambda k: F.transform("_blocks", lambda b: dates.parse_time(
+        F.try_variant_get(b, _json_path(rec[k]), "string")))
+    rows = rows.withColumns({"_days": dates.parse_weekdays(words), "_h0s": hours("hora_inicio"), "_h1s": hours("hora_fin")})
+    # The closing hour belongs to the first block that declares an opening hour.
+    at = F.array_position(F.transform("_h0s", lambda h: h.isNotNull()), F.lit(True)).cast("int") - 1
+    rows = rows.withColumns({"_h0": F.get("_h0s", at), "_h1": F.get("_h1s", at)})
+    weekly = start.isNotNull() & (F.size("_days") > 0)
+    return rows.withColumns({
+        "starts": F.when(weekly, dates.future_sessions(F.col("_days"), F.col("_h0"), start, end, as_of,
+                                                       m.horizon_days)).otherwise(single),
+        "cadence": F.when(weekly, dates.cadence_phrase(F.col("_days"), F.col("_h0"), F.col("_h1"))).otherwise(""),
+        "fin": F.when(~weekly, end)})
 
 
 def extract_json_mapped(captures: DataFrame, m: JsonMapping, as_of: Column) -> DataFrame:
     """Candidates of one mapped JSON source."""
     f, v = m.fields, F.col("item")
     rows = items(captures, m.list_path).filter(source_flags(v, m.filters))
-    rows = rows.withColumns({"titulo": text_at(v, f.get("titulo", "titulo")),
-                             "_s": sessions_of(v, m, as_of)}).filter("titulo != ''")
-    described = text_at(v, f.get("descripcion_corta", ""))
-    described = F.when(F.col("_s.cadence") != "", F.trim(F.concat(
-        F.col("_s.cadence"), F.lit(". "), described))).otherwise(described)
-    link = text_at(v, f.get("link", ""))
-    link = F.when(link.startswith("//"), F.concat(F.lit("https:"), link)).otherwise(link)
-    if m.url_template:
-        link = F.when(link == "", from_template(v, m.url_template)).otherwise(link)
-    backup = F.lit(m.agenda_url)
-    link = F.when((link == "") & ~is_machine_url(backup), backup).otherwise(link)
+    rows = rows.withColumn("titulo", text_at(v, f.get("titulo", "titulo"))).filter("titulo != ''")
+    rows = with_sessions(rows, m, as_of).filter(F.size("starts") > 0)
+    rows = rows.withColumns({"_desc": text_at(v, f.get("descripcion_corta", "")), "_link": text_at(v, f.get("link", "")),
+                             "_addr": text_at(v, f.get("lugar_direccion", "")), "_place": text_at(v, f.get("lugar_nombre", ""))})
+    described = F.when(F.col("cadence") != "", F.trim(F.concat(F.col("cadence"), F.lit(". "), F.col("_desc")))
+                       ).otherwise(F.col("_desc"))
+    link = F.when(F.col("_link").startswith("//"), F.concat(F.lit("https:"), "_link")).otherwise(F.col("_link"))
+    options = [link] + ([from_template(v, m.url_template)] if m.url_template else [])
+    if m.agenda_url:
+        options.append(F.when(~is_machine_url(F.lit(m.agenda_url)), F.lit(m.agenda_url)))
+    link = F.coalesce(*[F.when(o != "", o) for o in options], F.lit(""))
     free = F.try_variant_get(v, _json_path(f["es_gratis"]), "boolean") if f.get("es_gratis") else \
         F.lit(None).cast("boolean")
-    address, place = text_at(v, f.get("lugar_direccion", "")), text_at(v, f.get("lugar_nombre", ""))
-    n = F.size("_s.starts")
     base = rows.select(
         "titulo", text_at(v, f.get("categoria", "")).alias("categoria"),
-        summarise(described).alias("descripcion_corta"),
-        F.when(n == 1, F.col("_s.fin")).alias("fin"),
-        F.when(place != "", place).otherwise(F.lit(m.source)).alias("lugar_nombre"),
-        address.alias("lugar_direccion"),
-        detect_area(text_at(v, f.get("comuna", "")), address, F.lit(m.area)).alias("comuna"),
+        summarise(described).alias("descripcion_corta"), F.when(F.size("starts") == 1, F.col("fin")).alias("fin"),
+        F.when(F.col("_place") != "", F.col("_place")).otherwise(F.lit(m.source)).alias("lugar_nombre"),
+        F.col("_addr").alias("lugar_direccion"),
+        detect_area(text_at(v, f.get("comuna", "")), F.col("_addr"), F.lit(m.area)).alias("comuna"),
         free.alias("es_gratis"), F.when(free, "Gratis").otherwise("").alias("precio_texto"),
         F.lit("json").alias("fuente_tipo"), F.lit(m.source).alias("fuente_nombre"), link.alias("fuente_url"),
         text_at(v, f.get("imagen_url", "")).alias("imagen_url"),
         text_at(v, f.get("id_externo", "")).alias("id_externo"), "captura", "pos",
-        F.posexplode("_s.starts").alias("sesion", "inicio"))
+        F.posexplode("starts").alias("sesion", "inicio"))
     return as_candidates(base.withColumns({
         "seq": order_number(F.col("captura"), F.col("pos"), F.col("sesion")), "todo_el_dia": F.lit(False)}))
 
@@ -205,18 +206,18 @@ def extract_cms_posts(captures: DataFrame, source: str, as_of: Column, area: str
         "fecha_publicacion": dates.parse_date_es(F.try_variant_get(v, "$.date", "string"), as_of)})
     rows = rows.filter("titulo != ''").withColumn("_b", F.when(F.col("_c") != "", F.col("_c")).otherwise(F.col("_e")))
     rows = rows.withColumn("_t", F.concat_ws(". ", "titulo", "_b"))
-    declared = F.lit(None).cast("timestamp_ntz")
+    declared = []
     if meta_date:
-        raw = F.try_variant_get(v, _json_path(f"meta.{meta_date}"), "string")
-        declared = F.when(F.coalesce(raw, F.lit("")) != "", F.coalesce(
-            epoch_local(raw.try_cast("bigint")), dates.parse_date_es(raw, as_of)))
+        rows = rows.withColumn("_m", F.try_variant_get(v, _json_path(f"meta.{meta_date}"), "string"))
+        declared = [epoch_local(F.col("_m").try_cast("bigint")), dates.parse_date_es(F.col("_m"), as_of)]
     link = F.trim(F.coalesce(F.try_variant_get(v, _json_path(f"meta.{meta_link}"), "string"), F.lit(""))) \
         if meta_link else F.lit("")
-    price = parse_price_clp(F.col("_t"))
+    rows = rows.withColumn("_p", parse_price_clp(F.col("_t")))
+    price = F.col("_p")
     return as_candidates(rows.select(
         order_number(F.col("captura"), F.col("pos")).alias("seq"), "titulo",
         summarise(F.col("_b")).alias("descripcion_corta"),
-        F.coalesce(declared, dates.parse_date_es(F.col("_t"), as_of, F.col("fecha_publicacion"))).alias("inicio"),
+        F.coalesce(*declared, dates.parse_date_es(F.col("_t"), as_of, F.col("fecha_publicacion"))).alias("inicio"),
         F.lit(source).alias("lugar_nombre"), detect_area(F.col("_t"), F.lit(area)).alias("comuna"),
         price["price"].alias("precio_clp"), price["free"].alias("es_gratis"), price["note"].alias("precio_texto"),
         F.lit("wordpress").alias("fuente_tipo"), F.lit(source).alias("fuente_nombre"),
@@ -231,7 +232,8 @@ def extract_calendar_api(captures: DataFrame, source: str, as_of: Column, area:
     venue = text_at(v, "venue.venue")
     address = F.concat_ws(", ", *[F.when(text_at(v, p) != "", text_at(v, p)) for p in ("venue.address", "venue.city")])
     cost = F.coalesce(raw_at(v, "cost"), F.lit(""))
-    price = parse_price_clp(F.when(cost != "", cost).otherwise(raw_at(v, "description")))
+    rows = rows.withColumn("_p", parse_price_clp(F.when(cost != "", cost).otherwise(raw_at(v, "description"))))
+    price = F.col("_p")
     no_values = F.try_variant_get(v, "$.cost_details.values", "array<variant>")
     open_door = (cost == "") & (F.size(no_values) == 0)
     return as_candidates(rows.select(
@@ -263,11 +265,10 @@ def extract_ticket_api(captures: DataFrame, as_of: Column, source: str = "Ticket
     v = F.col("item")
     rows = items(captures, "_embedded.events").withColumn("titulo", squeeze(F.coalesce(raw_at(v, "name"), F.lit(""))))
     day = F.coalesce(raw_at(v, "dates.start.dateTime"), raw_at(v, "dates.start.localDate"), F.lit(""))
-    start = dates.parse_date_es(day, as_of)
-    local = dates.parse_date_es(F.concat_ws(" ", raw_at(v, "dates.start.localDate"),
-                                            raw_at(v, "dates.start.localTime")), as_of)
-    start = F.when((F.hour(start) == 0) & raw_at(v, "dates.start.localTime").isNotNull(),
-                   F.coalesce(local, start)).otherwise(start)
+    local = F.when(raw_at(v, "dates.start.localTime").isNotNull(), F.concat_ws(
+        " ", raw_at(v, "dates.start.localDate"), raw_at(v, "dates.start.localTime")))
+    rows = rows.withColumns({"_s": dates.parse_date_es(day, as_of), "_l": dates.parse_date_es(local, as_of)})
+    start = F.when(F.hour("_s") == 0, F.coalesce("_l", "_s")).otherwise(F.col("_s"))
     site = F.get(F.try_variant_get(v, "$._embedded.venues", "array<variant>"), F.lit(0))
     at = lambda p: F.coalesce(raw_at(site, p), F.lit(""))
     ranges = F.try_variant_get(v, "$.priceRanges", "array<variant>")
@@ -279,14 +280,13 @@ def extract_ticket_api(captures: DataFrame, as_of: Column, source: str = "Ticket
     wide = F.filter(images, lambda i: F.coalesce(F.try_variant_get(i, "$.width", "int"), F.lit(0)) >= 640)
     image = F.try_variant_get(F.get(F.when(F.size(wide) > 0, wide).otherwise(images), F.lit(0)), "$.url", "string")
     where = F.concat_ws(", ", *[F.when(at(p) != "", at(p)) for p in ("address.line1", "city.name")])
-    ok = price.between(0, MAX_PRICE_CLP * 100)
     return as_candidates(rows.withColumn("inicio", start).filter("titulo != '' and inicio is not null").select(
         order_number(F.col("captura"), F.col("pos")).alias("seq"), "titulo",
         F.concat_ws(" / ", *[F.when(n != "", n) for n in names]).alias("categoria"),
         summarise(F.coalesce(raw_at(v, "info"), raw_at(v, "pleaseNote"))).alias("descripcion_corta"), "inicio",
         F.lit(False).alias("todo_el_dia"), at("name").alias("lugar_nombre"), where.alias("lugar_direccion"),
         detect_area(at("city.name"), at("address.line1"), at("name")).alias("comuna"),
-        F.when(ok, price).alias("precio_clp"), (price == 0).alias("es_gratis"),
+        price.alias("precio_clp"), (price == 0).alias("es_gratis"),
         F.when(price > 0, F.concat(F.lit("desde "), pesos(price))).otherwise("").alias("precio_texto"),
         F.lit("api").alias("fuente_tipo"), F.lit(source).alias("fuente_nombre"), raw_at(v, "url").alias("fuente_url"),
         raw_at(v, "url").alias("link_entradas"), F.coalesce(image, F.lit("")).alias("imagen_url"),
