@@ -30,9 +30,9 @@ kept AS (SELECT substr(sha1(concat(titulo, '|', strftime(inicio, '%Y-%m-%d'), '|
   last(lugar_nombre ORDER BY seq) AS lugar FROM gated WHERE motivo IS NULL GROUP BY 1)"""
 
 
-def _run(spark, sf):
+def _run(spark, sf, materialise=False):
     empty = spark.createDataFrame([], STORE)
-    return agenda.daily_run(empty, i.candidates(spark, sf), _config(spark, sf), i.as_of(), i.now())
+    return agenda.daily_run(empty, i.candidates(spark, sf), _config(spark, sf), i.as_of(), i.now(), materialise)
 
 
 def whats_on_this_weekend(spark, sf):
@@ -49,7 +49,7 @@ def p01(spark, sf):
 @register("p01_daily_run_counts", f"""WITH {RUN}, r AS (SELECT fuente_nombre, count(*) FILTER (motivo IS NOT NULL) AS descartados, count(DISTINCT CASE WHEN motivo IS NULL THEN concat(titulo, CAST(inicio AS date), lugar_nombre) END) AS nuevos FROM gated GROUP BY 1)
   SELECT fuente_nombre, nuevos + descartados AS encontrados, nuevos, 0 AS actualizados, descartados FROM r""")
 def p01b(spark, sf):
-    return _run(spark, sf)["counts"]
+    return _run(spark, sf, materialise=True)["counts"]
 
 
 @register("p03_publish_catalogue")

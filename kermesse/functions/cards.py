@@ -104,7 +104,3 @@ def share_card(title: Column, start: Column, end: Column, place: Column, address
                  F.lit("CLP").alias("priceCurrency")).alias("offers"),
         public(url).alias("url"), public(image).alias("image"))
     return F.struct(summary.alias("summary"), F.to_json(node).alias("json"))
-
-
-__all__ = ["price_text", "day_label", "long_day", "ends_label", "has_hour", "season_running",
-           "calendar_slot", "calendar_link", "share_text", "share_card", "cadence_phrase"]

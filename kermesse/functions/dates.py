@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from kermesse.functions.text import fold_text, let
+from kermesse.functions.text import fold_text, let, str_array, str_map
 from kermesse.vocab import calendar as cal
 
 MONTH_WORDS = "|".join(sorted(cal.MONTHS, key=len, reverse=True))
@@ -30,8 +30,7 @@ PLAIN_HOUR = r"\b([01]?\d|2[0-3])[:.h](\d{2})\b"
 
 
 def month_number(word: Column) -> Column:
-    months = F.create_map(*[x for k, v in cal.MONTHS.items() for x in (F.lit(k), F.lit(v))])
-    return F.try_element_at(months, word)
+    return F.try_element_at(str_map(cal.MONTHS), word)
 
 
 def _int(text: Column) -> Column:
@@ -195,8 +194,7 @@ def weekdays_from_title(title: Column) -> Column:
     codes = "|".join(cal.TITLE_DAY_CODES)
 
     def read(s: Column) -> Column:
-        index = F.create_map(*[x for i, c in enumerate(cal.TITLE_DAY_CODES)
-                               for x in (F.lit(c), F.lit(i))])
+        index = str_map({c: i for i, c in enumerate(cal.TITLE_DAY_CODES)})
         span = rf"\b({codes})\s+a\s+({codes})\b"
         lo = F.try_element_at(index, F.regexp_extract(s, span, 1))
         hi = F.try_element_at(index, F.regexp_extract(s, span, 2))
@@ -244,7 +242,7 @@ def future_sessions(days: Column, hhmm: Column, start: Column, end: Column, as_o
 
 def cadence_phrase(days: Column, start: Column | None = None, end: Column | None = None) -> Column:
     """``todos los lunes, miércoles y viernes de 19:00 a 20:30``."""
-    names = F.array(*[F.lit(n) for n in cal.WEEKDAY_DISPLAY])
+    names = str_array(cal.WEEKDAY_DISPLAY)
     listed = F.transform(days, lambda d: F.get(names, d))
     joined = F.when(F.size(days) == 1, F.get(listed, F.lit(0))).otherwise(F.concat(
         F.array_join(F.slice(listed, 1, F.greatest(F.size(listed) - 1, F.lit(0))), ", "),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from kermesse.functions.text import (first_listed, fold_py, fold_text, let, mentions_any, squeeze,
+from kermesse.functions.text import (first_listed, fold_py, fold_text, let, mentions_any, str_array,
                                      words_regex)
 from kermesse.vocab import discovery as d
 from kermesse.vocab import labels as v
@@ -175,9 +175,6 @@ def drop_reason(title: Column, description: Column) -> Column:
     """Why a row is not an event (test entry or administrative notice), or NULL."""
     test = F.regexp_extract(F.coalesce(title, F.lit("")), v.TEST_TITLE, 0)
     body = F.lower(F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(description, F.lit(""))))
-    phrases = F.array(*[F.lit(p) for p in v.ADMIN_PHRASES])
+    phrases = str_array(v.ADMIN_PHRASES)
     return F.when(test != "", F.concat(F.lit("evento de prueba: "), test)).otherwise(
         let(body, lambda b: F.get(F.filter(phrases, lambda p: F.contains(b, p)), F.lit(0))))
-
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["squeeze"]

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from kermesse.functions.dates import month_number
 from kermesse.functions.money import joined, percent_in, pesos
-from kermesse.functions.text import fold_text, let
-from kermesse.functions.places import str_map
+from kermesse.functions.text import fold_text, let, str_array, str_map
 from kermesse.vocab import calendar as cal
 from kermesse.vocab import offers as v
 from kermesse.vocab.places import REGION_AREAS
@@ -20,7 +19,7 @@ def weekdays_in_offer(*texts: Column) -> Column:
     """Day names an offer runs on, Monday first; ranges wrap the week; [] = no restriction."""
     names = "|".join(cal.WEEKDAYS)
     span = rf"((?:{names})s?\s+a\s+(?:{names})s?)"
-    all_names = F.array(*[F.lit(n) for n in cal.WEEKDAYS])
+    all_names = str_array(cal.WEEKDAYS)
 
     def read(s: Column) -> Column:
         spans = F.regexp_extract_all(s, F.lit(span), 1)
@@ -136,7 +135,7 @@ def trim_dangling_title(title: Column) -> Column:
 
 def valid_on_day(days: Column, day: Column) -> Column:
     """No listed day means every day."""
-    names = F.array(*[F.lit(n) for n in cal.WEEKDAYS])
+    names = str_array(cal.WEEKDAYS)
     return (F.size(days) <= 0) | F.array_contains(days, F.get(names, F.weekday(day.cast("date"))))
 
 
@@ -150,8 +149,3 @@ def day_ribbon(days: Column) -> Column:
     return (F.when(F.size(days) <= 0, F.lit("TODOS"))
             .when(F.size(days) > 2, F.concat(F.size(days).cast("string"), F.lit(" DÍAS")))
             .otherwise(F.array_join(F.transform(days, lambda d: F.upper(F.substring(d, 1, 3))), " ")))
-
-
-__all__ = ["weekdays_in_offer", "offer_label", "expiry_in", "channel_in", "is_food_offer",
-           "in_region", "homologate_rubric", "cuisine_of", "rubric_of", "merchant_from_title",
-           "trim_dangling_title", "valid_on_day", "offer_amount", "day_ribbon", "percent_in", "pesos"]

@@ -6,14 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from kermesse.functions.text import (WORD_END, WORD_START, fold_py, fold_text, key_part, let,
-                                     squeeze, strip_html)
+                                     sql_text, squeeze, str_array, str_map)
 from kermesse.vocab import places as v
 
 
-def str_map(pairs: dict[str, str]) -> Column:
-    return F.create_map(*[x for k, val in pairs.items() for x in (F.lit(k), F.lit(val))])
-
-
 def planar_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Flat-earth distance good enough inside the region."""
     dy = (lat1 - lat2) * F.lit(v.KM_PER_DEGREE_LAT)
@@ -45,8 +41,8 @@ def detect_area(*texts: Column) -> Column:
     """First text that mentions an area decides; within a text the list order does."""
     folded = [fold_py(a) for a in v.DETECTED_AREAS]
     pattern = f"{WORD_START}({'|'.join(folded)}){WORD_END}"
-    names = F.array(*[F.lit(a) for a in v.DETECTED_AREAS])
-    keys = F.array(*[F.lit(a) for a in folded])
+    names = str_array(v.DETECTED_AREAS)
+    keys = str_array(folded)
 
     def first_of(text: Column) -> Column:
         found = F.regexp_extract_all(fold_text(text), F.lit(pattern), 1)
@@ -103,24 +99,24 @@ def area_hint(address: Column) -> Column:
                                                  1000), " "))
 
     def pick(s: Column) -> Column:
-        names = F.array(*[F.struct(F.lit(a).alias("name"), F.lit(fold_py(a)).alias("key"))
-                          for a in v.AREA_CENTRES])
+        names = F.expr("array(" + ", ".join(
+            f"named_struct('name', {sql_text(a)}, 'key', {sql_text(fold_py(a))})" for a in v.AREA_CENTRES) + ")")
         return F.get(F.filter(names, lambda n: F.contains(s, n["key"])), F.lit(0))["name"]
     return F.coalesce(let(rest, pick), F.lit(""))
 
 
 def area_centre(area: Column) -> Column:
     """``struct(lat, lon)`` of an area, or NULL."""
-    centres = F.create_map(*[x for k, (la, lo) in v.AREA_CENTRES.items() for x in (
-        F.lit(k), F.struct(F.lit(la).alias("lat"), F.lit(lo).alias("lon")))])
+    centres = F.expr("map(" + ", ".join(
+        f"{sql_text(k)}, named_struct('lat', {la}D, 'lon', {lo}D)" for k, (la, lo) in v.AREA_CENTRES.items()) + ")")
     return F.try_element_at(centres, area)
 
 
 def nearest_area(lat: Column, lon: Column, city: Column, max_km: float = 6.0) -> Column:
     """The declared city if it is a known area, else the nearest centre within reach."""
-    rows = F.array(*[F.struct(F.lit(a).alias("name"), F.lit(fold_py(a)).alias("key"),
-                              F.lit(la).alias("lat"), F.lit(lo).alias("lon"))
-                     for a, (la, lo) in v.AREA_CENTRES.items()])
+    rows = F.expr("array(" + ", ".join(
+        f"named_struct('name', {sql_text(a)}, 'key', {sql_text(fold_py(a))}, 'lat', {la}D, 'lon', {lo}D)"
+        for a, (la, lo) in v.AREA_CENTRES.items()) + ")")
     declared = let(normalise_street(city), lambda c: F.get(
         F.filter(rows, lambda r: r["key"] == c), F.lit(0))["name"])
     near = F.array_min(F.transform(rows, lambda r, i: F.struct(
@@ -134,8 +130,8 @@ def match_known_venue(place: Column, area: Column) -> Column:
 
     A venue further than 8 km from the centre of the declared area is not it.
     """
-    rows = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(la).alias("lat"),
-                              F.lit(lo).alias("lon")) for n, (la, lo) in v.KNOWN_VENUES.items()])
+    rows = F.expr("array(" + ", ".join(
+        f"named_struct('name', {sql_text(n)}, 'lat', {la}D, 'lon', {lo}D)" for n, (la, lo) in v.KNOWN_VENUES.items()) + ")")
 
     def pick(key: Column, centre: Column) -> Column:
         far = lambda r: F.coalesce(
@@ -235,5 +231,3 @@ def merchant_key(name: Column) -> Column:
     """Merchant name as compared between issuers."""
     return key_part(name)
 
-
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("annotations", "v", "strip_html")]

@@ -23,6 +23,22 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def sql_text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def str_array(values: Iterable[str]) -> Column:
+    """A literal array of strings, as one expression."""
+    return F.expr("array(" + ", ".join(sql_text(v) for v in values) + ")")
+
+
+def str_map(pairs: dict) -> Column:
+    """A literal map from strings to strings or whole numbers, as one expression."""
+    lit = lambda x: sql_text(x) if isinstance(x, str) else str(x)
+    return F.expr("map(" + ", ".join(f"{lit(k)}, {lit(v)}" for k, v in pairs.items()) + ")")
+
+
 @lru_cache(maxsize=1)
 def _fold_map() -> tuple[str, str]:
     """Accented lower-case letters and their base letter; combining marks map to nothing."""
@@ -143,7 +159,7 @@ def mentions_any(folded: Column, words: Iterable[str]) -> Column:
 def first_listed(folded: Column, words: Iterable[str]) -> Column:
     """The first word of the list, in list order, that the folded text holds."""
     words = tuple(words)
-    listed = F.array(*[F.lit(w) for w in words])
+    listed = str_array(words)
     each = F.get(F.filter(listed, lambda w: F.rlike(folded, F.concat(
         F.lit(WORD_START + r"\Q"), w, F.lit(r"\E" + WORD_END)))), F.lit(0))
     return F.when(mentions_any(folded, words), each)

@@ -144,6 +144,3 @@ def within_radius(lat: Column, lon: Column, precision: Column, centre: tuple[flo
 
 def is_real_place(name: Column) -> Column:
     return ~F.coalesce(name, F.lit("")).rlike("(?iu)" + NOT_A_PLACE)
-
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["at_time"]

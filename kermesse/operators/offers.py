@@ -116,6 +116,3 @@ def capture_age_alert(offers: DataFrame, banks: DataFrame, as_of: Column) -> Dat
     age = F.datediff(as_of.cast("date"), F.col("capturado").try_cast("date"))
     return (newest.join(banks.select("banco", "avisar_dias"), "banco")
             .withColumn("dias", age).filter(F.col("dias") > F.col("avisar_dias")))
-
-
-__all__ = [n for n in dir() if not n.startswith("_")]

@@ -217,6 +217,3 @@ def profile_report(ranked: DataFrame, profiles: list[Profile], forbidden: dict[s
     return everyone.join(counted, "perfil", "left").select(
         "perfil", F.coalesce("vistos", F.lit(0)).alias("vistos"), F.coalesce("alarmas", F.lit(0)).alias("alarmas"),
         F.col("vistos").isNull().alias("vacio"))
-
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["Window"]

@@ -198,6 +198,3 @@ def catalogue_delta(before: DataFrame, after: DataFrame, key: str = "id") -> Dat
 
 def duplicate_ids(df: DataFrame, key: str = "id") -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["best_row", "top_k"]

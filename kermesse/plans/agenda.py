@@ -10,20 +10,24 @@ from kermesse.operators.filters import gate, in_date_window, is_current
 from kermesse.operators.review import source_run_counts
 from kermesse.operators.store import expire_past, revive_current, upsert_events
 from kermesse.schemas import STORE, names
+from kermesse.session import stage
 
 
-def daily_run(store: DataFrame, candidates: DataFrame, config: DataFrame, as_of: Column, now: Column) -> dict[str, DataFrame]:
+def daily_run(store: DataFrame, candidates: DataFrame, config: DataFrame, as_of: Column, now: Column,
+              materialise: bool = True) -> dict[str, DataFrame]:
     """Collapse, gate, upsert, revive, expire.
 
     ``config``: fuente_nombre, colapsar, requiere_comuna, filtro_palabras, descartar_palabras.
-    Returns the new snapshot (with ``resultado``), the rejected rows and the run counts.
+    Returns the new snapshot, the rejected rows and the run counts. ``materialise`` writes
+    the two steps all of them read; leave it off when only one of them is wanted.
     """
     plain = config.filter(~F.coalesce("colapsar", F.lit(True))).select("fuente_nombre")
     kept_apart = candidates.join(plain, "fuente_nombre", "left_semi")
     collapsed = collapse_multiday(candidates.join(plain, "fuente_nombre", "left_anti"))
-    gated = gate(collapsed.unionByName(kept_apart), config, as_of)
+    keep = stage if materialise else (lambda df: df)
+    gated = keep(gate(collapsed.unionByName(kept_apart), config, as_of))
     accepted = gated.filter("motivo is null").drop("motivo")
-    snapshot = upsert_events(store, accepted, now)
+    snapshot = keep(upsert_events(store, accepted, now))
     revived = expire_past(revive_current(snapshot, as_of), as_of)
     outcome = snapshot.filter("resultado is not null").select("fuente_nombre", "resultado", F.lit(None).cast("string").alias("motivo"))
     rejected = gated.filter("motivo is not null")

@@ -9,6 +9,7 @@ from kermesse.functions.offers import in_region
 from kermesse.operators.corrections import overlay_merchant_corrections
 from kermesse.operators.filters import exclude_merchants, offer_alive
 from kermesse.operators.geocode import geocode
+from kermesse.session import stage
 from kermesse.operators.offers import dedup_keep_richest, lend_addresses, with_id
 
 
@@ -22,11 +23,11 @@ def collect(offers: DataFrame, as_of: Column, excluded: DataFrame | None = None)
 
 def locate(offers: DataFrame, addresses: DataFrame, places: DataFrame, fixes: DataFrame | None = None) -> DataFrame:
     """Corrections, lent addresses, then the geocoding tiers for rows still without a pin."""
-    rows = offers
+    rows = stage(offers)
     if fixes is not None:
         rows = overlay_merchant_corrections(rows, fixes).drop("tocados")
     rows = lend_addresses(rows)
     rows = rows.withColumn("precision", F.when(F.col("precision") == "correccion", F.col("precision"))
                            .when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), "fuente")
                            .otherwise(F.coalesce("precision", F.lit("")))).withColumn("lugar", F.lit(""))
-    return geocode(rows, addresses, places).drop("lugar")
+    return geocode(stage(rows), addresses, places).drop("lugar")

@@ -12,6 +12,7 @@ from kermesse.operators.corrections import overlay_event_corrections, overlay_pl
 from kermesse.operators.filters import is_current
 from kermesse.operators.geocode import geocode, override_contradicting_coords
 from kermesse.operators.store import split_formats
+from kermesse.session import stage
 
 
 def labelled(store: DataFrame, as_of: Column, use_hour: bool = True) -> DataFrame:
@@ -43,12 +44,13 @@ def publish(store: DataFrame, as_of: Column, addresses: DataFrame, places: DataF
     """The whole catalogue with ``formato``; filter on it for the two published lists.
 
     Corrections come before geocoding, series before the shared-pin check, formats last.
+    Steps that branch are written out once each.
     """
     rows = labelled(store, as_of).withColumn("tocados", F.array().cast("array<string>"))
     if place_fixes is not None:
         rows = overlay_place_corrections(rows, place_fixes)
     if event_fixes is not None:
         rows = overlay_event_corrections(rows, event_fixes)
-    rows = override_contradicting_coords(rows, addresses)
-    rows = geocode(rows, addresses, places, prior)
+    rows = stage(override_contradicting_coords(stage(rows), addresses))
+    rows = stage(geocode(rows, addresses, places, prior))
     return split_formats(degrade_shared_pins(collapse_weekly_series(rows)))

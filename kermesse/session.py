@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -16,6 +16,7 @@ def local_session(cores: str = "8", partitions: int = 8, memory: str = "8g") ->
             .config("spark.sql.adaptive.skewJoin.enabled", "true")
             .config("spark.driver.memory", memory)
             .config("spark.ui.enabled", "false")
+            .config("spark.python.sql.dataFrameDebugging.enabled", "false")
             .config("spark.ui.showConsoleProgress", "false")
             .getOrCreate())
 
@@ -33,3 +34,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         named = tempfile.mkdtemp(prefix="kermesse-checkpoint-")
     sc.setCheckpointDir(named)
     return named
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write a step that several branches read, so none of them computes it again.
+
+    The files live in the shared checkpoint folder and outlast a lost executor.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

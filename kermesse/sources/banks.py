@@ -253,6 +253,3 @@ def offers_nested_active(captures: DataFrame, bank: Issuer, card: str = "") -> D
         F.array(F.lit(card or bank.id)).alias("tarjetas"), fn.channel_in(c("legal"), c("where")).alias("modalidad"),
         F.lit(False).alias("segmentado"), F.substring(F.array_join(F.concat("vig", "hor"), " · "), 1, 300).alias("condiciones"),
         F.lit(bank.agenda_url).alias("url"), p("imgLogo").alias("logo")), bank))
-
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["fold_text"]

@@ -94,6 +94,3 @@ def backfill_from_detail(rows: DataFrame, details: DataFrame, config: DataFrame,
         "precio_texto": F.when(unknown, F.col("_p.note")).otherwise(F.col("precio_texto")),
         "imagen_url": F.when(blank & F.col("_i").startswith("http"), F.col("_i")).otherwise(F.col("imagen_url")),
     }).select(*rows.columns)
-
-
-__all__ = [n for n in dir() if not n.startswith("_")]

@@ -60,6 +60,3 @@ def extract_sitemap_entries(captures: DataFrame, as_of: Column, url_part: str =
         rows = rows.filter(F.contains("entry_url", F.lit(url_part)))
     dated = rows.withColumn("publicado", parse_published(F.col("mark"), as_of))
     return top_k(dated, ["source_id"], [F.col("publicado").desc_nulls_last(), F.col("seq")], limit)
-
-
-__all__ = [n for n in dir() if not n.startswith("_")]

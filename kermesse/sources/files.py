@@ -100,6 +100,3 @@ def read_pasted_table(lines: DataFrame, as_of: Column, source: str,
         "seq", "titulo", F.when(F.lower(at("estado")).isin(*STATUS_WORDS), at("estado")).otherwise("").alias("descripcion_corta"),
         "inicio", at("lugar").alias("lugar_nombre"), detect_area(at("lugar")).alias("comuna"),
         F.lit("manual").alias("fuente_tipo"), F.lit(source).alias("fuente_nombre"), at("link").alias("fuente_url")))
-
-
-__all__ = [n for n in dir() if not n.startswith("_")]

@@ -476,6 +476,3 @@ def extract_workshop_tables(captures: DataFrame, src: PageSource, as_of: Column,
         F.col("_p.price").alias("precio_clp"), F.col("_p.free").alias("es_gratis"), F.col("_p.note").alias("precio_texto"),
         F.lit("tabla").alias("fuente_tipo"), F.lit(src.source).alias("fuente_nombre"),
         F.coalesce(F.when(F.lit(src.agenda_url) != "", F.lit(src.agenda_url)), F.col("url")).alias("fuente_url")))
-
-
-__all__ = [n for n in dir() if not n.startswith("_")]

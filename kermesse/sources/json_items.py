@@ -291,6 +291,3 @@ def extract_ticket_api(captures: DataFrame, as_of: Column, source: str = "Ticket
         F.lit("api").alias("fuente_tipo"), F.lit(source).alias("fuente_nombre"), raw_at(v, "url").alias("fuente_url"),
         raw_at(v, "url").alias("link_entradas"), F.coalesce(image, F.lit("")).alias("imagen_url"),
         raw_at(v, "id").alias("id_externo")))
-
-
-__all__ = [n for n in dir() if not n.startswith("_")]

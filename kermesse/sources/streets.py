@@ -44,6 +44,3 @@ def place_catalogue(points: DataFrame) -> DataFrame:
 def write_catalogue(df: DataFrame, table: str, key: str, buckets: int = 64) -> None:
     """Bucketed and sorted by its lookup key, so tiers join without moving the catalogue."""
     df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
-
-
-__all__ = [n for n in dir() if not n.startswith("_")]

@@ -87,7 +87,3 @@ def stream_circuit(fetches: DataFrame, limit: int = 3) -> DataFrame:
     out = keyed.groupBy("host").applyInPandasWithState(
         circuit_update, "host string, racha int, peor int", "racha int, peor int", "update", "NoTimeout")
     return out.withColumn("abierto", F.col("racha") >= limit)
-
-
-__all__ = ["stream_upsert", "read_snapshot", "stream_collapse", "stream_dedup", "stream_circuit", "circuit_update",
-           "event_hash", "Callable"]
