@@ -43,3 +43,13 @@ def stage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out to all cores when a scan has fewer splits than half of them.
+
+    One small file with one row group is a single split; on a cluster the scan of a large
+    table already has many and this changes nothing.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
