@@ -25,7 +25,7 @@ def facet_counts(df: DataFrame, filters: dict[str, Column], options: dict[str, C
             F.array().cast("array<struct<faceta:string,opcion:string>>"))
 
     choices = F.flatten(F.array(*[labelled(name, opts) for name, opts in options.items()]))
-    return (marked.select(F.explode(choices).alias("c")).groupBy("c.faceta", "c.opcion")
+    return (marked.select(F.explode_outer(choices).alias("c")).filter("c is not null").groupBy("c.faceta", "c.opcion")
             .agg(F.count(F.lit(1)).alias("n")))
 
 

@@ -59,7 +59,8 @@ def _candidates(queries: DataFrame) -> DataFrame:
         area_hint(F.col("direccion")))
     base = queries.filter(F.coalesce(F.col("direccion"), F.lit("")) != "").select(
         "qid", area.alias("comuna"),
-        F.posexplode(F.slice(address_candidates(F.col("direccion")), 1, MAX_CANDIDATES)).alias("cand", "c"))
+        F.posexplode_outer(F.slice(address_candidates(F.col("direccion")), 1, MAX_CANDIDATES)).alias("cand", "c")
+    ).filter("c is not null")
     words = F.split(F.col("c.street"), " ")
     cuts = base.select("qid", "comuna", "cand", F.col("c.number").alias("numero"), words.alias("_w"),
                        F.explode(F.sequence(F.lit(0), F.size(words) - 1)).alias("cut"))

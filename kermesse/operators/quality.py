@@ -18,8 +18,8 @@ MIN_PIN_SHARE, MAX_DROP, FRESH_HOURS = 0.6, 0.5, 24
 
 def _rows(df: DataFrame, check: str, key: Column, problems: list[Column]) -> DataFrame:
     """One output row per problem struct(level, detail) of each input row."""
-    return df.select(key.cast("string").alias("key"), F.explode(F.array_compact(F.array(*problems))).alias("p")
-                     ).select("p.level", F.lit(check).alias("check"), "key", "p.detail")
+    return df.select(key.cast("string").alias("key"), F.explode_outer(F.array_compact(F.array(*problems))).alias("p")
+                     ).filter("p is not null").select("p.level", F.lit(check).alias("check"), "key", "p.detail")
 
 
 def _when(cond: Column, detail: str, level: str = "error") -> Column:

@@ -133,13 +133,14 @@ def score_pairs(prepared: DataFrame, profiles: list[Profile], now: Column) -> Da
         F.when(eligible(p), F.struct(F.lit(p.name).alias("perfil"), score(p, now).alias("puntaje"),
                                      F.lit(bool(v.SITUATIONS[p.situation].get("variety"))).alias("variedad")))
         for p in profiles]))
-    return (prepared.withColumn("_p", F.explode(F.filter(options, lambda s: s["puntaje"] > 0)))
-            .select("_p.*", *prepared.columns))
+    # The outer generator keeps the scores from being computed a second time in a filter.
+    return (prepared.withColumn("_p", F.explode_outer(F.filter(options, lambda s: s["puntaje"] > 0)))
+            .filter("_p is not null").select("_p.*", *prepared.columns))
 
 
 def eligible_pairs(prepared: DataFrame, profiles: list[Profile]) -> DataFrame:
     options = F.array_compact(F.array(*[F.when(eligible(p), F.lit(p.name)) for p in profiles]))
-    return prepared.select(F.explode(options).alias("perfil"), *prepared.columns)
+    return prepared.select(F.explode_outer(options).alias("perfil"), *prepared.columns).filter("perfil is not null")
 
 
 def situations_for_company(company: str) -> list[str]:

@@ -9,6 +9,7 @@ from kermesse.functions.dates import parse_date_es, parse_published
 from kermesse.functions.money import parse_price_clp
 from kermesse.functions.places import detect_area
 from kermesse.functions.text import strip_html, summarise, unescape
+from kermesse.operators.columns import compute_once
 from kermesse.operators.skew import top_k
 from kermesse.sources.captures import as_candidates, order_number
 
@@ -32,11 +33,10 @@ def extract_feed_items(captures: DataFrame, source: str, as_of: Column, area: st
     """First items of each feed that name a date; ``limit`` is the source's own reading depth."""
     rows = blocks(captures, "item").filter(F.col("pos") < limit)
     x = F.col("xml")
-    rows = rows.select("captura", "pos", strip_html(unescape(element(x, "title"))).alias("titulo"),
-                       element(x, "link").alias("fuente_url"),
-                       strip_html(unescape(element(x, "description"))).alias("d"))
+    rows = compute_once(rows, titulo=strip_html(unescape(element(x, "title"))), fuente_url=element(x, "link"),
+                        d=strip_html(unescape(element(x, "description"))))
     rows = rows.filter("titulo != '' and fuente_url != ''").withColumn("t", F.concat_ws(". ", "titulo", "d"))
-    rows = rows.withColumns({"inicio": parse_date_es(F.col("t"), as_of), "p": parse_price_clp(F.col("t"))})
+    rows = compute_once(rows, inicio=parse_date_es(F.col("t"), as_of), p=parse_price_clp(F.col("t")))
     return as_candidates(rows.filter("inicio is not null").select(
         order_number(F.col("captura"), F.col("pos")).alias("seq"), "titulo",
         summarise(F.col("d")).alias("descripcion_corta"), "inicio", F.lit(source).alias("lugar_nombre"),

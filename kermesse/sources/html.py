@@ -15,6 +15,7 @@ from kermesse.functions.money import parse_price_clp, pesos
 from kermesse.functions.places import detect_area, in_bbox
 from kermesse.functions.text import (absolute_url, fold_text, is_machine_url, squeeze, strip_html, summarise,
                                      unescape)
+from kermesse.operators.columns import compute_once
 from kermesse.operators.skew import top_k
 from kermesse.sources.captures import as_candidates, meta_content, order_number, visible_text
 from kermesse.sources.json_items import raw_at
@@ -77,10 +78,10 @@ def extract_jsonld_events(captures: DataFrame, src: PageSource, as_of: Column) -
     raw = F.trim(F.coalesce(*[F.when(g != "", g) for g in given], F.lit("")))
     raw = F.when(raw.rlike(r"^\d{1,3}(?:\.\d{3})+$"), F.replace(raw, F.lit("."), F.lit(""))).otherwise(raw)
     image = F.coalesce(F.get(F.try_variant_get(v, "$.image", "array<string>"), F.lit(0)), text("image"))
-    rows = rows.withColumns({"_raw": raw, "_addr": address, "_place": place, "_img": image})
+    rows = compute_once(rows, _raw=raw, _addr=address, _place=place, _img=image)
     said, number = parse_price_clp(F.col("_raw")), F.col("_raw").try_cast("double").cast("int")
     zero, plain_number = F.col("_raw").isin("0", "0.0", "0.00"), number.between(1, MAX_PRICE_CLP)
-    rows = rows.withColumn("_said", said)
+    rows = compute_once(rows, _said=said)
     unsaid = F.col("_said.price").isNull()
     point = [F.try_variant_get(v, f"$.location.geo.{k}", "double") for k in ("latitude", "longitude")]
     point = [F.coalesce(p, F.try_variant_get(v, f"$.location.geo.{k}", "string").try_cast("double"))
@@ -215,13 +216,13 @@ def extract_html_cards(captures: DataFrame, src: PageSource, as_of: Column) -> D
                                         ).select(F.col("captura").alias("seq")).distinct()
     cards = card_parts(captures.join(has, "seq", "left_anti"), src)
     c = F.col
-    rows = cards.withColumns({x: squeeze(c(x)) for x in ("texto", *_CARD_PARTS)}).filter("titulo != ''")
+    rows = compute_once(cards, **{x: squeeze(c(x)) for x in ("texto", *_CARD_PARTS)}).filter("titulo != ''")
     by_attr = dates.parse_date_es(c("date_attr"), as_of)
     by_text = dates.parse_date_es(F.when(c("fecha") != "", c("fecha")).otherwise(c("texto")), as_of)
-    rows = rows.withColumn("inicio", F.coalesce(by_attr, by_text)).filter("inicio is not null")
+    rows = compute_once(rows, inicio=F.coalesce(by_attr, by_text)).filter("inicio is not null")
     tail = F.get(F.split(c("fecha"), r"\s*[-–—]\s*|\s+al\s+|\s+hasta\s+", 2), F.lit(1))
     ranged = (c("date_attr") == "") & (c("fecha") != "")
-    rows = rows.withColumns({"_until": dates.parse_date_es(F.when(ranged, tail), as_of), "_hh": dates.parse_time(c("hora"))})
+    rows = compute_once(rows, _until=dates.parse_date_es(F.when(ranged, tail), as_of), _hh=dates.parse_time(c("hora")))
     midnight = (F.hour("inicio") == 0) & (F.minute("inicio") == 0)
     rows = rows.withColumns({
         "fin": F.when(c("_until") >= c("inicio"), c("_until")),
@@ -235,7 +236,7 @@ def extract_html_cards(captures: DataFrame, src: PageSource, as_of: Column) -> D
     about = c("texto")
     for read_already in ("titulo", "lugar", "fecha"):
         about = F.when(c(read_already) != "", F.replace(about, c(read_already), F.lit(" "))).otherwise(about)
-    rows = rows.withColumns({"_about": squeeze(about), "_p": parse_price_clp(c("texto")), "_place": place, "_area": room_area})
+    rows = compute_once(rows, _about=squeeze(about), _p=parse_price_clp(c("texto")), _place=place, _area=room_area)
     href = absolute_url(c("href"), F.lit(src.base))
     cards_out = as_candidates(rows.select(
         order_number(c("captura"), c("pos")).alias("seq"), "titulo", F.substring("categoria", 1, 40).alias("categoria"),
@@ -290,11 +291,11 @@ def extract_detail_page(entries: DataFrame, captures: DataFrame, src: PageSource
     plain = opened.join(structured.select(F.col("id_externo").alias("url")).distinct(), "url", "left_anti")
     og = meta_content(F.col("body"), "og:title")
     head = strip_html(F.regexp_extract("body", r"(?is)<title[^>]*>(.*?)</title>", 1))
-    rows = plain.withColumns({"_t": F.when(og != "", og).otherwise(head), "_x": visible_text(F.col("body"))}).filter("_t != ''")
-    rows = rows.withColumns({"_d": dates.parse_date_es(F.col("_x"), as_of, F.col("publicado")), "_p": parse_price_clp(F.col("_x"))})
+    rows = compute_once(plain, _t=F.when(og != "", og).otherwise(head), _x=visible_text(F.col("body"))).filter("_t != ''")
+    rows = compute_once(rows, _d=dates.parse_date_es(F.col("_x"), as_of, F.col("publicado")), _p=parse_price_clp(F.col("_x")))
     closing = dates.parse_date_es(F.regexp_extract("_x", r"(?iu)\bhasta\s+(?:el\s+)?([^,.;]{0,40})", 1), as_of, F.col("publicado"))
-    rows = rows.withColumn("_lone", F.coalesce(closing.cast("date") == F.col("_d").cast("date"), F.lit(False))
-                           & F.col("publicado").isNotNull())
+    rows = compute_once(rows, _lone=F.coalesce(closing.cast("date") == F.col("_d").cast("date"), F.lit(False))
+                        & F.col("publicado").isNotNull())
     lone = F.col("_lone")
     title = F.trim(F.substring_index(F.substring_index("_t", "|", 1), " - ", 1))
     text_rows = as_candidates(rows.filter("_d is not null").select(
@@ -330,18 +331,18 @@ def extract_two_level_listing(index: DataFrame, venues: DataFrame, src: PageSour
     href = F.regexp_extract("a", r"(?is)\bhref=[\"']([^\"']*)[\"']", 1)
     parts = F.filter(F.transform(F.regexp_extract_all("a", F.lit(
         r"(?is)<(?:p|h2|h3|h4|span|div)\b[^>]*>(.*?)</(?:p|h2|h3|h4|span|div)>"), 1), lambda x: strip_html(x)), lambda t: t != "")
-    rows = anchors.withColumns({"href": F.substring_index(absolute_url(href, base), "?", 1), "parts": parts,
-                                "whole": strip_html(F.col("a"))}).filter(F.contains(href, F.lit(event_part)))
+    rows = compute_once(anchors.filter(F.contains(href, F.lit(event_part))), parts=parts, whole=strip_html(F.col("a")),
+                        href=F.substring_index(absolute_url(href, base), "?", 1))
     rest = F.slice("parts", 2, F.greatest(F.size("parts"), F.lit(1)))
     dated = F.transform(rest, lambda t: dates.parse_date_es(t, as_of))
-    rows = rows.withColumns({"_rest": rest, "_at": F.array_position(F.transform(dated, lambda d: d.isNotNull()), F.lit(True))})
+    rows = compute_once(rows, _rest=rest, _at=F.array_position(F.transform(dated, lambda d: d.isNotNull()), F.lit(True)))
     many = F.size("parts") >= 2
     title = F.when(many, F.get("parts", F.lit(0))).otherwise(F.col("whole"))
     when = F.when(many, F.get("_rest", F.col("_at").cast("int") - 1)).otherwise(F.col("whole"))
     where = F.when(~many, F.col("whole")).when(F.col("_at") > 0, F.array_join(F.slice(
         "_rest", F.col("_at").cast("int") + 1, F.greatest(F.size("_rest"), F.lit(1))), " ")).otherwise(F.array_join("_rest", " "))
     rows = rows.withColumns({"titulo": title, "_when": F.when(F.col("_at") > 0, when).when(~many, when), "_where": where})
-    rows = rows.withColumn("inicio", F.coalesce(dates.parse_date_es(F.col("_when"), as_of),
+    rows = compute_once(rows, inicio=F.coalesce(dates.parse_date_es(F.col("_when"), as_of),
                                                 dates.parse_date_es(F.col("titulo"), as_of)))
     rows = rows.filter("titulo != '' and inicio is not null").withColumns({
         "seq": order_number(F.col("seq"), F.col("pos")), "_p": parse_price_clp(F.col("_where"))})

@@ -12,6 +12,7 @@ from kermesse.functions import dates
 from kermesse.functions.money import parse_price_clp, pesos
 from kermesse.functions.places import detect_area
 from kermesse.functions.text import is_machine_url, squeeze, strip_html, summarise
+from kermesse.operators.columns import compute_once
 from kermesse.sources.captures import as_candidates, order_number
 
 LOCAL_ZONE = "America/Santiago"
@@ -104,10 +105,9 @@ def with_sessions(rows: DataFrame, m: JsonMapping, as_of: Column) -> DataFrame:
     Each step is its own column, so a parsed date is computed once per row.
     """
     f, v = m.fields, F.col("item")
-    rows = rows.withColumns({"_t0": text_at(v, f.get("inicio", "")), "_t1": text_at(v, f.get("fin", ""))})
-    rows = rows.withColumns({"_start": dates.parse_date_es(F.col("_t0"), as_of),
-                             "_end": dates.parse_date_es(F.col("_t1"), as_of) if f.get("fin") else
-                             F.lit(None).cast("timestamp_ntz")})
+    rows = compute_once(rows, _start=dates.parse_date_es(text_at(v, f.get("inicio", "")), as_of),
+                        _end=dates.parse_date_es(text_at(v, f["fin"]), as_of) if f.get("fin") else
+                        F.lit(None).cast("timestamp_ntz"))
     if f.get("hora_inicio"):
         rows = rows.withColumn("_hh", dates.parse_time(text_at(v, f["hora_inicio"])))
         rows = rows.withColumn("_start", F.when(F.col("_hh").isNotNull(), dates.at_time(
@@ -128,7 +128,7 @@ def with_sessions(rows: DataFrame, m: JsonMapping, as_of: Column) -> DataFrame:
         F.array(F.try_variant_get(b, _json_path(rec["dias"]), "string"))))), " ")
     hours = lambda k: F.transform("_blocks", lambda b: dates.parse_time(
         F.try_variant_get(b, _json_path(rec[k]), "string")))
-    rows = rows.withColumns({"_days": dates.parse_weekdays(words), "_h0s": hours("hora_inicio"), "_h1s": hours("hora_fin")})
+    rows = compute_once(rows, _days=dates.parse_weekdays(words), _h0s=hours("hora_inicio"), _h1s=hours("hora_fin"))
     # The closing hour belongs to the first block that declares an opening hour.
     at = F.array_position(F.transform("_h0s", lambda h: h.isNotNull()), F.lit(True)).cast("int") - 1
     rows = rows.withColumns({"_h0": F.get("_h0s", at), "_h1": F.get("_h1s", at)})
@@ -144,10 +144,10 @@ def extract_json_mapped(captures: DataFrame, m: JsonMapping, as_of: Column) -> D
     """Candidates of one mapped JSON source."""
     f, v = m.fields, F.col("item")
     rows = items(captures, m.list_path).filter(source_flags(v, m.filters))
-    rows = rows.withColumn("titulo", text_at(v, f.get("titulo", "titulo"))).filter("titulo != ''")
-    rows = with_sessions(rows, m, as_of).filter(F.size("starts") > 0)
-    rows = rows.withColumns({"_desc": text_at(v, f.get("descripcion_corta", "")), "_link": text_at(v, f.get("link", "")),
-                             "_addr": text_at(v, f.get("lugar_direccion", "")), "_place": text_at(v, f.get("lugar_nombre", ""))})
+    rows = compute_once(rows, titulo=text_at(v, f.get("titulo", "titulo")), _desc=text_at(v, f.get("descripcion_corta", "")),
+                        _link=text_at(v, f.get("link", "")), _addr=text_at(v, f.get("lugar_direccion", "")),
+                        _place=text_at(v, f.get("lugar_nombre", "")))
+    rows = with_sessions(rows.filter("titulo != ''"), m, as_of)
     described = F.when(F.col("cadence") != "", F.trim(F.concat(F.col("cadence"), F.lit(". "), F.col("_desc")))
                        ).otherwise(F.col("_desc"))
     link = F.when(F.col("_link").startswith("//"), F.concat(F.lit("https:"), "_link")).otherwise(F.col("_link"))
@@ -167,7 +167,7 @@ def extract_json_mapped(captures: DataFrame, m: JsonMapping, as_of: Column) -> D
         F.lit("json").alias("fuente_tipo"), F.lit(m.source).alias("fuente_nombre"), link.alias("fuente_url"),
         text_at(v, f.get("imagen_url", "")).alias("imagen_url"),
         text_at(v, f.get("id_externo", "")).alias("id_externo"), "captura", "pos",
-        F.posexplode("starts").alias("sesion", "inicio"))
+        F.posexplode_outer("starts").alias("sesion", "inicio")).filter("inicio is not null")
     return as_candidates(base.withColumns({
         "seq": order_number(F.col("captura"), F.col("pos"), F.col("sesion")), "todo_el_dia": F.lit(False)}))
 
@@ -201,9 +201,8 @@ def extract_cms_posts(captures: DataFrame, source: str, as_of: Column, area: str
                       meta_date: str = "", meta_link: str = "") -> DataFrame:
     """Generic posts: a declared meta date beats the date read from the text."""
     v = F.col("item")
-    rows = items(captures).withColumns({
-        "titulo": rendered(v, "title"), "_c": rendered(v, "content"), "_e": rendered(v, "excerpt"),
-        "fecha_publicacion": dates.parse_date_es(F.try_variant_get(v, "$.date", "string"), as_of)})
+    rows = compute_once(items(captures), titulo=rendered(v, "title"), _c=rendered(v, "content"), _e=rendered(v, "excerpt"),
+                        fecha_publicacion=dates.parse_date_es(F.try_variant_get(v, "$.date", "string"), as_of))
     rows = rows.filter("titulo != ''").withColumn("_b", F.when(F.col("_c") != "", F.col("_c")).otherwise(F.col("_e")))
     rows = rows.withColumn("_t", F.concat_ws(". ", "titulo", "_b"))
     declared = []
@@ -212,7 +211,7 @@ def extract_cms_posts(captures: DataFrame, source: str, as_of: Column, area: str
         declared = [epoch_local(F.col("_m").try_cast("bigint")), dates.parse_date_es(F.col("_m"), as_of)]
     link = F.trim(F.coalesce(F.try_variant_get(v, _json_path(f"meta.{meta_link}"), "string"), F.lit(""))) \
         if meta_link else F.lit("")
-    rows = rows.withColumn("_p", parse_price_clp(F.col("_t")))
+    rows = compute_once(rows, _p=parse_price_clp(F.col("_t")))
     price = F.col("_p")
     return as_candidates(rows.select(
         order_number(F.col("captura"), F.col("pos")).alias("seq"), "titulo",
@@ -232,7 +231,7 @@ def extract_calendar_api(captures: DataFrame, source: str, as_of: Column, area:
     venue = text_at(v, "venue.venue")
     address = F.concat_ws(", ", *[F.when(text_at(v, p) != "", text_at(v, p)) for p in ("venue.address", "venue.city")])
     cost = F.coalesce(raw_at(v, "cost"), F.lit(""))
-    rows = rows.withColumn("_p", parse_price_clp(F.when(cost != "", cost).otherwise(raw_at(v, "description"))))
+    rows = compute_once(rows, _p=parse_price_clp(F.when(cost != "", cost).otherwise(raw_at(v, "description"))))
     price = F.col("_p")
     no_values = F.try_variant_get(v, "$.cost_details.values", "array<variant>")
     open_door = (cost == "") & (F.size(no_values) == 0)
@@ -267,7 +266,7 @@ def extract_ticket_api(captures: DataFrame, as_of: Column, source: str = "Ticket
     day = F.coalesce(raw_at(v, "dates.start.dateTime"), raw_at(v, "dates.start.localDate"), F.lit(""))
     local = F.when(raw_at(v, "dates.start.localTime").isNotNull(), F.concat_ws(
         " ", raw_at(v, "dates.start.localDate"), raw_at(v, "dates.start.localTime")))
-    rows = rows.withColumns({"_s": dates.parse_date_es(day, as_of), "_l": dates.parse_date_es(local, as_of)})
+    rows = compute_once(rows, _s=dates.parse_date_es(day, as_of), _l=dates.parse_date_es(local, as_of))
     start = F.when(F.hour("_s") == 0, F.coalesce("_l", "_s")).otherwise(F.col("_s"))
     site = F.get(F.try_variant_get(v, "$._embedded.venues", "array<variant>"), F.lit(0))
     at = lambda p: F.coalesce(raw_at(site, p), F.lit(""))
