@@ -11,7 +11,8 @@ from kermesse.operators.skew import best_row, lookup
 from kermesse.vocab.places import BOX_REGION
 
 EVENT_FIELDS = ("lugar", "direccion", "comuna", "categoria", "subcategoria", "escala", "publico")
-GRAM = 4
+# Characters of a key that a name must hold for the pair to be looked at.
+GRAM = 8
 
 
 def _grams(key: Column) -> Column:

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from kermesse.functions import labels
 from kermesse.functions.cards import has_hour
-from kermesse.functions.dates import at_time, window_bounds
+from kermesse.functions.dates import window_bounds
 from kermesse.functions.places import planar_km
 from kermesse.functions.text import (fold_text, is_machine_url, is_public_url, mentioned_word)
+from kermesse.operators.skew import lookup
 from kermesse.vocab.places import NOT_A_PLACE
 
 
@@ -51,8 +52,8 @@ def gate(df: DataFrame, config: DataFrame, as_of: Column) -> DataFrame:
     ``config`` has one row per source: fuente_nombre, requiere_comuna, filtro_palabras,
     descartar_palabras.
     """
-    joined = df.join(config.select("fuente_nombre", "requiere_comuna", "filtro_palabras",
-                                   "descartar_palabras"), "fuente_nombre", "left")
+    joined = lookup(df, config.select("fuente_nombre", "requiere_comuna", "filtro_palabras",
+                                      "descartar_palabras"), ["fuente_nombre"], ["seq"])
     no_area = F.coalesce(F.col("requiere_comuna"), F.lit(False)) & (
         F.coalesce(F.col("comuna"), F.lit("")) == "")
     motivo = F.coalesce(reject_reason(as_of), F.when(no_area, F.lit("sin comuna")),
@@ -78,9 +79,9 @@ def offer_alive(expiry: Column, as_of: Column) -> Column:
 def exclude_merchants(offers: DataFrame, excluded: DataFrame) -> DataFrame:
     """Drop blank merchants and the per-bank exclusion list (banco_id, comercio)."""
     key = F.lower(F.trim(F.col("comercio")))
-    listed = excluded.select("banco_id", F.lower(F.trim(F.col("comercio"))).alias("_k")).distinct()
+    listed = excluded.select("banco_id", key.alias("_k")).distinct().withColumn("_out", F.lit(True))
     named = offers.filter(F.coalesce(F.col("comercio"), F.lit("")) != "").withColumn("_k", key)
-    return named.join(listed, ["banco_id", "_k"], "left_anti").select(*offers.columns)
+    return lookup(named, listed, ["banco_id", "_k"], ["seq"]).filter("_out is null").select(*offers.columns)
 
 
 def null_half_coordinate(df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kermesse.operators.collapse import collapse_multiday
 from kermesse.operators.filters import gate, in_date_window, is_current
+from kermesse.operators.skew import lookup
 from kermesse.operators.review import source_run_counts
 from kermesse.operators.store import expire_past, revive_current, upsert_events
 from kermesse.schemas import STORE, names
@@ -21,9 +22,11 @@ def daily_run(store: DataFrame, candidates: DataFrame, config: DataFrame, as_of:
     Returns the new snapshot, the rejected rows and the run counts. ``materialise`` writes
     the two steps all of them read; leave it off when only one of them is wanted.
     """
-    plain = config.filter(~F.coalesce("colapsar", F.lit(True))).select("fuente_nombre")
-    kept_apart = candidates.join(plain, "fuente_nombre", "left_semi")
-    collapsed = collapse_multiday(candidates.join(plain, "fuente_nombre", "left_anti"))
+    flagged = lookup(candidates, config.select("fuente_nombre", F.coalesce("colapsar", F.lit(True)).alias("_junta")),
+                     ["fuente_nombre"], ["seq"])
+    joins = F.coalesce("_junta", F.lit(True))
+    kept_apart = flagged.filter(~joins).drop("_junta")
+    collapsed = collapse_multiday(flagged.filter(joins).drop("_junta"))
     keep = stage if materialise else (lambda df: df)
     gated = keep(gate(collapsed.unionByName(kept_apart), config, as_of))
     accepted = gated.filter("motivo is null").drop("motivo")

@@ -12,8 +12,9 @@ from kermesse.functions.dates import iso_date
 from kermesse.functions.money import cap_amount, percent_in
 from kermesse.functions.places import (coord_in_country, offer_html_fields, parse_branches, place_from_tags,
                                        region_list)
-from kermesse.functions.text import fold_text, normalise_url, strip_html
+from kermesse.functions.text import normalise_url, strip_html
 from kermesse.operators.offers import homologate
+from kermesse.operators.skew import lookup
 from kermesse.schemas import OFFER, conform
 from kermesse.sources.captures import order_number
 from kermesse.sources.json_items import items, raw_at
@@ -123,7 +124,8 @@ def offers_with_amounts(captures: DataFrame, bank: Issuer, amounts: DataFrame) -
     assets = assets.filter("asset != ''").groupBy("asset").agg(F.min("file").alias("file"))
     rows = rows.withColumns({"permalink": f("permalink"), "asset": f("imageApp.sys.id"), "text": F.concat_ws(
         " · ", f("subtituloCajaV2"), f("descripcionCortaApp"), f("nombreBeneficio"))})
-    rows = rows.join(money, "permalink", "left").join(assets, "asset", "left")
+    spot = ["captura", "pos"]
+    rows = lookup(lookup(rows, money, ["permalink"], spot), assets, ["asset"], spot)
     monto, file = F.coalesce("monto", F.lit("")), F.coalesce("file", F.lit(""))
     return offer_rows(_issuer(rows.select(
         order_number(c("captura"), c("pos")).alias("seq"),

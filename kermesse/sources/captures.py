@@ -75,8 +75,8 @@ def backfill_from_detail(rows: DataFrame, details: DataFrame, config: DataFrame,
     ``details``: url, body. ``config``: source_id, tope_detalle, filtro_palabras,
     descartar_palabras. Only rows that pass the word lists spend budget.
     """
-    flagged = rows.join(config, "source_id", "left")
-    wanted = flagged.filter(F.col("inicio").isNull() & keyword_reason(
+    flagged = lookup(rows.filter(F.col("inicio").isNull()), config, ["source_id"], ["seq"])
+    wanted = flagged.filter(keyword_reason(
         F.col("filtro_palabras"), F.col("descartar_palabras")).isNull())
     budget = top_k(wanted, ["source_id"], [F.col("seq")], F.coalesce("tope_detalle", F.lit(40)))
     pages = details.groupBy("url").agg(F.min("body").alias("body"))
