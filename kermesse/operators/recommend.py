@@ -6,7 +6,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from kermesse.functions import labels
 from kermesse.functions.cards import has_hour
@@ -14,7 +13,7 @@ from kermesse.functions.places import in_sector
 from kermesse.functions.text import title_base
 from kermesse.operators.collapse import mark_recurrent
 from kermesse.operators.skew import lookup, top_k
-from kermesse.session import ensure_checkpoint_dir
+from kermesse.session import stage
 from kermesse.vocab import discovery as v
 
 
@@ -160,44 +159,38 @@ def rank_diverse(scored: DataFrame) -> DataFrame:
     """Adds ``elegido``: kept by the greedy pass that demotes a repeated source, title or category.
 
     A row is kept when no better *kept* row of its profile shares one of its keys. Rows with
-    the same keys share their fate with the best of them, so only the distinct key triples
-    take part. Each round keeps every triple that is the best open one under all its keys
-    and demotes the open triples that share a key with it; rounds go on until none is open,
-    which gives exactly the sequential result. Order the output by
+    the same keys share their fate with the best of them, so only the distinct key sets take
+    part. Each round keeps every set that is the best open one under all its keys and drops
+    the open sets that meet a kept one under some key; rounds go on until none is open, which
+    gives exactly the sequential result. Order the output by
     ``perfil, elegido desc, puntaje desc, seq``.
     """
-    ensure_checkpoint_dir(scored.sparkSession)
-    keys = ["_src", "_ttl", "_cat"]
+    scored = stage(scored)
     source = F.coalesce(*[F.when(F.coalesce(c, F.lit("")) != "", F.col(c).cast("string"))
                           for c in ("fuente", "lugar")], F.col("id").cast("string"))
-    rows = scored.withColumns({
-        "_src": source, "_ttl": F.coalesce("titulo_base", F.lit("")),
-        # Without variety the category never collides: the source stands in for it.
-        "_cat": F.when(F.col("variedad"), F.concat(F.lit("c:"), "categoria")).otherwise(F.concat(F.lit("s:"), source))})
-    triple = ["perfil", *keys]
-    best = rows.groupBy(*triple).agg(F.min(F.struct((-F.col("puntaje")).alias("p"), F.col("seq"))).alias("r"))
-    open_rows = best.checkpoint()
-    kept_parts = []
-    while True:
-        marked = open_rows
-        for k in keys:
-            lead = open_rows.groupBy("perfil", k).agg(F.min("r").alias(f"m{k}"))
-            marked = lookup(marked, lead, ["perfil", k], triple)
-        kept = marked.filter((F.col("r") == F.col("m_src")) & (F.col("r") == F.col("m_ttl"))
-                             & (F.col("r") == F.col("m_cat"))).select(*triple, "r").checkpoint()
-        kept_parts.append(kept)
-        for k in keys:
-            taken = kept.select("perfil", k).distinct().withColumn("_taken", F.lit(True))
-            open_rows = lookup(open_rows, taken, ["perfil", k], triple).filter("_taken is null").drop("_taken")
-        open_rows = open_rows.checkpoint()
-        if open_rows.isEmpty():
-            break
-    chosen = kept_parts[0]
-    for part in kept_parts[1:]:
-        chosen = chosen.unionByName(part)
+    label = lambda tag, c: F.concat(F.lit(tag), c)
+    keys = F.array_compact(F.array(
+        label("s:", source), label("t:", F.coalesce("titulo_base", F.lit(""))),
+        F.when(F.col("variedad"), label("c:", F.coalesce("categoria", F.lit(""))))))
+    rank = F.struct((-F.col("puntaje")).alias("p"), F.col("seq"))
+    state = stage(scored.groupBy("perfil", keys.alias("keys")).agg(F.min(rank).alias("r")))
+    chosen = None
+    while not state.isEmpty():
+        open_keys = state.select("perfil", "r", F.explode("keys").alias("key"))
+        leads = open_keys.groupBy("perfil", "key").agg(F.min("r").alias("lead"))
+        met = stage(lookup(open_keys, leads, ["perfil", "key"], ["r"]))
+        kept = met.groupBy("perfil", "r").agg(F.bool_and(F.col("r") == F.col("lead")).alias("k")
+                                              ).filter("k").select("perfil", "r")
+        chosen = kept if chosen is None else chosen.unionByName(kept)
+        beaten = kept.select("perfil", F.col("r").alias("lead"), F.lit(True).alias("_beaten"))
+        state = stage(lookup(met, beaten, ["perfil", "lead"], ["r", "key"]).groupBy("perfil", "r").agg(
+            F.collect_set("key").alias("keys"), F.bool_or(F.col("_beaten").isNotNull()).alias("gone")
+        ).filter("not gone").select("perfil", "keys", "r"))
+    if chosen is None:
+        return scored.withColumn("elegido", F.lit(False))
     winners = chosen.select("perfil", F.col("r.seq").alias("seq"), F.lit(True).alias("_win"))
-    out = rows.join(winners, ["perfil", "seq"], "left")
-    return out.withColumn("elegido", F.coalesce("_win", F.lit(False))).drop("_win", *keys)
+    return scored.join(winners, ["perfil", "seq"], "left").withColumn(
+        "elegido", F.coalesce("_win", F.lit(False))).drop("_win")
 
 
 def diverse_order() -> list[Column]:
