@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import functions as F
-
 from kermesse.bindings import inputs as i
 from kermesse.bindings.registry import register
 from kermesse.bindings.tables import FMT, KEYED, stamp

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from kermesse.functions.dates import cadence_phrase
 from kermesse.functions.money import pesos
 from kermesse.functions.text import is_public_url
-from kermesse.vocab.calendar import MONTHS, WEEKDAY_DISPLAY
+from kermesse.vocab.calendar import WEEKDAY_DISPLAY
 
 _SHORT = ["ene", "feb", "mar", "abr", "may", "jun", "jul", "ago", "sep", "oct", "nov", "dic"]
 _MONTH_NAMES = ["enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agosto",

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from kermesse.functions.dates import month_number
-from kermesse.functions.money import joined, percent_in, pesos
+from kermesse.functions.money import joined
 from kermesse.functions.text import fold_text, let, str_array, str_map
 from kermesse.vocab import calendar as cal
 from kermesse.vocab import offers as v

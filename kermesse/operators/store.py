@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from kermesse.operators.collapse import event_hash
 from kermesse.operators.filters import is_current
-from kermesse.operators.skew import best_row, top_k
 from kermesse.schemas import STORE, conform, names
 
 REFRESHED = ("titulo", "categoria", "descripcion_corta", "inicio", "fin", "lugar_nombre",

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kermesse.functions.text import url_host
-from kermesse.operators.collapse import event_hash, series_key
+from kermesse.operators.collapse import series_key
 from kermesse.operators.store import upsert_events
 from kermesse.schemas import STORE, names
 from kermesse.vocab.calendar import MAX_SEASON_GAP_DAYS
