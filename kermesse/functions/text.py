@@ -8,10 +8,11 @@ import unicodedata
 from collections.abc import Callable, Iterable
 from functools import lru_cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from kermesse.session import ship_package
 from kermesse.vocab.labels import MACHINE_URL
 
 WORD_START = "(?<![a-z0-9])"
@@ -123,6 +124,7 @@ def _unescape_all(texts):
 def unescape(col: Column, every_entity: bool = False) -> Column:
     """Decode character entities; ``every_entity`` uses an Arrow batch for rare ones."""
     if every_entity:
+        ship_package(SparkSession.active())
         return F.when(F.contains(col, F.lit("&")), _unescape_all(col)).otherwise(col)
     out = col
     for entity, char in ENTITIES.items():

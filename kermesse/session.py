@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,3 +55,16 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application; Arrow steps import it there."""
+    sc, root = spark.sparkContext, Path(__file__).resolve().parent
+    if sc.applicationId in _SHIPPED or not root.is_dir():
+        return
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='kermesse-')}/kermesse", "zip", root.parent, root.name)
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)

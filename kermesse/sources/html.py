@@ -18,6 +18,7 @@ from kermesse.functions.text import (absolute_url, fold_text, is_machine_url, sq
 from kermesse.operators.columns import compute_once
 from kermesse.operators.skew import top_k
 from kermesse.sources.captures import as_candidates, meta_content, order_number, visible_text
+from kermesse.session import ship_package
 from kermesse.sources.json_items import raw_at
 from kermesse.vocab import calendar as cal
 from kermesse.vocab.labels import MAX_PRICE_CLP
@@ -206,6 +207,7 @@ def card_parts(captures: DataFrame, src: PageSource, limit: int = CARD_LIMIT) ->
                                 "clases": card["classes"], "texto": " ".join(card["all"]), **text})
             yield pd.DataFrame(out, columns=["captura", "pos", "href", "date_attr", "clases", "texto", *_CARD_PARTS])
 
+    ship_package(captures.sparkSession)
     return captures.select("seq", "body").mapInPandas(read, _CARD_SCHEMA)
 
 

@@ -11,6 +11,7 @@ from kermesse.functions.text import url_host
 from kermesse.operators.collapse import series_key
 from kermesse.operators.store import upsert_events
 from kermesse.schemas import STORE, names
+from kermesse.session import ship_package
 from kermesse.vocab.calendar import MAX_SEASON_GAP_DAYS
 
 
@@ -83,6 +84,7 @@ def circuit_update(key, batches: Iterator, state) -> Iterator:
 
 def stream_circuit(fetches: DataFrame, limit: int = 3) -> DataFrame:
     """host, racha, peor, abierto after each micro-batch."""
+    ship_package(fetches.sparkSession)
     keyed = fetches.withColumn("host", url_host(F.col("url"))) if "host" not in fetches.columns else fetches
     out = keyed.groupBy("host").applyInPandasWithState(
         circuit_update, "host string, racha int, peor int", "racha int, peor int", "update", "NoTimeout")
