@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from kermesse.llm.chat_format import format_chat, loss_text, read_chat
 from kermesse.llm.common import utf8_sha256
 from kermesse.llm.line_dedup import line_dedup
+from kermesse.llm.pu_quality import pu_quality
+from kermesse.llm.quality_mcd import quality_outliers
 from kermesse.llm.url_filter import RULES, SOFT, SOFT_LIMIT, STRICT, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +112,23 @@ select conv_id, count(*)::bigint as n_turns,
        sum(length('<|turn|><|text|><|end|>') + length(replace(replace(role, '\', '\\'), '|', '\|'))
            + length(replace(replace(text, '\', '\\'), '|', '\|')))::bigint as formatted_chars
 from t group by conv_id"""
+
+
+def held_out(rest: int, mod: int):
+    """Rows whose labels are not learnt from: crc32 of doc_id as text has this remainder."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % mod == rest, F.lit(False))
+
+
+@query
+def op3_pu_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    trusted = table(spark, sf, "labels").where((F.col("quality") == 1) & ~held_out(0, 5)).select("doc_id")
+    return pu_quality(docs, trusted).select(
+        "doc_id", held_out(0, 5).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+@query
+def op6_quality_mcd(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "text")
+    return quality_outliers(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                         "base_failed", "kept", "distance")
