@@ -12,6 +12,7 @@ from kermesse.llm.common import utf8_sha256
 from kermesse.llm.line_dedup import line_dedup
 from kermesse.llm.pu_quality import pu_quality
 from kermesse.llm.quality_mcd import quality_outliers
+from kermesse.llm.toxicity import toxicity
 from kermesse.llm.url_filter import RULES, SOFT, SOFT_LIMIT, STRICT, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +133,11 @@ def op6_quality_mcd(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "text")
     return quality_outliers(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                                          "base_failed", "kept", "distance")
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    labels = table(spark, sf, "labels").where(~held_out(1, 3)).select("doc_id", F.col("toxic").alias("label"))
+    return toxicity(docs, labels).select(
+        "doc_id", held_out(1, 3).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
