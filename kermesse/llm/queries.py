@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kermesse.llm.chat_format import format_chat, loss_text, read_chat
 from kermesse.llm.common import utf8_sha256
 from kermesse.llm.line_dedup import line_dedup
+from kermesse.llm.ngram_jaccard import near_duplicates
 from kermesse.llm.pu_quality import pu_quality
 from kermesse.llm.quality_mcd import quality_outliers
 from kermesse.llm.toxicity import toxicity
@@ -141,3 +142,8 @@ def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     labels = table(spark, sf, "labels").where(~held_out(1, 3)).select("doc_id", F.col("toxic").alias("label"))
     return toxicity(docs, labels).select(
         "doc_id", held_out(1, 3).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+@query
+def op10_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
