@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kermesse.llm.chat_format import format_chat, loss_text, read_chat
 from kermesse.llm.common import utf8_sha256
+from kermesse.llm.decontaminate import contaminated
 from kermesse.llm.line_dedup import line_dedup
 from kermesse.llm.ngram_jaccard import near_duplicates
 from kermesse.llm.pu_quality import pu_quality
@@ -147,3 +148,43 @@ def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@query
+def op7_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return contaminated(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
+
+
+ORACLES["op7_decontaminate"] = r"""
+with b as (
+  select item_id, w, len(w) as n, least(len(w), 5) as k
+  from (select item_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                       '[ \t-\r]+'), lambda x: x <> '') as w from benchmark) where len(w) > 0),
+d as (
+  select doc_id, w, len(w) as total
+  from (select doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                      '[ \t-\r]+'), lambda x: x <> '') as w from documents where doc_id is not null)),
+i as (select distinct n, k, q, array_to_string(w[q + 1:q + k], ' ') as h from (select n, k, w, unnest(range(n - k + 1)) as q from b)),
+p as (
+  select doc_id, total, p, k, array_to_string(w[p + 1:p + k], ' ') as h
+  from (select doc_id, w, total, k, unnest(range(total - k + 1)) as p from d, (select distinct k from b) where total >= k)),
+s as (
+  select distinct doc_id, n, greatest(0, least(p - q, total - n)) as start from p join i using (k, h)),
+w as (select doc_id, start, n, w[start + 1:start + n] as w from s join d using (doc_id)),
+c as (
+  select doc_id, start, n, h, count(*) as f
+  from (select doc_id, start, n, array_to_string(w[q + 1:q + least(5, len(w))], ' ') as h
+        from (select doc_id, start, n, w, unnest(range(len(w) - least(5, len(w)) + 1)) as q from w)) group by all),
+t as (
+  select item_id, n, h, count(*) as f
+  from (select item_id, n, array_to_string(w[q + 1:q + k], ' ') as h
+        from (select distinct item_id, n, k, w, unnest(range(n - k + 1)) as q from b)) group by all),
+m as (
+  select doc_id, item_id, start, n, sum(least(c.f, t.f)) as shared from c join t using (n, h) group by all),
+u as (
+  select doc_id, item_id, start, n, shared,
+         (select sum(f) from c where c.doc_id = m.doc_id and c.start = m.start and c.n = m.n)
+         + (select sum(f) from t where t.item_id = m.item_id) - shared as united from m)
+select doc_id, item_id, start, n as n_words, shared, united, shared / united as similarity
+from u where shared >= 0.75 * united
+qualify row_number() over (partition by doc_id, item_id order by shared / united desc, start) = 1"""
