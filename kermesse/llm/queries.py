@@ -12,6 +12,7 @@ from kermesse.llm.common import utf8_sha256
 from kermesse.llm.decontaminate import contaminated
 from kermesse.llm.line_dedup import line_dedup
 from kermesse.llm.ngram_jaccard import near_duplicates
+from kermesse.llm.piece_sampling import Pieces, decode, encode
 from kermesse.llm.pu_quality import pu_quality
 from kermesse.llm.quality_mcd import quality_outliers
 from kermesse.llm.toxicity import toxicity
@@ -188,3 +189,11 @@ u as (
 select doc_id, item_id, start, n as n_words, shared, united, shared / united as similarity
 from u where shared >= 0.75 * united
 qualify row_number() over (partition by doc_id, item_id order by shared / united desc, start) = 1"""
+
+
+@query
+def op2_piece_sampling(spark: SparkSession, sf: str) -> DataFrame:
+    pieces = Pieces.load()
+    docs = encode(table(spark, sf, "documents").select("doc_id", "text"), pieces)
+    return docs.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids",
+                       utf8_sha256(F.col("text")).alias("text_sha256"), utf8_sha256(decode(F.col("ids"), pieces)).alias("decoded_sha256"))
