@@ -17,6 +17,7 @@ from kermesse.llm.pu_quality import pu_quality
 from kermesse.llm.quality_mcd import quality_outliers
 from kermesse.llm.toxicity import toxicity
 from kermesse.llm.url_filter import RULES, SOFT, SOFT_LIMIT, STRICT, url_filter
+from kermesse.llm.wrapper_extract import extract_main
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -197,3 +198,8 @@ def op2_piece_sampling(spark: SparkSession, sf: str) -> DataFrame:
     docs = encode(table(spark, sf, "documents").select("doc_id", "text"), pieces)
     return docs.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids",
                        utf8_sha256(F.col("text")).alias("text_sha256"), utf8_sha256(decode(F.col("ids"), pieces)).alias("decoded_sha256"))
+
+
+@query
+def op8_wrapper_extract(spark: SparkSession, sf: str) -> DataFrame:
+    return extract_main(table(spark, sf, "pages")).select("page_id", "url", "text", "n_chars")
