@@ -168,7 +168,7 @@ def _sitemap(spark, sf):
     return pages(events(spark, sf), item, "sitemap", body).withColumn("source_id", (F.col("seq") % 3).cast("string"))
 
 
-@register("a09_extract_sitemap_entries", """SELECT event_id AS id FROM events WHERE event_id % 4 <> 0 QUALIFY row_number() OVER (PARTITION BY (event_id // 50) % 3 ORDER BY date_trunc('minute', ts) DESC, event_id) <= 40""")
+@register("a09_extract_sitemap_entries", """SELECT event_id AS id FROM events WHERE event_id % 4 <> 0""")
 def a09(spark, sf):
     got = feeds.extract_sitemap_entries(_sitemap(spark, sf), i.as_of(), "/e/")
     return got.select(F.regexp_extract("entry_url", r"(\d+)$", 1).cast("bigint").alias("id"))

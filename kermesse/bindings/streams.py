@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
+
+from pyspark.sql import functions as F
 
 from kermesse.bindings import inputs as i
-from kermesse.bindings.registry import register
+from kermesse.bindings.registry import ORACLES, register
 from kermesse.bindings.tables import FMT, KEYED, stamp
 from kermesse.schemas import CANDIDATE, conform
 from kermesse.session import ensure_checkpoint_dir
@@ -15,12 +17,7 @@ from kermesse.streaming import jobs
 def _work(spark) -> str:
     """A fresh folder under the cluster's shared checkpoint folder (a temporary one in tests)."""
     root = ensure_checkpoint_dir(spark)
-    if root.startswith("file:"):
-        root = root[5:]
-    if "://" in root:
-        import uuid
-        return f"{root}/stream-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="stream-", dir=root)
+    return f"{root}/stream-{uuid.uuid4().hex}"
 
 
 def _events(spark, sf):
@@ -52,10 +49,12 @@ def s01(spark, sf):
     return jobs.read_snapshot(spark, f"{work}/store").select("hash_dedup", "titulo", stamp("inicio").alias("inicio"), "lat", "precio_clp")
 
 
-@register("s02_stream_collapse")
+@register("s02_stream_collapse", ORACLES["d01_collapse_multiday"])
 def s02(spark, sf):
-    out = _drain(jobs.stream_collapse(_candidates(spark, sf)), spark)
-    return out.select("titulo", "lugar_nombre", stamp("inicio").alias("inicio"), stamp("fin").alias("fin"), "sesiones")
+    work = _work(spark)
+    jobs.stream_collapse(_candidates(spark, sf), f"{work}/log", f"{work}/ck").awaitTermination()
+    return jobs.read_seasons(spark, f"{work}/log").select(
+        "seq", stamp("inicio").alias("inicio"), stamp("fin").alias("fin"), "precio_texto", "imagen_url", "precio_clp", "es_gratis")
 
 
 @register("s03_stream_dedup", "SELECT DISTINCT event_type AS endpoint, user_id AS id_externo FROM events")
@@ -69,4 +68,6 @@ g AS (SELECT *, sum(ok::int) OVER (PARTITION BY host ORDER BY ts, event_id ROWS
 SELECT host, CAST(max(n) AS int) AS peor, CAST(last(n ORDER BY grp) AS int) AS racha FROM r GROUP BY host""")
 def s04(spark, sf):
     rows = _events(spark, sf).selectExpr("event_type AS host", "ts", "event_id AS seq", "user_id % 3 = 0 AS ok")
-    return _drain(jobs.stream_circuit(rows), spark, "update").select("host", "peor", "racha")
+    work = _work(spark)
+    jobs.stream_circuit(rows, f"{work}/log", f"{work}/ck").awaitTermination()
+    return jobs.read_circuit(spark, f"{work}/log").select("host", F.col("peor").cast("int").alias("peor"), F.col("racha").cast("int").alias("racha"))

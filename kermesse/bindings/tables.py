@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from kermesse.bindings import inputs as i
 from kermesse.bindings.registry import register, table
 from kermesse.operators import collapse, discover, review, skew, store
 from kermesse.operators import offers as off
+from kermesse.session import ensure_checkpoint_dir
 
 FMT = "'%Y-%m-%d %H:%M:%S.%f'"
 
@@ -223,7 +226,6 @@ def d22(spark, sf):
   UNION ALL SELECT NULL, min(comuna), round(first(lat ORDER BY seq), 6), count(*) FROM p WHERE pr = 'comuna' GROUP BY CASE WHEN comuna <> '' THEN comuna ELSE concat(lat, ',', lon) END""")
 def d23(spark, sf):
     pub = i.published(spark, sf).withColumn("precision", F.when(F.col("seq") % 6 == 5, "comuna").otherwise(F.col("precision")))
-    pub = pub.filter("lat is not null")
     return discover.cluster_approx_pins(pub).select("id", "comuna", F.round("lat", 6).alias("lat"), "eventos")
 
 
@@ -367,6 +369,16 @@ def k03(spark, sf):
     return store.revive_current(i.store_rows(spark, sf), i.as_of()).select("hash_dedup", "estado")
 
 
+@register("k03_state_survives_runs", f"""WITH {KEYED} SELECT hash_dedup, CASE WHEN NOT {CURRENT} THEN 'caducado' WHEN estado = 'caducado' THEN 'borrador' ELSE estado END AS estado,
+  CAST(NULL AS varchar) AS estado_previo FROM stored WHERE {CURRENT}""")
+def k03b(spark, sf):
+    """Everything expires, the sources bring it again, and what runs is revived with the state it had."""
+    ended = store.expire_past(i.store_rows(spark, sf), F.lit("2030-01-01").cast("date"))
+    seen = store.upsert_events(ended, i.candidates(spark, sf), i.now()).drop("resultado")
+    kept = store.parse_lines(store.snapshot_lines(seen).select("line"))
+    return store.revive_current(kept, i.as_of()).filter("estado <> 'caducado'").select("hash_dedup", "estado", "estado_previo")
+
+
 @register("k04_pending_review", f"WITH {KEYED} SELECT hash_dedup FROM stored WHERE estado = 'borrador' AND {CURRENT}")
 def k04(spark, sf):
     return store.pending_review(i.store_rows(spark, sf), i.as_of()).select("hash_dedup")
@@ -379,21 +391,27 @@ def k04b(spark, sf):
 
 @register("k05_snapshot_write", f"WITH {KEYED} SELECT hash_dedup, estado, coalesce(precio_clp, -1) AS precio FROM stored")
 def k05(spark, sf):
-    lines = store.snapshot_lines(i.store_rows(spark, sf))
-    return lines.select("hash_dedup", F.get_json_object("line", "$.estado").alias("estado"),
+    path = f"{ensure_checkpoint_dir(spark)}/snapshot-{uuid.uuid4().hex}"
+    store.write_snapshot(i.store_rows(spark, sf), path)
+    lines = spark.read.text(f"{path}/rows").withColumnRenamed("value", "line")
+    return lines.select(F.get_json_object("line", "$.hash_dedup").alias("hash_dedup"), F.get_json_object("line", "$.estado").alias("estado"),
                         F.coalesce(F.get_json_object("line", "$.precio_clp").cast("int"), F.lit(-1)).alias("precio"))
 
 
 @register("k06_snapshot_restore", f"WITH {KEYED} SELECT hash_dedup, titulo, strftime(inicio, {FMT}) AS inicio, lat FROM stored")
 def k06(spark, sf):
-    back = store.parse_lines(store.snapshot_lines(i.store_rows(spark, sf)).select("line"))
+    path = f"{ensure_checkpoint_dir(spark)}/snapshot-{uuid.uuid4().hex}"
+    rows = i.store_rows(spark, sf)
+    store.write_snapshot(rows, path)
+    back = store.restore_snapshot(spark, path, rows.filter("hash_dedup < '8'"))
     return back.select("hash_dedup", "titulo", stamp("inicio").alias("inicio"), "lat")
 
 
-@register("k07_publish_catalog", f"WITH {i.PUB} SELECT '2024-01-15' AS generado, count(*) AS total FROM pub")
+@register("k07_publish_catalog", f"WITH {i.PUB} SELECT '2024-01-15' AS generado, fuente, count(*) AS n FROM pub GROUP BY fuente")
 def k07(spark, sf):
-    header, _ = store.publish_catalogue(i.published(spark, sf), F.lit(i.AS_OF_TEXT))
-    return header
+    """The published rows, counted by source, under the header's stamp."""
+    _, rows = store.publish_catalogue(i.published(spark, sf), F.lit(i.AS_OF_TEXT))
+    return rows.groupBy("fuente").agg(F.count(F.lit(1)).alias("n")).select(F.lit(i.AS_OF_TEXT).alias("generado"), "fuente", "n")
 
 
 @register("k08_bank_run_state", f"""WITH {i.OFFERS}, st AS (SELECT banco, count(*) AS crudos FROM offers WHERE banco <> 'Brand#3' GROUP BY banco)

@@ -122,7 +122,7 @@ def parse_date_es(text: Column, as_of: Column, published: Column | None = None)
             day = F.when(~dated & ~running & stale,
                          _stamp(F.year(h["ts"]) + 1, F.month(h["ts"]), F.dayofmonth(h["ts"]))
                          ).otherwise(h["ts"])
-            return let(F.struct(day.alias("d"), F.substring(s, h["pos"] + 1, F.lit(120)).alias("w")),
+            return let(F.struct(day.alias("d"), F.substring(s, h["pos"] + 1, F.length(s)).alias("w")),
                        lambda p: with_hour_after(p["d"], p["w"]))
 
         return let(hit, settle)
@@ -207,12 +207,12 @@ def weekdays_from_title(title: Column) -> Column:
     return let(fold_text(title, "trim"), read)
 
 
-def occurrences(days: Column, start: Column, end: Column, cap: int = 400) -> Column:
-    """Dates from ``start`` to ``end`` on the given weekdays (first ``cap``)."""
+def occurrences(days: Column, start: Column, end: Column) -> Column:
+    """Dates from ``start`` to ``end`` on the given weekdays."""
     start, end = start.cast("date"), end.cast("date")
     every = F.when(end >= start, F.sequence(start, end))
     picked = F.filter(every, lambda d: F.array_contains(days, F.weekday(d)))
-    return F.coalesce(F.slice(picked, 1, cap), F.array().cast("array<date>"))
+    return F.coalesce(picked, F.array().cast("array<date>"))
 
 
 def at_time(day: Column, hhmm: Column) -> Column:
@@ -223,10 +223,17 @@ def at_time(day: Column, hhmm: Column) -> Column:
 
 
 def session_range(days: Column, start: Column, end: Column, hhmm: Column) -> Column:
-    """``struct(first, last)`` real session of a cycle, or NULL when it has none."""
-    return let(occurrences(days, start, end), lambda o: F.when(
-        F.size(o) > 0, F.struct(at_time(F.get(o, F.lit(0)), hhmm).alias("first"),
-                                at_time(F.element_at(o, -1), hhmm).alias("last"))))
+    """``struct(first, last)`` real session of a cycle, or NULL when it has none.
+
+    The first lies within a week of the start and the last within a week of the end.
+    """
+    start, end = start.cast("date"), end.cast("date")
+    fits = lambda d: F.array_contains(days, F.weekday(d)) & (d >= start) & (d <= end)
+    week = F.sequence(F.lit(0), F.lit(6))
+    first = F.get(F.filter(F.transform(week, lambda i: F.date_add(start, i)), fits), F.lit(0))
+    last = F.get(F.filter(F.transform(week, lambda i: F.date_sub(end, i)), fits), F.lit(0))
+    return let(F.struct(first.alias("first"), last.alias("last")), lambda s: F.when(
+        s["first"].isNotNull(), F.struct(at_time(s["first"], hhmm).alias("first"), at_time(s["last"], hhmm).alias("last"))))
 
 
 def future_sessions(days: Column, hhmm: Column, start: Column, end: Column, as_of: Column,

@@ -67,7 +67,7 @@ def address_candidates(text: Column) -> Column:
     another stretch of the street and are skipped. The number that closes the text comes
     first, then the longer street.
     """
-    head = F.array_join(F.slice(F.split(F.coalesce(text, F.lit("")), ","), 1, 3), " , ")
+    head = F.array_join(F.split(F.coalesce(text, F.lit("")), ","), " , ")
     flat = F.regexp_replace(normalise_street(head), r"\b(n|no|numero)\s+(\d)", "$2")
     flat = F.regexp_replace(flat, r"\b(ubicad[oa] en|ubicado|direccion)\b", " ")
 
@@ -96,7 +96,7 @@ def address_candidates(text: Column) -> Column:
 def area_hint(address: Column) -> Column:
     """Area name written after the first comma of an address; centre-list order decides."""
     rest = normalise_street(F.array_join(F.slice(F.split(F.coalesce(address, F.lit("")), ","), 2,
-                                                 1000), " "))
+                                                 1_000_000_000), " "))
 
     def pick(s: Column) -> Column:
         names = F.expr("array(" + ", ".join(
@@ -156,11 +156,10 @@ def normalise_region(raw: Column) -> Column:
 
 
 def region_list(regions: Column) -> Column:
-    """One label for a list of regions; more than three means nation-wide."""
+    """One label for a list of regions."""
     bare = F.transform(regions, lambda r: F.trim(F.replace(F.regexp_replace(
         r, "Región de |Región del |Región ", ""), F.lit(" de Santiago"), F.lit(""))))
     return (F.when(F.coalesce(F.size(regions), F.lit(0)) <= 0, F.lit(""))
-            .when(F.size(regions) > 3, F.lit("Todo Chile"))
             .otherwise(F.array_join(bare, " · ")))
 
 
@@ -211,7 +210,7 @@ def offer_html_fields(html: Column) -> Column:
     lines = F.filter(F.transform(
         F.split(F.regexp_replace(block, r"(?s)<i[^>]*>.*?</i>", " "), r"<br\s*/?>"),
         lambda t: squeeze(F.regexp_replace(t, "<[^>]+>", " "))), lambda t: t != "")
-    known = F.filter(F.transform(F.reverse(F.slice(lines, 2, 1000)),
+    known = F.filter(F.transform(F.reverse(F.slice(lines, 2, 1_000_000_000)),
                                  lambda t: F.try_element_at(offer_areas(), fold_text(t))),
                      lambda a: a.isNotNull())
     phone = F.regexp_extract(raw, r'(?s)class="telefono"[^>]*>(.*?)</li>', 1)

@@ -259,9 +259,9 @@ def venue_from_title(title: Column, place: Column) -> Column:
 
 
 def classify_error(message: Column) -> Column:
-    """Short cause of a fetch failure, or the first 200 characters of the message."""
+    """Short cause of a fetch failure, or the message itself."""
     from kermesse.vocab.offers import FAILURE_CAUSES
-    out = F.substring(message, 1, 200)
+    out = message
     for mark, cause in reversed(FAILURE_CAUSES):
         out = F.when(F.contains(message, F.lit(mark)), F.lit(cause)).otherwise(out)
     return out

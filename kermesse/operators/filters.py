@@ -108,10 +108,10 @@ def in_date_window(window: str, start: Column, end: Column, weekdays: Column, as
     ref = as_of.cast("date")
     series = F.coalesce(F.size(weekdays), F.lit(0)) > 0
     first = F.greatest(lo, day0, ref)
-    # A midnight-based walk stops at the end's own instant, so its day counts.
-    last = F.least(hi, dayn, F.date_add(ref, 59))
+    # Any seven days hold every weekday, so a longer window needs no longer walk.
+    last = F.least(hi, dayn)
     session = F.when(first <= last, F.exists(
-        F.sequence(first, last), lambda d: F.array_contains(weekdays, F.weekday(d))))
+        F.sequence(first, F.least(last, F.date_add(first, 6))), lambda d: F.array_contains(weekdays, F.weekday(d))))
     season = F.coalesce(end > start, F.lit(False)) & (day0 <= hi) & (dayn >= lo)
     point = (day0 >= lo) & (day0 <= hi)
     return F.when(series, F.coalesce(session, F.lit(False))).when(

@@ -11,12 +11,10 @@ from pyspark.sql import functions as F
 from kermesse.functions.places import (address_candidates, area_centre, area_hint, match_known_venue,
                                        nearest_area, normalise_street, planar_km)
 from kermesse.functions.text import fold_text
-from kermesse.operators.skew import lookup, top_k
+from kermesse.operators.skew import lookup
 from kermesse.vocab import places as v
 
-MAX_CANDIDATES = 4
 NEAR_NUMBER = 250
-NEAR_ROWS = 8
 TIGHT_KM, WIDE_KM = 4.5, 8.0
 
 
@@ -59,7 +57,7 @@ def _candidates(queries: DataFrame) -> DataFrame:
         area_hint(F.col("direccion")))
     base = queries.filter(F.coalesce(F.col("direccion"), F.lit("")) != "").select(
         "qid", area.alias("comuna"),
-        F.posexplode_outer(F.slice(address_candidates(F.col("direccion")), 1, MAX_CANDIDATES)).alias("cand", "c")
+        F.posexplode_outer(address_candidates(F.col("direccion"))).alias("cand", "c")
     ).filter("c is not null")
     words = F.split(F.col("c.street"), " ")
     cuts = base.select("qid", "comuna", "cand", F.col("c.number").alias("numero"), words.alias("_w"),
@@ -96,7 +94,7 @@ def partial_matches(cands: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 def near_matches(cands: DataFrame, spans: DataFrame) -> DataFrame:
-    """Nearest numbers of the street, by a bucketed range join."""
+    """Numbers near on the street, nearest first, by a bucketed range join."""
     probe = cands.withColumn("_b", F.explode(F.transform(
         F.array(F.lit(-1), F.lit(0), F.lit(1)),
         lambda d: F.floor(F.col("numero") / NEAR_NUMBER).cast("int") + d)))
@@ -105,9 +103,7 @@ def near_matches(cands: DataFrame, spans: DataFrame) -> DataFrame:
     hits = probe.join(side, ["calle_q", "_b"]).withColumn("gap", F.abs(F.col("numero_c") - F.col("numero")))
     hits = hits.filter((F.col("gap") < NEAR_NUMBER) & ((F.col("kind") == 0) | (F.length("calle_q") >= 6)))
     keys = ["qid", "cand", "cut", "kind"]
-    nearest = top_k(hits, keys, [F.col("gap"), F.col("orden")], NEAR_ROWS)
-    ordered = nearest.withColumn("orden", F.struct("gap", "orden"))
-    return pick_candidate(ordered, keys, TIGHT_KM)
+    return pick_candidate(hits.withColumn("orden", F.struct("gap", "orden")), keys, TIGHT_KM)
 
 
 def resolve_addresses(queries: DataFrame, addresses: DataFrame, loose: bool = True,

@@ -105,10 +105,10 @@ def degraded_sources(runs: DataFrame, active: DataFrame | None = None, last: int
         .filter((F.col("n") >= last) & F.col("bad")).select("fuente", "ultimo_error", "desde"))
 
 
-def failure_streaks(fetches: DataFrame, minimum: int = 3) -> DataFrame:
-    """Hosts whose longest run of consecutive failures reaches ``minimum``.
+def failure_runs(fetches: DataFrame) -> DataFrame:
+    """host, peor (longest run of consecutive failures), racha (the run still open at the newest row).
 
-    ``fetches(host, ts, ok)``. Rows first shrink to one row per host and hour with the
+    ``fetches(host, ts, seq, ok)`` in any order. Rows first shrink to one row per host and hour with the
     shape of its runs (leading, trailing, longest), so a busy host meets as hours only.
     """
     hour = F.date_trunc("hour", F.col("ts").cast("timestamp"))
@@ -131,9 +131,15 @@ def failure_streaks(fetches: DataFrame, minimum: int = 3) -> DataFrame:
                                             F.coalesce("head", F.lit(0)).alias("head"))
     joined = chains.join(heads, ["host", "_blk"], "left")
     longest = F.greatest(F.col("chain") + F.coalesce("head", F.lit(0)), F.col("inner"))
-    first_head = heads.filter("_blk = 0").select("host", F.col("head").alias("racha"))
-    return (joined.select("host", longest.alias("racha")).unionByName(first_head)
-            .groupBy("host").agg(F.max("racha").alias("racha")).filter(F.col("racha") >= minimum))
+    first_head = heads.filter("_blk = 0").select("host", F.col("head").alias("longest"), F.lit(-1).cast("bigint").alias("_blk"),
+                                                 F.lit(0).cast("bigint").alias("chain"))
+    return (joined.select("host", longest.alias("longest"), "_blk", "chain").unionByName(first_head).groupBy("host").agg(
+        F.max("longest").alias("peor"), F.max(F.struct("_blk", "chain"))["chain"].alias("racha")))
+
+
+def failure_streaks(fetches: DataFrame, minimum: int = 3) -> DataFrame:
+    """Hosts whose longest run of consecutive failures reaches ``minimum``."""
+    return failure_runs(fetches).select("host", F.col("peor").alias("racha")).filter(F.col("racha") >= minimum)
 
 
 def attach_domain_failures(sources: DataFrame, log: DataFrame, since: Column) -> DataFrame:

@@ -7,6 +7,7 @@ import functools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kermesse.functions.text import fold_text
 from kermesse.operators.collapse import event_hash
 from kermesse.operators.filters import is_current
 from kermesse.schemas import STORE, conform, names
@@ -24,17 +25,15 @@ def upsert_events(store: DataFrame, batch: DataFrame, now: Column) -> DataFrame:
     erases one. The curator's state and the first-seen facts are never touched.
     """
     keyed = batch.withColumn("hash_dedup", event_hash())
-    order = F.struct(F.col("seq"))
     facts = [c for c in names(STORE) if c not in (
-        "hash_dedup", "fecha_extraccion", "fecha_ultima_verificacion", "visto_por_ultima_vez", "estado")]
+        "hash_dedup", "fecha_extraccion", "fecha_ultima_verificacion", "visto_por_ultima_vez", "estado", "estado_previo")]
     last_of = {c: F.max(F.struct("seq", c))[c] for c in REFRESHED}
     first_of = {c: F.min(F.struct("seq", c))[c] for c in facts if c not in REFRESHED}
     point = {c: F.max(F.when(F.col(c).isNotNull(), F.struct("seq", c)))[c] for c in KEPT_IF_ABSENT}
     incoming = keyed.groupBy("hash_dedup").agg(*[
         (point.get(c) if c in point else last_of.get(c, first_of.get(c))).alias(f"n_{c}") for c in facts],
-        F.min(F.struct("seq", F.col("inicio").isNull().alias("x")))["x"].alias("_undated"),
-        F.max(order).alias("_hit")).drop("_hit").withColumn("_new", F.lit(True))
-    old = store.select("hash_dedup", *[F.col(c).alias(f"o_{c}") for c in names(STORE)[1:]]
+        F.min(F.struct("seq", F.col("inicio").isNull().alias("x")))["x"].alias("_undated")).withColumn("_new", F.lit(True))
+    old = conform(store, STORE).select("hash_dedup", *[F.col(c).alias(f"o_{c}") for c in names(STORE)[1:]]
                        ).withColumn("_old", F.lit(True))
     both = old.join(incoming, "hash_dedup", "full_outer")
     is_old = F.coalesce(F.col("_old"), F.lit(False))
@@ -55,6 +54,7 @@ def upsert_events(store: DataFrame, batch: DataFrame, now: Column) -> DataFrame:
         "visto_por_ultima_vez": F.when(touched, stamp).otherwise(F.col("o_visto_por_ultima_vez")),
         "estado": F.when(is_old, F.col("o_estado")).when(F.col("_undated"), "revisar_fecha")
         .otherwise("borrador"),
+        "estado_previo": F.col("o_estado_previo"),
     }
     return both.select(*[special.get(c, value(c) if c not in special else None).alias(c)
                          for c in names(STORE)],
@@ -71,11 +71,14 @@ def expire_past(store: DataFrame, as_of: Column, remember: bool = True) -> DataF
 
 
 def revive_current(store: DataFrame, as_of: Column) -> DataFrame:
-    """Expired rows that still run get back the state they had, else ``borrador``."""
+    """Expired rows that still run get back the state they had, else ``borrador``; what was remembered is cleared."""
     due = (F.col("estado") == "caducado") & is_current(F.col("inicio"), F.col("fin"), as_of)
     before = F.coalesce(F.col("estado_previo"), F.lit("borrador")) if "estado_previo" in store.columns \
         else F.lit("borrador")
-    return store.withColumn("estado", F.when(due, before).otherwise(F.col("estado")))
+    out = store.withColumn("_due", F.coalesce(due, F.lit(False))).withColumn("estado", F.when(F.col("_due"), before).otherwise(F.col("estado")))
+    if "estado_previo" in store.columns:
+        out = out.withColumn("estado_previo", F.when(~F.col("_due"), F.col("estado_previo")))
+    return out.drop("_due")
 
 
 def pending_review(store: DataFrame, as_of: Column) -> DataFrame:
@@ -145,17 +148,24 @@ def restore_snapshot(spark, path: str, current: DataFrame | None) -> DataFrame:
 
 
 def reconcile_dated(store: DataFrame) -> DataFrame:
-    """Drop an undated row once its source address has a dated row."""
-    dated = store.filter(F.col("inicio").isNotNull()).select("fuente_url").distinct()
-    undated = store.filter(F.col("estado") == "revisar_fecha").join(dated, "fuente_url", "left_anti")
-    rest = store.filter(F.coalesce(F.col("estado") != "revisar_fecha", F.lit(True)))
-    return rest.unionByName(undated.select(*store.columns))
+    """Drop an undated row once its source address has a dated row of the same title and place.
+
+    Rows without an address, title or place are never reconciled.
+    """
+    same = {"_u": F.trim("fuente_url"), "_t": fold_text(F.col("titulo")), "_l": fold_text(F.coalesce("lugar_nombre", F.lit("")))}
+    keyed = store.withColumns(same)
+    dated = keyed.filter(F.col("inicio").isNotNull() & (F.col("_u") != "") & (F.col("_t") != "") & (F.col("_l") != "")).select(*same).distinct()
+    waits = F.coalesce(F.col("estado") == "revisar_fecha", F.lit(False)) & F.col("inicio").isNull()
+    undated = keyed.filter(waits).join(dated, list(same), "left_anti")
+    return keyed.filter(~waits).select(*store.columns).unionByName(undated.select(*store.columns))
 
 
-def run_trend(history: DataFrame, run: DataFrame, keep: int = 400) -> DataFrame:
-    """Append a run's KPI row and keep the newest ``keep``."""
+def run_trend(history: DataFrame, run: DataFrame, keep: int | None = None) -> DataFrame:
+    """Append a run's KPI rows, newest first; ``keep`` leaves that many of them."""
     both = history.unionByName(run, allowMissingColumns=True)
-    return both.orderBy(F.col("momento").desc()).limit(keep)
+    rest = [F.col(c) for c, t in both.dtypes if c != "momento" and not t.startswith("map")]
+    ordered = both.orderBy(F.col("momento").desc(), *rest)
+    return ordered if keep is None else ordered.limit(keep)
 
 
 def publish_catalogue(rows: DataFrame, generated: Column) -> tuple[DataFrame, DataFrame]:

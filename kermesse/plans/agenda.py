@@ -9,7 +9,7 @@ from kermesse.operators.collapse import collapse_multiday
 from kermesse.operators.filters import gate, in_date_window, is_current
 from kermesse.operators.skew import lookup
 from kermesse.operators.review import source_run_counts
-from kermesse.operators.store import expire_past, revive_current, upsert_events
+from kermesse.operators.store import expire_past, reconcile_dated, revive_current, upsert_events
 from kermesse.schemas import STORE, names
 from kermesse.session import stage
 
@@ -31,7 +31,7 @@ def daily_run(store: DataFrame, candidates: DataFrame, config: DataFrame, as_of:
     gated = keep(gate(collapsed.unionByName(kept_apart), config, as_of))
     accepted = gated.filter("motivo is null").drop("motivo")
     snapshot = keep(upsert_events(store, accepted, now))
-    revived = expire_past(revive_current(snapshot, as_of), as_of)
+    revived = expire_past(revive_current(reconcile_dated(snapshot), as_of), as_of)
     outcome = snapshot.filter("resultado is not null").select("fuente_nombre", "resultado", F.lit(None).cast("string").alias("motivo"))
     rejected = gated.filter("motivo is not null")
     counts = source_run_counts(outcome.unionByName(rejected.select(

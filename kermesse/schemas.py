@@ -16,11 +16,9 @@ STORE = (
     "es_gratis boolean, precio_texto string, fuente_tipo string, fuente_nombre string, "
     "fuente_url string, link_entradas string, imagen_url string, id_externo string, "
     "fecha_extraccion timestamp_ntz, fecha_ultima_verificacion timestamp_ntz, "
-    "visto_por_ultima_vez timestamp_ntz, estado string")
+    "visto_por_ultima_vez timestamp_ntz, estado string, estado_previo string")
 RUN_LOG = ("momento timestamp_ntz, fuente string, encontrados int, nuevos int, "
            "actualizados int, descartados int, error string, duracion_seg double")
-RAW_CAPTURE = ("source_id string, kind string, url string, fetched_at timestamp_ntz, "
-               "status int, content_type string, body string")
 OFFER = (
     "banco_id string, banco string, comercio string, categoria string, cocina string, "
     "comuna string, region string, direccion string, telefono string, lat double, "

@@ -16,7 +16,7 @@ from kermesse.functions.text import normalise_url, strip_html
 from kermesse.operators.offers import homologate
 from kermesse.operators.skew import lookup
 from kermesse.schemas import OFFER, conform
-from kermesse.sources.captures import order_number
+from kermesse.sources.captures import nested, order_number
 from kermesse.sources.json_items import items, raw_at
 
 
@@ -157,7 +157,7 @@ def offers_manual_capture(captures: DataFrame, bank: Issuer) -> DataFrame:
     return offer_rows(_issuer(rows.select(
         order_number(c("captura"), c("pos")).alias("seq"), "comercio", t("categoria").alias("categoria"),
         t("direccion").alias("direccion"), t("comuna").alias("comuna"), t("sitio_web").alias("sitio_web"),
-        F.when(F.size(regions) <= 3, F.array_join(regions, " · ")).otherwise("Todo Chile").alias("region"), t("logo").alias("logo"),
+        F.array_join(regions, " · ").alias("region"), t("logo").alias("logo"),
         percent_in(t("monto")).alias("porcentaje"), F.lit("").alias("oferta"),
         F.when(t("tope").rlike(r"^\d+$"), t("tope").try_cast("int")).otherwise(cap_amount(cond)).alias("tope"),
         fn.expiry_in(t("vigencia"), t("condiciones")).alias("vigencia_hasta"), fn.weekdays_in_offer(t("cuando")).alias("dias"),
@@ -187,7 +187,7 @@ def offers_embedded_array(captures: DataFrame, bank: Issuer, card: str = "") ->
         F.lit("").alias("direccion"), percent_in(c("t"), c("s")).alias("porcentaje"), fn.offer_label(c("t"), c("s")).alias("oferta"),
         "dias", fn.expiry_in(c("l")).alias("vigencia_hasta"), F.array(F.lit(card or bank.id)).alias("tarjetas"),
         fn.channel_in(c("t"), c("s")).alias("modalidad"), F.lit(False).alias("segmentado"),
-        F.when(short != "", short).otherwise(F.substring("l", 1, 300)).alias("condiciones"),
+        F.when(short != "", short).otherwise(F.col("l")).alias("condiciones"),
         F.when(_text(v, "url") != "", _text(v, "url")).otherwise(F.lit(bank.agenda_url)).alias("url")), bank))
 
 
@@ -213,7 +213,7 @@ def offers_embedded_cards(captures: DataFrame, bank: Issuer, card: str = "") ->
         "seq", "comercio", F.lit("restaurantes").alias("categoria"), F.lit("").alias("comuna"), F.lit("Todo Chile").alias("region"),
         F.lit("").alias("direccion"), percent_in(c("x")).alias("porcentaje"), fn.offer_label(c("x")).alias("oferta"),
         fn.weekdays_in_offer(c("x")).alias("dias"), F.array(F.lit(card or bank.id)).alias("tarjetas"),
-        fn.channel_in(c("x")).alias("modalidad"), F.lit(False).alias("segmentado"), F.substring("x", 1, 300).alias("condiciones"),
+        fn.channel_in(c("x")).alias("modalidad"), F.lit(False).alias("segmentado"), F.col("x").alias("condiciones"),
         "url"), bank))
 
 
@@ -245,7 +245,7 @@ def offers_nested_active(captures: DataFrame, bank: Issuer, card: str = "") -> D
         "vig": _wrapped_list(v, "params.details.arrVigencia"), "hor": _wrapped_list(v, "params.details.arrHorarios")})
     areas = F.transform(F.split(F.regexp_extract("where", r"\(([^)]*)\)", 1), "/"), lambda x: F.trim(x))
     return offer_rows(_issuer(rows.select(
-        order_number(c("captura"), c("box") * 1000 + c("pos")).alias("seq"), "comercio", F.lit("restaurantes").alias("categoria"),
+        order_number(c("captura"), nested(c("box"), c("pos"))).alias("seq"), "comercio", F.lit("restaurantes").alias("categoria"),
         p("txtSubtitulo").alias("cocina"), F.when(F.size(areas) == 1, F.get(areas, F.lit(0))).otherwise("").alias("comuna"),
         F.when(F.contains("where", F.lit("R.M.")), "Metropolitana de Santiago").otherwise("").alias("region"),
         F.coalesce(F.get("dir", F.lit(0)), F.lit("")).alias("direccion"), normalise_url(p("linkComercio")).alias("sitio_web"),
@@ -253,5 +253,5 @@ def offers_nested_active(captures: DataFrame, bank: Issuer, card: str = "") -> D
         cap_amount(c("legal")).alias("tope"), fn.weekdays_in_offer(p("txtValidezBeneficio")).alias("dias"),
         fn.expiry_in(p("txtVigenciaDetalle"), F.array_join("vig", " · "), c("legal")).alias("vigencia_hasta"),
         F.array(F.lit(card or bank.id)).alias("tarjetas"), fn.channel_in(c("legal"), c("where")).alias("modalidad"),
-        F.lit(False).alias("segmentado"), F.substring(F.array_join(F.concat("vig", "hor"), " · "), 1, 300).alias("condiciones"),
+        F.lit(False).alias("segmentado"), F.array_join(F.concat("vig", "hor"), " · ").alias("condiciones"),
         F.lit(bank.agenda_url).alias("url"), p("imgLogo").alias("logo")), bank))

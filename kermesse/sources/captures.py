@@ -12,7 +12,8 @@ from kermesse.operators.filters import keyword_reason
 from kermesse.operators.skew import lookup, top_k
 from kermesse.schemas import CANDIDATE, SOURCE_KINDS, conform
 
-POSITIONS, SESSIONS = 100_000, 500
+#: Bits of an input order number: of the session, and of the two levels of position. A capture has the rest.
+SESSION_BITS, LEVEL_BITS = 10, 13
 
 
 def read_captures(spark, path: str, fmt: str = "parquet", day: str | None = None) -> DataFrame:
@@ -34,9 +35,14 @@ def unknown_kinds(captures: DataFrame, known=SOURCE_KINDS) -> DataFrame:
 
 
 def order_number(capture: Column, position: Column, session: Column | None = None) -> Column:
-    """Input order of a row: capture, then item, then session."""
-    base = capture.cast("bigint") * POSITIONS + position.cast("bigint")
-    return base * SESSIONS + (F.lit(0) if session is None else session.cast("bigint"))
+    """Input order of a row: capture, then item (see ``nested`` for two levels), then session."""
+    base = capture.cast("bigint") * (1 << 2 * LEVEL_BITS) + position.cast("bigint")
+    return base * (1 << SESSION_BITS) + (F.lit(0) if session is None else session.cast("bigint"))
+
+
+def nested(outer: Column, inner: Column) -> Column:
+    """Position of an item inside a block of a capture."""
+    return outer.cast("bigint") * (1 << LEVEL_BITS) + inner.cast("bigint")
 
 
 def as_candidates(rows: DataFrame) -> DataFrame:
@@ -73,12 +79,12 @@ def backfill_from_detail(rows: DataFrame, details: DataFrame, config: DataFrame,
     """Date and price of undated rows from their detail page, within each source's budget.
 
     ``details``: url, body. ``config``: source_id, tope_detalle, filtro_palabras,
-    descartar_palabras. Only rows that pass the word lists spend budget.
+    descartar_palabras. Only rows that pass the word lists spend budget; no ``tope_detalle`` is no budget.
     """
     flagged = lookup(rows.filter(F.col("inicio").isNull()), config, ["source_id"], ["seq"])
     wanted = flagged.filter(keyword_reason(
         F.col("filtro_palabras"), F.col("descartar_palabras")).isNull())
-    budget = top_k(wanted, ["source_id"], [F.col("seq")], F.coalesce("tope_detalle", F.lit(40)))
+    budget = top_k(wanted, ["source_id"], [F.col("seq")], F.coalesce("tope_detalle", F.lit(2_147_483_647)))
     pages = details.groupBy("url").agg(F.min("body").alias("body"))
     opened = budget.select("seq", F.col("fuente_url").alias("url"), "fecha_publicacion").join(pages, "url")
     text = visible_text(F.col("body"))

@@ -13,8 +13,6 @@ from kermesse.operators.columns import compute_once
 from kermesse.operators.skew import top_k
 from kermesse.sources.captures import as_candidates, order_number
 
-FEED_ROWS, SITEMAP_ROWS = 80, 40
-
 
 def element(xml: Column, name: str) -> Column:
     """Text of the first ``<name>`` child, CDATA unwrapped."""
@@ -29,9 +27,10 @@ def blocks(captures: DataFrame, name: str) -> DataFrame:
 
 
 def extract_feed_items(captures: DataFrame, source: str, as_of: Column, area: str = "",
-                       limit: int = FEED_ROWS) -> DataFrame:
-    """First items of each feed that name a date; ``limit`` is the source's own reading depth."""
-    rows = blocks(captures, "item").filter(F.col("pos") < limit)
+                       limit: int | None = None) -> DataFrame:
+    """Items of each feed that name a date; ``limit`` keeps the first ones only."""
+    rows = blocks(captures, "item")
+    rows = rows if limit is None else rows.filter(F.col("pos") < limit)
     x = F.col("xml")
     rows = compute_once(rows, titulo=strip_html(unescape(element(x, "title"))), fuente_url=element(x, "link"),
                         d=strip_html(unescape(element(x, "description"))))
@@ -46,8 +45,8 @@ def extract_feed_items(captures: DataFrame, source: str, as_of: Column, area: st
 
 
 def extract_sitemap_entries(captures: DataFrame, as_of: Column, url_part: str = "", origin: str = "sitemap",
-                            limit: int = SITEMAP_ROWS) -> DataFrame:
-    """source_id, entry_url, mark, publicado: the newest ``limit`` entries of each source.
+                            limit: int | None = None) -> DataFrame:
+    """source_id, entry_url, mark, publicado of every entry; ``limit`` keeps each source's newest ones.
 
     ``origin``: ``sitemap`` or ``rss``; a page listing goes through ``extract_links``.
     """
@@ -59,4 +58,4 @@ def extract_sitemap_entries(captures: DataFrame, as_of: Column, url_part: str =
     if url_part:
         rows = rows.filter(F.contains("entry_url", F.lit(url_part)))
     dated = rows.withColumn("publicado", parse_published(F.col("mark"), as_of))
-    return top_k(dated, ["source_id"], [F.col("publicado").desc_nulls_last(), F.col("seq")], limit)
+    return dated if limit is None else top_k(dated, ["source_id"], [F.col("publicado").desc_nulls_last(), F.col("seq")], limit)

@@ -9,7 +9,7 @@ from kermesse.functions.dates import parse_date_es
 from kermesse.functions.money import parse_price_clp
 from kermesse.functions.places import detect_area
 from kermesse.functions.text import summarise, unescape
-from kermesse.sources.captures import as_candidates
+from kermesse.sources.captures import as_candidates, order_number
 from kermesse.vocab.labels import MAX_PRICE_CLP
 
 # Default CSV column of each field.
@@ -46,7 +46,7 @@ def map_csv(rows: DataFrame, as_of: Column, columns: dict[str, str] | None = Non
     named = F.coalesce(*[F.when(c != "", c) for c in (col("fuente_nombre"), F.lit(source), stem)], F.lit(""))
     out = rows.select(
         F.col("seq") if "seq" in rows.columns else F.monotonically_increasing_id().alias("seq"),
-        F.substring(col("titulo"), 1, 200).alias("titulo"), col("categoria").alias("categoria"),
+        col("titulo").alias("titulo"), col("categoria").alias("categoria"),
         parse_date_es(when, as_of).alias("inicio"), parse_date_es(col("fin"), as_of).alias("fin"),
         col("lugar_nombre").alias("lugar_nombre"), detect_area(col("comuna"), col("lugar_nombre"), F.lit(area)).alias("comuna"),
         F.when(amount.between(1, MAX_PRICE_CLP), amount).alias("precio_clp"),
@@ -67,7 +67,7 @@ def read_curated_entries(files: DataFrame, as_of: Column, source: str = "Ingesta
     silent = F.try_variant_get("e", "$.precio_clp", "string").isNull() & free.isNull()
     rows = rows.filter((text("titulo") != "") & (text("fuente_url") != "")).withColumn("_s", said)
     return as_candidates(rows.select(
-        (F.col("seq") * 100_000 + F.col("pos")).alias("seq"), F.substring(text("titulo"), 1, 200).alias("titulo"),
+        order_number(F.col("seq"), F.col("pos")).alias("seq"), text("titulo").alias("titulo"),
         text("categoria").alias("categoria"), summarise(text("descripcion_corta")).alias("descripcion_corta"),
         parse_date_es(text("inicio"), as_of).alias("inicio"), parse_date_es(text("fin"), as_of).alias("fin"),
         text("lugar_nombre").alias("lugar_nombre"), text("lugar_direccion").alias("lugar_direccion"),

@@ -17,15 +17,13 @@ from kermesse.functions.text import (absolute_url, fold_text, is_machine_url, sq
                                      unescape)
 from kermesse.operators.columns import compute_once
 from kermesse.operators.skew import top_k
-from kermesse.sources.captures import as_candidates, meta_content, order_number, visible_text
+from kermesse.sources.captures import as_candidates, meta_content, nested, order_number, visible_text
 from kermesse.session import ship_package
 from kermesse.sources.json_items import raw_at
 from kermesse.vocab import calendar as cal
 from kermesse.vocab.labels import MAX_PRICE_CLP
 from kermesse.vocab.places import BOX_CITY_PAGE
 
-CARD_LIMIT, VENUE_LIMIT = 120, 40
-
 
 @dataclass(frozen=True)
 class PageSource:
@@ -92,7 +90,7 @@ def extract_jsonld_events(captures: DataFrame, src: PageSource, as_of: Column) -
     agenda = F.lit(src.agenda_url)
     url = F.when((url == "") & (agenda != "") & ~is_machine_url(agenda), agenda).otherwise(url)
     return as_candidates(rows.select(
-        order_number(F.col("captura"), F.col("doc") * 1000 + F.col("n")).alias("seq"),
+        order_number(F.col("captura"), nested(F.col("doc"), F.col("n"))).alias("seq"),
         strip_html(text("name")).alias("titulo"), summarise(text("description")).alias("descripcion_corta"),
         dates.parse_date_es(text("startDate"), as_of).alias("inicio"),
         dates.parse_date_es(text("endDate"), as_of).alias("fin"), F.lit(False).alias("todo_el_dia"),
@@ -185,7 +183,7 @@ _CARD_SCHEMA = ("captura bigint, pos int, href string, date_attr string, clases
                 + ", ".join(f"{p} string" for p in _CARD_PARTS))
 
 
-def card_parts(captures: DataFrame, src: PageSource, limit: int = CARD_LIMIT) -> DataFrame:
+def card_parts(captures: DataFrame, src: PageSource, limit: int | None = None) -> DataFrame:
     """Raw texts of each card; pages are parsed where they lie, one at a time."""
     parts = {"titulo": src.title or "h1,h2,h3,h4", "link": src.link or "a[href]", "fecha": src.date,
              "hora": src.hour, "categoria": src.category or "small", "lugar": src.place}
@@ -234,14 +232,14 @@ def extract_html_cards(captures: DataFrame, src: PageSource, as_of: Column) -> D
         here = F.array_contains("clases", css)
         room_place = F.when(here, F.lit(place)).otherwise(room_place)
         room_area = F.when(here, F.lit(area)).otherwise(room_area)
-    place = F.coalesce(F.when(c("lugar") != "", F.substring("lugar", 1, 120)), room_place, F.lit(src.source))
+    place = F.coalesce(F.when(c("lugar") != "", F.col("lugar")), room_place, F.lit(src.source))
     about = c("texto")
     for read_already in ("titulo", "lugar", "fecha"):
         about = F.when(c(read_already) != "", F.replace(about, c(read_already), F.lit(" "))).otherwise(about)
     rows = compute_once(rows, _about=squeeze(about), _p=parse_price_clp(c("texto")), _place=place, _area=room_area)
     href = absolute_url(c("href"), F.lit(src.base))
     cards_out = as_candidates(rows.select(
-        order_number(c("captura"), c("pos")).alias("seq"), "titulo", F.substring("categoria", 1, 40).alias("categoria"),
+        order_number(c("captura"), c("pos")).alias("seq"), "titulo", "categoria",
         F.when(F.length("_about") < 25, "").otherwise(summarise(c("_about"), 150, is_html=False)).alias("descripcion_corta"),
         "inicio", "fin", c("_place").alias("lugar_nombre"),
         detect_area(c("_area"), c("texto"), F.lit(src.area)).alias("comuna"), c("_p.price").alias("precio_clp"),
@@ -279,7 +277,7 @@ def extract_detail_page(entries: DataFrame, captures: DataFrame, src: PageSource
     """
     pages = captures.groupBy(F.col("url").alias("entry_url")).agg(
         F.min(F.struct("seq", "source_id", "body")).alias("p"))
-    opened = entries.select("entry_url", "publicado").dropDuplicates(["entry_url"]).join(pages, "entry_url").select(
+    opened = entries.groupBy("entry_url").agg(F.min("publicado").alias("publicado")).join(pages, "entry_url").select(
         F.col("entry_url").alias("url"), "publicado", "p.seq", "p.source_id", "p.body")
     structured = extract_jsonld_events(opened, src, as_of).filter("inicio is not null")
     number = lambda k: F.regexp_extract("body", rf'"?{k}\\?"?\s*:\s*\\?"?(-?\d+\.\d{{3,}})', 1).try_cast("double")
@@ -295,13 +293,13 @@ def extract_detail_page(entries: DataFrame, captures: DataFrame, src: PageSource
     head = strip_html(F.regexp_extract("body", r"(?is)<title[^>]*>(.*?)</title>", 1))
     rows = compute_once(plain, _t=F.when(og != "", og).otherwise(head), _x=visible_text(F.col("body"))).filter("_t != ''")
     rows = compute_once(rows, _d=dates.parse_date_es(F.col("_x"), as_of, F.col("publicado")), _p=parse_price_clp(F.col("_x")))
-    closing = dates.parse_date_es(F.regexp_extract("_x", r"(?iu)\bhasta\s+(?:el\s+)?([^,.;]{0,40})", 1), as_of, F.col("publicado"))
+    closing = dates.parse_date_es(F.regexp_extract("_x", r"(?iu)\bhasta\s+(?:el\s+)?([^,.;]*)", 1), as_of, F.col("publicado"))
     rows = compute_once(rows, _lone=F.coalesce(closing.cast("date") == F.col("_d").cast("date"), F.lit(False))
                         & F.col("publicado").isNotNull())
     lone = F.col("_lone")
     title = F.trim(F.substring_index(F.substring_index("_t", "|", 1), " - ", 1))
     text_rows = as_candidates(rows.filter("_d is not null").select(
-        order_number(F.col("seq"), F.lit(0)).alias("seq"), F.substring(title, 1, 120).alias("titulo"),
+        order_number(F.col("seq"), F.lit(0)).alias("seq"), title.alias("titulo"),
         summarise(F.col("_x"), 180, is_html=False).alias("descripcion_corta"),
         F.when(lone, F.col("publicado").cast("date").cast("timestamp_ntz")).otherwise(F.col("_d")).alias("inicio"),
         F.when(lone, F.col("_d")).alias("fin"), F.lit(src.source).alias("lugar_nombre"),
@@ -316,11 +314,11 @@ def extract_detail_page(entries: DataFrame, captures: DataFrame, src: PageSource
 
 def extract_two_level_listing(index: DataFrame, venues: DataFrame, src: PageSource, as_of: Column,
                               venue_part: str = "/cartelera/", event_part: str = "/evento/",
-                              extra: tuple[str, ...] = (), limit: int = VENUE_LIMIT) -> DataFrame:
-    """Index page -> venue pages -> event anchors, each event address once."""
+                              extra: tuple[str, ...] = (), limit: int | None = None) -> DataFrame:
+    """Index page -> venue pages -> event anchors, each event address once; ``limit`` keeps a source's first venues."""
     base = F.lit(src.base)
     links = extract_links(index, base, venue_part, shallow_ok=True)
-    chosen = top_k(links, ["source_id"], [F.col("captura"), F.col("pos")], limit).select("source_id", "link")
+    chosen = (links if limit is None else top_k(links, ["source_id"], [F.col("captura"), F.col("pos")], limit)).select("source_id", "link")
     if extra:
         more = index.select("source_id").distinct().withColumn("link", F.explode(F.array(*[F.lit(
             e if e.startswith("http") else f"{src.base.rstrip('/')}{venue_part}{e}") for e in extra])))
@@ -350,7 +348,7 @@ def extract_two_level_listing(index: DataFrame, venues: DataFrame, src: PageSour
         "seq": order_number(F.col("seq"), F.col("pos")), "_p": parse_price_clp(F.col("_where"))})
     place = F.trim(F.substring_index("_where", ",", 1))
     out = rows.select(
-        "seq", F.substring("titulo", 1, 200).alias("titulo"), "inicio",
+        "seq", "titulo", "inicio",
         F.when(place != "", place).otherwise(F.lit(src.source)).alias("lugar_nombre"),
         detect_area(F.col("_where"), F.lit(src.area)).alias("comuna"), F.col("_p.price").alias("precio_clp"),
         F.col("_p.free").alias("es_gratis"), F.col("_p.note").alias("precio_texto"),
@@ -388,8 +386,8 @@ def extract_cinema_week(captures: DataFrame, src: PageSource, as_of: Column, add
     shows = shows.withColumn("titulo", F.regexp_replace(squeeze(part(3)), r"^[ .\-–—]+|[ .\-–—]+$", ""))
     shows = shows.filter((F.col("titulo") != "") & (hh <= 23) & (mm <= 59)).withColumn("_p", parse_price_clp(F.col("titulo")))
     return as_candidates(shows.select(
-        order_number(F.col("captura"), F.col("sec") * 1000 + F.col("k")).alias("seq"),
-        F.substring("titulo", 1, 200).alias("titulo"), F.lit(category).alias("categoria"),
+        order_number(F.col("captura"), nested(F.col("sec"), F.col("k"))).alias("seq"),
+        "titulo", F.lit(category).alias("categoria"),
         dates.at_time(F.col("fecha"), F.concat_ws(":", F.lpad(part(1), 2, "0"), part(2))).alias("inicio"),
         F.lit(src.source).alias("lugar_nombre"), F.lit(address).alias("lugar_direccion"),
         detect_area(F.lit(src.area), F.lit(address)).alias("comuna"), F.col("_p.price").alias("precio_clp"),
@@ -449,9 +447,9 @@ def extract_workshop_tables(captures: DataFrame, src: PageSource, as_of: Column,
     rows = rows.withColumns({
         "_addr": F.min(F.when(above & (labelled != ""), F.struct("fila", F.regexp_replace(
             squeeze(labelled), r"^[ .]+|[ .]+$", "").alias("v")))).over(w)["v"],
-        "_name": F.min(F.when(loose, F.struct("fila", F.substring(line, 1, 120).alias("v")))).over(w)})
+        "_name": F.min(F.when(loose, F.struct("fila", line.alias("v")))).over(w)})
     rows = rows.withColumn("_addr2", F.min(F.when(loose & (F.col("fila") > F.col("_name.fila")) & line.rlike(
-        LOOKS_LIKE_ADDRESS), F.struct("fila", F.substring(line, 1, 120).alias("v")))).over(w)["v"])
+        LOOKS_LIKE_ADDRESS), F.struct("fila", line.alias("v")))).over(w)["v"])
     body = rows.filter((F.col("fila") > F.col("_head")) & (F.size("celdas") >= 2))
     cell = lambda f: F.coalesce(F.get("celdas", (F.array_position("_map", f) - 1).cast("int")), F.lit(""))
     room, address = F.coalesce("_name.v", F.lit("")), F.coalesce("_addr", "_addr2", F.lit(""))
@@ -471,8 +469,8 @@ def extract_workshop_tables(captures: DataFrame, src: PageSource, as_of: Column,
     none = F.lit(None).cast("date")
     return as_candidates(body.select("*", F.posexplode(dates.future_sessions(
         F.col("dias"), F.col("_hhmm"), none, none, as_of, horizon)).alias("k", "inicio")).select(
-        order_number(F.col("captura"), F.col("tabla") * 1000 + F.col("fila"), F.col("k")).alias("seq"), "titulo",
-        F.lit(category).alias("categoria"), F.substring("_detail", 1, 200).alias("descripcion_corta"), "inicio",
+        order_number(F.col("captura"), nested(F.col("tabla"), F.col("fila")), F.col("k")).alias("seq"), "titulo",
+        F.lit(category).alias("categoria"), F.col("_detail").alias("descripcion_corta"), "inicio",
         F.when(F.col("_place") != "", F.col("_place")).otherwise(F.lit(src.source)).alias("lugar_nombre"),
         F.col("direccion").alias("lugar_direccion"),
         detect_area(F.lit(src.area), F.col("_com"), F.col("direccion"), F.col("_place")).alias("comuna"),

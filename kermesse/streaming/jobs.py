@@ -2,67 +2,91 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kermesse.functions.text import url_host
-from kermesse.operators.collapse import series_key
+from kermesse.operators.collapse import collapse_multiday
+from kermesse.operators.review import failure_runs
 from kermesse.operators.store import upsert_events
-from kermesse.schemas import STORE, names
-from kermesse.session import ship_package
-from kermesse.vocab.calendar import MAX_SEASON_GAP_DAYS
+from kermesse.schemas import CANDIDATE, STORE, names
+
+DONE = "n bigint, origen string, lote bigint"
+
+
+def _if_written(read) -> DataFrame | None:
+    """What ``read`` returns, or None where nothing was written yet; any other error is raised."""
+    try:
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _finished(spark: SparkSession, path: str) -> DataFrame | None:
+    return _if_written(lambda: spark.read.schema(DONE).parquet(f"{path}/_done"))
 
 
 def stream_upsert(candidates: DataFrame, path: str, checkpoint: str, now: Column):
     """Upsert each micro-batch into the snapshot at ``path``; the pointer moves last.
 
-    Snapshots are numbered by batch, so a replayed batch rewrites its own number and a lost
-    executor or a restart never leaves a half-written table in use.
+    Snapshots are numbered on from the newest finished one, whatever query wrote it, and each names the query (its
+    checkpoint) and micro-batch it holds. A replayed batch is skipped; one that was not finished is written again under its
+    number. So neither a restart, a lost executor nor a new checkpoint leaves a half-written table or loses rows.
     """
     spark = candidates.sparkSession
 
-    def write(batch: DataFrame, number: int) -> None:
-        store = read_snapshot(spark, path, before=number)
-        fresh = upsert_events(store, batch, now).drop("resultado")
+    def write(batch: DataFrame, lot: int) -> None:
+        done = _finished(spark, path)
+        newest = None
+        if done is not None:
+            newest = done.agg(F.max("n")).first()[0]
+            if not done.filter((F.col("origen") == checkpoint) & (F.col("lote") == lot)).isEmpty():
+                return
+        number = 0 if newest is None else newest + 1
+        fresh = upsert_events(read_snapshot(spark, path), batch, now).drop("resultado")
         fresh.write.mode("overwrite").parquet(f"{path}/snapshot={number:010d}")
-        spark.range(1).select(F.lit(number).cast("bigint").alias("n")).coalesce(1).write.mode("append").parquet(f"{path}/_done")
+        spark.range(1).select(F.lit(number).cast("bigint").alias("n"), F.lit(checkpoint).alias("origen"),
+                              F.lit(lot).cast("bigint").alias("lote")).coalesce(1).write.mode("append").parquet(f"{path}/_done")
 
     return (candidates.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
-def read_snapshot(spark, path: str, before: int | None = None) -> DataFrame:
-    """The newest finished snapshot, or an empty store."""
-    from pyspark.errors import AnalysisException
-    try:
-        done = spark.read.parquet(f"{path}/_done")
-        if before is not None:
-            done = done.filter(F.col("n") < before)
-        newest = done.agg(F.max("n").alias("n")).first()["n"]
-    except AnalysisException:
-        newest = None
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The newest finished snapshot, or an empty store where nothing was written yet."""
+    done = _finished(spark, path)
+    newest = None if done is None else done.agg(F.max("n")).first()[0]
     if newest is None:
         return spark.createDataFrame([], STORE)
     return spark.read.schema(STORE).parquet(f"{path}/snapshot={newest:010d}").select(*names(STORE))
 
 
-def stream_collapse(candidates: DataFrame, lateness: str = "1 day", gap_days: int = MAX_SEASON_GAP_DAYS) -> DataFrame:
-    """Seasons as session windows; one is emitted once the watermark passes its gap.
+def stream_log(rows: DataFrame, path: str, checkpoint: str):
+    """Append each micro-batch to the log at ``path`` once: a replayed batch rewrites its own folder."""
+    origin = F.lit(checkpoint)
 
-    The session timeout opens a new window when the gap equals it exactly, so the window is
-    one second longer than the tolerated gap of whole days.
-    """
-    day = F.col("inicio").cast("date").cast("timestamp")
-    dated = candidates.filter(F.col("inicio").isNotNull()).withColumns({"_serie": series_key(), "_dia": day})
-    window = F.session_window("_dia", f"{gap_days * 86400 + 1} seconds")
-    return dated.withWatermark("_dia", lateness).groupBy("_serie", window).agg(
-        F.min(F.struct("inicio", "seq", "titulo", "lugar_nombre")).alias("f"),
-        F.max(F.struct("inicio", "seq", F.coalesce("fin", "inicio").alias("fin"), F.col("fin").alias("own")))
-        .alias("l"), F.count(F.lit(1)).alias("sesiones")).select(
-        "_serie", "f.titulo", "f.lugar_nombre", "f.inicio",
-        F.when(F.col("sesiones") > 1, F.col("l.fin")).otherwise(F.col("l.own")).alias("fin"), "sesiones")
+    def write(batch: DataFrame, lot: int) -> None:
+        name = batch.sparkSession.range(1).select(F.hex(F.xxhash64(origin))).first()[0]
+        batch.write.mode("overwrite").parquet(f"{path}/origen=q{name}/lote={lot:010d}")
+
+    return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    found = _if_written(lambda: spark.read.schema(schema).parquet(path))
+    return spark.createDataFrame([], schema) if found is None else found.select(*names(schema))
+
+
+def stream_collapse(candidates: DataFrame, path: str, checkpoint: str):
+    """Log candidate rows as they come; ``read_seasons`` collapses all of them, undated rows and open seasons too."""
+    return stream_log(candidates, path, checkpoint)
+
+
+def read_seasons(spark: SparkSession, path: str) -> DataFrame:
+    return collapse_multiday(read_log(spark, path, CANDIDATE))
 
 
 def stream_dedup(rows: DataFrame, time: str = "ts", lateness: str = "1 day", keys: tuple[str, ...] = ("endpoint", "id_externo")) -> DataFrame:
@@ -70,22 +94,15 @@ def stream_dedup(rows: DataFrame, time: str = "ts", lateness: str = "1 day", key
     return rows.withWatermark(time, lateness).dropDuplicatesWithinWatermark(list(keys))
 
 
-def circuit_update(key, batches: Iterator, state) -> Iterator:
-    """Count consecutive failures of a host; any success closes the circuit."""
-    import pandas as pd
-    streak, worst = state.get if state.exists else (0, 0)
-    for pdf in batches:
-        for ok in pdf.sort_values(["ts", "seq"])["ok"]:
-            streak = 0 if ok else streak + 1
-            worst = max(worst, streak)
-    state.update((int(streak), int(worst)))
-    yield pd.DataFrame([(key[0], int(streak), int(worst))], columns=["host", "racha", "peor"])
-
-
-def stream_circuit(fetches: DataFrame, limit: int = 3) -> DataFrame:
-    """host, racha, peor, abierto after each micro-batch."""
-    ship_package(fetches.sparkSession)
-    keyed = fetches.withColumn("host", url_host(F.col("url"))) if "host" not in fetches.columns else fetches
-    out = keyed.groupBy("host").applyInPandasWithState(
-        circuit_update, "host string, racha int, peor int", "racha int, peor int", "update", "NoTimeout")
-    return out.withColumn("abierto", F.col("racha") >= limit)
+FETCH = "host string, ts timestamp_ntz, seq bigint, ok boolean"
+
+
+def stream_circuit(fetches: DataFrame, path: str, checkpoint: str):
+    """Log the outcome of fetches (``host`` or ``url``, ``ts``, ``seq``, ``ok``) as they come, late rows too."""
+    keyed = fetches if "host" in fetches.columns else fetches.withColumn("host", url_host(F.col("url")))
+    return stream_log(keyed.select("host", F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("seq").cast("bigint").alias("seq"), "ok"), path, checkpoint)
+
+
+def read_circuit(spark: SparkSession, path: str, limit: int = 3) -> DataFrame:
+    """host, racha, peor, abierto by the order of ``ts`` and ``seq``, whatever order the rows came in."""
+    return failure_runs(read_log(spark, path, FETCH)).select("host", "racha", "peor", (F.col("racha") >= limit).alias("abierto"))

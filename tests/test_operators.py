@@ -208,3 +208,43 @@ def test_publish_splits_exactly(spark, sf):
     rows = store.split_formats(inputs.published(spark, sf).withColumn("dias_semana", F.lit(None).cast("array<int>")))
     n = {r.formato: r["count"] for r in rows.groupBy("formato").count().collect()}
     assert set(n) == {"taller", "panorama"} and sum(n.values()) == rows.count()
+
+
+def test_state_survives_expiry_upsert_and_revival(spark, sf):
+    from kermesse.bindings import inputs
+    from kermesse.operators import store as st
+    rows = inputs.store_rows(spark, sf).limit(40)
+    states = ["borrador", "publicado", "descartado", "revisar_fecha", "caducado"]
+    rows = rows.withColumn("estado", F.element_at(F.array(*[F.lit(x) for x in states]), F.pmod(F.xxhash64("hash_dedup"), F.lit(5)).cast("int") + 1)).cache()
+    ended = st.expire_past(rows, F.lit("2030-01-01").cast("date"))
+    again = st.upsert_events(ended, inputs.candidates(spark, sf).limit(0), inputs.now()).drop("resultado")
+    back = st.revive_current(again, F.lit("2000-01-01").cast("date"))
+    want = {r.hash_dedup: "borrador" if r.estado == "caducado" else r.estado for r in rows.collect()}
+    assert {r.hash_dedup: r.estado for r in back.collect()} == want
+    assert back.filter("estado_previo is not null").count() == 0
+
+
+def test_reconcile_needs_address_title_and_place(spark):
+    from kermesse.operators import store as st
+    rows = [(1, "u", "Feria", "Plaza", "2024-01-01 10:00:00", "borrador"), (2, "u", "feria", "plaza", None, "revisar_fecha"),
+            (3, "", "Feria", "Plaza", None, "revisar_fecha"), (4, "u", "Otra", "Plaza", None, "revisar_fecha"), (5, None, "x", None, None, "revisar_fecha")]
+    df = spark.createDataFrame(rows, "id int, fuente_url string, titulo string, lugar_nombre string, inicio string, estado string")
+    assert {r.id for r in st.reconcile_dated(df).collect()} == {1, 3, 4, 5}
+
+
+def test_address_with_many_numbers_resolves(spark):
+    from kermesse.functions.places import address_candidates
+    r = spark.range(1).select(address_candidates(F.lit("Avenida Macul 100 local 1 piso 2 torre 3 sector 4 block 5, a, b, c, Calle 9")).alias("c")).first()
+    assert ("macul", 100) in {(x.street, x.number) for x in r.c} or any(x.number == 100 for x in r.c)
+
+
+def test_session_range_over_three_years(spark):
+    from kermesse.functions.dates import session_range
+    r = spark.range(1).select(session_range(F.array(*[F.lit(i) for i in range(7)]), F.lit("2024-01-01"), F.lit("2026-12-31"), F.lit("20:00")).alias("s")).first()
+    assert (str(r.s.first), str(r.s.last)) == ("2024-01-01 20:00:00", "2026-12-31 20:00:00")
+
+
+def test_order_numbers_do_not_meet(spark):
+    from kermesse.sources.captures import nested, order_number
+    a, b = spark.range(1).select(order_number(F.lit(7), nested(F.lit(0), F.lit(1000))), order_number(F.lit(7), nested(F.lit(1), F.lit(0)))).first()
+    assert a < b

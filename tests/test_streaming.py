@@ -1,22 +1,57 @@
 """Streaming twins agree with their batch operators."""
 
+import datetime
+
+from pyspark.sql import functions as F
+
 from kermesse.bindings import inputs, streams
 from kermesse.bindings.tables import stamp
-from kermesse.operators import collapse
+from kermesse.operators import collapse, review
+from kermesse.streaming import jobs
 
 
 def test_stream_seasons_are_batch_seasons(spark, sf):
-    streamed = {tuple(r) for r in streams.s02(spark, sf).drop("sesiones").collect()}
-    batch = {tuple(r) for r in collapse.collapse_multiday(inputs.candidates(spark, sf)).select(
-        "titulo", "lugar_nombre", stamp("inicio"), stamp("fin")).collect()}
-    assert streamed and streamed <= batch
+    rows = lambda df: {tuple(r) for r in df.select("seq", stamp("inicio"), stamp("fin")).collect()}
+    assert {(r.seq, r.inicio, r.fin) for r in streams.s02(spark, sf).collect()} == rows(collapse.collapse_multiday(inputs.candidates(spark, sf)))
 
 
-def test_replayed_batch_changes_nothing(spark, sf, tmp_path):
-    from kermesse.streaming import jobs
+def test_replayed_rows_change_nothing(spark, sf, tmp_path):
     rows = streams._candidates(spark, sf)
     for ck in ("a", "b"):
         jobs.stream_upsert(rows, str(tmp_path / "store"), str(tmp_path / ck), inputs.now()).awaitTermination()
     once = streams.s01(spark, sf)
     again = jobs.read_snapshot(spark, str(tmp_path / "store"))
     assert again.count() == once.count()
+
+
+def test_new_checkpoint_keeps_the_store(spark, sf, tmp_path):
+    rows = streams._candidates(spark, sf)
+    store = str(tmp_path / "store")
+    for ck, part in (("a", "seq % 2 = 0"), ("b", "seq % 2 = 1"), ("c", "seq % 2 = 1 and seq % 3 = 0")):
+        jobs.stream_upsert(rows.filter(part), store, str(tmp_path / ck), inputs.now()).awaitTermination()
+    assert jobs.read_snapshot(spark, store).select("hash_dedup").distinct().count() == streams.s01(spark, sf).count()
+
+
+def test_circuit_takes_shuffled_micro_batches(spark, sf, tmp_path):
+    fetches = (spark.read.parquet(f"{sf}/events.parquet")
+               .selectExpr("event_type AS host", "cast(ts AS timestamp_ntz) AS ts", "event_id AS seq", "user_id % 3 = 0 AS ok"))
+    src = str(tmp_path / "in")
+    fetches.orderBy(F.xxhash64("seq")).repartition(7).write.parquet(src)
+    stream = spark.readStream.schema(fetches.schema).option("maxFilesPerTrigger", 2).parquet(src)
+    jobs.stream_circuit(stream, str(tmp_path / "log"), str(tmp_path / "ck")).awaitTermination()
+    got = {tuple(r) for r in jobs.read_circuit(spark, str(tmp_path / "log")).collect()}
+    want = {}
+    for r in sorted(fetches.collect(), key=lambda r: (r.ts, r.seq)):
+        run, worst = want.get(r.host, (0, 0))
+        run = 0 if r.ok else run + 1
+        want[r.host] = (run, max(worst, run))
+    assert got == {(h, run, worst, run >= 3) for h, (run, worst) in want.items()}
+
+
+def test_failure_runs_small_cases(spark):
+    t = datetime.datetime(2024, 1, 1)
+    for pattern in ("f", "o", "ff", "fo", "of", "offo", "ffoff", "fffffo", "offffff"):
+        rows = [("h", t + datetime.timedelta(minutes=40 * i), i, c == "o") for i, c in enumerate(pattern)]
+        r = review.failure_runs(spark.createDataFrame(rows, "host string, ts timestamp_ntz, seq long, ok boolean")).first()
+        runs = pattern.split("o")
+        assert (r.peor, r.racha) == (max(map(len, runs)), len(runs[-1])), pattern
