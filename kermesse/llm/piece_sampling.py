@@ -18,8 +18,8 @@ from kermesse.llm.common import python_ready, slices
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Exponent of a piece's probability: 0 samples all segmentations alike, large values the likeliest one.
 ALPHA, SEED = 1.0, 17
-#: Lattices that a task remembers at a time.
-REMEMBERED = 200_000
+#: Lattices that a task remembers at a time, and that it filters at a time.
+REMEMBERED, LEARNT = 100_000, 10_000
 #: Fixed values of the model's format: the mark of a blank, and the name of a byte piece.
 BLANK, BYTE = "▁", re.compile(r"<0x([0-9A-F]{2})>")
 
@@ -180,8 +180,9 @@ class Sampler:
         flat = [p for own in split for p in own]
         if not flat:
             return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
-        if new := [p for p in dict.fromkeys(flat) if p not in self.known]:
-            self.learn(new)
+        new = [p for p in dict.fromkeys(flat) if p not in self.known]
+        for at in range(0, len(new), LEARNT):
+            self.learn(new[at:at + LEARNT])
         part = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
         first, last, key, ids, start = self.first, self.last, self.key, self.id, self.start
         ordinal = np.arange(len(part)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -226,7 +227,7 @@ def encode(docs: DataFrame, pieces: Pieces | None = None, alpha: float = ALPHA,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(pieces, alpha, seed)
-        for b in slices(batches, 4):
+        for b in slices(batches, 1):
             texts = b.column("text").to_pylist()
             keys = np.array([k or 0 for k in b.column("doc_id").to_pylist()], np.int64)
             ids, counts = sampler.sample(texts, keys)
