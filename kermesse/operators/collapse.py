@@ -103,7 +103,7 @@ def collapse_weekly_series(published: DataFrame, minimum: int = 3) -> DataFrame:
         F.bool_or(F.col("fin").isNotNull()).alias("_ended"),
         F.array_sort(F.collect_set(F.weekday(F.col("inicio").cast("date")))).alias("_days"),
         F.min(F.struct("inicio", "seq"))["seq"].alias("_first"))
-    marked = lookup(dated, groups, keys, ["seq"])
+    marked = lookup(dated, groups, keys)
     series = (F.col("_n") >= minimum) & ~F.col("_ended")
     card = marked.filter(~series | (F.col("seq") == F.col("_first")))
     out = card.select(*[
@@ -125,7 +125,7 @@ def degrade_shared_pins(published: DataFrame) -> DataFrame:
     shared = (rows.filter(pin).groupBy("_la", "_lo")
               .agg(F.min("lugar").alias("a"), F.max("lugar").alias("b"))
               .filter(F.col("a") != F.col("b")).select("_la", "_lo", F.lit(True).alias("_shared")))
-    out = lookup(rows, shared, ["_la", "_lo"], ["seq"])
+    out = lookup(rows, shared, ["_la", "_lo"])
     return out.withColumn("precision", F.when(pin & F.col("_shared"), F.lit("comuna"))
                           .otherwise(F.col("precision"))).select(*published.columns)
 
@@ -134,6 +134,6 @@ def mark_recurrent(published: DataFrame, more_than: int = 3) -> DataFrame:
     """Adds ``recurrente``: the base title repeats, or the title carries a day pattern."""
     rows = published.withColumn("_base", text.title_base(F.col("titulo")))
     counts = rows.groupBy("_base").agg((F.count(F.lit(1)) > more_than).alias("_many"))
-    out = lookup(rows, counts, ["_base"], ["seq"])
+    out = lookup(rows, counts, ["_base"])
     return out.withColumn("recurrente", F.coalesce(F.col("_many"), F.lit(False))
                           | F.coalesce(F.col("titulo"), F.lit("")).rlike(DAY_PATTERN)).drop("_base", "_many")

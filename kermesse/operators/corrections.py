@@ -80,7 +80,7 @@ def overlay_place_corrections(events: DataFrame, places: DataFrame) -> DataFrame
     fields = [c for c in clean.columns if c not in ("clave", "file_order", "nota")]
     fixes = found.select("k", "clave").join(clean, "clave").select(
         F.col("k").alias("_k"), *[F.col(c).alias(f"p_{c}") for c in fields])
-    joined = lookup(base, fixes, ["_k"], ["id"])
+    joined = lookup(base, fixes, ["_k"])
     return _overlay(joined, "p_", EVENT_FIELDS, fields).select(*base.drop("_k").columns)
 
 
@@ -102,9 +102,7 @@ def overlay_merchant_corrections(offers: DataFrame, fixes: DataFrame) -> DataFra
     fields = [c for c in clean.columns if c not in ("clave", "nota")]
     base = offers.withColumns({"clave": fold_text(F.col("comercio"), "squeeze"),
                                "tocados": F.array().cast("array<string>")})
-    joined = lookup(base, clean.select("clave", *[F.col(c).alias(f"m_{c}") for c in fields]), ["clave"],
-                    ["banco_id", "comercio", "direccion", "seq"] if "seq" in offers.columns
-                    else ["banco_id", "comercio", "direccion", "condiciones"])
+    joined = lookup(base, clean.select("clave", *[F.col(c).alias(f"m_{c}") for c in fields]), ["clave"])
     no_address = F.coalesce(F.col("direccion"), F.lit("")) == ""
     site = F.when((F.coalesce(F.col("sitio_web"), F.lit("")) == "")
                   & (F.coalesce(F.col("m_sitio_web"), F.lit("")) != ""), F.col("m_sitio_web")) \

@@ -53,7 +53,7 @@ def gate(df: DataFrame, config: DataFrame, as_of: Column) -> DataFrame:
     descartar_palabras.
     """
     joined = lookup(df, config.select("fuente_nombre", "requiere_comuna", "filtro_palabras",
-                                      "descartar_palabras"), ["fuente_nombre"], ["seq"])
+                                      "descartar_palabras"), ["fuente_nombre"])
     no_area = F.coalesce(F.col("requiere_comuna"), F.lit(False)) & (
         F.coalesce(F.col("comuna"), F.lit("")) == "")
     motivo = F.coalesce(reject_reason(as_of), F.when(no_area, F.lit("sin comuna")),
@@ -81,7 +81,7 @@ def exclude_merchants(offers: DataFrame, excluded: DataFrame) -> DataFrame:
     key = F.lower(F.trim(F.col("comercio")))
     listed = excluded.select("banco_id", key.alias("_k")).distinct().withColumn("_out", F.lit(True))
     named = offers.filter(F.coalesce(F.col("comercio"), F.lit("")) != "").withColumn("_k", key)
-    return lookup(named, listed, ["banco_id", "_k"], ["seq"]).filter("_out is null").select(*offers.columns)
+    return lookup(named, listed, ["banco_id", "_k"]).filter("_out is null").select(*offers.columns)
 
 
 def null_half_coordinate(df: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from kermesse.functions.places import (address_candidates, area_centre, area_hint, match_known_venue,
                                        nearest_area, normalise_street, planar_km)
 from kermesse.functions.text import fold_text
-from kermesse.operators.skew import lookup
+from kermesse.operators.skew import best_row, lookup
 from kermesse.vocab import places as v
 
 NEAR_NUMBER = 250
@@ -155,7 +155,8 @@ def query_text(address: Column, place: Column, area: Column) -> Column:
 
 def reuse_resolutions(queries: DataFrame, prior: DataFrame) -> DataFrame:
     """qid, lat, lon from ``prior(consulta, lat, lon)``; stored failures are ignored."""
-    known = prior.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).dropDuplicates(["consulta"])
+    known = best_row(prior.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select("consulta", "lat", "lon"),
+                     ["consulta"], [F.col("lat"), F.col("lon")])
     asked = queries.withColumn("consulta", query_text(F.col("direccion"), F.col("lugar"), F.col("comuna")))
     return asked.join(known, "consulta").select("qid", "lat", "lon")
 
@@ -201,7 +202,7 @@ def geocode(df: DataFrame, addresses: DataFrame, places: DataFrame, prior: DataF
         "qid", F.sha2(F.concat_ws("\u0001", text("lugar"), text("direccion"), text("comuna")), 256))
     answers = geocode_queries(distinct_queries(df.filter(F.col("lat").isNull())), addresses, places, prior)
     got = lookup(need, answers.select("qid", F.col("lat").alias("_la"), F.col("lon").alias("_lo"),
-                                      F.col("precision").alias("_p")), ["qid"], list(id_cols))
+                                      F.col("precision").alias("_p")), ["qid"])
     filled = got.withColumns({"lat": F.col("_la"), "lon": F.col("_lo"), "precision": F.when(
         F.col("_la").isNull(), "sin_ubicar").otherwise(F.col("_p"))})
     return filled.select(*df.columns).unionByName(df.filter(F.col("lat").isNotNull()))
@@ -216,7 +217,7 @@ def override_contradicting_coords(df: DataFrame, addresses: DataFrame, km: float
     queries = keyed.filter(both).select("qid", "direccion", "comuna").dropDuplicates(["qid"])
     real = resolve_addresses(queries, addresses).select(
         "qid", F.col("best.lat").alias("_la"), F.col("best.lon").alias("_lo"))
-    out = lookup(keyed, real, ["qid"], ["id"])
+    out = lookup(keyed, real, ["qid"])
     far = F.coalesce(planar_km(F.col("lat"), F.col("lon"), F.col("_la"), F.col("_lo")) > km, F.lit(False))
     return out.withColumns({
         "lat": F.when(far, F.col("_la")).otherwise(F.col("lat")),

@@ -38,7 +38,7 @@ def lend_addresses(offers: DataFrame) -> DataFrame:
     keyed = offers.withColumn("_k", merchant_key(F.col("comercio")))
     donors = keyed.filter(has).groupBy("_k").agg(
         F.min(F.struct("seq", "direccion", "comuna", "lat", "lon", "banco")).alias("_d"))
-    out = lookup(keyed, donors, ["_k"], ["seq"])
+    out = lookup(keyed, donors, ["_k"])
     borrow = (F.coalesce("direccion", F.lit("")) == "") & F.col("_d").isNotNull()
     no_pin = borrow & F.col("lat").isNull()
     changed = {

@@ -178,12 +178,12 @@ def rank_diverse(scored: DataFrame) -> DataFrame:
     while not state.isEmpty():
         open_keys = state.select("perfil", "r", F.explode("keys").alias("key"))
         leads = open_keys.groupBy("perfil", "key").agg(F.min("r").alias("lead"))
-        met = stage(lookup(open_keys, leads, ["perfil", "key"], ["r"]))
+        met = stage(lookup(open_keys, leads, ["perfil", "key"]))
         kept = met.groupBy("perfil", "r").agg(F.bool_and(F.col("r") == F.col("lead")).alias("k")
                                               ).filter("k").select("perfil", "r")
         chosen = kept if chosen is None else chosen.unionByName(kept)
         beaten = kept.select("perfil", F.col("r").alias("lead"), F.lit(True).alias("_beaten"))
-        state = stage(lookup(met, beaten, ["perfil", "lead"], ["r", "key"]).groupBy("perfil", "r").agg(
+        state = stage(lookup(met, beaten, ["perfil", "lead"]).groupBy("perfil", "r").agg(
             F.collect_set("key").alias("keys"), F.bool_or(F.col("_beaten").isNotNull()).alias("gone")
         ).filter("not gone").select("perfil", "keys", "r"))
     if chosen is None:

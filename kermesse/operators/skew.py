@@ -8,19 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-DEFAULT_SALTS = 16
 
+def lookup(big: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join ``big`` to ``dim`` (one row per key).
 
-def lookup(big: DataFrame, dim: DataFrame, on: Sequence[str], salt_on: Sequence[str],
-           salts: int = DEFAULT_SALTS, how: str = "left") -> DataFrame:
-    """Join ``big`` to ``dim`` (one row per key) with each key spread over ``salts`` tasks.
-
-    The salt is a hash of ``salt_on`` (a row identity), so a re-run places rows alike.
-    AQE still turns this into a broadcast join when ``dim`` proves small at run time.
+    The looked-up side is shuffled once, whatever its size. Adaptive execution splits the partitions of a hot key at
+    run time and copies only that key's row, and turns the join into a broadcast when ``dim`` proves small.
     """
-    left = big.withColumn("_salt", F.pmod(F.xxhash64(*salt_on), F.lit(salts)).cast("int"))
-    right = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    return big.join(dim, list(on), how)
 
 
 def best_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column], largest: bool = False) -> DataFrame:

@@ -23,7 +23,7 @@ def daily_run(store: DataFrame, candidates: DataFrame, config: DataFrame, as_of:
     the two steps all of them read; leave it off when only one of them is wanted.
     """
     flagged = lookup(candidates, config.select("fuente_nombre", F.coalesce("colapsar", F.lit(True)).alias("_junta")),
-                     ["fuente_nombre"], ["seq"])
+                     ["fuente_nombre"])
     joins = F.coalesce("_junta", F.lit(True))
     kept_apart = flagged.filter(~joins).drop("_junta")
     collapsed = collapse_multiday(flagged.filter(joins).drop("_junta"))

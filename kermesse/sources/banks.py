@@ -124,8 +124,7 @@ def offers_with_amounts(captures: DataFrame, bank: Issuer, amounts: DataFrame) -
     assets = assets.filter("asset != ''").groupBy("asset").agg(F.min("file").alias("file"))
     rows = rows.withColumns({"permalink": f("permalink"), "asset": f("imageApp.sys.id"), "text": F.concat_ws(
         " · ", f("subtituloCajaV2"), f("descripcionCortaApp"), f("nombreBeneficio"))})
-    spot = ["captura", "pos"]
-    rows = lookup(lookup(rows, money, ["permalink"], spot), assets, ["asset"], spot)
+    rows = lookup(lookup(rows, money, ["permalink"]), assets, ["asset"])
     monto, file = F.coalesce("monto", F.lit("")), F.coalesce("file", F.lit(""))
     return offer_rows(_issuer(rows.select(
         order_number(c("captura"), c("pos")).alias("seq"),
@@ -157,7 +156,7 @@ def offers_manual_capture(captures: DataFrame, bank: Issuer) -> DataFrame:
     return offer_rows(_issuer(rows.select(
         order_number(c("captura"), c("pos")).alias("seq"), "comercio", t("categoria").alias("categoria"),
         t("direccion").alias("direccion"), t("comuna").alias("comuna"), t("sitio_web").alias("sitio_web"),
-        F.array_join(regions, " · ").alias("region"), t("logo").alias("logo"),
+        F.when(F.size(regions) <= 3, F.array_join(regions, " · ")).otherwise("Todo Chile").alias("region"), t("logo").alias("logo"),
         percent_in(t("monto")).alias("porcentaje"), F.lit("").alias("oferta"),
         F.when(t("tope").rlike(r"^\d+$"), t("tope").try_cast("int")).otherwise(cap_amount(cond)).alias("tope"),
         fn.expiry_in(t("vigencia"), t("condiciones")).alias("vigencia_hasta"), fn.weekdays_in_offer(t("cuando")).alias("dias"),

@@ -52,7 +52,7 @@ def as_candidates(rows: DataFrame) -> DataFrame:
 def source_tier_fallback(rows: DataFrame) -> DataFrame:
     """Keep each source's best ``tier`` (the smallest that brought rows)."""
     best = rows.groupBy("source_id").agg(F.min("tier").alias("_best"))
-    return lookup(rows, best, ["source_id"], ["seq"]).filter(F.col("tier") == F.col("_best")).drop("_best")
+    return lookup(rows, best, ["source_id"]).filter(F.col("tier") == F.col("_best")).drop("_best")
 
 
 def union_term_searches(rows: DataFrame) -> DataFrame:
@@ -81,7 +81,7 @@ def backfill_from_detail(rows: DataFrame, details: DataFrame, config: DataFrame,
     ``details``: url, body. ``config``: source_id, tope_detalle, filtro_palabras,
     descartar_palabras. Only rows that pass the word lists spend budget; no ``tope_detalle`` is no budget.
     """
-    flagged = lookup(rows.filter(F.col("inicio").isNull()), config, ["source_id"], ["seq"])
+    flagged = lookup(rows.filter(F.col("inicio").isNull()), config, ["source_id"])
     wanted = flagged.filter(keyword_reason(
         F.col("filtro_palabras"), F.col("descartar_palabras")).isNull())
     budget = top_k(wanted, ["source_id"], [F.col("seq")], F.coalesce("tope_detalle", F.lit(2_147_483_647)))

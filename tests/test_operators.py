@@ -112,7 +112,7 @@ def test_top_k_under_skew(spark):
 def test_lookup_equals_plain_join(spark):
     big = spark.range(2000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40).alias("k"))
     dim = spark.range(30).select(F.col("id").alias("k"), (F.col("id") * 2).alias("d"))
-    assert skew.lookup(big, dim, ["k"], ["id"]).select("id", "k", "d").exceptAll(big.join(dim, "k", "left").select("id", "k", "d")).count() == 0
+    assert skew.lookup(big, dim, ["k"]).select("id", "k", "d").exceptAll(big.join(dim, "k", "left").select("id", "k", "d")).count() == 0
 
 
 def test_failure_streaks_brute_force(spark):
