@@ -26,6 +26,10 @@ PART = 8
 CHUNK, REPORTED = 6_000_000, 2
 #: Nodes whose numbers are broadcast to pick texts (16 bytes each); more are joined by a shuffle.
 BROADCAST_NODES = 1_000_000
+#: Words of 64 bits in the bitmap that pairs of a bucket are compared by.
+SHORT = 16
+#: Bucket keys of a node by which pairs that meet earlier are known.
+FIRST = 8
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -112,6 +116,14 @@ class Order:
         return s[order], np.searchsorted(self.limits, hits[order], side="right")
 
 
+    def weight(self, s: np.ndarray) -> float:
+        """How common the set's tokens are: the text that copies were made from outweighs its edited copies."""
+        if not len(self.tokens) or not len(s):
+            return 0.0
+        at = np.minimum(np.searchsorted(self.tokens, s), len(self.tokens) - 1)
+        return float(np.log1p(np.where(self.tokens[at] == s, self.hits[at], 0)).mean())
+
+
 def allowed_misses(n: int, percent: int) -> int:
     return n - -(-percent * n // 100)
 
@@ -181,11 +193,11 @@ def signed(docs: DataFrame, order: Order, size: int, percent: int) -> DataFrame:
     return docs.select(F.col("text").cast("string")).mapInArrow(sign, "sig long, node long, n int")
 
 
-def bitmap(s: np.ndarray) -> bytes:
-    """The set hashed to one bit a token, on at least twice as many bits, a power of two."""
-    bits = np.zeros(1 << max(6, int(2 * len(s) - 1).bit_length()), np.uint8)
-    bits[(s & np.uint64(len(bits) - 1)).astype(np.int64)] = 1
-    return np.packbits(bits, bitorder="little").tobytes()
+def bitmap(s: np.ndarray, bits: int = 0) -> bytes:
+    """The set hashed to one bit a token, on `bits` bits or on at least four times as many, a power of two."""
+    marks = np.zeros(bits or 1 << max(6, int(4 * len(s) - 1).bit_length()), np.uint8)
+    marks[(s & np.uint64(len(marks) - 1)).astype(np.int64)] = 1
+    return np.packbits(marks, bitorder="little").tobytes()
 
 
 def most_shared(a: bytes, b: bytes, n: int, m: int) -> int:
@@ -203,33 +215,37 @@ def near_enough(shared, n, m, percent: int):
     return (100 + percent) * shared >= percent * (n + m)
 
 
-def of_nodes(docs: DataFrame, reps: DataFrame, size: int, what: str) -> DataFrame:
-    """`node` and its `bits` (what="bits") or its sorted tokens (what="tokens"), read from one document each.
+def of_nodes(docs: DataFrame, reps: DataFrame, size: int, order: Order | None = None) -> DataFrame:
+    """`node` and its sorted `tokens`; or, given the order, its `bits`, its `short` bitmap and the `weight` of its tokens.
 
-    `reps` (node, doc_id) is broadcast if its counted rows are few, else joined by a shuffle.
+    Each set is read from one document. `reps` (node, doc_id) is broadcast if its counted rows are few, else joined by
+    a shuffle.
     """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 2):
             sets = shingle_sets(b.column("text").to_pylist(), size)
-            named = pa.array([digest(s) if len(s) else None for s in sets], pa.int64())
-            if what == "bits":
-                value = pa.array([bitmap(s) for s in sets], pa.binary())
+            columns = {"named": pa.array([digest(s) if len(s) else None for s in sets], pa.int64()), "node": b.column("node")}
+            if order:
+                columns |= {"bits": pa.array([bitmap(s) for s in sets], pa.binary()), "weight": pa.array([order.weight(s) for s in sets]),
+                            "short": pa.array([np.frombuffer(bitmap(s, 64 * SHORT), np.int64) for s in sets], pa.list_(pa.int64()))}
             else:
-                value = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([named, b.column("node"), value], ["named", "node", what])
+                columns["tokens"] = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(bounded(reps, BROADCAST_NODES), "doc_id")
-    out = texts.select("text", "node").mapInArrow(read, f"named long, node long, {what} {'binary' if what == 'bits' else 'array<long>'}")
+    out = texts.select("text", "node").mapInArrow(read, "named long, node long, " + (
+        "bits binary, weight double, short array<long>" if order else "tokens array<long>"))
     # A repeated doc_id may bring another text, or the same one twice.
     return staged(out.where("named = node").drop("named").dropDuplicates(["node"]))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
-    """The (a, b) of `pairs` (a, b, n, m) that are similar: bitmaps bound the overlap, then whole sets are compared."""
-    def ends(p: DataFrame) -> DataFrame:
-        nodes = p.select(F.col("a").alias("node")).unionByName(p.select(F.col("b").alias("node"))).distinct()
-        return staged(reps.join(nodes, "node", "left_semi"))
+def beside(pairs: DataFrame, of: DataFrame, what: str) -> DataFrame:
+    return (pairs.join(of.select(F.col("node").alias("a"), F.col(what).alias("x")), "a")
+            .join(of.select(F.col("node").alias("b"), F.col(what).alias("y")), "b"))
 
+
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
+    """The (a, b) of `pairs` (a, b, n, m) that are similar: bitmaps bound the overlap, then whole sets are compared."""
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, m = b.column("n").to_pylist(), b.column("m").to_pylist()
@@ -237,14 +253,9 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int, perc
                     for x, y, i, j in zip(b.column("x").to_pylist(), b.column("y").to_pylist(), n, m)]
             yield b.select(["a", "b", "n", "m"]).filter(pa.array(keep, pa.bool_()))
 
-    def beside(p: DataFrame, of: DataFrame, what: str) -> DataFrame:
-        return (p.join(of.select(F.col("node").alias("a"), F.col(what).alias("x")), "a")
-                .join(of.select(F.col("node").alias("b"), F.col(what).alias("y")), "b"))
-
-    pairs = staged(pairs)
-    bits = of_nodes(docs, ends(pairs), size, "bits")
-    likely = staged(beside(pairs, bits, "bits").select("a", "b", "n", "m", "x", "y").mapInArrow(bound, "a long, b long, n int, m int"))
-    whole = of_nodes(docs, ends(likely), size, "tokens")
+    likely = staged(beside(pairs, nodes, "bits").select("a", "b", "n", "m", "x", "y").mapInArrow(bound, "a long, b long, n int, m int"))
+    ends = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
+    whole = of_nodes(docs, staged(reps.join(ends, "node", "left_semi")), size)
     shared = F.size(F.array_intersect("x", "y"))
     return staged(beside(likely, whole, "tokens").where(near_enough(shared, F.col("n"), F.col("m"), percent)).select("a", "b"))
 
@@ -261,10 +272,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     links of the node to other nodes (at least one inside each group of different sets, not all pairs).
 
     Candidates come from token-combination prefixes. A bucket holds the nodes of one signature; buckets of the same
-    nodes count once. First each node is compared with its bucket's lead; then, in buckets that still hold several
-    components, the nodes outside the largest component are compared with all others of the bucket that are not yet
-    joined to them. So a group of near copies costs its size, not its square, and no link between two components
-    is lost.
+    nodes count once. First each node is compared with its bucket's lead, the set with the commonest tokens; then, in
+    buckets that still hold several components, the nodes outside the largest component meet all others that are not
+    yet joined to them. A pair is only made if short bitmaps, which bound the overlap from above, allow it. So a
+    group of near copies makes rows in proportion to its size, and no link between two components is lost.
 
     Null and blank texts have no shingles and link with nothing. Rows that repeat a `doc_id` are linked through it.
     A null `doc_id` joins its text's component without naming it. No rows give no rows; other columns are ignored.
@@ -285,26 +296,36 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
         "b1": F.sum(F.shiftright(F.xxhash64("node"), 24)).over(of_sig), "b2": F.sum(F.shiftright(F.xxhash64(F.lit(1), "node"), 24)).over(of_sig)})
     # Tasks name a set once each, so a set may be in a signature twice; its sums still name the bucket.
     buckets = staged(named.select("b1", "b2", "node", "n").distinct())
-    lead = buckets.groupBy("b1", "b2").agg(F.min(F.struct("node", "n")).alias("lead"))
+    nodes = of_nodes(docs, staged(reps.join(buckets.select("node").distinct(), "node", "left_semi")), size, order)
+    weighed = buckets.join(nodes.select("node", "weight"), "node")
+    lead = weighed.groupBy("b1", "b2").agg(F.max(F.struct("weight", "node", "n")).alias("lead"))
     star = (buckets.join(lead, ["b1", "b2"]).where("node <> lead.node")
             .where(similar_sizes(F.col("n"), F.col("lead.n"), percent))
             .select(F.col("node").alias("a"), F.col("lead.node").alias("b"), "n", F.col("lead.n").alias("m")).distinct())
-    first = verified(star, docs, reps, size, percent)
+    first = verified(star, nodes, docs, reps, size, percent)
     joined = components(first)
     labelled = staged(buckets.join(joined, "node", "left").select("b1", "b2", "node", "n", F.coalesce("component", "node").alias("label")))
     largest = (labelled.groupBy("b1", "b2", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("b1", "b2")
                .agg(F.max(F.struct("k", "label")).alias("most"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
                .select("b1", "b2", F.col("most.label").alias("main")))
-    opened = staged(labelled.join(largest, ["b1", "b2"]))
-    other = opened.where("label <> main").select("b1", "b2", F.col("node").alias("a"), "n", F.col("label").alias("la"))
-    against = opened.select("b1", "b2", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("lb"), "main")
+    opened = labelled.join(largest, ["b1", "b2"]).withColumn("k", F.xxhash64("b1", "b2"))
+    # A pair that meets in a bucket with a smaller key is left to that one; the first keys of both tell most of them.
+    firsts = opened.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("k")), 1, FIRST).alias("first"))
+    opened = staged(opened.join(nodes.select("node", "short"), "node").join(firsts, "node"))
+    other = opened.where("label <> main").select("b1", "b2", "k", F.col("node").alias("a"), "n", F.col("label").alias("la"),
+                                                 F.col("short").alias("x"), F.col("first").alias("fa"))
+    against = opened.select("b1", "b2", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("lb"), "main",
+                            F.col("short").alias("y"), F.col("first").alias("fb"))
+    differ = sum((F.bit_count(F.get("x", F.lit(i)).bitwiseXOR(F.get("y", F.lit(i)))) for i in range(SHORT)), F.lit(0))
+    most = (F.col("n") + F.col("m") - differ) / 2
     met = other.join(against, (other["b1"] == against["b1"]) & (other["b2"] == against["b2"])
                      & (F.col("la") != F.col("lb")) & ((F.col("a") < F.col("b")) | (F.col("lb") == F.col("main")))
-                     & similar_sizes(F.col("n"), F.col("m"), percent))
+                     & similar_sizes(F.col("n"), F.col("m"), percent) & near_enough(most, F.col("n"), F.col("m"), percent)
+                     & ~F.exists(F.array_intersect("fa", "fb"), lambda e: e < F.col("k")))
     cross = met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"),
                        F.when(F.col("a") > F.col("b"), F.col("n")).otherwise(F.col("m")).alias("n"),
                        F.when(F.col("a") > F.col("b"), F.col("m")).otherwise(F.col("n")).alias("m")).distinct()
-    links = staged(first.unionByName(verified(cross, docs, reps, size, percent)).distinct())
+    links = staged(first.unionByName(verified(cross, nodes, docs, reps, size, percent)).distinct())
     # Rows that repeat a doc_id hold several nodes: each hangs on the smallest of them.
     repeats = (rows.where("doc_id is not null and node is not null").groupBy("doc_id")
                .agg(F.min("node").alias("least"), F.max("node").alias("last")).where("least < last").select("doc_id", "least"))
