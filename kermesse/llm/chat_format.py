@@ -53,9 +53,6 @@ def format_chat(turns: DataFrame, parts: str | None = None, trained_role: str =
     """
     sizes = EXPANDED | (expanded or {})
     own = F.coalesce(F.col(parts), F.array().cast(f"array<{PART}>")) if parts else text_parts(F.col("text"))
-    size = F.lit(0)
-    for kind, tokens in sizes.items():
-        size = F.when(F.col("_p.kind") == kind, tokens).otherwise(size)
     base = turns.select("conv_id", F.col("turn"), F.coalesce("role", F.lit("")).alias("_role"), own.alias("_parts"),
                         F.to_json(own).alias("_tie"))
     order = Window.partitionBy("conv_id").orderBy("turn", "_role", "_tie")
