@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from kermesse.bindings import inputs as i
 from kermesse.bindings.joins import addresses, place_rows
 from kermesse.bindings.registry import register
 from kermesse.bindings.tables import COLLAPSED, FMT, stamp
+from kermesse.operators import review
 from kermesse.plans import agenda, publish
 from kermesse.schemas import STORE
+from kermesse.session import ensure_checkpoint_dir
 
 CONFIG = "fuente_nombre string, colapsar boolean, requiere_comuna boolean, filtro_palabras array<string>, descartar_palabras array<string>"
 
@@ -52,6 +56,16 @@ def p01b(spark, sf):
     return _run(spark, sf, materialise=True)["counts"]
 
 
+@register("p01_run_log", f"""WITH {RUN}, r AS (SELECT fuente_nombre, count(*) FILTER (motivo IS NOT NULL) AS descartados, count(DISTINCT CASE WHEN motivo IS NULL THEN concat(titulo, CAST(inicio AS date), lugar_nombre) END) AS nuevos FROM gated GROUP BY 1)
+  SELECT fuente_nombre AS fuente, CAST(nuevos + descartados AS int) AS encontrados, CAST(nuevos AS int) AS nuevos, CAST(descartados AS int) AS descartados, '' AS error FROM r""")
+def p01c(spark, sf):
+    """A run writes its log; the newest run of each source is read back from it."""
+    path = f"{ensure_checkpoint_dir(spark)}/log-{uuid.uuid4().hex}"
+    rows = review.run_log(_run(spark, sf, materialise=True)["counts"], i.now())
+    log = review.append_run_log(rows, path)
+    return review.latest_run_per_source(log, i.now().cast("date")).select("fuente", "encontrados", "nuevos", "descartados", "error")
+
+
 @register("p03_publish_catalogue")
 def p03(spark, sf):
     """Labels, corrections, pins, series and formats over the whole store, counted by label."""

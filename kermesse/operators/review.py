@@ -10,6 +10,7 @@ from kermesse.functions.labels import classify_category
 from kermesse.functions.text import classify_error, squeeze, url_host
 from kermesse.operators.filters import is_current, is_real_place
 from kermesse.operators.skew import best_row, top_k
+from kermesse.schemas import RUN_LOG, conform
 from kermesse.vocab.places import EXACT_PRECISIONS
 
 STATUS_ORDER = {"error": 0, "no corrio": 1, "trajo cero": 2, "sin nada futuro": 3, "extrajo": 4, "apagada": 5}
@@ -200,6 +201,25 @@ def source_run_counts(labelled: DataFrame) -> DataFrame:
         F.count_if(F.col("motivo").isNotNull()).alias("descartados"))
 
 
+def run_log(counts: DataFrame, now: Column, errors: DataFrame | None = None) -> DataFrame:
+    """The log rows of one run: a row per source with counts, error text and duration.
+
+    ``errors(fuente, error, duracion_seg)`` adds what the extraction reported, sources that brought nothing included.
+    """
+    rows = counts.withColumnRenamed("fuente_nombre", "fuente")
+    if errors is not None:
+        rows = rows.join(errors.select("fuente", "error", "duracion_seg"), "fuente", "full_outer")
+    stamped = rows.withColumn("momento", now.cast("timestamp_ntz"))
+    zero = {c: F.coalesce(F.col(c).cast("int"), F.lit(0)) for c in ("encontrados", "nuevos", "actualizados", "descartados")}
+    return conform(stamped.withColumns(zero), RUN_LOG).withColumn("error", F.coalesce("error", F.lit("")))
+
+
+def append_run_log(rows: DataFrame, path: str) -> DataFrame:
+    """Append a run to the log at ``path`` and return the whole log."""
+    rows.write.mode("append").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def run_diagnostics(latest: DataFrame, stale: DataFrame, published: DataFrame,
                     before_ids: DataFrame) -> DataFrame:
     """One row of run figures; every part is a one-row aggregate put side by side."""
