@@ -36,7 +36,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest doc_id stays, once."""
-    groups = near_duplicates(docs)
+    groups = near_duplicates(docs, count_links=False)
     others = staged(groups.where("doc_id <> component_id").select("doc_id").distinct())
     kept = docs.join(bounded(others, BROADCAST_IDS), "doc_id", "left_anti").select(docs.columns)
     # A repeated doc_id is a repeated row of the document that stays; as a rule there is none.

@@ -30,6 +30,13 @@ BROADCAST_NODES = 1_000_000
 SHORT = 16
 #: Bucket keys of a node by which pairs that meet earlier are known.
 FIRST = 8
+#: A component is cut into blocks of so many nodes, into FEW blocks of more nodes, or into as many blocks as keep each
+#: within LARGE nodes and BLOCK_TOKENS tokens. All blocks of a component meet, so no task holds a whole one.
+BLOCK_NODES, FEW, LARGE, BLOCK_TOKENS = 128, 32, 1024, 1_000_000
+#: Tokens that a block's sets are laid out by at once.
+COLUMNS = 4096
+#: Components of several blocks whose numbers are broadcast; more are joined by a shuffle.
+BROADCAST_CUT = 1_000_000
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -264,18 +271,78 @@ def similar_sizes(n, m, percent: int):
     return (100 * F.least(n, m) >= percent * F.greatest(n, m))
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE_WORDS) -> DataFrame:
+def shared_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each set of `a` shares with each of `b`."""
+    flat = [np.concatenate(own) for own in (a, b)]
+    at = [np.repeat(np.arange(len(own)), [len(s) for s in own]) for own in (a, b)]
+    both = np.intersect1d(*flat)
+    out = np.zeros((len(a), len(b)), np.float32)  # exact up to 16 million tokens
+    if not len(both):
+        return out
+    places = [np.minimum(np.searchsorted(both, x), len(both) - 1) for x in flat]
+    for k, x in enumerate(flat):
+        hit = both[places[k]] == x
+        order = np.argsort(places[k][hit], kind="stable")
+        places[k], at[k] = places[k][hit][order], at[k][hit][order]
+    for start in range(0, len(both), COLUMNS):
+        laid = []
+        for k, own in enumerate((a, b)):
+            low, high = np.searchsorted(places[k], [start, start + COLUMNS])
+            laid.append(np.zeros((len(own), min(COLUMNS, len(both) - start)), np.float32))
+            laid[k][at[k][low:high], places[k][low:high] - start] = 1
+        out += laid[0] @ laid[1].T
+    return out
+
+
+def counted_links(joined: DataFrame, copies: DataFrame, docs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
+    """`node` and `others`: the documents of the other nodes similar to it, each pair of a component compared in whole.
+
+    `joined` (node, component) holds every link inside a component, `copies` (node, copies) a node's documents. The
+    nodes of a component are dealt out to blocks and each two blocks meet in a task that writes one row a node.
+    """
+    def compare(pairs: pa.Table) -> pa.Table:
+        i, own = pairs.column("i")[0].as_py(), pairs.column("own").to_numpy()
+        nodes, weight = pairs.column("node").to_numpy(), pairs.column("copies").to_numpy()
+        sets = [np.asarray(t, np.int64) for t in pairs.column("tokens").to_numpy(zero_copy_only=False)]
+        n = np.array([len(s) for s in sets])
+        left = np.flatnonzero(own == i)
+        right = np.flatnonzero(own != i) if pairs.column("j")[0].as_py() != i else left
+        others = np.zeros(len(sets), np.int64)
+        if len(left) and len(right):
+            shared = shared_counts([sets[k] for k in left], [sets[k] for k in right]).astype(np.int64)
+            linked = near_enough(shared, n[left][:, None], n[right][None, :], percent) & (nodes[left][:, None] != nodes[right][None, :])
+            others[left] = linked @ weight[right]
+            if left is not right:
+                others[right] = linked.T @ weight[left]
+        return pa.table({"node": pa.array(nodes), "others": pa.array(others)})
+
+    whole = of_nodes(docs, staged(reps.join(joined, "node", "left_semi")), size)
+    members = staged(joined.join(whole, "node").join(copies, "node").select("component", "node", "copies", "tokens"))
+    k = F.count(F.lit(1))
+    blocks = F.greatest(F.least(F.ceil(k / BLOCK_NODES), F.lit(FEW)), F.ceil(k / LARGE), F.ceil(F.sum(F.size("tokens")) / BLOCK_TOKENS)).cast("int")
+    cut = staged(members.groupBy("component").agg(blocks.alias("blocks")).where("blocks > 1"))
+    own = F.pmod(F.xxhash64("node"), F.coalesce("blocks", F.lit(1))).cast("int")
+    dealt = (members.join(bounded(cut, BROADCAST_CUT), "component", "left").withColumn("own", own)
+             .withColumn("with", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
+             .select("component", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "node", "copies", "tokens"))
+    told = dealt.groupBy("component", "i", "j").applyInArrow(compare, "node long, others long")
+    return told.groupBy("node").agg(F.sum("others").alias("others"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE_WORDS, count_links: bool = True) -> DataFrame:
     """One row a row of `docs`: `doc_id`, `n_shingles` (long), `component_id`, `links` (long).
 
     Documents link when 100 * shared >= `percent` * united shingles of `size` words; `component_id` is the smallest
-    doc_id reachable by links. Documents with one set are one node, so copies meet once; `links` counts the checked
-    links of the node to other nodes (at least one inside each group of different sets, not all pairs).
+    doc_id reachable by links. Documents with one set are one node, so copies meet once. `links` counts the other
+    documents that link with the row's text, copies among them: every doc_id with such a text, once a different set
+    of shingles it has, and every such row whose doc_id is null. Without `count_links` the column is left out.
 
     Candidates come from token-combination prefixes. A bucket holds the nodes of one signature; buckets of the same
     nodes count once. First each node is compared with its bucket's lead, the set with the commonest tokens; then, in
     buckets that still hold several components, the nodes outside the largest component meet all others that are not
     yet joined to them. A pair is only made if short bitmaps, which bound the overlap from above, allow it. So a
-    group of near copies makes rows in proportion to its size, and no link between two components is lost.
+    group of near copies makes rows in proportion to its size, and no link between two components is lost. Links are
+    counted at the end: all pairs of a component's nodes meet block by block and only their counts are written.
 
     Null and blank texts have no shingles and link with nothing. Rows that repeat a `doc_id` are linked through it.
     A null `doc_id` joins its text's component without naming it. No rows give no rows; other columns are ignored.
@@ -331,10 +398,15 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
                .agg(F.min("node").alias("least"), F.max("node").alias("last")).where("least < last").select("doc_id", "least"))
     same_id = rows.join(repeats, "doc_id").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
     of_node = components(links.unionByName(same_id))
-    degree = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).groupBy("node").agg(
-        F.count(F.lit(1)).alias("links"))
-    told = staged(rows.join(of_node, "node", "left").join(degree, "node", "left")
-                  .select("doc_id", "n", "node", F.coalesce("component", "node").alias("label"), F.coalesce("links", F.lit(0)).alias("links")))
+    told = rows.join(of_node, "node", "left").select("doc_id", "n", "node", F.coalesce("component", "node").alias("label"))
+    if count_links:
+        copies = staged(rows.where("node is not null").groupBy("node", "doc_id").agg(F.count(F.lit(1)).alias("k")).groupBy("node")
+                        .agg(F.sum(F.when(F.col("doc_id").isNull(), F.col("k")).otherwise(1)).alias("copies")))
+        others = counted_links(components(links), copies, docs, reps, size, percent)
+        degree = (copies.join(others, "node", "left").select("node", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
+                  .where("links > 0"))
+        told = told.join(degree, "node", "left").withColumn("links", F.coalesce("links", F.lit(0).cast("long")))
+    told = staged(told.drop("node"))
     named = told.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
-    return told.join(named, "label", "left").select("doc_id", F.col("n").alias("n_shingles"),
-                                                    F.coalesce("least", "doc_id").alias("component_id"), "links")
+    return told.join(named, "label", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"), *["links"] * count_links)
