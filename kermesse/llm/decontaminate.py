@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kermesse.llm.common import BLANKS, NEAR, SHINGLE_WORDS, ascii_lower, bounded, staged
@@ -52,8 +52,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = NEAR,
     """One row a document and benchmark item found in it: `doc_id`, `item_id`, `start` and `n_words` of the best
     window, `shared` and `united` weights of shingles, `similarity` (at least `threshold`).
 
-    Windows have the size of an item (a shorter document is one window) and lie where a shingle of the item and
-    the document align; a window that shares no shingle cannot be similar, so no other window is fingerprinted.
+    Windows have the size of an item (a shorter document is one window). A shared shingle aligns the item at a start;
+    all starts from the least to the largest of shingles that one window can hold are fingerprinted. Moving a window
+    from outside towards them drops no shared shingle, so no other window is more similar.
     Equal windows are treated once. Fingerprints meet through blocks: an item is written under every block value within
     RADIUS // BLOCKS bits, so all windows of its size within RADIUS bits are found. Candidates are verified by the
     weighted Jaccard similarity of their shingles, a shingle weighing as often as it occurs.
@@ -78,11 +79,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = NEAR,
              else F.xxhash64(F.concat_ws(" ", *[F.get("words", F.col("p") + i) for i in range(k)])))
         hits = places.select("doc_id", "total", "p", h.alias("h")).join(own, "h")
         start = F.greatest(F.lit(0), F.least(F.col("p") - F.col("at"), F.col("total") - F.col("n")))
-        hits = hits.select("doc_id", start.alias("start"), "n").distinct()
+        hits = hits.select("doc_id", start.alias("start"), "n", "p").groupBy("doc_id", "n", "p").agg(F.min("start").alias("low"), F.max("start").alias("high"))
         found = hits if found is None else found.unionByName(hits)
     if found is None:
-        found = docs.sparkSession.createDataFrame([], "doc_id long, start int, n int").withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
-    starts = staged(found)
+        found = docs.sparkSession.createDataFrame([], "doc_id long, n int, p int, low int, high int").withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
+    # Ranges of neighbouring hits overlap, so together they hold every start between those of any hits of a window.
+    in_order = Window.partitionBy("doc_id", "n").orderBy("p")
+    ranges = found.withColumns({c: F.when(F.col("p") - F.lag("p").over(in_order) <= F.col("n") - size, F.lag(of).over(in_order))
+                                for c, of in (("low_before", "low"), ("high_before", "high"))})
+    starts = staged(ranges.select("doc_id", F.explode(F.sequence(F.least("low", "low_before"), F.greatest("high", "high_before"))).alias("start"), "n")
+                    .distinct())
     texts = kept.join(bounded(starts, BROADCAST_WINDOWS), "doc_id")
     windows = staged(texts.withColumn("words", split_words(F.col("text"))).select(
         "doc_id", "start", "n", F.slice("words", F.col("start") + 1, F.col("n")).alias("words")).distinct())

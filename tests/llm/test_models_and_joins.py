@@ -269,6 +269,16 @@ def test_contaminated_documents(spark):
     assert contaminated(awkward_docs(spark), bench).count() == 0
 
 
+def test_contaminated_between_aligned_starts(spark):
+    """Words put into a passage: only windows between the starts that its two halves align at are similar enough."""
+    item = [f"w{i}" for i in range(60)]
+    own = ["first", *item[1:30], "four", "words", "put", "in", *item[30:59], "last"]
+    docs = [(k, " ".join([f"a{i}" for i in range(k)] + own + [f"b{i}" for i in range(20)])) for k in (0, 1, 40)]
+    got = contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                       spark.createDataFrame([(1, " ".join(item)), (2, "w3 w4 w5 w6 w7 other words")], "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id, r.start, r.n_words, r.shared, r.united) for r in got) == [(k, 1, k + 1, 60, 48, 64) for k in (0, 1, 40)]
+
+
 # -- pages -----------------------------------------------------------------------------------
 
 PAGE = ("<html><head><title>t</title></head><body><div class='site'>Our site</div><ul class=links><li><a href=/>Home</a><li>About</ul>"
