@@ -15,6 +15,7 @@ from kermesse.llm.ngram_jaccard import near_duplicates
 from kermesse.llm.piece_sampling import Pieces, decode, encode
 from kermesse.llm.pu_quality import pu_quality
 from kermesse.llm.quality_mcd import quality_outliers
+from kermesse.llm.substring_dedup import substring_dedup
 from kermesse.llm.toxicity import toxicity
 from kermesse.llm.url_filter import RULES, SOFT, SOFT_LIMIT, STRICT, url_filter
 from kermesse.llm.wrapper_extract import extract_main
@@ -203,3 +204,25 @@ def op2_piece_sampling(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op8_wrapper_extract(spark: SparkSession, sf: str) -> DataFrame:
     return extract_main(table(spark, sf, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op11_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substring_dedup(table(spark, sf, "documents")).select(
+        "doc_id", "n_words", "n_removed", utf8_sha256(F.col("text")).alias("kept_sha256"))
+
+
+ORACLES["op11_substring_dedup"] = r"""
+with d as (
+  select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \t-\r]+'), lambda x: x <> '') as w from documents),
+g as (
+  select doc_id, p, md5(array_to_string(w[p + 1:p + 50], ' ')) as h
+  from (select doc_id, w, unnest(range(len(w) - 49)) as p from d where len(w) >= 50)),
+m as (select h, min(doc_id) as least from g group by h),
+c as (select distinct doc_id, p + i as pos from g join m using (h), range(50) t(i) where doc_id > least),
+k as (
+  select doc_id, pos, word from (select doc_id, unnest(w) as word, generate_subscripts(w, 1) - 1 as pos from d)
+  anti join c using (doc_id, pos)),
+s as (select doc_id, count(*) as n, string_agg(word, ' ' order by pos) as kept from k group by doc_id)
+select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from d left join s using (doc_id)"""
