@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kermesse.llm.common import bounded, staged
@@ -35,9 +35,9 @@ def ranked(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
     at = staged(rows.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
                 .withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_at", 33)))
     runs = staged(at.groupBy("_part", group).agg(F.min("_at").alias("_from"), F.count(F.lit(1)).alias("_n")))
-    before = runs.alias("x").join(runs.alias("y"), F.col(f"x.{group}").eqNullSafe(F.col(f"y.{group}")) & (F.col("y._part") < F.col("x._part")), "left")
-    offsets = before.groupBy(F.col("x._part").alias("_part"), F.col("x._from").alias("_from"), F.col(f"x.{group}").alias("_group")).agg(
-        F.coalesce(F.sum("y._n"), F.lit(0)).alias("_before"))
+    # One row a partition and group: a group has as many as partitions, however many rows.
+    earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = runs.select("_part", "_from", F.col(group).alias("_group"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     offsets = bounded(staged(offsets), BROADCAST_OFFSETS).withColumnRenamed("_part", "_p")
     joined = at.join(offsets, (F.col("_part") == F.col("_p")) & F.col(group).eqNullSafe(F.col("_group")))
     return joined.withColumn("rank", F.col("_at") - F.col("_from") + F.col("_before")).select(*rows.columns, "rank")

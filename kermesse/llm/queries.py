@@ -11,6 +11,7 @@ from kermesse.llm.chat_format import format_chat, loss_text, read_chat
 from kermesse.llm.common import utf8_sha256
 from kermesse.llm.decontaminate import contaminated
 from kermesse.llm.line_dedup import line_dedup
+from kermesse.llm.merkle import proofs
 from kermesse.llm.ngram_jaccard import near_duplicates
 from kermesse.llm.piece_sampling import Pieces, decode, encode
 from kermesse.llm.pu_quality import pu_quality
@@ -226,3 +227,62 @@ k as (
 s as (select doc_id, count(*) as n, string_agg(word, ' ' order by pos) as kept from k group by doc_id)
 select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
 from d left join s using (doc_id)"""
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    docs = table(spark, sf, "documents")
+    return proofs(docs, F.coalesce(tampered, F.col("text"))).select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.array_join("siblings", "").cast("binary"), 256).alias("proof_sha256"),
+        "folded_root", "verified")
+
+
+ORACLES["op12_merkle_manifest"] = r"""
+with recursive part as (
+  select doc_id, source, text,
+         list_reduce(flatten(list_transform(range(1, length(doc_id::varchar) + 1),
+                                            lambda i: [ascii(substr(doc_id::varchar, i::int, 1))::bigint, 0, 0, 0, 0, 0, 0, 0])),
+                     lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1)), 4294967295::bigint) & 1 = 1 as hit,  -- even crc32
+         case when doc_id is null then '-' else octet_length(encode(doc_id::varchar)) || ':' || doc_id end as a,
+         case when source is null then '-' else octet_length(encode(source)) || ':' || source end as b,
+         case when lang is null then '-' else octet_length(encode(lang)) || ':' || lang end as c,
+         case when n_chars is null then '-' else octet_length(encode(n_chars::varchar)) || ':' || n_chars end as d
+  from documents),
+x as (select *, replace(text, chr(10), '') as bare from part),
+leaf as (
+  select doc_id, source, row_number() over (partition by source order by doc_id) - 1 as rank,
+         sha256(a || b || c || d || case when text is null then '-' else octet_length(encode(text)) || ':' || text end) as leaf,
+         case when hit then sha256(a || b || c || d || case when text is null then '-' else octet_length(encode(bare)) || ':' || bare end) end as changed
+  from x),
+lv as (
+  select source, 0 as h, rank, leaf as digest, count(*) over (partition by source) as n from leaf
+  union all
+  select source, h + 1, rank // 3, sha256(string_agg(digest, '' order by rank)), (n + 2) // 3
+  from lv where n > 1 group by source, h, rank // 3, n),
+sub as (select source, digest as subroot, row_number() over (order by source nulls first) - 1 as srank from lv where n = 1),
+tp as (
+  select 0 as h, srank as rank, subroot as digest, count(*) over () as n from sub
+  union all
+  select h + 1, rank // 3, sha256(string_agg(digest, '' order by rank)), (n + 2) // 3 from tp where n > 1 group by h, rank // 3, n),
+root as (select digest as root from tp where n = 1),
+step as (
+  select l.doc_id, v.h, string_agg(v.digest, '' order by v.rank) filter (v.rank < l.rank // (3 ** v.h)::bigint) as l,
+         string_agg(v.digest, '' order by v.rank) filter (v.rank > l.rank // (3 ** v.h)::bigint) as r
+  from leaf l join lv v on l.source is not distinct from v.source and v.n > 1 and v.rank // 3 = l.rank // (3 ** (v.h + 1))::bigint
+  group by all
+  union all
+  select l.doc_id, 100 + v.h, string_agg(v.digest, '' order by v.rank) filter (v.rank < s.srank // (3 ** v.h)::bigint),
+         string_agg(v.digest, '' order by v.rank) filter (v.rank > s.srank // (3 ** v.h)::bigint)
+  from leaf l join sub s on l.source is not distinct from s.source
+  join tp v on v.n > 1 and v.rank // 3 = s.srank // (3 ** (v.h + 1))::bigint
+  group by all),
+o as (select *, row_number() over (partition by doc_id order by h) as k from step),
+f as (
+  select doc_id, 0 as k, coalesce(changed, leaf) as own from leaf
+  union all
+  select f.doc_id, o.k, sha256(coalesce(o.l, '') || own || coalesce(o.r, '')) from f join o on f.doc_id = o.doc_id and o.k = f.k + 1),
+e as (select doc_id, arg_max(own, k) as folded_root from f group by doc_id),
+p as (select doc_id, sha256(coalesce(string_agg(coalesce(l, '') || coalesce(r, ''), '' order by h), '')) as proof_sha256 from step group by doc_id)
+select leaf.doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) as proof_sha256, folded_root, folded_root = root as verified
+from leaf join sub on leaf.source is not distinct from sub.source cross join root join e using (doc_id) left join p using (doc_id)"""
