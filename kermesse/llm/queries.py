@@ -16,6 +16,7 @@ from kermesse.llm.ngram_jaccard import near_duplicates
 from kermesse.llm.piece_sampling import Pieces, decode, encode
 from kermesse.llm.pu_quality import pu_quality
 from kermesse.llm.quality_mcd import quality_outliers
+from kermesse.llm.source_audit import source_divergence
 from kermesse.llm.substring_dedup import substring_dedup
 from kermesse.llm.toxicity import toxicity
 from kermesse.llm.url_filter import RULES, SOFT, SOFT_LIMIT, STRICT, url_filter
@@ -286,3 +287,40 @@ e as (select doc_id, arg_max(own, k) as folded_root from f group by doc_id),
 p as (select doc_id, sha256(coalesce(string_agg(coalesce(l, '') || coalesce(r, ''), '' order by h), '')) as proof_sha256 from step group by doc_id)
 select leaf.doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) as proof_sha256, folded_root, folded_root = root as verified
 from leaf join sub on leaf.source is not distinct from sub.source cross join root join e using (doc_id) left join p using (doc_id)"""
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return source_divergence(table(spark, sf, "documents").select("lang", "source", "text"))
+
+
+ORACLES["op13_source_divergence"] = r"""
+with d as (
+  select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms
+  from documents),
+t as (select row, lang, source, unnest(terms) as term from d),
+kept as (select lang, term, count(*) as of_lang from t group by lang, term having count(distinct row) >= 10),
+v as (select lang, count(*) as v, sum(of_lang) as lang_total from kept group by lang),
+g as (select distinct lang, source from d),
+c as (select lang, source, term, count(*) as n from t join kept using (lang, term) group by all),
+s as (select lang, source, sum(n) as total from c group by all),
+p as (
+  select g.lang, g.source, term, coalesce(n, 0) as n, of_lang, lang_total, v,
+         1 + (1000000000::hugeint * (coalesce(n, 0) + 2)) // (coalesce(total, 0) + 2 * v) as p,
+         1 + (1000000000::hugeint * (of_lang + 2)) // (lang_total + 2 * v) as q
+  from g join kept using (lang) join v using (lang) left join s using (lang, source) left join c using (lang, source, term)),
+pair as (
+  select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+  from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+every as (
+  select a.lang, a.source, b.source as item, coalesce(value, 0)::bigint as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source
+  left join pair on pair.lang = a.lang and pair.source = a.source and pair.item = b.source),
+ranked as (
+  select lang, source, 'pair' as part, item, value, row_number() over (partition by lang, source order by value desc, item)::int as rank from every
+  union all
+  select lang, source, 'term', term, value, row_number() over (partition by lang, source order by value desc, term)::int
+  from (select *, ((p - q) * (p - q) // (p + q))::bigint as value from p where n > 0 and p > q) qualify row_number() over (partition by lang, source order by value desc, term) <= 10)
+select * from ranked"""
