@@ -102,8 +102,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFram
 
     Seeds are winnowed so that each window has exactly one and equal windows have equal ones. Documents meet on seeds
     that several hold, each with the stretch its windows cover. A stretch that an earlier document holds as a whole is
-    extended both ways at once. Of the rest only the first holder of each distinct stretch counts: it is extended one
-    word at a time, each step being one window of the same seed that an earlier document may hold too. So thousands
+    extended both ways at once. Of the rest only the first document with each distinct stretch counts: it is extended
+    one word at a time, each step being one window of the same seed that an earlier document may hold too. So thousands
     of copies or edited copies of a passage make rows in proportion to their words, and no pairs. The stretches
     of a text join into its maximal repeats (`maximal`).
     """
@@ -111,21 +111,21 @@ def repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFram
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64(text).alias("row"), text.alias("text"))
     seeds = staged(find_seeds(texts, window, seed))
-    shared = (seeds.groupBy("anchor").agg(F.min("doc").alias("least"), F.max("doc").alias("last"),
+    # Written out, so that the join after it stands alone and a hot seed's partition can be split.
+    shared = staged(seeds.groupBy("anchor").agg(F.min("doc").alias("least"), F.max("doc").alias("last"),
                                           (F.min("span") < F.max("span")).alias("open"))
-              .where("least < last").select("anchor", "open"))
+                    .where("least < last").select("anchor", "open"))
     hits = staged(seeds.join(shared, "anchor"))
-    leads = staged(hits.groupBy("anchor", "span").agg(F.min(F.struct("doc", "row", "place")).alias("lead"), F.max("doc").alias("last"),
-                                                      F.first("open").alias("open")))
-    whole = (hits.join(leads.where("lead.doc < last").select("anchor", "span", F.col("lead.doc").alias("least")), ["anchor", "span"])
-             .where("doc > least").select("doc", "row", "place"))
+    leads = staged(hits.groupBy("anchor", "span").agg(F.min("doc").alias("least"), F.max("doc").alias("last"), F.first("open").alias("open")))
     # Of an open seed the first holders of its stretches differ from one another, unless one document holds them all.
-    several = (leads.where("open").groupBy("anchor").agg(F.min("lead.doc").alias("a"), F.max("lead.doc").alias("z"))
-               .where("a < z").select("anchor"))
-    spans = staged(leads.where("open").join(several, "anchor").select("lead.doc", "lead.row", F.struct("anchor", "lead.place").alias("s"))
-                   .groupBy("doc", "row").agg(F.collect_list("s").alias("spans")))
+    several = (leads.where("open").groupBy("anchor").agg(F.min("least").alias("a"), F.max("least").alias("z"))
+               .where("a < z").select("anchor", F.lit(True).alias("several")))
+    leads = staged(leads.join(several, "anchor", "left").where("least < last or several").select("anchor", "span", "least"))
+    met = staged(hits.join(leads, ["anchor", "span"]).select("anchor", "doc", "row", "place", "open", (F.col("doc") > F.col("least")).alias("after")))
+    whole = met.where("after").select("doc", "row", "place")
+    spans = staged(met.where("open and not after").groupBy("doc", "row").agg(F.collect_list(F.struct("anchor", "place")).alias("spans")))
     steps = staged(find_windows(picked(texts, spans).join(spans, ["doc", "row"]).dropDuplicates(["doc", "row"]), window))
-    first = steps.groupBy("anchor", "h").agg(F.min("doc").alias("least"), F.max("doc").alias("last")).where("least < last")
+    first = staged(steps.groupBy("anchor", "h").agg(F.min("doc").alias("least"), F.max("doc").alias("last")).where("least < last"))
     single = (steps.join(first.select("anchor", "h", "least"), ["anchor", "h"]).where("doc > least")
               .select("doc", "row", (F.col("start") * LENGTHS + window).alias("place")))
     return whole.unionByName(single).groupBy("doc", "row").agg(F.collect_set("place").alias("places"))
