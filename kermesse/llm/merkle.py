@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from kermesse.llm.common import bounded, staged
 
-#: Children of a node, and the levels of a tree that one shuffle builds (FAN ** LEVELS nodes meet in a group).
-FAN, LEVELS = 3, 5
+#: Children of a node, and the levels of a tree that one shuffle builds and one record keeps together.
+FAN, LEVELS = 3, 3
 #: Rows of the table of offsets (partitions and groups) that are broadcast; more are joined by a shuffle.
 BROADCAST_OFFSETS = 500_000
 
@@ -43,76 +43,73 @@ def ranked(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
     return joined.withColumn("rank", F.col("_at") - F.col("_from") + F.col("_before")).select(*rows.columns, "rank")
 
 
-def grown(nodes: DataFrame, levels: int) -> DataFrame:
-    """Nodes (grp, depth, height, rank, digest) some levels further up: rows (grp, depth, rank, built), `built` being one
-    array a level of structs (digest, children), from a group's lowest new level to its highest.
+def grown(nodes: DataFrame) -> DataFrame:
+    """The next LEVELS levels over nodes (grp, depth, height, rank, digest), or fewer where the root is reached: one record
+    (grp, depth, height, rank, digest, built) for each new top node.
 
+    `built` is one array a level, from the lowest, of the level's nodes as arrays of the digests of their children.
     `depth` is the height of the group's root. A run is FAN successive nodes; the last may hold fewer.
     """
-    size = FAN ** levels
+    size = FAN ** LEVELS
     blocks = (nodes.groupBy("grp", "depth", "height", F.floor(F.col("rank") / size).alias("rank"))
               .agg(F.array_sort(F.collect_list(F.struct("rank", "digest"))).alias("_row")))
     blocks = blocks.withColumn("_row", F.transform("_row", lambda x: x["digest"]))
-    for i in range(1, levels + 1):
+    built = []
+    for i in range(1, LEVELS + 1):
+        open_ = F.col("height") + i <= F.col("depth")
         runs = F.transform(F.sequence(F.lit(0), F.ceil(F.size("_row") / FAN).cast("int") - 1), lambda k: F.slice("_row", k * FAN + 1, FAN))
-        made = F.transform(runs, lambda c: F.struct(hashed(F.array_join(c, "")).alias("digest"), c.alias("children")))
-        # A group whose root is reached grows no further.
-        blocks = blocks.withColumn(f"_l{i}", F.when(F.col("height") + i <= F.col("depth"), made))
-        blocks = blocks.withColumn("_row", F.when(F.col(f"_l{i}").isNotNull(), F.transform(f"_l{i}", lambda x: x["digest"])).otherwise(F.col("_row")))
-    built = F.filter(F.array(*(F.col(f"_l{i}") for i in range(1, levels + 1))), lambda x: x.isNotNull())
-    return blocks.select("grp", "depth", "height", "rank", "_row", built.alias("built"))
+        blocks = blocks.withColumn(f"_l{i}", F.when(open_, runs))
+        blocks = blocks.withColumn("_row", F.when(open_, F.transform(f"_l{i}", lambda c: hashed(F.array_join(c, "")))).otherwise(F.col("_row")))
+        built.append(F.col(f"_l{i}"))
+    return blocks.select("grp", "depth", "height", "rank", F.get("_row", F.lit(0)).alias("digest"), F.array_compact(F.array(*built)).alias("built"))
 
 
-def tree(leaves: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
-    """The roots (grp, depth, digest) of the groups of `leaves` (grp, rank, digest), and records (height, digest, children).
+def tree(leaves: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The roots (grp, depth, digest) of the groups of `leaves` (grp, rank, digest), and the records (height, digest, built)
+    under them, `height` being that of the nodes below a record.
 
     Several levels are built in a group of at most FAN ** LEVELS nodes, so the shuffles are few and none gathers more.
     """
-    counts = staged(leaves.groupBy("grp").agg(F.count(F.lit(1)).alias("_n")))
+    counts = leaves.groupBy("grp").agg(F.count(F.lit(1)).alias("_n"))
     depth, reach = F.lit(0), 1  # the least power of FAN that reaches the count, in whole numbers
-    for _ in range(40):
+    while reach <= 2 ** 60:
         depth, reach = depth + (F.col("_n") > F.lit(reach)).cast("int"), reach * FAN
-        if reach > 2 ** 60:
-            break
     counts = staged(counts.select("grp", depth.alias("depth")))
     top = counts.agg(F.max("depth")).first()[0] or 0
     sized = bounded(counts, BROADCAST_OFFSETS).withColumnRenamed("grp", "_grp")
     nodes = leaves.join(sized, F.col("grp").eqNullSafe(F.col("_grp"))).select("grp", "depth", F.lit(0).alias("height"), "rank", "digest")
-    roots, records, height = [nodes.where("depth = 0").select("grp", "depth", "digest")], [], 0
-    nodes = nodes.where("depth > 0")
-    while height < top:
-        levels = min(LEVELS, top - height)
-        blocks = staged(grown(nodes, levels))
-        level = blocks.select("height", F.posexplode("built").alias("_up", "_made")).select(
-            (F.col("height") + 1 + F.col("_up")).cast("int").alias("height"), F.inline("_made"))
-        records.append(level)
-        height += levels
-        up = blocks.select("grp", "depth", F.lit(height).alias("height"), "rank", F.get("_row", F.lit(0)).alias("digest"))
-        roots.append(up.where(F.col("depth") <= height).select("grp", "depth", "digest"))
-        nodes = up.where(F.col("depth") > height)
-    out = roots[0]
-    for r in roots[1:]:
-        out = out.unionByName(r)
-    return staged(out), records
+    roots = nodes.where("depth = 0").select("grp", "depth", "digest")
+    records = None
+    for height in range(0, top, LEVELS):
+        blocks = staged(grown(nodes.where(F.col("depth") > height)))
+        own = blocks.select("height", "digest", "built")
+        records = own if records is None else records.unionByName(own)
+        nodes = blocks.select("grp", "depth", F.lit(height + LEVELS).alias("height"), "rank", "digest")
+        roots = roots.unionByName(nodes.where(F.col("depth") <= F.col("height")).select("grp", "depth", "digest"))
+    if records is None:  # one leaf at most in every group
+        records = leaves.select(F.lit(0).alias("height"), "digest", F.array(F.array(F.array("digest"))).alias("built")).where("false")
+    return staged(roots), records
 
 
 def manifest(leaves: DataFrame) -> dict[str, DataFrame]:
     """The store of a dataset of leaves (grp, rank, digest), `grp` a row's source.
 
-    `records` (height, digest, children) is content-addressed: one row a distinct digest and height. `groups` (grp,
-    grp_rank, depth, subroot) lists the sources' trees, `root` (depth, root) the tree over them.
+    `records` (height, digest, built) is content-addressed: a digest leads to its children, and to theirs for LEVELS
+    levels, stored once however often it occurs. `groups` (grp, grp_rank, depth, subroot) lists the sources' trees, `root`
+    (depth, root) the tree over them.
     """
     subroots, records = tree(leaves)
-    order = ranked(subroots.select(F.lit(0).alias("_all"), "grp", "depth", "digest"), "_all", ["grp"])  # null first, bytewise
+    order = staged(ranked(subroots.select(F.lit(0).alias("_all"), "grp", "depth", "digest"), "_all", ["grp"]))  # null first, bytewise
     root, more = tree(order.select(F.lit(0).alias("grp"), "rank", "digest"))
-    store = None
-    for r in (*records, *more):
-        store = r if store is None else store.unionByName(r)
-    if store is None:  # one leaf at most
-        store = leaves.select(F.lit(1).alias("height"), "digest", F.array("digest").alias("children")).where("false")
-    return {"records": staged(store.dropDuplicates(["height", "digest"])),
-            "groups": staged(order.select("grp", F.col("rank").alias("grp_rank"), "depth", F.col("digest").alias("subroot"))),
-            "root": staged(root.select("depth", F.col("digest").alias("root")))}
+    return {"records": staged(records.unionByName(more).dropDuplicates(["height", "digest"])),
+            "groups": order.select("grp", F.col("rank").alias("grp_rank"), "depth", F.col("digest").alias("subroot")),
+            "root": root.select("depth", F.col("digest").alias("root"))}
+
+
+def children(records: DataFrame) -> DataFrame:
+    """The records of single nodes: digest, children."""
+    runs = records.select(F.explode(F.flatten("built")).alias("children"))
+    return runs.select(hashed(F.array_join("children", "")).alias("digest"), "children").dropDuplicates(["digest"])
 
 
 PATH = "array<struct<at: int, others: array<string>>>"
@@ -122,39 +119,39 @@ def descended(starts: DataFrame, requests: DataFrame, records: DataFrame, keys:
     """Requests (keys, rank, depth, ...) with `found`, the digest of the leaf they name, and `path`, from the root down.
 
     `starts` (keys, depth, digest, path) holds the roots. Requests that share the digits of their ranks so far descend
-    as one row, so a level costs as many rows as it has nodes asked for: the root is joined once, and only the last
-    level has a row a request. Each step looks the digest up among the records of its height, takes the child that the
-    digit selects and collects the others with its place.
+    as one row, so a step costs as many rows as it has nodes asked for; only the last has a row a request. Each step
+    looks the digest up among the records, takes the children that the next LEVELS digits select, and adds a path
+    segment: the digits and the children not selected.
     """
     top = starts.agg(F.max("depth")).first()[0] or 0
     same = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys]
-    asked = requests.select(*keys, "rank", "depth")
     front = starts.select(*keys, "depth", F.lit(0).cast("long").alias("prefix"), "digest", "path")
-    alone = None
-    for height in range(top, 0, -1):
-        own = records.where(F.col("height") == height).select("digest", "children")
-        waiting = front.where(F.col("depth") < height)
-        opened = front.where(F.col("depth") >= height).join(own, "digest")
-        if height > 1:
-            wanted = asked.where(F.col("depth") >= height).select(*keys, F.floor(F.col("rank") / FAN ** (height - 1)).alias("next")).distinct()
-        else:
-            wanted = requests.where("depth >= 1").withColumns({"next": F.col("rank")})
-        wanted = wanted.withColumn("_up", F.floor(F.col("next") / FAN))
-        digit = F.pmod(F.col("w.next"), F.lit(FAN)).cast("int")
+    told = None
+    for base in reversed(range(0, top, LEVELS)):
+        levels = F.least(F.lit(LEVELS), F.col("depth") - base)
+        wanted = requests.where(F.col("depth") > base)
+        wanted = (wanted.select(*keys, "depth", F.floor(F.col("rank") / FAN ** base).alias("next")).distinct() if base
+                  else wanted.withColumn("next", F.col("rank")))
+        wanted = wanted.withColumn("_levels", levels).withColumn("_up", F.floor(F.col("next") / F.pow(F.lit(float(FAN)), F.col("_levels"))).cast("long"))
+        opened = front.where(F.col("depth") > base).join(records.where(F.col("height") == base).select("digest", "built"), "digest")
         met = opened.alias("o").join(wanted.alias("w"), (F.col("o.prefix") == F.col("w._up")) & _all(same("o", "w")))
-        others = F.filter("o.children", lambda c, i: i != digit)
-        path = F.concat("o.path", F.array(F.struct(digit.alias("at"), others.alias("others"))))
-        child = F.get("o.children", digit)
-        if height > 1:
+        inside = F.pmod(F.col("w.next"), F.lit(FAN ** LEVELS))  # the node's place under the record
+        steps = []
+        for level in reversed(range(1, LEVELS + 1)):
+            digit = F.pmod(F.floor(F.col("w.next") / FAN ** (level - 1)), F.lit(FAN)).cast("int")
+            own = F.get(F.get("o.built", F.lit(level - 1)), F.floor(inside / FAN ** level).cast("int"))
+            steps.append(F.when(F.col("w._levels") >= level, F.struct(digit.alias("at"), F.filter(own, lambda c, i: i != digit).alias("others"))))
+        path = F.concat("o.path", F.array_compact(F.array(*steps)))
+        child = F.get(own, digit)
+        if base:
             met = met.select(*(f"o.{k}" for k in keys), "o.depth", F.col("w.next").alias("prefix"), child.alias("digest"), path.alias("path"))
-            front = staged(met.unionByName(waiting))
+            front = staged(met.unionByName(front.where(F.col("depth") <= base)))
         else:
-            alone = met.select(*(f"w.{c}" for c in requests.columns), child.alias("found"), path.alias("path"))
-            front = waiting
+            told = met.select(*(f"w.{c}" for c in requests.columns), child.alias("found"), path.alias("path"))
     # A tree of one leaf is its root.
-    single = requests.where("depth = 0").alias("w").join(front.alias("o"), _all(same("o", "w"))).select(
+    single = requests.where("depth = 0").alias("w").join(front.where("depth = 0").alias("o"), _all(same("o", "w"))).select(
         *(f"w.{c}" for c in requests.columns), F.col("o.digest").alias("found"), "o.path")
-    return single if alone is None else alone.unionByName(single)
+    return single if told is None else told.unionByName(single)
 
 
 def _all(conditions: list[Column]) -> Column:
@@ -180,8 +177,9 @@ def proofs(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
     give the root. `folded_root` is found from the leaf of `tampered`, a text in place of the row's own, with the
     siblings of the untampered tree.
 
-    The store holds digest-to-children records. All rows ask for their proofs at once: requests descend from the root
-    by the digits of the source's place and of the row's rank, collect the children not selected, and reverse the path.
+    The store holds digest-to-children records. All rows ask for their proofs at once: requests descend from the root by
+    the digits of the source's place and of the row's rank, collect the children not selected, and reverse the segments
+    of the path.
 
     Nulls are values of their own: a null source is one source, a null doc_id comes first. Rows that repeat a doc_id are
     leaves of their own, in the order of their digests; equal rows have equal leaves and take neighbouring places. Empty
@@ -195,8 +193,8 @@ def proofs(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
     store = manifest(leaves.select("grp", "rank", "digest"))
     groups, records = store["groups"], store["records"]
     none = F.lit(None).cast(PATH)
-    root = store["root"].withColumns({"_key": F.lit(0), "path": F.coalesce(none, F.expr(f"cast(array() as {PATH})"))})
-    asked = groups.select(F.lit(0).alias("_key"), F.col("grp_rank").alias("rank"), F.col("depth").alias("_depth"), "grp", "subroot").join(
+    root = store["root"].withColumns({"_key": F.lit("root"), "path": F.coalesce(none, F.expr(f"cast(array() as {PATH})"))})
+    asked = groups.select(F.lit("root").alias("_key"), F.col("grp_rank").alias("rank"), F.col("depth").alias("_depth"), "grp", "subroot").join(
         F.broadcast(root.select("_key", "depth", "root")), "_key")  # the root is one row
     tops = staged(descended(root.select("_key", "depth", F.col("root").alias("digest"), "path"), asked, records, ["_key"]))
     starts = tops.select("grp", F.col("_depth").alias("depth"), F.col("found").alias("digest"), "path", "subroot", "root")
