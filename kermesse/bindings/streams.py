@@ -52,8 +52,8 @@ def s01(spark, sf):
 @register("s02_stream_collapse", ORACLES["d01_collapse_multiday"])
 def s02(spark, sf):
     work = _work(spark)
-    jobs.stream_collapse(_candidates(spark, sf), f"{work}/log", f"{work}/ck").awaitTermination()
-    return jobs.read_seasons(spark, f"{work}/log").select(
+    jobs.stream_collapse(_candidates(spark, sf), f"{work}/out", f"{work}/ck", "2 days").awaitTermination()
+    return jobs.read_seasons(spark, f"{work}/out", f"{work}/ck").select(
         "seq", stamp("inicio").alias("inicio"), stamp("fin").alias("fin"), "precio_texto", "imagen_url", "precio_clp", "es_gratis")
 
 
@@ -69,5 +69,5 @@ SELECT host, CAST(max(n) AS int) AS peor, CAST(last(n ORDER BY grp) AS int) AS r
 def s04(spark, sf):
     rows = _events(spark, sf).selectExpr("event_type AS host", "ts", "event_id AS seq", "user_id % 3 = 0 AS ok")
     work = _work(spark)
-    jobs.stream_circuit(rows, f"{work}/log", f"{work}/ck").awaitTermination()
-    return jobs.read_circuit(spark, f"{work}/log").select("host", F.col("peor").cast("int").alias("peor"), F.col("racha").cast("int").alias("racha"))
+    jobs.stream_circuit(rows, f"{work}/out", f"{work}/ck").awaitTermination()
+    return jobs.read_circuit(spark, f"{work}/ck").select("host", F.col("peor").cast("int").alias("peor"), F.col("racha").cast("int").alias("racha"))

@@ -63,6 +63,11 @@ def collapse_multiday(events: DataFrame, gap: int = MAX_SEASON_GAP_DAYS, end_rul
         F.min("first").alias("first"), F.max("last").alias("last"), F.max("max_end").alias("max_end"),
         F.sum("n").alias("n"), F.bool_and("midnight").alias("midnight"),
         F.min("ptext").alias("ptext"), F.min("price").alias("price"), F.min("image").alias("image"))
+    return season_rows(blocks, cols, end_rule).unionByName(events.filter(F.col("inicio").isNull()))
+
+
+def season_rows(seasons: DataFrame, cols: list[str], end_rule: str = "last") -> DataFrame:
+    """The row that stands for each season, from its merged parts (``first``, ``last``, ``n``, ...)."""
     row = lambda c: F.col(f"first.row.{c}")
     many = F.col("n") > 1
     end = F.col("last.end") if end_rule == "last" else F.col("max_end")
@@ -75,8 +80,7 @@ def collapse_multiday(events: DataFrame, gap: int = MAX_SEASON_GAP_DAYS, end_rul
         "es_gratis": F.when(no_price, F.col("price.g")).otherwise(row("es_gratis")),
         "imagen_url": F.coalesce(F.col("image.v"), row("imagen_url")),
     }
-    merged = blocks.select(*[changed.get(c, row(c)).alias(c) for c in cols])
-    return merged.unionByName(events.filter(F.col("inicio").isNull()))
+    return seasons.select(*[changed.get(c, row(c)).alias(c) for c in cols])
 
 
 def first_filled(events: DataFrame, keys: list[str], order: list, column: str) -> DataFrame:

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kermesse.functions.text import url_host
-from kermesse.operators.collapse import collapse_multiday
-from kermesse.operators.review import failure_runs
+from kermesse.operators.collapse import season_rows, series_key
 from kermesse.operators.store import upsert_events
 from kermesse.schemas import CANDIDATE, STORE, names
-
-DONE = "n bigint, origen string, lote bigint"
-
+from kermesse.session import ship_package
+from kermesse.streaming.state import CIRCUIT, SEASON, SEASON_NAMES, SEASON_OUT, Circuit, Seasons
+from kermesse.vocab.calendar import MAX_SEASON_GAP_DAYS
 
 def _if_written(read) -> DataFrame | None:
     """What ``read`` returns, or None where nothing was written yet; any other error is raised."""
@@ -25,84 +26,128 @@ def _if_written(read) -> DataFrame | None:
         return None
 
 
-def _finished(spark: SparkSession, path: str) -> DataFrame | None:
-    return _if_written(lambda: spark.read.schema(DONE).parquet(f"{path}/_done"))
+POINTER = "carpeta string, origen string, lote bigint"
+
+
+def _newest(spark: SparkSession, path: str):
+    found = _if_written(lambda: spark.read.schema(POINTER).parquet(f"{path}/_actual"))
+    return None if found is None else found.first()
 
 
 def stream_upsert(candidates: DataFrame, path: str, checkpoint: str, now: Column):
-    """Upsert each micro-batch into the snapshot at ``path``; the pointer moves last.
+    """Upsert each micro-batch into the store at ``path``.
 
-    Snapshots are numbered on from the newest finished one, whatever query wrote it, and each names the query (its
-    checkpoint) and micro-batch it holds. A replayed batch is skipped; one that was not finished is written again under its
-    number. So neither a restart, a lost executor nor a new checkpoint leaves a half-written table or loses rows.
+    A micro-batch writes its folder, then points to it. A batch that the pointer already names is a replay and is left
+    out; any other replay writes its own folder again.
     """
     spark = candidates.sparkSession
 
     def write(batch: DataFrame, lot: int) -> None:
-        done = _finished(spark, path)
-        newest = None
-        if done is not None:
-            newest = done.agg(F.max("n")).first()[0]
-            if not done.filter((F.col("origen") == checkpoint) & (F.col("lote") == lot)).isEmpty():
-                return
-        number = 0 if newest is None else newest + 1
-        fresh = upsert_events(read_snapshot(spark, path), batch, now).drop("resultado")
-        fresh.write.mode("overwrite").parquet(f"{path}/snapshot={number:010d}")
-        spark.range(1).select(F.lit(number).cast("bigint").alias("n"), F.lit(checkpoint).alias("origen"),
-                              F.lit(lot).cast("bigint").alias("lote")).coalesce(1).write.mode("append").parquet(f"{path}/_done")
+        last = _newest(spark, path)
+        if last is not None and (last.origen, last.lote) == (checkpoint, lot):
+            return
+        folder = f"snapshot={uuid.uuid5(uuid.NAMESPACE_URL, checkpoint).hex}-{lot}"
+        upsert_events(read_snapshot(spark, path), batch, now).drop("resultado").write.mode("overwrite").parquet(f"{path}/{folder}")
+        spark.createDataFrame([(folder, checkpoint, lot)], POINTER).write.mode("overwrite").parquet(f"{path}/_actual")
 
     return (candidates.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The newest finished snapshot, or an empty store where nothing was written yet."""
-    done = _finished(spark, path)
-    newest = None if done is None else done.agg(F.max("n")).first()[0]
-    if newest is None:
+    """The store as of the newest micro-batch, or an empty one where nothing was written yet."""
+    last = _newest(spark, path)
+    if last is None:
         return spark.createDataFrame([], STORE)
-    return spark.read.schema(STORE).parquet(f"{path}/snapshot={newest:010d}").select(*names(STORE))
+    return spark.read.schema(STORE).parquet(f"{path}/{last.carpeta}").select(*names(STORE))
 
 
-def stream_log(rows: DataFrame, path: str, checkpoint: str):
-    """Append each micro-batch to the log at ``path`` once: a replayed batch rewrites its own folder."""
-    origin = F.lit(checkpoint)
+def _keyed_state(spark: SparkSession) -> None:
+    """Processors keep several states a key, which needs the store that holds more than one."""
+    ship_package(spark)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+# -- seasons ----------------------------------------------------------------------------------
+
+def stream_collapse(candidates: DataFrame, path: str, checkpoint: str, lateness: str = "30 days", gap: int = MAX_SEASON_GAP_DAYS):
+    """Keep the open seasons of every series as state and write each season once, when it closes.
+
+    A season closes when the watermark (the latest start seen, less ``lateness``) has passed the last day that could
+    still join it. Rows come in any order; one that starts before the watermark is late: it may belong to a season that
+    was written, so it goes to the table ``tarde`` and changes nothing. Undated rows are written as they come.
+
+    Results are the folders ``tipo=cerrada``, ``tipo=tarde`` and ``tipo=sin_fecha`` of each micro-batch; a replayed one
+    writes its own folder again. ``read_seasons`` adds the open seasons, read from the state.
+    """
+    _keyed_state(candidates.sparkSession)
+    dated = F.col("inicio").isNotNull()
+    # The watermark's own column stays outside: with it Spark would drop late rows without a word.
+    rows = candidates.withColumn("_hora", F.col("inicio").cast("timestamp")).withWatermark("_hora", lateness)
+    keyed = rows.select(F.when(dated, series_key()).otherwise(F.concat(F.lit("sin fecha "), F.col("seq").cast("string"))).alias("serie"),
+                        F.unix_millis("_hora").alias("ms"), *names(CANDIDATE))
+    told = keyed.groupBy("serie").transformWithState(Seasons(gap), SEASON_OUT, "Append", "EventTime")
 
     def write(batch: DataFrame, lot: int) -> None:
-        name = batch.sparkSession.range(1).select(F.hex(F.xxhash64(origin))).first()[0]
-        batch.write.mode("overwrite").parquet(f"{path}/origen=q{name}/lote={lot:010d}")
+        batch.write.mode("overwrite").partitionBy("tipo").parquet(f"{path}/{_origin(checkpoint)}/lote={lot:010d}")
+
+    return told.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
 
-    return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def _origin(checkpoint: str) -> str:
+    return f"origen=q{uuid.uuid5(uuid.NAMESPACE_URL, checkpoint).hex}"
 
 
-def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    found = _if_written(lambda: spark.read.schema(schema).parquet(path))
-    return spark.createDataFrame([], schema) if found is None else found.select(*names(schema))
+def read_results(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """The seasons of one ``tipo`` that were written: ``cerrada``, ``tarde`` or ``sin_fecha``."""
+    found = _if_written(lambda: spark.read.schema(f"{SEASON}, tipo string").option("basePath", path).parquet(path))
+    return spark.createDataFrame([], SEASON) if found is None else found.where(F.col("tipo") == kind).select(*SEASON_NAMES)
 
 
-def stream_collapse(candidates: DataFrame, path: str, checkpoint: str):
-    """Log candidate rows as they come; ``read_seasons`` collapses all of them, undated rows and open seasons too."""
-    return stream_log(candidates, path, checkpoint)
+def open_seasons(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Seasons that may still grow, from the state of the newest micro-batch."""
+    state = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "temporadas").load()
+    return state.select("list_element.*").select(*SEASON_NAMES)
 
 
-def read_seasons(spark: SparkSession, path: str) -> DataFrame:
-    return collapse_multiday(read_log(spark, path, CANDIDATE))
+def read_seasons(spark: SparkSession, path: str, checkpoint: str) -> DataFrame:
+    """Candidate rows with each season as one: closed, open and undated ones."""
+    every = read_results(spark, path, "cerrada").unionByName(open_seasons(spark, checkpoint))
+    undated = read_results(spark, path, "sin_fecha").select("first.row.*")
+    return season_rows(every, names(CANDIDATE)).unionByName(undated.select(*names(CANDIDATE)))
 
 
+# -- first sightings --------------------------------------------------------------------------
+
 def stream_dedup(rows: DataFrame, time: str = "ts", lateness: str = "1 day", keys: tuple[str, ...] = ("endpoint", "id_externo")) -> DataFrame:
     """First row per key within the watermark."""
     return rows.withWatermark(time, lateness).dropDuplicatesWithinWatermark(list(keys))
 
 
-FETCH = "host string, ts timestamp_ntz, seq bigint, ok boolean"
 
+# -- failure circuit --------------------------------------------------------------------------
+
+def stream_circuit(fetches: DataFrame, path: str, checkpoint: str, lateness: str = "1 day", limit: int = 3):
+    """Keep each host's failure counter as state, from fetches (``host`` or ``url``, ``ts``, ``seq``, ``ok``).
 
-def stream_circuit(fetches: DataFrame, path: str, checkpoint: str):
-    """Log the outcome of fetches (``host`` or ``url``, ``ts``, ``seq``, ``ok``) as they come, late rows too."""
+    Counts follow the order of ``ts`` and ``seq``, whatever order rows come in, as long as they come within ``lateness`` of
+    the newest one; later ones are refused. The state of a host is its settled counter and the rows that the watermark
+    has not passed; a timer settles them when it has. Each micro-batch writes the hosts whose counter it changed; the
+    whole circuit is read from the state.
+    """
+    _keyed_state(fetches.sparkSession)
     keyed = fetches if "host" in fetches.columns else fetches.withColumn("host", url_host(F.col("url")))
-    return stream_log(keyed.select("host", F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("seq").cast("bigint").alias("seq"), "ok"), path, checkpoint)
+    time = F.col("ts").cast("timestamp")
+    rows = keyed.select("host", time.alias("ts"), F.unix_micros(time).alias("us"), F.col("seq").cast("bigint").alias("seq"), "ok").withWatermark("ts", lateness)
+    told = rows.groupBy("host").transformWithState(Circuit(limit), CIRCUIT, "Update", "EventTime")
+
+    def write(batch: DataFrame, lot: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/{_origin(checkpoint)}/lote={lot:010d}")
+
+    return told.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def read_circuit(spark: SparkSession, path: str, limit: int = 3) -> DataFrame:
-    """host, racha, peor, abierto by the order of ``ts`` and ``seq``, whatever order the rows came in."""
-    return failure_runs(read_log(spark, path, FETCH)).select("host", "racha", "peor", (F.col("racha") >= limit).alias("abierto"))
+def read_circuit(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """host, racha, peor, abierto of every host, from the state of the newest micro-batch."""
+    state = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "ahora").load()
+    return state.select("key.host", "value.racha", "value.peor", "value.abierto")
