@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from kermesse.bindings import inputs as i
-from kermesse.bindings.joins import addresses, place_rows
+from kermesse.bindings.joins import catalogue
 from kermesse.bindings.registry import register
 from kermesse.bindings.tables import COLLAPSED, FMT, stamp
 from kermesse.operators import review
@@ -70,5 +70,5 @@ def p01c(spark, sf):
 def p03(spark, sf):
     """Labels, corrections, pins, series and formats over the whole store, counted by label."""
     store = i.store_rows(spark, sf).withColumns({"lugar_direccion": F.concat(F.lit("Av. Building N"), (F.hash("hash_dedup") % 25).cast("string"), F.lit(" # "), F.abs(F.hash("titulo") % 900).cast("string"))})
-    out = publish.publish(store, i.as_of(), addresses(spark, sf), place_rows(spark, sf))
+    out = publish.publish(store, i.as_of(), catalogue(spark, sf))
     return out.groupBy("formato", "categoria", "precision").agg(F.count(F.lit(1)).alias("n"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kermesse.bindings import inputs as i
 from kermesse.bindings.extraction import pages
-from kermesse.bindings.joins import addresses, place_rows
+from kermesse.bindings.joins import catalogue
 from kermesse.bindings.registry import register, table
 from kermesse.bindings.scalars import MONTHS, WD, pick
 from kermesse.plans import discounts
@@ -135,4 +135,4 @@ SELECT id, CASE WHEN direccion = '' THEN coalesce(dc, comuna) ELSE comuna END AS
 FROM o LEFT JOIN d USING (comercio)""")
 def p02(spark, sf):
     chosen = discounts.collect(i.offers(spark, sf), F.lit(i.OFFER_AS_OF))
-    return discounts.locate(chosen.withColumn("precision", F.lit("")), addresses(spark, sf), place_rows(spark, sf)).select("id", "comuna", "precision")
+    return discounts.locate(chosen.withColumn("precision", F.lit("")), catalogue(spark, sf)).select("id", "comuna", "precision")

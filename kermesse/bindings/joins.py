@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from kermesse.bindings import inputs as i
@@ -10,6 +12,7 @@ from kermesse.bindings.scalars import pick, sql_list
 from kermesse.functions import places as pl
 from kermesse.operators import corrections, geocode
 from kermesse.operators import offers as off
+from kermesse.session import ensure_checkpoint_dir
 from kermesse.vocab import places as pv
 
 # -- corrections: places by their number, events by id, merchants by part name
@@ -78,22 +81,29 @@ def _queries(spark, sf, street: str, shift: int = 0):
 
 
 POINT = "round(lat, 6) AS lat, round(lon, 6) AS lon"
+ROUND = F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon")
+
+_WRITTEN: dict[tuple[str, str], geocode.Catalogue] = {}
 
 
-def _point(name):
-    return F.round(f"{name}.lat", 6).alias("lat"), F.round(f"{name}.lon", 6).alias("lon")
+def catalogue(spark, sf) -> geocode.Catalogue:
+    """The bucketed catalogues of these tables, written once an application."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _WRITTEN:
+        _WRITTEN[key] = geocode.write_catalogue(addresses(spark, sf), place_rows(spark, sf))
+    return _WRITTEN[key]
 
 
 @register("c05_geocode_exact_address", f"WITH {CATALOGUE} SELECT c_custkey AS qid, {POINT} FROM cat")
 def c05(spark, sf):
     q = _queries(spark, sf, "concat('Sala 12, Av. ', c_mktsegment, ' N', c_nationkey)")
-    return geocode.resolve_addresses(q, addresses(spark, sf), loose=False).select("qid", *_point("strict"))
+    return geocode.strict_addresses(q, catalogue(spark, sf).spans).select("qid", *ROUND)
 
 
 @register("c06_geocode_partial_street", f"WITH {CATALOGUE} SELECT c_custkey AS qid, {POINT}, 'parcial' AS tier FROM cat")
 def c06(spark, sf):
     q = _queries(spark, sf, "concat(c_mktsegment, ' n', c_nationkey)")
-    return geocode.resolve_addresses(q, addresses(spark, sf)).select("qid", *_point("best"), "best.tier")
+    return geocode.loose_addresses(q, catalogue(spark, sf).spans).select("qid", *ROUND, "tier")
 
 
 @register("c07_geocode_near_number", f"""WITH {CATALOGUE}, q AS (SELECT c_custkey AS qid, calle, numero + 3 AS n FROM cat),
@@ -101,7 +111,7 @@ h AS (SELECT qid, lat, lon, abs(numero - n) AS gap, row_number() OVER (PARTITION
 SELECT qid, {POINT}, CASE WHEN gap = 0 THEN 'exacta' ELSE 'cercana' END AS tier FROM h WHERE rn = 1""")
 def c07(spark, sf):
     q = _queries(spark, sf, "concat('Av. ', c_mktsegment, ' n', c_nationkey)", 3)
-    return geocode.resolve_addresses(q, addresses(spark, sf)).select("qid", *_point("best"), "best.tier")
+    return geocode.loose_addresses(q, catalogue(spark, sf).spans).select("qid", *ROUND, "tier")
 
 
 PLACES = """plc AS (SELECT concat('local supplier ', s_suppkey % 50) AS nombre, CASE WHEN s_suppkey % 2 = 0 THEN 'bar' ELSE 'cafe' END AS tipo, -33.45e0 - (s_suppkey % 50) / 1000.0e0 - CASE WHEN s_suppkey % 5 = 0 AND s_suppkey >= 50 THEN 0.05e0 ELSE 0 END AS lat,
@@ -119,7 +129,7 @@ def place_rows(spark, sf):
 SELECT n_nationkey AS qid, round(lat, 6) AS lat FROM nation JOIN g ON nombre = concat('local supplier ', n_nationkey) WHERE (hi - lo) * 111 < 2""")
 def c08(spark, sf):
     q = table(spark, sf, "nation").selectExpr("n_nationkey AS qid", "concat('Local: SUPPLIER ', n_nationkey) AS lugar", "'' AS comuna")
-    return geocode.resolve_places(q, place_rows(spark, sf)).select("qid", F.round("lat", 6).alias("lat"))
+    return geocode.resolve_places(q, catalogue(spark, sf).places).select("qid", F.round("lat", 6).alias("lat"))
 
 
 VENUES = [("Teatro Municipal de La Florida", "La Florida", ""), ("Sala Matucana 100", "", "matucana 100"), ("Planetario USACH", "Estación Central", "planetario usach"), ("Otro lugar", "", ""), ("GAM", "Santiago", "gam")]
@@ -157,10 +167,28 @@ SELECT id, round(CASE id % 7 WHEN 1 THEN -33.4436e0 WHEN 4 THEN CASE WHEN dy < 2
   CASE id % 7 WHEN 1 THEN 'recinto' WHEN 4 THEN CASE WHEN dy < 2 THEN 'recinto' ELSE 'sin_ubicar' END WHEN 5 THEN 'comuna' ELSE 'calle' END AS precision
 FROM q JOIN cat ON c_custkey = id LEFT JOIN g ON id % 7 = 4 AND nombre = lower(lugar)""")
 def c11(spark, sf):
-    rows = spark.sql(CASCADE_IN.replace("FROM customer", f"FROM parquet.`{sf}/customer.parquet`")).selectExpr(
+    return geocode.geocode(unpinned(spark, sf), catalogue(spark, sf), earlier(spark, sf)).select("id", F.round("lat", 6).alias("lat"), "precision")
+
+
+def unpinned(spark, sf):
+    return spark.sql(CASCADE_IN.replace("FROM customer", f"FROM parquet.`{sf}/customer.parquet`")).selectExpr(
         "*", "cast(null AS double) AS lat", "cast(null AS double) AS lon", "'' AS precision")
-    prior = table(spark, sf, "nation").selectExpr("concat('previa ', n_nationkey, ', santiago, chile') AS consulta", "-33.3D AS lat", "-70.7D AS lon")
-    return geocode.geocode(rows, addresses(spark, sf), place_rows(spark, sf), prior).select("id", F.round("lat", 6).alias("lat"), "precision")
+
+
+def earlier(spark, sf):
+    return table(spark, sf, "nation").selectExpr("concat('previa ', n_nationkey, ', santiago, chile') AS consulta", "-33.3D AS lat", "-70.7D AS lon")
+
+
+@register("c12_geocode_two_runs", f"""WITH q AS ({CASCADE_IN}), first AS (SELECT DISTINCT lugar, direccion, comuna FROM q WHERE id % 2 = 0), asked AS (SELECT DISTINCT lugar, direccion, comuna FROM q)
+SELECT lugar, direccion, comuna, first.lugar IS NULL AS nueva FROM asked LEFT JOIN first USING (lugar, direccion, comuna)""")
+def c12b(spark, sf):
+    """A run over half of the rows, then one over all: the second asks only what the first did not."""
+    path = f"{ensure_checkpoint_dir(spark)}/resoluciones-{uuid.uuid4().hex}"
+    rows = unpinned(spark, sf)
+    geocode.geocode_remembered(geocode.distinct_queries(rows.filter("id % 2 = 0")), catalogue(spark, sf), path, i.now(), prior=earlier(spark, sf))
+    queries = geocode.distinct_queries(rows)
+    told = geocode.geocode_remembered(queries, catalogue(spark, sf), path, i.now(), prior=earlier(spark, sf))
+    return queries.join(told, "qid").select("lugar", "direccion", "comuna", "nueva")
 
 
 @register("c12_reuse_resolutions", "SELECT c_custkey AS qid, -33.0e0 - c_nationkey AS lat FROM customer WHERE c_nationkey % 2 = 0")
@@ -183,7 +211,7 @@ def c14(spark, sf):
     a = table(spark, sf, "customer").selectExpr(
         "c_custkey AS id", "concat('Av. ', c_mktsegment, ' n', c_nationkey, ' ', c_custkey + 1) AS direccion", "'' AS comuna", "-33.45D - (c_custkey % 100) / 10000.0D + CASE WHEN c_custkey % 2 = 0 THEN 0.02D ELSE 0.001D END AS lat",
         "-70.60D - c_nationkey / 1000.0D AS lon", "'fuente' AS precision")
-    return geocode.override_contradicting_coords(a, addresses(spark, sf)).select("id", F.round("lat", 6).alias("lat"), "precision")
+    return geocode.override_contradicting_coords(a, catalogue(spark, sf).spans).select("id", F.round("lat", 6).alias("lat"), "precision")
 
 
 CENTRES = "cen AS (SELECT unnest({n}) AS name, unnest({la}) AS la, unnest({lo}) AS lo)".format(

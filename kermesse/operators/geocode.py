@@ -1,17 +1,24 @@
 """Tiered geocoding as equi-joins against an address and a place catalogue.
 
-Every tier works on the distinct queries, never on the rows that carry them.
+Every tier works on the distinct queries, never on the rows that carry them, and only on those that no stricter tier has
+settled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+from dataclasses import dataclass
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kermesse.functions.places import (address_candidates, area_centre, area_hint, match_known_venue,
                                        nearest_area, normalise_street, planar_km)
 from kermesse.functions.text import fold_text
 from kermesse.operators.skew import best_row, lookup
+from kermesse.schemas import RESOLUTION
+from kermesse.session import ensure_checkpoint_dir, stage
 from kermesse.vocab import places as v
 
 NEAR_NUMBER = 250
@@ -67,9 +74,10 @@ def _candidates(queries: DataFrame) -> DataFrame:
 
 
 def street_spans(addresses: DataFrame) -> DataFrame:
-    """Catalogue rows under every word span of their street: 0 whole, 1 head, 2 tail, 3 middle.
+    """Catalogue rows under every word span of their street: ``kind`` 0 whole, 1 head, 2 tail, 3 middle.
 
-    Turns prefix, suffix and infix street matches into equi-joins.
+    Turns exact, prefix, suffix and infix street matches into equi-joins on the span and the hundred-block ``tramo`` of
+    the house number.
     """
     words = F.split("calle", " ")
     n = F.size(words)
@@ -77,63 +85,104 @@ def street_spans(addresses: DataFrame) -> DataFrame:
         F.sequence(i + 1, n), lambda j: F.struct(
             F.array_join(F.slice(words, i + 1, j - i), " ").alias("calle_q"),
             F.when((i == 0) & (j == n), 0).when(i == 0, 1).when(j == n, 2).otherwise(3).alias("kind")))))
-    return addresses.withColumn("_s", F.explode(F.array_distinct(spans))).select(
-        "_s.*", "numero", "ciudad", "lat", "lon", "orden")
+    return number_catalogue(addresses).withColumn("_s", F.explode(F.array_distinct(spans))).select(
+        "_s.*", _block(F.col("numero")).alias("tramo"), F.col("numero").alias("numero_c"), "ciudad", "lat", "lon", "orden")
+
+
+def _block(number: Column) -> Column:
+    return F.floor(number / NEAR_NUMBER).cast("int")
+
+
+@dataclass(frozen=True)
+class Catalogue:
+    """What the tiers look up: street spans and named places."""
 
+    spans: DataFrame
+    places: DataFrame
 
-def exact_matches(cands: DataFrame, addresses: DataFrame) -> DataFrame:
-    hits = cands.join(addresses.withColumnRenamed("calle", "calle_q"), ["calle_q", "numero"])
-    return pick_candidate(hits, ["qid", "cand", "cut"], WIDE_KM)
+
+def catalogue_of(addresses: DataFrame, places: DataFrame) -> Catalogue:
+    """Both catalogues as they are, for one use; :func:`write_catalogue` keeps them for many."""
+    return Catalogue(street_spans(addresses), places)
+
+
+def write_catalogue(addresses: DataFrame, places: DataFrame, name: str | None = None, buckets: int | None = None) -> Catalogue:
+    """Write both catalogues as tables bucketed and sorted by what the tiers look up, and read them back.
+
+    Spans are built once. The tiers' joins read the buckets as they lie: only queries are shuffled, never a catalogue.
+    """
+    spark = addresses.sparkSession
+    name = name or f"catalogo_{uuid.uuid4().hex}"
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    root = f"{ensure_checkpoint_dir(spark)}/{name}"
+    for part, rows, keys in (("tramos", street_spans(addresses), ("calle_q", "tramo")), ("locales", places, ("nombre",))):
+        (rows.repartition(buckets, *keys).write.mode("overwrite").option("path", f"{root}/{part}")
+         .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(f"{name}_{part}"))
+    return read_catalogue(spark, name)
+
+
+def read_catalogue(spark: SparkSession, name: str) -> Catalogue:
+    return Catalogue(spark.table(f"{name}_tramos"), spark.table(f"{name}_locales"))
+
+
+def _met(cands: DataFrame, spans: DataFrame, near: bool = False) -> DataFrame:
+    """Candidates beside the catalogue rows of their span and block, with the ``gap`` between the numbers."""
+    own = _block(F.col("numero"))
+    probe = cands.withColumn("tramo", F.explode(F.array(own - 1, own, own + 1)) if near else own)
+    return probe.join(spans, ["calle_q", "tramo"]).withColumn("gap", F.abs(F.col("numero_c") - F.col("numero")))
+
+
+def exact_matches(cands: DataFrame, spans: DataFrame) -> DataFrame:
+    return pick_candidate(_met(cands, spans.filter("kind = 0")).filter("gap = 0"), ["qid", "cand", "cut"], WIDE_KM)
 
 
 def partial_matches(cands: DataFrame, spans: DataFrame) -> DataFrame:
     """Shortened street names: same number, at least six characters."""
-    long = cands.filter(F.length("calle_q") >= 6)
-    hits = long.join(spans.filter("kind > 0"), ["calle_q", "numero"])
+    hits = _met(cands.filter(F.length("calle_q") >= 6), spans.filter("kind > 0")).filter("gap = 0")
     return pick_candidate(hits, ["qid", "cand", "cut", "kind"], TIGHT_KM)
 
 
 def near_matches(cands: DataFrame, spans: DataFrame) -> DataFrame:
     """Numbers near on the street, nearest first, by a bucketed range join."""
-    probe = cands.withColumn("_b", F.explode(F.transform(
-        F.array(F.lit(-1), F.lit(0), F.lit(1)),
-        lambda d: F.floor(F.col("numero") / NEAR_NUMBER).cast("int") + d)))
-    side = spans.withColumn("_b", F.floor(F.col("numero") / NEAR_NUMBER).cast("int")
-                            ).withColumnRenamed("numero", "numero_c")
-    hits = probe.join(side, ["calle_q", "_b"]).withColumn("gap", F.abs(F.col("numero_c") - F.col("numero")))
-    hits = hits.filter((F.col("gap") < NEAR_NUMBER) & ((F.col("kind") == 0) | (F.length("calle_q") >= 6)))
-    keys = ["qid", "cand", "cut", "kind"]
-    return pick_candidate(hits.withColumn("orden", F.struct("gap", "orden")), keys, TIGHT_KM)
-
-
-def resolve_addresses(queries: DataFrame, addresses: DataFrame, loose: bool = True,
-                      spans: DataFrame | None = None) -> DataFrame:
-    """qid, strict(lat, lon), best(lat, lon, tier) for ``queries(qid, direccion, comuna)``.
-
-    ``strict`` is the exact street and number alone. ``best`` relaxes a candidate before it
-    moves to the next one; a looser tier only sees candidates that could still win.
-    """
-    addresses = number_catalogue(addresses)
-    cands = _candidates(queries)
-    exact = exact_matches(cands, addresses)
-    rank = lambda tier, kind: F.struct(
-        F.col("cand").alias("a"), F.lit(tier).alias("b"), F.col("cut").alias("c"), kind.alias("d"),
-        F.col("lat"), F.col("lon"))
-    strict = exact.groupBy("qid").agg(F.min(rank(0, F.lit(0))).alias("s"))
-    if not loose:
-        return strict.select("qid", F.struct("s.lat", "s.lon").alias("strict"))
-    spans = street_spans(addresses) if spans is None else spans
-    open_cands = cands.join(strict.select("qid", F.col("s.a").alias("_a")), "qid", "left").filter(
+    hits = _met(cands, spans, near=True).filter(
+        (F.col("gap") < NEAR_NUMBER) & ((F.col("kind") == 0) | (F.length("calle_q") >= 6)))
+    return pick_candidate(hits.withColumn("orden", F.struct("gap", "orden")), ["qid", "cand", "cut", "kind"], TIGHT_KM)
+
+
+def _rank(tier: int, kind: Column) -> Column:
+    return F.struct(F.col("cand").alias("a"), F.lit(tier).alias("b"), F.col("cut").alias("c"), kind.alias("d"),
+                    F.col("lat"), F.col("lon"))
+
+
+def _open(cands: DataFrame, best: DataFrame) -> DataFrame:
+    """Candidates that come before the one that is settled, or all where none is."""
+    return cands.join(best.select("qid", F.col("r.a").alias("_a")), "qid", "left").filter(
         F.col("_a").isNull() | (F.col("cand") < F.col("_a"))).drop("_a")
-    partial = partial_matches(open_cands, spans).select("qid", rank(1, F.col("kind")).alias("r"))
-    near = near_matches(open_cands, spans).select("qid", rank(2, F.col("kind")).alias("r"))
-    looser = partial.unionByName(near)
-    every = strict.select("qid", F.col("s").alias("r")).unionByName(looser)
-    best = every.groupBy("qid").agg(F.min("r").alias("r"))
+
+
+def strict_addresses(queries: DataFrame, spans: DataFrame) -> DataFrame:
+    """qid, lat, lon by street and number alone."""
+    exact = exact_matches(_candidates(queries), spans)
+    return exact.groupBy("qid").agg(F.min(_rank(0, F.lit(0))).alias("s")).select("qid", "s.lat", "s.lon")
+
+
+def loose_addresses(queries: DataFrame, spans: DataFrame, strict: bool = True) -> DataFrame:
+    """qid, lat, lon, tier: a candidate is relaxed before the next one is tried.
+
+    Each looser match only sees candidates that could still win. ``strict=False`` leaves the exact match out, where it is
+    known that none of the queries has one.
+    """
+    cands = stage(_candidates(queries))
+    best = None
+    if strict:
+        best = stage(exact_matches(cands, spans).groupBy("qid").agg(F.min(_rank(0, F.lit(0))).alias("r")))
+    waiting = cands if best is None else _open(cands, best)
+    partial = stage(partial_matches(waiting, spans).groupBy("qid").agg(F.min(_rank(1, F.col("kind"))).alias("r")))
+    best = partial if best is None else best.unionByName(partial).groupBy("qid").agg(F.min("r").alias("r"))
+    near = near_matches(_open(cands, best), spans).select("qid", _rank(2, F.col("kind")).alias("r"))
+    every = best.unionByName(near).groupBy("qid").agg(F.min("r").alias("r"))
     tier = F.element_at(F.array(F.lit("exacta"), F.lit("parcial"), F.lit("cercana")), F.col("r.b") + 1)
-    return best.join(strict, "qid", "left").select(
-        "qid", F.when(F.col("s").isNotNull(), F.struct("s.lat", "s.lon")).alias("strict"),
-        F.struct("r.lat", "r.lon", tier.alias("tier")).alias("best"))
+    return every.select("qid", "r.lat", "r.lon", tier.alias("tier"))
 
 
 def resolve_places(queries: DataFrame, places: DataFrame) -> DataFrame:
@@ -168,39 +217,87 @@ def distinct_queries(df: DataFrame) -> DataFrame:
         "qid", F.sha2(F.concat_ws("\u0001", "lugar", "direccion", "comuna"), 256))
 
 
-def geocode_queries(queries: DataFrame, addresses: DataFrame, places: DataFrame,
-                    prior: DataFrame | None = None) -> DataFrame:
-    """qid, lat, lon, precision for ``queries(qid, lugar, direccion, comuna)``."""
-    addresses = number_catalogue(addresses)
-    spans = street_spans(addresses)
-    by_address = resolve_addresses(queries, addresses, spans=spans)
-    by_name = resolve_addresses(queries.select("qid", F.col("lugar").alias("direccion"), "comuna"),
-                                addresses, spans=spans)
-    point = lambda d, name: d.select("qid", F.struct("lat", "lon").alias(name))
-    out = queries.join(by_address.select("qid", "strict", F.col("best").alias("addr")), "qid", "left")
-    out = out.join(by_name.select("qid", F.col("best").alias("named")), "qid", "left")
-    out = out.join(point(resolve_places(queries, places), "place"), "qid", "left")
+def geocode_queries(queries: DataFrame, catalogue: Catalogue, prior: DataFrame | None = None,
+                    seen: dict[str, DataFrame] | None = None) -> DataFrame:
+    """qid, lat, lon, precision for ``queries(qid, lugar, direccion, comuna)``.
+
+    From the strictest tier to the loosest; each sees the queries that none before it has settled. ``seen`` is filled
+    with the queries that enter each tier.
+    """
+    waiting = stage(queries.select("qid", "lugar", "direccion", "comuna"))
+    settled = []
+
+    def settle(name: str, tier, label: str) -> None:
+        nonlocal waiting
+        if seen is not None:
+            seen[name] = waiting
+        found = stage(tier(waiting).select("qid", "lat", "lon", F.lit(label).alias("precision")))
+        settled.append(found)
+        waiting = waiting.join(found.select("qid"), "qid", "left_anti")
+
+    settle("exacta", lambda q: strict_addresses(q, catalogue.spans), "calle")
+    venue = match_known_venue(F.col("lugar"), F.col("comuna"))
+    settle("recinto", lambda q: q.select("qid", venue.alias("_v")).filter("_v is not null").select("qid", "_v.lat", "_v.lon"), "recinto")
     if prior is not None:
-        out = out.join(point(reuse_resolutions(queries, prior), "prior"), "qid", "left")
-    else:
-        out = out.withColumn("prior", F.lit(None).cast("struct<lat:double,lon:double>"))
-    venue, centre = match_known_venue(F.col("lugar"), F.col("comuna")), area_centre(F.col("comuna"))
-    found = lambda p, label: F.when(p.isNotNull(), F.struct(
-        p["lat"].alias("lat"), p["lon"].alias("lon"), F.lit(label).alias("precision")))
-    hit = F.coalesce(found(F.col("strict"), "calle"), found(venue, "recinto"), found(F.col("prior"), "calle"),
-                     found(F.col("addr"), "calle"), found(F.col("named"), "calle"),
-                     found(F.col("place"), "recinto"), found(centre, "comuna"))
-    return out.select("qid", hit.alias("h")).select(
-        "qid", "h.lat", "h.lon", F.coalesce("h.precision", F.lit("")).alias("precision"))
-
-
-def geocode(df: DataFrame, addresses: DataFrame, places: DataFrame, prior: DataFrame | None = None,
-            id_cols: tuple[str, ...] = ("id",)) -> DataFrame:
-    """Fill lat, lon and precision of rows without a pin; others are left as they are."""
+        settle("previa", lambda q: reuse_resolutions(q, prior), "calle")
+    settle("direccion", lambda q: loose_addresses(q, catalogue.spans, strict=False), "calle")
+    settle("lugar", lambda q: loose_addresses(q.select("qid", F.col("lugar").alias("direccion"), "comuna"), catalogue.spans), "calle")
+    settle("local", lambda q: resolve_places(q, catalogue.places), "recinto")
+    if seen is not None:
+        seen["centro"] = waiting
+    centre = area_centre(F.col("comuna"))
+    rest = waiting.select("qid", centre.alias("_c")).select(
+        "qid", "_c.lat", "_c.lon", F.when(F.col("_c").isNotNull(), "comuna").otherwise("").alias("precision"))
+    for found in settled:
+        rest = rest.unionByName(found)
+    return rest
+
+
+# -- earlier resolutions ----------------------------------------------------------------------
+
+def read_resolutions(spark: SparkSession, path: str) -> DataFrame:
+    """The newest outcome of every query that was ever asked; a failure has no point."""
+    try:
+        every = spark.read.schema(RESOLUTION).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        every = spark.createDataFrame([], RESOLUTION)
+    return best_row(every, ["qid"], [F.col("resuelto"), F.col("corrida")], largest=True)
+
+
+def geocode_remembered(queries: DataFrame, catalogue: Catalogue, path: str, now: Column, days: int = 30,
+                       prior: DataFrame | None = None) -> DataFrame:
+    """qid, lat, lon, precision, nueva: asks only what the table at ``path`` does not answer, and writes what it found.
+
+    Points stay known; a query without a point, or with the area's centre only, is asked again after ``days``. Each run
+    appends its outcomes, failures too, to the partition of its day; the newest outcome of a query counts.
+    """
+    known = read_resolutions(queries.sparkSession, path)
+    firm = F.col("lat").isNotNull() & (F.col("precision") != "comuna")
+    fresh = F.datediff(now.cast("date"), F.col("dia")) < days
+    answered = stage(queries.select("qid").join(known.filter(firm | fresh), "qid").select("qid", "lat", "lon", "precision"))
+    asked = stage(queries.join(answered.select("qid"), "qid", "left_anti"))
+    found = stage(geocode_queries(asked, catalogue, prior))
+    run = F.lit(uuid.uuid4().hex)
+    (asked.join(found, "qid").select("qid", "lugar", "direccion", "comuna", "lat", "lon", "precision",
+                                     now.cast("timestamp_ntz").alias("resuelto"), run.alias("corrida"), now.cast("date").alias("dia"))
+     .write.mode("append").partitionBy("dia").parquet(path))
+    return answered.withColumn("nueva", F.lit(False)).unionByName(found.withColumn("nueva", F.lit(True)))
+
+
+def geocode(df: DataFrame, catalogue: Catalogue, prior: DataFrame | None = None, remembered: str | None = None,
+            now: Column | None = None) -> DataFrame:
+    """Fill lat, lon and precision of rows without a pin; others are left as they are.
+
+    With ``remembered`` and ``now``, outcomes are kept in that table from run to run.
+    """
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
     need = df.filter(F.col("lat").isNull()).withColumn(
         "qid", F.sha2(F.concat_ws("\u0001", text("lugar"), text("direccion"), text("comuna")), 256))
-    answers = geocode_queries(distinct_queries(df.filter(F.col("lat").isNull())), addresses, places, prior)
+    queries = distinct_queries(df.filter(F.col("lat").isNull()))
+    answers = (geocode_queries(queries, catalogue, prior) if remembered is None
+               else geocode_remembered(queries, catalogue, remembered, now, prior=prior))
     got = lookup(need, answers.select("qid", F.col("lat").alias("_la"), F.col("lon").alias("_lo"),
                                       F.col("precision").alias("_p")), ["qid"])
     filled = got.withColumns({"lat": F.col("_la"), "lon": F.col("_lo"), "precision": F.when(
@@ -208,15 +305,14 @@ def geocode(df: DataFrame, addresses: DataFrame, places: DataFrame, prior: DataF
     return filled.select(*df.columns).unionByName(df.filter(F.col("lat").isNotNull()))
 
 
-def override_contradicting_coords(df: DataFrame, addresses: DataFrame, km: float = 1.0) -> DataFrame:
+def override_contradicting_coords(df: DataFrame, spans: DataFrame, km: float = 1.0) -> DataFrame:
     """Where the row's own address resolves further than ``km`` from its pin, the address wins."""
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
     both = F.col("lat").isNotNull() & (text("direccion") != "")
     keyed = df.withColumn("qid", F.when(both, F.sha2(F.concat_ws(
         "\u0001", text("direccion"), text("comuna")), 256)))
     queries = keyed.filter(both).select("qid", "direccion", "comuna").dropDuplicates(["qid"])
-    real = resolve_addresses(queries, addresses).select(
-        "qid", F.col("best.lat").alias("_la"), F.col("best.lon").alias("_lo"))
+    real = loose_addresses(queries, spans).select("qid", F.col("lat").alias("_la"), F.col("lon").alias("_lo"))
     out = lookup(keyed, real, ["qid"])
     far = F.coalesce(planar_km(F.col("lat"), F.col("lon"), F.col("_la"), F.col("_lo")) > km, F.lit(False))
     return out.withColumns({

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kermesse.functions.offers import in_region
 from kermesse.operators.corrections import overlay_merchant_corrections
 from kermesse.operators.filters import exclude_merchants, offer_alive
-from kermesse.operators.geocode import geocode
+from kermesse.operators.geocode import Catalogue, geocode
 from kermesse.session import stage
 from kermesse.operators.offers import dedup_keep_richest, lend_addresses, with_id
 
@@ -21,7 +21,7 @@ def collect(offers: DataFrame, as_of: Column, excluded: DataFrame | None = None)
     return dedup_keep_richest(with_id(rows.filter(in_region(F.col("comuna"), F.col("region")))))
 
 
-def locate(offers: DataFrame, addresses: DataFrame, places: DataFrame, fixes: DataFrame | None = None) -> DataFrame:
+def locate(offers: DataFrame, catalogue: Catalogue, fixes: DataFrame | None = None) -> DataFrame:
     """Corrections, lent addresses, then the geocoding tiers for rows still without a pin."""
     rows = stage(offers)
     if fixes is not None:
@@ -30,4 +30,4 @@ def locate(offers: DataFrame, addresses: DataFrame, places: DataFrame, fixes: Da
     rows = rows.withColumn("precision", F.when(F.col("precision") == "correccion", F.col("precision"))
                            .when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), "fuente")
                            .otherwise(F.coalesce("precision", F.lit("")))).withColumn("lugar", F.lit(""))
-    return geocode(stage(rows), addresses, places).drop("lugar")
+    return geocode(stage(rows), catalogue).drop("lugar")

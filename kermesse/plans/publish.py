@@ -10,7 +10,7 @@ from kermesse.functions.text import is_machine_url, venue_from_title
 from kermesse.operators.collapse import collapse_weekly_series, degrade_shared_pins
 from kermesse.operators.corrections import overlay_event_corrections, overlay_place_corrections
 from kermesse.operators.filters import is_current
-from kermesse.operators.geocode import geocode, override_contradicting_coords
+from kermesse.operators.geocode import Catalogue, geocode, override_contradicting_coords
 from kermesse.operators.store import split_formats
 from kermesse.session import stage
 
@@ -38,7 +38,7 @@ def labelled(store: DataFrame, as_of: Column, use_hour: bool = True) -> DataFram
         c("fuente_nombre").alias("fuente"), c("fuente_url").alias("url"), c("_cat.reason").alias("origen"))
 
 
-def publish(store: DataFrame, as_of: Column, addresses: DataFrame, places: DataFrame,
+def publish(store: DataFrame, as_of: Column, catalogue: Catalogue,
             place_fixes: DataFrame | None = None, event_fixes: DataFrame | None = None,
             prior: DataFrame | None = None) -> DataFrame:
     """The whole catalogue with ``formato``; filter on it for the two published lists.
@@ -51,6 +51,6 @@ def publish(store: DataFrame, as_of: Column, addresses: DataFrame, places: DataF
         rows = overlay_place_corrections(rows, place_fixes)
     if event_fixes is not None:
         rows = overlay_event_corrections(rows, event_fixes)
-    rows = stage(override_contradicting_coords(stage(rows), addresses))
-    rows = stage(geocode(rows, addresses, places, prior))
+    rows = stage(override_contradicting_coords(stage(rows), catalogue.spans))
+    rows = stage(geocode(rows, catalogue, prior))
     return split_formats(degrade_shared_pins(collapse_weekly_series(rows)))

@@ -26,6 +26,8 @@ OFFER = (
     "porcentaje int, oferta string, tope int, dias array<string>, vigencia_hasta date, "
     "tarjetas array<string>, modalidad string, segmentado boolean, condiciones string, "
     "url string, logo string, capturado string")
+RESOLUTION = ("qid string, lugar string, direccion string, comuna string, lat double, lon double, precision string, "
+              "resuelto timestamp_ntz, corrida string, dia date")
 ADDRESS_CATALOGUE = "calle string, numero int, ciudad string, lat double, lon double"
 PLACE_CATALOGUE = "nombre string, tipo string, lat double, lon double, direccion string, ciudad string"
 

@@ -40,7 +40,3 @@ def place_catalogue(points: DataFrame) -> DataFrame:
         normalise_street(_tag("name")).alias("nombre"), kind.alias("tipo"), "lat", "lon", address.alias("direccion"),
         _tag("addr:city").alias("ciudad"))
 
-
-def write_catalogue(df: DataFrame, table: str, key: str, buckets: int = 64) -> None:
-    """Bucketed and sorted by its lookup key, so tiers join without moving the catalogue."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
