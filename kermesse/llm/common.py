@@ -31,15 +31,15 @@ def utf8_sha256(c: Column) -> Column:
     return F.sha2(c.cast("binary"), 256)
 
 
-def staged(df: DataFrame) -> DataFrame:
+def staged(df: DataFrame, folders: str | None = None) -> DataFrame:
     """Write a step to the shared checkpoint folder as Parquet and read it back.
 
-    Columns prune on later reads, and a lost executor costs no earlier work.
+    Columns prune on later reads, and a lost executor costs no earlier work. A column of small numbers may name folders.
     """
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm
     path = f"{ensure_checkpoint_dir(spark)}/staged-{jvm.java.util.UUID.randomUUID()}"
-    df.write.parquet(path)
+    (df.write.partitionBy(folders) if folders else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

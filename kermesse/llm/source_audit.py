@@ -8,29 +8,35 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kermesse.llm.common import ascii_lower, bounded, python_ready, staged
+from kermesse.llm.common import LOWER, UPPER, bounded, python_ready, staged
 
 #: Documents of a language that hold a kept term, and the ranks of a group's terms that are told.
 MIN_DOCS, TOP_TERMS = 10, 10
 #: The vocabulary is never cut: its greatest size is the greatest integer.
 VOCABULARY = 2 ** 31 - 1
-#: Distinct terms that one vectoriser learns; more are dealt out to several by hash, and each learns its share whole.
-SHARD_TERMS = 2_000_000
+#: Distinct terms of a language that one vectoriser reads; more are dealt out to several by hash, and each learns its
+#: share whole. Terms that too few documents hold never reach the driver.
+SHARD_TERMS = 5_000_000
 #: Terms whose names are broadcast to name indices; more are joined by a shuffle.
 BROADCAST_TERMS = 200_000
 #: Rows (group, term) that meet in a task when pairs of groups are evaluated.
 BLOCK_ROWS = 200_000
 #: Proportions are whole numbers of this many parts.
 PARTS = 1_000_000_000
-#: Fixed value: a term.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-#: Separates a term from the language it is marked with; no term holds it.
-MARK = "\x01"
+#: The ASCII signs that no term holds, and the letters that lose their case.
+BREAKS = "".join(map(chr, (*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80))))
+#: Folders that texts are written to by their language's hash, so that a language is read alone.
+FOLDERS = 64
 
 
-def terms(text: Column) -> Column:
-    """Terms of a text: runs of ASCII letters and of signs beyond ASCII, with A-Z in lower case."""
-    return F.regexp_extract_all(ascii_lower(text), F.lit(TERM), F.lit(0))
+def cleaned(text: Column) -> Column:
+    """The text with a blank for every sign that no term holds, and A-Z in lower case: its terms are what blanks part."""
+    return F.translate(text, UPPER + BREAKS, LOWER + " " * len(BREAKS))
+
+
+def terms(clean: Column) -> Column:
+    """Terms of a cleaned text, with an empty one wherever blanks meet."""
+    return F.split(clean, " ")
 
 
 def whole(a: Column, b: Column) -> Column:
@@ -50,32 +56,39 @@ def divergence(p: Column, q: Column) -> Column:
 
 
 def counted(docs: DataFrame, min_docs: int, shard_terms: int) -> DataFrame:
-    """Rows (lang, source, term, id, n): how often each kept term occurs in each group that has it; `id` numbers the
-    terms of all languages.
+    """Rows (lang, source, term, id, n): how often each kept term occurs in each group that has it; `id` numbers the kept
+    terms of a language.
 
-    A vectoriser learns the terms of all languages at once, each term marked with its language, so that document
-    counts are those of the language. Its sparse document vectors are summed by group, index by index; sums are
-    reduced before the shuffle and no dense vector is built.
+    A vectoriser a language learns the terms that enough of its documents hold. Its sparse document vectors are summed by
+    group, index by index; sums are reduced before the shuffle and no dense vector is built. Languages with fewer than
+    `min_docs` documents keep no term and are left out.
     """
     spark = docs.sparkSession
-    marked = staged(docs.select("lang", "source", F.transform(terms(F.col("text")), lambda t: F.concat("lang", F.lit(MARK), t)).alias("terms")))
-    distinct = marked.select(F.explode("terms").alias("t")).agg(F.approx_count_distinct("t", 0.02)).first()[0]
-    shards = max(1, -(-distinct * 11 // (10 * shard_terms)))
-    # A vectoriser wants one term at least: the bare mark, which names no term.
-    none = spark.range(max(1, min_docs)).select(F.lit("").alias("lang"), F.lit("").alias("source"), F.array(F.lit(MARK)).alias("terms"))
-    out = None
-    for k in range(shards):
-        own = marked if shards == 1 else marked.withColumn("terms", F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(shards)) == k))
-        model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=VOCABULARY).fit(own.unionByName(none))
-        vector = F.unwrap_udt("vector")
-        cells = model.transform(own).select("lang", "source", F.inline(F.arrays_zip(
-            vector["indices"].alias("at"), vector["values"].alias("n"))))
-        sums = cells.groupBy("lang", "source", "at").agg(F.sum(F.col("n").cast("long")).alias("n"))
-        names = spark.createDataFrame(pa.table({"at": pa.array(range(len(model.vocabulary)), pa.int32()), "marked": pa.array(model.vocabulary)}))
-        part = sums.join(bounded(names, BROADCAST_TERMS), "at").select(
-            "lang", "source", F.substring_index("marked", MARK, -1).alias("term"), (F.col("at").cast("long") * shards + k).alias("id"), "n")
-        out = part if out is None else out.unionByName(part)
-    return staged(out)
+    folder = F.pmod(F.xxhash64("lang"), F.lit(FOLDERS)).cast("int")
+    clean = staged(docs.select("lang", "source", cleaned(F.col("text")).alias("clean"), folder.alias("folder")), "folder")
+    langs = (docs.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.length("text")).alias("chars"), F.first(folder).alias("folder"))
+             .where(F.col("docs") >= min_docs).orderBy("lang").collect())
+    out = spark.createDataFrame([], "lang string, source string, term string, id long, n long")
+    for lang in langs:
+        own = clean.where((F.col("folder") == lang.folder) & (F.col("lang") == lang.lang)).select("source", terms(F.col("clean")).alias("terms"))
+        # A text of n signs has (n + 1) / 2 terms at most; only where that passes the bound are the terms counted.
+        distinct = lang.chars if lang.chars <= shard_terms else own.select(F.explode("terms").alias("t")).agg(
+            F.approx_count_distinct("t", 0.02)).first()[0] * 11 // 10
+        shards = max(1, -(-distinct // shard_terms))
+        # A vectoriser wants one term at least: the empty one, which is none.
+        none = spark.range(min_docs).select(F.lit("").alias("source"), F.array(F.lit("")).alias("terms"))
+        for k in range(shards):
+            part = own if shards == 1 else own.withColumn("terms", F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(shards)) == k))
+            model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=VOCABULARY).fit(part.unionByName(none))
+            vector = F.unwrap_udt("vector")
+            cells = model.transform(part).select("source", F.inline(F.arrays_zip(vector["indices"].alias("at"), vector["values"].alias("n"))))
+            sums = cells.groupBy("source", "at").agg(F.sum(F.col("n").cast("long")).alias("n"))
+            words = pa.array(model.vocabulary)
+            names = spark.createDataFrame(pa.table({"at": pa.array(range(len(words)), pa.int32()), "term": words})).where("term <> ''")
+            named = sums.join(bounded(names, BROADCAST_TERMS), "at").select(
+                F.lit(lang.lang).alias("lang"), "source", "term", (F.col("at").cast("long") * shards + k).alias("id"), "n")
+            out = out.unionByName(staged(named))
+    return out
 
 
 def pair_sums(cells: DataFrame) -> DataFrame:
@@ -123,7 +136,7 @@ def source_divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int
 
     Null lang, source and text are empty ones. Texts without terms make their group appear with counts of 0; a language
     without kept terms has divergences of 0 and no terms. Repeated rows count as often as they occur. A language of one
-    source has no pairs. No rows give no rows. Other columns are ignored.
+    source has no pairs. No rows give no rows. Other columns are ignored. `min_docs` is at least 1.
     """
     python_ready(docs.sparkSession)
     empty = F.lit("")

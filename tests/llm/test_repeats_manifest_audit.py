@@ -240,7 +240,7 @@ def audited(df, **options):
     return sorted((r.lang, r.source, r.part, r.item, r.value, r["rank"]) for r in audit.source_divergence(df, **options).collect())
 
 
-@pytest.mark.parametrize("options", [{}, {"shard_terms": 7, "block_rows": 13}])
+@pytest.mark.parametrize("options", [{}, {"shard_terms": 40, "block_rows": 13}])
 def test_divergence_is_that_of_brute_force(spark, options):
     rng = np.random.default_rng(4)
     words = ["alpha", "BETA", "gamma", "é", "日本", "d", "e", "Rare1", "rare2", "x-y", "3d4", "Ünder"]
