@@ -32,7 +32,7 @@ ELIGIBLE = {
 
 @register("j01_eligible_pairs", f"WITH {ROWS} " + " UNION ALL ".join(f"SELECT '{k}' AS perfil, seq FROM r WHERE {v}" for k, v in ELIGIBLE.items()))
 def j01(spark, sf):
-    return recommend.eligible_pairs(_prepared(spark, sf), PROFILES).select("perfil", "seq")
+    return recommend.eligible_pairs(_prepared(spark, sf), recommend.profiles_of(spark, PROFILES)).select("perfil", "seq")
 
 
 HAS_HOUR = "NOT (hour(inicio) = 0 AND minute(inicio) = 0)"
@@ -56,18 +56,32 @@ SCORE = {
 @register("j02_score_pairs", f"WITH {ROWS}, s AS (" + " UNION ALL ".join(
     f"SELECT '{k}' AS perfil, seq, {SCORE[k]} + {COMMON} AS puntaje FROM r WHERE {ELIGIBLE[k]}" for k in ELIGIBLE) + ") SELECT perfil, seq, round(puntaje, 4) AS puntaje FROM s WHERE puntaje > 0")
 def j02(spark, sf):
-    return recommend.score_pairs(_prepared(spark, sf), PROFILES, i.now()).select("perfil", "seq", F.round("puntaje", 4).alias("puntaje"))
+    return recommend.score_pairs(_prepared(spark, sf), recommend.profiles_of(spark, PROFILES), i.now()).select("perfil", "seq", F.round("puntaje", 4).alias("puntaje"))
 
 
-@register("j03_rank_diverse")
+# The greedy pass in rounds: what leads under all its keys is kept, what meets a kept row is dropped, the rest waits.
+GREEDY = f"""WITH RECURSIVE {ROWS}, s AS (""" + " UNION ALL ".join(
+    f"SELECT '{k}' AS perfil, seq, lugar, titulo, categoria, gratis, recurrente, ninos, {SCORE[k]} + {COMMON} AS puntaje FROM r WHERE {ELIGIBLE[k]}" for k in ELIGIBLE) + """),
+scored AS (SELECT *, row_number() OVER (PARTITION BY perfil ORDER BY puntaje DESC, seq) AS rk FROM s WHERE puntaje > 0),
+keyed AS (SELECT perfil, seq, rk, unnest(['s:' || lugar, 't:' || titulo, CASE WHEN perfil = 'gratis' THEN 'c:' || categoria ELSE 's:' || lugar END]) AS key FROM scored),
+it AS (SELECT DISTINCT perfil, seq, rk, key, 'open' AS st FROM keyed
+  UNION ALL SELECT perfil, seq, rk, key, CASE WHEN kept THEN 'kept' ELSE 'open' END FROM (SELECT *, bool_or(beaten) OVER (PARTITION BY perfil, seq) AS gone
+    FROM (SELECT *, bool_or(kept) OVER (PARTITION BY perfil, key) AS beaten FROM (SELECT *, bool_and(rk = first) OVER (PARTITION BY perfil, seq) AS kept
+      FROM (SELECT *, min(rk) OVER (PARTITION BY perfil, key) AS first FROM it WHERE st = 'open')))) WHERE kept OR NOT gone),
+ranked AS (SELECT scored.*, (perfil, seq) IN (SELECT (perfil, seq) FROM it WHERE st = 'kept') AS elegido FROM scored)"""
+
+
+@register("j03_rank_diverse", f"{GREEDY} SELECT perfil, seq, elegido, round(puntaje, 4) AS puntaje FROM ranked")
 def j03(spark, sf):
-    scored = recommend.score_pairs(_prepared(spark, sf), PROFILES, i.now()).withColumn("fuente", F.col("lugar"))
+    scored = recommend.score_pairs(_prepared(spark, sf), recommend.profiles_of(spark, PROFILES), i.now()).withColumn("fuente", F.col("lugar"))
     return recommend.rank_diverse(scored).select("perfil", "seq", "elegido", F.round("puntaje", 4).alias("puntaje"))
 
 
-@register("j04_profile_regression_report")
+@register("j04_profile_regression_report", f"""{GREEDY}, top AS (SELECT * FROM ranked QUALIFY row_number() OVER (PARTITION BY perfil ORDER BY elegido DESC, puntaje DESC, seq) <= 5),
+n AS (SELECT perfil, count(*) AS vistos, sum(CASE perfil WHEN 'gratis' THEN (NOT gratis)::int + recurrente::int WHEN 'carrete' THEN ninos::int WHEN 'barrio' THEN (NOT ninos)::int ELSE (categoria <> 'deporte')::int END) AS alarmas FROM top GROUP BY perfil)
+SELECT perfil, coalesce(vistos, 0) AS vistos, coalesce(alarmas, 0)::bigint AS alarmas, vistos IS NULL AS vacio FROM (SELECT unnest({list(ELIGIBLE)}) AS perfil) LEFT JOIN n USING (perfil)""")
 def j04(spark, sf):
-    scored = recommend.score_pairs(_prepared(spark, sf), PROFILES, i.now()).withColumn("fuente", F.col("lugar"))
+    scored = recommend.score_pairs(_prepared(spark, sf), recommend.profiles_of(spark, PROFILES), i.now()).withColumn("fuente", F.col("lugar"))
     bad = {"gratis": {"pidio gratis": ~F.col("gratis"), "es un taller": F.col("recurrente")}, "carrete": {"es infantil": F.col("para_ninos")},
            "barrio": {"no es para ninos": ~F.col("para_ninos")}, "fijo": {"no es deporte": F.col("categoria") != "deporte"}}
     return recommend.profile_report(recommend.rank_diverse(scored), PROFILES, bad)

@@ -227,6 +227,14 @@ def in_sector(area: Column, sector: str) -> Column:
         *v.SECTORS.get(sector, ()))
 
 
+def sector_of(area: Column) -> Column:
+    """The sector an area lies in, NULL for none."""
+    out = F.lit(None).cast("string")
+    for name, areas in v.SECTORS.items():
+        out = F.when(area.isin(*areas), F.lit(name)).otherwise(out)
+    return out
+
+
 def merchant_key(name: Column) -> Column:
     """Merchant name as compared between issuers."""
     return key_part(name)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kermesse.functions import labels
 from kermesse.functions.cards import has_hour
-from kermesse.functions.places import in_sector
+from kermesse.functions.places import sector_of
 from kermesse.functions.text import title_base
 from kermesse.operators.collapse import mark_recurrent
 from kermesse.operators.skew import lookup, top_k
@@ -28,21 +28,59 @@ class Profile:
     free_only: bool = False
     budget: int | None = None
     sector: str = "todo"
-    extra: dict = field(default_factory=dict, compare=False)
 
-    def parts(self) -> tuple[dict, dict, dict]:
-        sit = v.SITUATIONS[self.situation]
-        return sit, v.COMPANIES.get(self.company, {}), sit.get("answers", {}).get(self.answer, {})
 
-    def weights(self) -> tuple[dict[str, float], float | None]:
-        """Category weights. A company only moves categories the situation knows."""
-        sit, comp, ans = self.parts()
-        base, out = sit.get("base"), dict(sit["weights"])
-        for table, opens in ((comp.get("weights", {}), False), (ans.get("weights", {}), True)):
-            for cat, w in table.items():
-                if cat in out or opens or base is not None:
-                    out[cat] = out.get(cat, base or 0) + w
-        return out, base
+#: The questions that profiles ask, one row each.
+QUESTION = "perfil string, compania string, situacion string, respuesta string, solo_gratis boolean, tope int, sector string"
+#: What a company, a situation and an answer add up to.
+RULES = ("compania string, situacion string, respuesta string, pesos map<string, double>, base double, variedad boolean, exige_ninos boolean, "
+         "evita_ninos boolean, solo_adultos boolean, evita array<string>, categoria_segura string, sin_charlas boolean, sin_recurrentes boolean, "
+         "puntos_recurrente double, puntos_gratis double, techo int, senal string, puntos_senal double, puntos_ninos double, desde int, hasta int")
+
+
+def _rule(company: str, situation: str, answer: str) -> tuple:
+    """Category weights and points of one combination. A company only moves categories the situation knows."""
+    sit, comp = v.SITUATIONS[situation], v.COMPANIES.get(company, {})
+    ans = sit.get("answers", {}).get(answer, {})
+    base, weights = sit.get("base"), dict(sit["weights"])
+    for table, opens in ((comp.get("weights", {}), False), (ans.get("weights", {}), True)):
+        for cat, w in table.items():
+            if cat in weights or opens or base is not None:
+                weights[cat] = weights.get(cat, base or 0) + w
+    lo, hi = ans.get("hours") or comp.get("hours") or sit.get("hours") or (None, None)
+    number = lambda x: None if x is None else float(x)
+    return (company, situation, answer, {k: float(w) for k, w in weights.items()}, number(base), bool(sit.get("variety")),
+            bool(comp.get("require_kids")), bool(comp.get("avoid_kids")), bool(sit.get("adults_only")), list(sit.get("avoid", ())),
+            sit["safe_category"] if sit.get("sport_signal") else None, bool(sit.get("no_talks")),
+            bool(sit.get("one_off")) and not ans.get("recurrent", 0) > 0,
+            float(ans.get("recurrent", comp.get("recurrent", -9 if sit.get("one_off") else -2))), float(sit.get("free_bonus", 2)),
+            comp.get("price_ceiling"), comp.get("signal"), number(comp.get("signal_bonus")),
+            0.0 if company in ("ninos", "solo") else -3.0, lo, hi)
+
+
+def profile_table(questions: DataFrame) -> DataFrame:
+    """``questions`` (see QUESTION) with the weights and points that answer them.
+
+    The combinations of company, situation and answer are a fixed table; an unknown company or answer adds nothing, a
+    question about an unknown situation has no row.
+    """
+    companies, rules = [*v.COMPANIES, ""], []
+    for name, sit in v.SITUATIONS.items():
+        rules += [_rule(c, name, a) for c in companies for a in (*sit.get("answers", {}), "")]
+    known = F.map_from_arrays(F.array(*map(F.lit, v.SITUATIONS)), F.array(*[
+        F.array(F.lit(""), *map(F.lit, s.get("answers", {}))) for s in v.SITUATIONS.values()]))
+    table = questions.sparkSession.createDataFrame(rules, RULES)
+    own = lambda c, choices: F.when(choices, F.col(c)).otherwise("")
+    return (questions.withColumns({
+        "_c": own("compania", F.col("compania").isin(*v.COMPANIES)),
+        "_r": own("respuesta", F.coalesce(F.array_contains(F.try_element_at(known, F.col("situacion")), F.col("respuesta")), F.lit(False)))})
+        # A company without rules still counts as company of some kind: only children and nobody leave the points of children alone.
+        .join(table.withColumnsRenamed({"compania": "_c", "respuesta": "_r"}), ["_c", "situacion", "_r"]).drop("_c", "_r"))
+
+
+def profiles_of(spark: SparkSession, profiles: list[Profile]) -> DataFrame:
+    rows = [(p.name, p.company, p.situation, p.answer, p.free_only, p.budget or None, p.sector) for p in profiles]
+    return profile_table(spark.createDataFrame(rows, QUESTION))
 
 
 def prepare(published: DataFrame) -> DataFrame:
@@ -53,93 +91,69 @@ def prepare(published: DataFrame) -> DataFrame:
         "titulo_base": title_base(F.col("titulo"))}).drop("_f")
 
 
-def _text() -> Column:
-    return F.concat_ws(" ", F.coalesce("titulo", F.lit("")), F.coalesce("descripcion", F.lit("")))
-
-
-def _weight(profile: Profile) -> Column:
-    weights, base = profile.weights()
-    out = F.lit(None if base is None else float(base)).cast("double")
-    for cat, w in weights.items():
-        out = F.when(F.col("categoria") == cat, F.lit(float(w))).otherwise(out)
-    return out
-
-
-def eligible(profile: Profile) -> Column:
-    """Hard discards of a profile."""
-    sit, comp, ans = profile.parts()
-    free, kids = F.coalesce("gratis", F.lit(False)), F.col("para_ninos")
-    keep = F.coalesce(_weight(profile) > 0, F.lit(False))
-    if comp.get("require_kids"):
-        keep &= kids
-    if comp.get("avoid_kids"):
-        keep &= ~(kids & ~F.col("adulto"))
-    if sit.get("adults_only"):
-        keep &= ~kids
-    if profile.free_only:
-        keep &= free
-    if profile.budget:
-        keep &= free | F.coalesce(F.col("precio") <= profile.budget, F.lit(True))
-    if sit.get("avoid"):
-        keep &= ~F.col("categoria").isin(*sit["avoid"])
-    if profile.sector != "todo":
-        keep &= in_sector(F.col("comuna"), profile.sector)
-    if sit.get("sport_signal"):
-        keep &= (F.col("categoria") == sit["safe_category"]) | _text().rlike(labels.SPORT_SIGNAL)
-    if sit.get("no_talks"):
-        keep &= ~F.coalesce("titulo", F.lit("")).rlike(v.TALK_FORMAT)
-    if sit.get("one_off") and not ans.get("recurrent", 0) > 0:
-        keep &= ~F.col("recurrente")
-    return keep
-
-
-def score(profile: Profile, now: Column) -> Column:
-    """Additive score of an eligible row."""
-    sit, comp, ans = profile.parts()
-    add = lambda cond, points: F.when(F.coalesce(cond, F.lit(False)), float(points)).otherwise(0.0)
-    p = _weight(profile)
-    recurrent = ans.get("recurrent", comp.get("recurrent", -9 if sit.get("one_off") else -2))
-    p += add(F.col("recurrente"), recurrent) + add(F.col("gratis"), sit.get("free_bonus", 2))
-    ceiling = comp.get("price_ceiling")
-    if ceiling:
-        p += add(F.col("precio") > ceiling, -6)
-    signal = {"couple": v.COUPLE_SIGNAL, "group": v.GROUP_SIGNAL}.get(comp.get("signal"))
-    if signal:
-        p += add(_text().rlike(signal), comp["signal_bonus"])
-    if profile.company not in ("ninos", "solo"):
-        p += add(F.col("para_ninos"), -3)
-    band = ans.get("hours") or comp.get("hours") or sit.get("hours")
-    if band:
-        lo, hi = band
-        h = F.hour("inicio")
-        inside = ((h >= lo) & (h <= hi)) if lo <= hi else ((h >= lo) | (h <= hi))
-        p += F.when(F.coalesce(has_hour(F.col("inicio")), F.lit(False)),
-                    F.when(inside, 3.0).otherwise(-2.0)).otherwise(0.0)
-    p += add(F.coalesce("imagen", F.lit("")) != "", 2)
-    p += add(F.length(F.coalesce("descripcion", F.lit(""))) > 60, 1)
-    p += F.when(F.col("precision") == "sin_ubicar", -2.0).when(F.col("precision") == "recinto", 1.0).otherwise(0.0)
-    days = (F.unix_micros(F.col("inicio").cast("timestamp"))
-            - F.unix_micros(now.cast("timestamp"))) / F.lit(86400e6)
-    return p + F.greatest(F.lit(0.0), F.lit(3.0) - days * F.lit(0.12))
-
-
-def score_pairs(prepared: DataFrame, profiles: list[Profile], now: Column) -> DataFrame:
-    """(perfil, seq, puntaje, ...) for eligible pairs with a positive score.
-
-    Profiles are plan-time parameters: each row tests all of them in one pass, no join.
+def _signs(prepared: DataFrame) -> DataFrame:
+    """What any profile may ask of a row's text and place, read once a row."""
+    text = F.concat_ws(" ", F.coalesce("titulo", F.lit("")), F.coalesce("descripcion", F.lit("")))
+    return prepared.withColumn("_s", F.struct(
+        text.rlike(labels.SPORT_SIGNAL).alias("sport"), text.rlike(v.COUPLE_SIGNAL).alias("couple"), text.rlike(v.GROUP_SIGNAL).alias("group"),
+        F.coalesce("titulo", F.lit("")).rlike(v.TALK_FORMAT).alias("talk"), sector_of(F.col("comuna")).alias("sector"),
+        F.coalesce("gratis", F.lit(False)).alias("free")))
+
+
+#: The key of profiles that take categories they do not name.
+OTHERS = "*"
+
+
+def matched(prepared: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Rows beside the profiles that may take them, with ``_p`` (the profile) and ``_w`` (its weight for the category).
+
+    An inverted index leads from a category to the profiles that weigh it above zero; profiles with a base weight are
+    also found under one key for the categories they do not name. A row meets those of its category and of that key.
     """
-    options = F.array_compact(F.array(*[
-        F.when(eligible(p), F.struct(F.lit(p.name).alias("perfil"), score(p, now).alias("puntaje"),
-                                     F.lit(bool(v.SITUATIONS[p.situation].get("variety"))).alias("variedad")))
-        for p in profiles]))
-    # The outer generator keeps the scores from being computed a second time in a filter.
-    return (prepared.withColumn("_p", F.explode_outer(F.filter(options, lambda s: s["puntaje"] > 0)))
-            .filter("_p is not null").select("_p.*", *prepared.columns))
-
-
-def eligible_pairs(prepared: DataFrame, profiles: list[Profile]) -> DataFrame:
-    options = F.array_compact(F.array(*[F.when(eligible(p), F.lit(p.name)) for p in profiles]))
-    return prepared.select(F.explode_outer(options).alias("perfil"), *prepared.columns).filter("perfil is not null")
+    named = profiles.select(F.struct(*profiles.columns).alias("_p"), F.explode("pesos").alias("_k", "_w")).filter("_w > 0")
+    rest = profiles.filter("base > 0").select(F.struct(*profiles.columns).alias("_p"), F.lit(OTHERS).alias("_k"), F.col("base").alias("_w"))
+    rows = _signs(prepared).withColumn("_k", F.explode(F.array(F.concat(F.lit("="), F.coalesce("categoria", F.lit(""))), F.lit(OTHERS))))
+    index = named.withColumn("_k", F.concat(F.lit("="), "_k")).unionByName(rest)
+    listed = F.coalesce(F.map_contains_key("_p.pesos", F.coalesce("categoria", F.lit(""))), F.lit(False))
+    return rows.join(index, "_k").filter((F.col("_k") != OTHERS) | ~listed)
+
+
+def eligible() -> Column:
+    """Hard discards of a row's profile."""
+    p, s = (lambda c: F.col(f"_p.{c}")), (lambda c: F.col(f"_s.{c}"))
+    kids = F.col("para_ninos")
+    return ((~p("exige_ninos") | kids) & (~p("evita_ninos") | ~kids | F.col("adulto")) & (~p("solo_adultos") | ~kids)
+            & (~p("solo_gratis") | s("free")) & (p("tope").isNull() | s("free") | F.coalesce(F.col("precio") <= p("tope"), F.lit(True)))
+            & ~F.coalesce(F.array_contains(p("evita"), F.col("categoria")), F.lit(False))
+            & ((p("sector") == "todo") | F.coalesce(p("sector") == s("sector"), F.lit(False)))
+            & (p("categoria_segura").isNull() | F.coalesce(F.col("categoria") == p("categoria_segura"), F.lit(False)) | s("sport"))
+            & (~p("sin_charlas") | ~s("talk")) & (~p("sin_recurrentes") | ~F.col("recurrente")))
+
+
+def score(now: Column) -> Column:
+    """Additive score of an eligible row for its profile."""
+    p, s = (lambda c: F.col(f"_p.{c}")), (lambda c: F.col(f"_s.{c}"))
+    add = lambda cond, points: F.when(F.coalesce(cond, F.lit(False)), points).otherwise(0.0)
+    hour, lo, hi = F.hour("inicio"), p("desde"), p("hasta")
+    inside = F.when(lo <= hi, (hour >= lo) & (hour <= hi)).otherwise((hour >= lo) | (hour <= hi))
+    signal = F.when(p("senal") == "couple", s("couple")).when(p("senal") == "group", s("group"))
+    days = (F.unix_micros(F.col("inicio").cast("timestamp")) - F.unix_micros(now.cast("timestamp"))) / F.lit(86400e6)
+    return (F.col("_w") + add(F.col("recurrente"), p("puntos_recurrente")) + add(F.col("gratis"), p("puntos_gratis"))
+            + add(F.col("precio") > p("techo"), F.lit(-6.0)) + add(signal, p("puntos_senal")) + add(F.col("para_ninos"), p("puntos_ninos"))
+            + add(lo.isNotNull() & has_hour(F.col("inicio")), F.when(inside, 3.0).otherwise(-2.0))
+            + add(F.coalesce("imagen", F.lit("")) != "", F.lit(2.0)) + add(F.length(F.coalesce("descripcion", F.lit(""))) > 60, F.lit(1.0))
+            + F.when(F.col("precision") == "sin_ubicar", -2.0).when(F.col("precision") == "recinto", 1.0).otherwise(0.0)
+            + F.greatest(F.lit(0.0), F.lit(3.0) - days * F.lit(0.12)))
+
+
+def score_pairs(prepared: DataFrame, profiles: DataFrame, now: Column) -> DataFrame:
+    """(perfil, puntaje, variedad, ...) for eligible pairs of a row and a profile with a positive score."""
+    pairs = matched(prepared, profiles).filter(eligible()).withColumn("puntaje", score(now)).filter("puntaje > 0")
+    return pairs.select("_p.perfil", "puntaje", "_p.variedad", *prepared.columns)
+
+
+def eligible_pairs(prepared: DataFrame, profiles: DataFrame) -> DataFrame:
+    return matched(prepared, profiles).filter(eligible()).select("_p.perfil", *prepared.columns)
 
 
 def situations_for_company(company: str) -> list[str]:

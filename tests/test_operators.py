@@ -248,3 +248,31 @@ def test_order_numbers_do_not_meet(spark):
     from kermesse.sources.captures import nested, order_number
     a, b = spark.range(1).select(order_number(F.lit(7), nested(F.lit(0), F.lit(1000))), order_number(F.lit(7), nested(F.lit(1), F.lit(0)))).first()
     assert a < b
+
+
+def test_ten_thousand_profiles(spark, sf):
+    """Profiles are rows: a hundred copies of every question get what one of each gets."""
+    from kermesse.bindings import inputs as i
+    from kermesse.bindings.ranking import _prepared
+    from kermesse.operators import recommend
+    rows = _prepared(spark, sf).filter("seq % 10 < 3")
+    one = spark.range(100).selectExpr(
+        "cast(id as string) perfil", "array('solo', 'pareja', 'amigos', 'ninos', 'nadie')[id % 5] compania",
+        "array('panorama', 'musica', 'mover', 'barrio', 'noche')[id % 4] situacion", "array('', 'seguro', 'fuerte', 'taller', 'pasear', 'otra')[id % 6] respuesta",
+        "id % 9 = 0 solo_gratis", "case when id % 7 = 0 then 20000 end tope", "case when id % 11 = 0 then 'oriente' else 'todo' end sector")
+    many = one.crossJoin(spark.range(100).withColumnRenamed("id", "n")).withColumn("perfil", F.concat_ws("-", "perfil", "n"))
+    count = lambda q: {r.perfil: (r.n, round(r.total, 6)) for r in recommend.score_pairs(rows, recommend.profile_table(q), i.now()).groupBy(
+        F.substring_index("perfil", "-", 1).alias("perfil")).agg(F.count(F.lit(1)).alias("n"), F.sum("puntaje").alias("total")).collect()}
+    assert many.count() == 10_000
+    single, copied = count(one), count(many)
+    assert len(single) > 40 and copied.keys() == single.keys()
+    assert all(copied[k][0] == 100 * n and abs(copied[k][1] - 100 * t) < 1e-3 for k, (n, t) in single.items())
+
+
+def test_rules_of_a_profile():
+    from kermesse.operators.recommend import _rule
+    r = dict(zip("compania situacion respuesta pesos base variedad exige_ninos evita_ninos solo_adultos evita categoria_segura sin_charlas sin_recurrentes "
+                 "puntos_recurrente puntos_gratis techo senal puntos_senal puntos_ninos desde hasta".split(), _rule("amigos", "musica", "fuerte")))
+    assert r["pesos"] == {"musica": 23.0, "fiesta": 18.0} and r["base"] is None and (r["desde"], r["hasta"]) == (19, 3)
+    assert r["evita_ninos"] and r["sin_recurrentes"] and r["puntos_recurrente"] == -5.0 and (r["senal"], r["puntos_senal"]) == ("group", 4.0)
+    assert _rule("", "mover", "taller")[12] is False and _rule("ninos", "barrio", "")[18] == 0.0
