@@ -95,15 +95,15 @@ def manifest(leaves: DataFrame) -> dict[str, DataFrame]:
     """The store of a dataset of leaves (grp, rank, digest), `grp` a row's source.
 
     `records` (height, digest, built) is content-addressed: a digest leads to its children, and to theirs for LEVELS
-    levels, stored once however often it occurs. `groups` (grp, grp_rank, depth, subroot) lists the sources' trees, `root`
-    (depth, root) the tree over them.
+    levels, stored once however often it occurs. `groups` (_all, grp, grp_rank, depth, subroot) lists the sources'
+    trees, `root` (_all, depth, root) the tree over them; `_all` is one value.
     """
     subroots, records = tree(leaves)
     order = staged(ranked(subroots.select(F.lit(0).alias("_all"), "grp", "depth", "digest"), "_all", ["grp"]))  # null first, bytewise
-    root, more = tree(order.select(F.lit(0).alias("grp"), "rank", "digest"))
+    root, more = tree(order.select(F.col("_all").alias("grp"), "rank", "digest"))
     return {"records": staged(records.unionByName(more).dropDuplicates(["height", "digest"])),
-            "groups": order.select("grp", F.col("rank").alias("grp_rank"), "depth", F.col("digest").alias("subroot")),
-            "root": root.select("depth", F.col("digest").alias("root"))}
+            "groups": order.select("_all", "grp", F.col("rank").alias("grp_rank"), "depth", F.col("digest").alias("subroot")),
+            "root": root.select(F.col("grp").alias("_all"), "depth", F.col("digest").alias("root"))}
 
 
 def children(records: DataFrame) -> DataFrame:
@@ -193,10 +193,10 @@ def proofs(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
     store = manifest(leaves.select("grp", "rank", "digest"))
     groups, records = store["groups"], store["records"]
     none = F.lit(None).cast(PATH)
-    root = store["root"].withColumns({"_key": F.lit("root"), "path": F.coalesce(none, F.expr(f"cast(array() as {PATH})"))})
-    asked = groups.select(F.lit("root").alias("_key"), F.col("grp_rank").alias("rank"), F.col("depth").alias("_depth"), "grp", "subroot").join(
-        F.broadcast(root.select("_key", "depth", "root")), "_key")  # the root is one row
-    tops = staged(descended(root.select("_key", "depth", F.col("root").alias("digest"), "path"), asked, records, ["_key"]))
+    root = store["root"].withColumn("path", F.coalesce(none, F.expr(f"cast(array() as {PATH})")))
+    asked = groups.select("_all", F.col("grp_rank").alias("rank"), F.col("depth").alias("_depth"), "grp", "subroot").join(
+        F.broadcast(root.select("_all", "depth", "root")), "_all")  # the root is one row
+    tops = staged(descended(root.select("_all", "depth", F.col("root").alias("digest"), "path"), asked, records, ["_all"]))
     starts = tops.select("grp", F.col("_depth").alias("depth"), F.col("found").alias("digest"), "path", "subroot", "root")
     sized = bounded(staged(starts.select(F.col("grp").alias("_grp"), "depth", "subroot", "root")), BROADCAST_OFFSETS)
     requests = leaves.join(sized, F.col("grp").eqNullSafe(F.col("_grp"))).drop("_grp")
