@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from kermesse.bindings import inputs as i
 from kermesse.bindings.registry import register, table
 from kermesse.bindings.scalars import pick, sql_list
-from kermesse.functions import labels, offers
+from kermesse.functions import labels, offers, rules
+from kermesse.functions.text import WORD_END, WORD_START
 from kermesse.operators import review
+from kermesse.vocab import labels as lv
 
 # title, source category, description, place, source -> category, reason
 CATEGORY = [
@@ -32,6 +34,11 @@ CATEGORY = [
 ]
 
 
+def _table(spark):
+    """The rules as they come back from their table."""
+    return rules.read_rules(rules.rule_table(spark))
+
+
 def _rows(spark, sf, phrases, width):
     k = F.col("event_id") % len(phrases)
     cols = {f"c{n}": pick([p[n] for p in phrases], k) for n in range(width)}
@@ -45,7 +52,7 @@ def _expected(phrases, n):
 @register("i01_classify_category", f"SELECT event_id, {_expected(CATEGORY, 5)} AS categoria, {_expected(CATEGORY, 6)} AS origen FROM events")
 def i01(spark, sf):
     c = F.col
-    got = labels.classify_category(F.concat_ws(" ", "c0", c("user_id").cast("string")), c("c1"), c("c2"), c("c3"), c("c4"))
+    got = labels.classify_category(F.concat_ws(" ", "c0", c("user_id").cast("string")), c("c1"), c("c2"), c("c3"), c("c4"), _table(spark))
     return _rows(spark, sf, CATEGORY, 5).select("event_id", got["label"].alias("categoria"), got["reason"].alias("origen"))
 
 
@@ -62,7 +69,7 @@ SUB = [
 @register("i02_classify_subcategory", f"SELECT event_id, {_expected(SUB, 3)} AS sub, {_expected(SUB, 4)} AS origen FROM events")
 def i02(spark, sf):
     c, none = F.col, F.lit("")
-    got = labels.classify_subcategory(c("c0"), F.concat_ws(" ", "c1", F.concat(F.lit("n"), "user_id")), none, none, c("c2"), none)
+    got = labels.classify_subcategory(c("c0"), F.concat_ws(" ", "c1", F.concat(F.lit("n"), "user_id")), none, none, c("c2"), none, _table(spark))
     return _rows(spark, sf, SUB, 3).select("event_id", got["label"].alias("sub"), got["reason"].alias("origen"))
 
 
@@ -77,7 +84,7 @@ SCALE = [
 @register("i03_classify_scale", f"""SELECT event_id, CASE WHEN {_expected(SCALE, 3)} = 'precio' THEN CASE WHEN floor(value * 1000) > 40000 THEN 'masivo' ELSE '' END ELSE {_expected(SCALE, 3)} END AS escala FROM events""")
 def i03(spark, sf):
     c = F.col
-    got = labels.classify_scale(c("c0"), c("c1"), c("c2"), F.floor(c("value") * 1000).cast("int"), F.concat(F.lit("n"), "user_id"))
+    got = labels.classify_scale(c("c0"), c("c1"), c("c2"), F.floor(c("value") * 1000).cast("int"), F.concat(F.lit("n"), "user_id"), _table(spark))
     return _rows(spark, sf, SCALE, 3).select("event_id", got["label"].alias("escala"))
 
 
@@ -96,7 +103,7 @@ AUDIENCE[1] = ("Apto desde 14 años", "otros", "", "", "adolescentes", "adolesce
 @register("i04_classify_audience", f"SELECT event_id, CASE WHEN hour(ts) >= 21 THEN {_expected(AUDIENCE, 5)} ELSE {_expected(AUDIENCE, 4)} END AS publico FROM events")
 def i04(spark, sf):
     c = F.col
-    got = labels.classify_audience(c("c0"), F.concat(F.lit("n"), "user_id"), c("c1"), c("c2"), c("c3"), F.hour("ts"))
+    got = labels.classify_audience(c("c0"), F.concat(F.lit("n"), "user_id"), c("c1"), c("c2"), c("c3"), F.hour("ts"), _table(spark))
     return _rows(spark, sf, AUDIENCE, 4).select("event_id", got["label"].alias("publico"))
 
 
@@ -109,7 +116,7 @@ SHOP = [("Taller de defensa", "deporte", "", "true"), ("Corrida taller", "clases
 def i05(spark, sf):
     c = F.col
     days = F.when(c("user_id") % 2 == 0, F.array(F.lit(1)))
-    return _rows(spark, sf, SHOP, 3).select("event_id", labels.is_workshop(c("c0"), c("c1"), c("c2"), days)["label"].alias("taller"))
+    return _rows(spark, sf, SHOP, 3).select("event_id", labels.is_workshop(c("c0"), c("c1"), c("c2"), days, _table(spark))["label"].alias("taller"))
 
 
 # merchant, rubric -> cuisine, rubric
@@ -122,7 +129,7 @@ FOOD = [("Boka Sushi", "restaurantes", "japonesa", "restaurantes"), ("Mar del Pl
 def i06(spark, sf):
     k = F.col("p_partkey") % len(FOOD)
     rows = table(spark, sf, "part").withColumns({"m": F.concat_ws(" ", pick([f[0] for f in FOOD], k), F.col("p_size").cast("string")), "r": pick([f[1] for f in FOOD], k)})
-    rows = rows.withColumn("cocina", offers.cuisine_of(F.col("m"), F.col("r")))
+    rows = rows.withColumn("cocina", offers.cuisine_of(F.col("m"), F.col("r"), _table(spark)))
     return rows.select("p_partkey", "cocina", offers.rubric_of(F.col("r"), F.col("cocina")).alias("rubro"))
 
 
@@ -134,6 +141,51 @@ def i07(spark, sf):
     return table(spark, sf, "events").select("event_id", got["for_kids"].alias("ninos"), got["adult"].alias("adulto"))
 
 
+# -- rules by name over the texts of documents
+
+def rule_sql(text: str, axis: str, layer: str, scope: str = "") -> str:
+    """The first rule that matches, as label|rule|layer; word bounds are written out, as this engine has no lookaround."""
+    plain = lambda p: p.replace(WORD_START, "(?:^|[^a-z0-9])").replace(WORD_END, "(?:$|[^a-z0-9])").replace("'", "''")
+    cases = [f"WHEN regexp_matches({text}, '{plain(r.patron)}')" + (f" AND NOT regexp_matches({text}, '{plain(r.salvo)}')" if r.salvo else "")
+             + f" THEN '{r.etiqueta}|{r.regla}'" for r in rules.layer(None, axis, layer, scope)]
+    return f"CASE {' '.join(cases)} END"
+
+
+def _fold(*parts: str) -> str:
+    joined = "concat(" + ", ' ', ".join(parts) + ")"
+    return rf"regexp_replace(strip_accents(lower({joined})), '\s+', ' ', 'g')"
+
+
+def _by_category(text: str, layer: str) -> str:
+    return "CASE cat " + " ".join(f"WHEN '{k}' THEN {rule_sql(text, 'subcategoria', layer, k)}" for k in rules.scopes(None, "subcategoria", layer)) + " END"
+
+
+AUDIT = f"""WITH d AS (SELECT split_part(text, chr(10), 1) AS titulo, text, coalesce(source, '') AS lugar, coalesce(lang, '') AS fuente FROM documents),
+t AS (SELECT {_fold("''", "titulo")} AS h, {_fold("''", "titulo", "text")} AS b, {_fold("text")} AS x, {_fold("titulo")} AS ttl, {_fold("titulo", "text")} AS tt, {_fold("lugar", "titulo", "text")} AS big,
+  {_fold("lugar", "fuente")} AS ctx, {_fold("lugar")} AS plc, {_fold("fuente")} AS src FROM d),
+k AS (SELECT *, {rule_sql("h", "categoria", "texto")} AS k1, {rule_sql("b", "categoria", "texto")} AS k2, {rule_sql("ctx", "categoria", "recinto")} AS k3 FROM t),
+c AS (SELECT *, coalesce(k1 || '|titulo', k2 || '|descripcion', k3 || '|prior', 'otros|categoria.defecto|defecto') AS k, split_part(coalesce(k1, k2, k3, 'otros'), '|', 1) AS cat FROM k),
+r AS (SELECT 'categoria' AS eje, k AS r FROM c
+  UNION ALL SELECT 'subcategoria', coalesce({_by_category("h", "texto")}, {_by_category("x", "texto")}, {_by_category("ctx", "recinto")}, '|subcategoria.defecto') FROM c
+  UNION ALL SELECT 'escala', coalesce({rule_sql("src", "escala", "fuente de barrio")}, {rule_sql("big", "escala", "recinto masivo")}, {rule_sql("ctx", "escala", "recinto chico")}, {rule_sql("plc", "escala", "lugar de barrio")}, {rule_sql("ttl", "escala", "titulo")}, '|escala.defecto') FROM c
+  UNION ALL SELECT 'publico', coalesce({rule_sql("tt", "publico", "nombre propio")}, CASE WHEN regexp_extract(tt, '{lv.EXPLICIT_AGE}', 1) <> '' THEN CASE WHEN regexp_extract(tt, '{lv.EXPLICIT_AGE}', 1)::int >= 18 THEN 'adultos' WHEN regexp_extract(tt, '{lv.EXPLICIT_AGE}', 1)::int >= 13 THEN 'adolescentes' ELSE 'ninos' END || '|publico.edad' END,
+    {rule_sql("tt", "publico", "palabra +18")}, CASE WHEN cat = 'fiesta' AND NOT regexp_matches(tt, '{lv.READING_CLUB}') THEN {rule_sql("plc", "publico", "recinto nocturno")} END, {rule_sql("tt", "publico", "palabra infantil")}, {rule_sql("tt", "publico", "palabra juvenil")}, 'todos|publico.defecto') FROM c)
+SELECT eje, split_part(r, '|', 2) AS regla, split_part(r, '|', 1) AS etiqueta, split_part(r, '|', 3) AS capa, count(*) AS n FROM r GROUP BY ALL"""
+
+
+def document_events(spark, sf):
+    """Documents as rows to be labelled: the first line is the title, the whole text the description."""
+    text, none = F.coalesce("text", F.lit("")), F.lit("")
+    return table(spark, sf, "documents").select(
+        F.split_part(text, F.lit("\n"), F.lit(1)).alias("titulo"), none.alias("categoria"), text.alias("descripcion_corta"),
+        F.coalesce("source", none).alias("lugar_nombre"), F.coalesce("lang", none).alias("fuente_nombre"))
+
+
+@register("i08_rules_over_documents", AUDIT)
+def i08_documents(spark, sf):
+    return review.rule_audit(document_events(spark, sf), _table(spark))
+
+
 def _audited(spark, sf):
     r = _rows(spark, sf, CATEGORY, 5)
     return r.select(F.col("c0").alias("titulo"), F.col("c1").alias("categoria"), F.col("c2").alias("descripcion_corta"), F.col("c3").alias("lugar_nombre"), F.col("c4").alias("fuente_nombre"))
@@ -141,7 +193,8 @@ def _audited(spark, sf):
 
 @register("i08_rule_audit", f"SELECT {_expected(CATEGORY, 6)} AS origen, {_expected(CATEGORY, 5)} AS etiqueta, count(*) AS n FROM events GROUP BY 1, 2")
 def i08(spark, sf):
-    return review.rule_audit(_audited(spark, sf))
+    told = review.rule_audit(_audited(spark, sf), _table(spark)).filter("eje = 'categoria'")
+    return told.groupBy(F.col("capa").alias("origen"), "etiqueta").agg(F.sum("n").alias("n"))
 
 
 @register("d15_category_origin_breakdown", f"SELECT CASE WHEN o IN ('titulo', 'descripcion') THEN 'texto' ELSE o END AS origen, count(*) AS n FROM (SELECT {_expected(CATEGORY, 6)} AS o FROM events) GROUP BY 1")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from kermesse.functions.text import (first_listed, fold_py, fold_text, let, mentions_any, str_array,
-                                     words_regex)
+from kermesse.functions.rules import Rule, first_match, layer, scopes
+from kermesse.functions.text import fold_py, fold_text, let, mentions_any, str_array
 from kermesse.vocab import discovery as d
 from kermesse.vocab import labels as v
 
@@ -15,142 +15,102 @@ def _norm(*parts: Column) -> Column:
     return fold_text(F.concat_ws(" ", *[F.coalesce(p, F.lit("")) for p in parts]), "collapse")
 
 
-def _result(label: Column | str, reason: Column | str) -> Column:
+def _result(label: Column | str, reason: Column | str, rule: Column | str) -> Column:
     lit = lambda x: F.lit(x) if isinstance(x, str) else x
-    return F.struct(lit(label).alias("label"), lit(reason).alias("reason"))
+    return F.struct(lit(label).alias("label"), lit(reason).alias("reason"), lit(rule).alias("rule"))
 
 
-def first_rule(text: Column, rules) -> Column:
-    """Label of the first pattern that matches, NULL when none does."""
-    out = F.lit(None).cast("string")
-    for label, pattern in reversed(tuple(rules)):
-        out = F.when(text.rlike(pattern), F.lit(label)).otherwise(out)
-    return out
-
-
-def _category_rule(text: Column) -> Column:
-    """The category layer with its guards, each guard at its own place in the order."""
-    out = F.lit(None).cast("string")
-    for label, pattern in reversed(v.CATEGORY_PATTERNS):
-        hit = text.rlike(pattern)
-        if label == "fiesta":
-            hit = hit & ~text.rlike(v.READING_CLUB)
-        if label in ("arte", "musica"):
-            hit = hit & ~text.rlike(v.TAUGHT)
-        if label == "deporte":
-            hit = hit | text.rlike(v.MATCH_BETWEEN_TEAMS)
-        out = F.when(hit, F.lit(label)).otherwise(out)
-    return out
+def _by_rule(text: Column, rules: list[Rule], reason: str | None = None) -> Column:
+    """What the first matching rule says; its reason is the layer, with the word where the rule is one."""
+    def told(m: Column) -> Column:
+        why = F.lit(reason) if reason else F.concat(F.lit(rules[0].capa + ": "), m["word"])
+        return F.when(m.isNotNull(), _result(m["label"], why, m["rule"]))
+    if not rules:
+        return F.lit(None).cast("struct<label: string, reason: string, rule: string>")
+    return let(let(text, lambda t: first_match(t, rules)), told)
 
 
 def classify_category(title: Column, source_category: Column, description: Column,
-                      place: Column, source: Column) -> Column:
-    """``struct(label, reason)``; reason is titulo, descripcion, prior or defecto."""
+                      place: Column, source: Column, rules: tuple[Rule, ...] | None = None) -> Column:
+    """``struct(label, reason, rule)``; reason is titulo, descripcion, prior or defecto."""
     context = _norm(place, source)
     head = _norm(source_category, title)
     head = F.when(mentions_any(head, v.FALSE_CHILDREN), F.lit(" ")).otherwise(head)
     head = F.when(context.rlike(v.ART_MUSEUMS), F.regexp_replace(head, v.WORK_WORD, " ")).otherwise(head)
+    texts = layer(rules, "categoria", "texto")
 
     def layers(h: Column) -> Column:
         body = _norm(h, description)
         for name in v.FALSE_CHILDREN:
             body = F.replace(body, F.lit(fold_py(name)), F.lit(" "))
-        return F.coalesce(
-            let(_category_rule(h), lambda c: F.when(c.isNotNull(), _result(c, "titulo"))),
-            let(let(body, _category_rule), lambda c: F.when(c.isNotNull(), _result(c, "descripcion"))),
-            let(let(context, lambda x: first_rule(x, [(lab, p) for p, lab in v.VENUE_PRIORS])),
-                lambda c: F.when(c.isNotNull(), _result(c, "prior"))),
-            _result(v.DEFAULT_CATEGORY, "defecto"))
+        return F.coalesce(_by_rule(h, texts, "titulo"), _by_rule(body, texts, "descripcion"),
+                          _by_rule(context, layer(rules, "categoria", "recinto"), "prior"),
+                          _result(v.DEFAULT_CATEGORY, "defecto", "categoria.defecto"))
     return let(head, layers)
 
 
 def classify_subcategory(category: Column, title: Column, source_category: Column,
                          description: Column, place: Column, source: Column,
-                         tables=None) -> Column:
-    """Second level inside the category; blank is a legitimate answer.
+                         rules: tuple[Rule, ...] | None = None) -> Column:
+    """Second level inside the category; blank is a legitimate answer."""
+    def of(name: str, text: Column, reason: str) -> Column:
+        def read(t: Column) -> Column:
+            out = F.lit(None).cast("struct<label: string, reason: string, rule: string>")
+            for cat in scopes(rules, "subcategoria", name):
+                out = F.when(category == cat, _by_rule(t, layer(rules, "subcategoria", name, cat), reason)).otherwise(out)
+            return out
+        return let(text, read)
 
-    ``tables`` maps category to ordered (label, words) and defaults to the shipped lists.
-    """
-    tables = tables or v.SUBCATEGORIES
-
-    def layer(text: Column) -> Column:
-        out = F.lit(None).cast("string")
-        for cat, rows in tables.items():
-            out = F.when(category == cat, first_rule(
-                text, [(lab, words_regex(ws)) for lab, ws in rows])).otherwise(out)
-        return out
-
-    context = _norm(place, source)
-    by_venue = F.lit(None).cast("string")
-    for pattern, cat, lab in reversed(v.VENUE_SUBCATEGORIES):
-        by_venue = F.when((category == cat) & context.rlike(pattern), F.lit(lab)).otherwise(by_venue)
-    found = F.coalesce(
-        let(let(_norm(source_category, title), layer),
-            lambda c: F.when(c.isNotNull(), _result(c, "titulo"))),
-        let(let(_norm(description), layer),
-            lambda c: F.when(c.isNotNull(), _result(c, "descripcion"))),
-        let(by_venue, lambda c: F.when(c.isNotNull(), _result(c, "lugar"))))
-    return F.coalesce(F.when(category.isin(*tables), found), _result("", "defecto"))
+    found = F.coalesce(of("texto", _norm(source_category, title), "titulo"), of("texto", _norm(description), "descripcion"),
+                       of("recinto", _norm(place, source), "lugar"))
+    return F.coalesce(F.when(category.isin(*scopes(rules, "subcategoria", "texto")), found), _result("", "defecto", "subcategoria.defecto"))
 
 
 def classify_scale(title: Column, place: Column, source: Column, price: Column,
-                   description: Column) -> Column:
+                   description: Column, rules: tuple[Rule, ...] | None = None) -> Column:
     """``masivo``, ``under`` or blank, with the rule that fired."""
+    of = lambda name, text, reason=None: _by_rule(text, layer(rules, "escala", name), reason)
     ttl = _norm(title)
-    big = let(_norm(place, title, description), lambda t: first_listed(t, v.BIG_VENUES))
-    small = let(_norm(place, source), lambda t: first_listed(t, v.SMALL_VENUES))
-    hood = let(_norm(place), lambda t: first_listed(t, v.NEIGHBOURHOOD_WORDS))
-    word = F.regexp_extract(ttl, v.BIG_TITLE, 1)
+    word = F.concat(F.lit("titulo: "), F.regexp_extract(ttl, v.BIG_TITLE, 1))
     pricey = F.coalesce(price > v.BIG_PRICE_CLP, F.lit(False)) & ~ttl.rlike(v.TAUGHT)
-    say = lambda label, why, w: F.when(
-        F.coalesce(w, F.lit("")) != "", _result(label, F.concat(F.lit(why + ": "), w)))
     return F.coalesce(
-        F.when(_norm(source).rlike(v.NEIGHBOURHOOD_SOURCES), _result("under", "fuente de barrio")),
-        let(big, lambda w: say("masivo", "recinto masivo", w)),
-        let(small, lambda w: say("under", "recinto chico", w)),
-        let(hood, lambda w: say("under", "lugar de barrio", w)),
-        let(word, lambda w: say("masivo", "titulo", w)),
-        F.when(pricey, _result("masivo", "precio")), _result("", "sin senal"))
+        of("fuente de barrio", _norm(source), "fuente de barrio"), of("recinto masivo", _norm(place, title, description)),
+        of("recinto chico", _norm(place, source)), of("lugar de barrio", _norm(place)),
+        let(of("titulo", ttl, "titulo"), lambda r: F.when(r.isNotNull(), _result(r["label"], word, r["rule"]))),
+        F.when(pricey, _result("masivo", "precio", "escala.precio")), _result("", "sin senal", "escala.defecto"))
 
 
 def classify_audience(title: Column, description: Column, category: Column, place: Column,
-                      source: Column, hour: Column | None = None) -> Column:
+                      source: Column, hour: Column | None = None, rules: tuple[Rule, ...] | None = None) -> Column:
     """``ninos``, ``adolescentes``, ``adultos`` or ``todos``; ``hour=None`` ignores lateness."""
     late = F.lit(False) if hour is None else F.coalesce(hour >= v.NIGHT_HOUR, F.lit(False))
     party = category == "fiesta"
     night_source = F.contains(_norm(source), F.lit(v.NIGHT_SOURCE))
+    of = lambda name, text, reason=None: _by_rule(text, layer(rules, "publico", name), reason)
 
     def layers(t: Column) -> Column:
         age = F.regexp_extract(t, v.EXPLICIT_AGE, 1).try_cast("int")
         age_label = F.when(age >= 18, "adultos").when(age >= 13, "adolescentes").otherwise("ninos")
-        venue = mentions_any(_norm(place), v.NIGHT_VENUES) & ~t.rlike(v.READING_CLUB)
         return F.coalesce(
-            F.when(mentions_any(t, v.FALSE_CHILDREN), _result("todos", "nombre propio")),
-            F.when(age.isNotNull(), _result(age_label, F.concat(
-                F.lit("edad: "), age.cast("string"), F.lit("+")))),
-            let(first_listed(t, v.ADULT_WORDS), lambda w: F.when(
-                w.isNotNull(), _result("adultos", F.concat(F.lit("palabra +18: "), w)))),
-            F.when(venue & (party | late | night_source), _result("adultos", "recinto nocturno")),
-            F.when(party & (late | night_source), _result("adultos", "fiesta nocturna")),
-            let(first_listed(t, v.CHILD_WORDS), lambda w: F.when(
-                w.isNotNull(), _result("ninos", F.concat(F.lit("palabra infantil: "), w)))),
-            let(first_listed(t, v.TEEN_WORDS), lambda w: F.when(
-                w.isNotNull(), _result("adolescentes", F.concat(F.lit("palabra juvenil: "), w)))),
-            _result("todos", "sin senal"))
+            of("nombre propio", t, "nombre propio"),
+            F.when(age.isNotNull(), _result(age_label, F.concat(F.lit("edad: "), age.cast("string"), F.lit("+")), "publico.edad")),
+            of("palabra +18", t),
+            F.when((party | late | night_source) & ~t.rlike(v.READING_CLUB), of("recinto nocturno", _norm(place), "recinto nocturno")),
+            F.when(party & (late | night_source), _result("adultos", "fiesta nocturna", "publico.fiesta_nocturna")),
+            of("palabra infantil", t), of("palabra juvenil", t), _result("todos", "sin senal", "publico.defecto"))
     return let(_norm(title, description), layers)
 
 
-def is_workshop(title: Column, category: Column, source: Column, weekdays: Column) -> Column:
-    """Something taken every week rather than attended once; ``struct(label, reason)``."""
-    ttl = _norm(title)
-    sport = category == "deporte"
-    verdict = lambda b, why: F.struct(F.lit(b).alias("label"), F.lit(why).alias("reason"))
-    return (F.when(ttl.rlike(v.ONE_OFF), verdict(False, "evento puntual"))
-            .when(F.coalesce(F.size(weekdays), F.lit(0)) > 0, verdict(True, "serie semanal"))
-            .when(category.isin("clases", "idiomas"), verdict(True, "categoria de clases"))
-            .when(sport & _norm(source).rlike(v.WORKSHOP_SOURCES), verdict(True, "fuente de talleres"))
-            .when(sport & ttl.rlike(v.TAUGHT), verdict(True, "deporte que se ensena"))
-            .otherwise(verdict(False, "")))
+def is_workshop(title: Column, category: Column, source: Column, weekdays: Column, rules: tuple[Rule, ...] | None = None) -> Column:
+    """Something taken every week rather than attended once; ``struct(label, reason, rule)`` with a boolean label."""
+    of = lambda name, text: _by_rule(text, layer(rules, "taller", name), name)
+    ttl, sport = _norm(title), category == "deporte"
+    found = F.coalesce(
+        of("evento puntual", ttl), F.when(F.coalesce(F.size(weekdays), F.lit(0)) > 0, _result("si", "serie semanal", "taller.serie_semanal")),
+        F.when(category.isin("clases", "idiomas"), _result("si", "categoria de clases", "taller.categoria_de_clases")),
+        F.when(sport, F.coalesce(of("fuente de talleres", _norm(source)), of("deporte que se ensena", ttl))),
+        _result("no", "", "taller.defecto"))
+    return let(found, lambda r: F.struct((r["label"] == "si").alias("label"), r["reason"].alias("reason"), r["rule"].alias("rule")))
 
 
 def _any_word(words) -> str:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kermesse.functions.dates import month_number
 from kermesse.functions.money import joined
+from kermesse.functions.rules import Rule, first_match, layer
 from kermesse.functions.text import fold_text, let, str_array, str_map
 from kermesse.vocab import calendar as cal
 from kermesse.vocab import offers as v
@@ -97,21 +98,23 @@ def homologate_rubric(raw: Column) -> Column:
         F.coalesce(F.try_element_at(str_map(v.RUBRICS), last), last))
 
 
-def cuisine_of(merchant: Column, rubric: Column) -> Column:
-    """Cuisine from the merchant name; the rubric decides only when the name is silent."""
+def cuisine_rule(merchant: Column, rubric: Column, rules: tuple[Rule, ...] | None = None) -> Column:
+    """``struct(label, rule)``: cuisine from the merchant name; the rubric decides only when the name is silent."""
+    told = lambda label, rule: F.struct(F.lit(label).alias("label"), F.lit(rule).alias("rule"))
+
     def read(s: Column) -> Column:
         hom = homologate_rubric(rubric)
-        out = (F.when(s == "", F.lit("")).when(hom == "cafeterias", F.lit("cafe"))
-               .when(hom == "comida_rapida", F.lit("comida_rapida")).otherwise(F.lit("")))
-        for name, pattern in reversed(v.CUISINES):
-            hit = s.rlike(pattern)
-            if name in v.CUISINE_EXCEPTIONS:
-                hit = hit & ~s.rlike(v.CUISINE_EXCEPTIONS[name])
-            out = F.when(hit, F.lit(name)).otherwise(out)
-        return out
+        named = let(first_match(s, layer(rules, "cocina", "nombre")), lambda m: F.when(m.isNotNull(), F.struct(m["label"].alias("label"), m["rule"].alias("rule"))))
+        return F.coalesce(F.when(s != "", named), F.when(s == "", told("", "cocina.sin_nombre")),
+                          F.when(hom == "cafeterias", told("cafe", "cocina.rubro_cafeterias")),
+                          F.when(hom == "comida_rapida", told("comida_rapida", "cocina.rubro_comida_rapida")), told("", "cocina.defecto"))
     return let(fold_text(merchant, "squeeze"), read)
 
 
+def cuisine_of(merchant: Column, rubric: Column, rules: tuple[Rule, ...] | None = None) -> Column:
+    return cuisine_rule(merchant, rubric, rules)["label"]
+
+
 def rubric_of(rubric: Column, cuisine: Column) -> Column:
     """Homologated rubric, moved by the cuisine when it is the generic one."""
     hom = homologate_rubric(rubric)

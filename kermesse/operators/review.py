@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from kermesse.functions import labels
 from kermesse.functions.labels import classify_category
+from kermesse.functions.rules import Rule
 from kermesse.functions.text import classify_error, squeeze, url_host
 from kermesse.operators.filters import is_current, is_real_place
 from kermesse.operators.skew import best_row, top_k
@@ -60,11 +62,12 @@ def precision_breakdown(published: DataFrame) -> DataFrame:
     return counts.withColumn("pct", F.floor(F.col("n") * 100 / total).cast("int"))
 
 
-def with_origin(store: DataFrame) -> DataFrame:
+def with_origin(store: DataFrame, rules: tuple[Rule, ...] | None = None) -> DataFrame:
+    """Adds ``etiqueta``, ``origen`` (the layer that gave it) and ``regla``."""
     got = classify_category(F.col("titulo"), F.col("categoria"), F.col("descripcion_corta"),
-                            F.col("lugar_nombre"), F.col("fuente_nombre"))
+                            F.col("lugar_nombre"), F.col("fuente_nombre"), rules)
     return store.withColumn("_c", got).withColumns({
-        "etiqueta": F.col("_c.label"), "origen": F.col("_c.reason")}).drop("_c")
+        "etiqueta": F.col("_c.label"), "origen": F.col("_c.reason"), "regla": F.col("_c.rule")}).drop("_c")
 
 
 def origin_breakdown(store: DataFrame) -> DataFrame:
@@ -74,8 +77,22 @@ def origin_breakdown(store: DataFrame) -> DataFrame:
     return with_origin(store).groupBy(kind.alias("origen")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def rule_audit(store: DataFrame) -> DataFrame:
-    return with_origin(store).groupBy("origen", "etiqueta").agg(F.count(F.lit(1)).alias("n"))
+def rule_audit(store: DataFrame, rules: tuple[Rule, ...] | None = None) -> DataFrame:
+    """How many rows each rule labelled, by axis: the rule, its label and the layer it read.
+
+    Every axis is read once a row; rows shrink to one per rule in each task before the shuffle.
+    """
+    c = F.col
+    args = (c("lugar_nombre"), c("fuente_nombre"))
+    rows = with_origin(store, rules)
+    told = rows.select(F.explode(F.array(
+        F.struct(F.lit("categoria").alias("eje"), c("regla"), c("etiqueta"), c("origen").alias("capa")),
+        *(F.struct(F.lit(axis).alias("eje"), got["rule"].alias("regla"), got["label"].alias("etiqueta"), F.lit("").alias("capa")) for axis, got in (
+            ("subcategoria", labels.classify_subcategory(c("etiqueta"), c("titulo"), c("categoria"), c("descripcion_corta"), *args, rules)),
+            ("escala", labels.classify_scale(c("titulo"), *args, c("precio_clp") if "precio_clp" in store.columns else F.lit(None).cast("int"),
+                                             c("descripcion_corta"), rules)),
+            ("publico", labels.classify_audience(c("titulo"), c("descripcion_corta"), c("etiqueta"), *args, None, rules)))))).alias("r"))
+    return told.groupBy("r.eje", "r.regla", "r.etiqueta", "r.capa").agg(F.count(F.lit(1)).alias("n"))
 
 
 def first_seen_places(store: DataFrame, as_of: Column) -> DataFrame:

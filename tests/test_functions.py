@@ -225,3 +225,30 @@ def test_windows(spark, name, expected):
     lo, hi = dates.window_bounds(name, AS_OF)
     row = spark.range(1).select(F.dayofmonth(lo).alias("a"), F.dayofmonth(hi).alias("b")).first()
     assert (row.a, row.b) == expected
+
+
+def test_rules_come_from_their_table(spark):
+    """A curator's row before the shipped ones wins under its own name; tables with two rules in one place are refused."""
+    from dataclasses import replace
+
+    from kermesse.functions import rules as r
+    shipped = r.read_rules(r.rule_table(spark).orderBy(F.rand(1)))
+    assert sorted(shipped, key=lambda x: x.regla) == sorted(r.shipped(), key=lambda x: x.regla) and len({x.regla for x in shipped}) == len(shipped)
+    own = r.Rule("curador.1", "categoria", "texto", "", 0, "aire_libre", "picnic", "de noche")
+    row = spark.createDataFrame([("Picnic y taller",), ("Picnic de noche, taller",), ("Nada",)], "t string")
+    none = F.lit("")
+    got = [tuple(x.c) for x in row.select(labels.classify_category(F.col("t"), none, none, none, none, (own, *shipped)).alias("c")).collect()]
+    assert got[0] == ("aire_libre", "titulo", "curador.1") and got[1][0] == "clases" and got[1][2].startswith("categoria.texto.")
+    assert got[2] == ("otros", "defecto", "categoria.defecto")
+    for bad in (own, replace(own, regla="curador.2")):
+        with pytest.raises(ValueError):
+            r.read_rules(r.rule_table(spark, [own, bad]))
+
+
+def test_rule_audit_names_every_axis(spark):
+    from kermesse.operators.review import rule_audit
+    row = spark.createDataFrame([("Festival de jazz", "", "para toda la familia", "Movistar Arena", "x")],
+                                "titulo string, categoria string, descripcion_corta string, lugar_nombre string, fuente_nombre string")
+    told = {x.eje: (x.etiqueta, x.regla, x.n) for x in rule_audit(row.unionAll(row)).collect()}
+    assert told["escala"] == ("masivo", "escala.recinto_masivo.01", 2) and told["publico"][0] == "ninos"
+    assert told["categoria"][1].startswith("categoria.texto.") and set(told) == {"categoria", "subcategoria", "escala", "publico"}
