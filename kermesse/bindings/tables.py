@@ -252,7 +252,8 @@ def e01(spark, sf):
 @register("e02_latest_run_per_source", """SELECT event_type AS fuente, max(event_id) AS event_id FROM events WHERE CAST(ts AS date) = DATE '2024-01-16' GROUP BY event_type""")
 def e02(spark, sf):
     runs = table(spark, sf, "events").select(F.col("event_type").alias("fuente"), F.col("ts").alias("momento"), "event_id")
-    return review.latest_run_per_source(runs, F.lit("2024-01-16")).select("fuente", "event_id")
+    log = review.append_run_log(runs, f"{ensure_checkpoint_dir(spark)}/log-{uuid.uuid4().hex}")
+    return review.latest_run_per_source(log, F.lit("2024-01-16")).select("fuente", "event_id")
 
 
 @register("e03_degraded_sources", """WITH r AS (SELECT concat(event_type, user_id) AS fuente, ts AS momento, CASE WHEN user_id % 3 = 0 THEN 0 ELSE event_id % 2 END AS encontrados,
@@ -407,11 +408,29 @@ def k06(spark, sf):
     return back.select("hash_dedup", "titulo", stamp("inicio").alias("inicio"), "lat")
 
 
-@register("k07_publish_catalog", f"WITH {i.PUB} SELECT '2024-01-15' AS generado, fuente, count(*) AS n FROM pub GROUP BY fuente")
+def _published_catalogue(spark, sf):
+    """Two versions are written; the newer one is read."""
+    path = f"{ensure_checkpoint_dir(spark)}/catalogue-{uuid.uuid4().hex}"
+    rows = i.published(spark, sf)
+    shaped = rows.withColumn("formato", F.when(F.col("categoria") == "clases", "taller").otherwise("panorama"))
+    store.publish_catalogue(shaped.filter("seq % 2 = 0"), i.now() - F.expr("interval 1 day"), path)
+    store.publish_catalogue(shaped, i.now(), path)
+    return store.read_published(spark, path)
+
+
+@register("k07_publish_catalog", f"""WITH {i.PUB} SELECT '2024-01-15' AS generado, (SELECT count(*) FROM pub) AS total, CASE WHEN categoria = 'clases' THEN 'taller' ELSE 'panorama' END AS formato, fuente, count(*) AS n FROM pub GROUP BY ALL""")
 def k07(spark, sf):
-    """The published rows, counted by source, under the header's stamp."""
-    _, rows = store.publish_catalogue(i.published(spark, sf), F.lit(i.AS_OF_TEXT))
-    return rows.groupBy("fuente").agg(F.count(F.lit(1)).alias("n")).select(F.lit(i.AS_OF_TEXT).alias("generado"), "fuente", "n")
+    """The published rows as written and read back, counted by format and source, beside their header."""
+    header, rows, _ = _published_catalogue(spark, sf)
+    head = header.first()
+    return rows.groupBy("formato", "fuente").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(f"{head.generado:%Y-%m-%d}").alias("generado"), F.lit(head.total).alias("total"), "formato", "fuente", "n")
+
+
+@register("k07_catalogue_facets", f"""WITH {i.PUB} SELECT faceta, valor, count(*) AS n FROM (SELECT 'categoria' AS faceta, categoria AS valor FROM pub UNION ALL SELECT 'comuna', comuna FROM pub UNION ALL SELECT 'publico', publico FROM pub)
+  WHERE valor <> '' GROUP BY ALL""")
+def k07b(spark, sf):
+    return _published_catalogue(spark, sf)[2]
 
 
 @register("k08_bank_run_state", f"""WITH {i.OFFERS}, st AS (SELECT banco, count(*) AS crudos FROM offers WHERE banco <> 'Brand#3' GROUP BY banco)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 from pyspark.sql.window import Window
 
 from kermesse.functions import labels
@@ -105,9 +108,9 @@ def first_seen_places(store: DataFrame, as_of: Column) -> DataFrame:
 
 
 def latest_run_per_source(runs: DataFrame, as_of: Column) -> DataFrame:
-    """The last run of the day for each source."""
-    today = runs.filter(F.col("momento").cast("date") == as_of.cast("date"))
-    return best_row(today, ["fuente"], [F.col("momento")], largest=True)
+    """The last run of the day for each source; of a log partitioned by day only that day is read."""
+    day = F.col("dia") if "dia" in runs.columns else F.col("momento").cast("date")
+    return best_row(runs.filter(day == as_of.cast("date")), ["fuente"], [F.col("momento")], largest=True)
 
 
 def degraded_sources(runs: DataFrame, active: DataFrame | None = None, last: int = 3) -> DataFrame:
@@ -232,9 +235,26 @@ def run_log(counts: DataFrame, now: Column, errors: DataFrame | None = None) ->
 
 
 def append_run_log(rows: DataFrame, path: str) -> DataFrame:
-    """Append a run to the log at ``path`` and return the whole log."""
-    rows.write.mode("append").parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    """Append a run to the log at ``path``, in the partition of its day, and return the whole log."""
+    rows.withColumn("dia", F.col("momento").cast("date")).write.mode("append").partitionBy("dia").parquet(path)
+    return read_run_log(rows.sparkSession, path, rows.schema)
+
+
+def read_run_log(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The log; filters on ``dia`` read the folders of those days only."""
+    known = schema or StructType.fromDDL(RUN_LOG)
+    return spark.read.schema(StructType([*known.fields, StructField("dia", DateType())])).parquet(path)
+
+
+def expire_run_log(spark: SparkSession, path: str, first_kept: str) -> list[str]:
+    """Drop the days before ``first_kept`` (``YYYY-MM-DD``) as whole partitions; returns what was dropped."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    days = [f.getPath() for f in fs.listStatus(root) if f.isDirectory() and f.getPath().getName().startswith("dia=")]
+    gone = [d for d in days if re.fullmatch(r"dia=\d{4}-\d\d-\d\d", d.getName()) and d.getName()[4:] < first_kept]
+    for d in gone:
+        fs.delete(d, True)
+    return sorted(d.getName()[4:] for d in gone)
 
 
 def run_diagnostics(latest: DataFrame, stale: DataFrame, published: DataFrame,

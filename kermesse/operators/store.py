@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import functools
+import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kermesse.functions.text import fold_text
@@ -168,10 +171,58 @@ def run_trend(history: DataFrame, run: DataFrame, keep: int | None = None) -> Da
     return ordered if keep is None else ordered.limit(keep)
 
 
-def publish_catalogue(rows: DataFrame, generated: Column) -> tuple[DataFrame, DataFrame]:
-    """One-row header (generated, total) and the rows in agenda order."""
-    header = rows.agg(F.count(F.lit(1)).alias("total")).select(generated.alias("generado"), "total")
-    return header, agenda_order(rows)
+HEADER = "version string, numero bigint, generado timestamp_ntz, total bigint"
+FACET = "faceta string, valor string, n bigint"
+
+
+def facet_table(rows: DataFrame, facets: Sequence[str]) -> DataFrame:
+    """How many rows have each filled value of each facet; a list counts each of its values."""
+    kinds = dict(rows.dtypes)
+
+    def named(c: str) -> Column:
+        one = F.col(c) if kinds[c].startswith("array") else F.array(c)
+        return F.transform(one, lambda v: F.struct(F.lit(c).alias("faceta"), v.cast("string").alias("valor")))
+
+    values = [named(c) for c in facets]
+    told = rows.select(F.explode(F.flatten(F.array(*[F.coalesce(v, F.array().cast("array<struct<faceta: string, valor: string>>")) for v in values]))).alias("v"))
+    return told.filter("v.valor <> ''").groupBy("v.faceta", "v.valor").agg(F.count(F.lit(1)).alias("n"))
+
+
+def publish_catalogue(rows: DataFrame, generated: Column, path: str, facets: Sequence[str] = ("categoria", "comuna", "publico"),
+                      by: str = "formato") -> str:
+    """Write a version of the catalogue: rows partitioned by ``by`` and in agenda order, facets counted, one header row.
+
+    The header comes last and names its version, so readers see rows, facets and header change together; a version that
+    was not finished is never seen. Returns the version.
+    """
+    spark = rows.sparkSession
+    version = uuid.uuid4().hex
+    order = [F.col("inicio").asc_nulls_last(), F.col("seq")]
+    rows.repartitionByRange(F.col(by), *order).sortWithinPartitions(by, *order).write.partitionBy(by).parquet(f"{path}/{version}/filas")
+    written = spark.read.schema(rows.schema).parquet(f"{path}/{version}/filas")
+    facet_table(written, facets).write.parquet(f"{path}/{version}/facetas")
+    before = headers(spark, path).agg(F.max("numero")).first()[0]
+    (written.agg(F.count(F.lit(1)).alias("total")).select(
+        F.lit(version).alias("version"), F.lit((before or 0) + 1).cast("bigint").alias("numero"), generated.cast("timestamp_ntz").alias("generado"), "total")
+     .coalesce(1).write.mode("append").parquet(f"{path}/cabeceras"))
+    return version
+
+
+def headers(spark: SparkSession, path: str) -> DataFrame:
+    """One row for each finished version."""
+    try:
+        return spark.read.schema(HEADER).parquet(f"{path}/cabeceras")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], HEADER)
+
+
+def read_published(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Header (one row), rows and facets of the newest version."""
+    header = headers(spark, path).orderBy(F.col("numero").desc(), "version").limit(1)
+    version = header.first().version
+    return (header, spark.read.parquet(f"{path}/{version}/filas"), spark.read.schema(FACET).parquet(f"{path}/{version}/facetas"))
 
 
 def agenda_order(rows: DataFrame) -> DataFrame:

@@ -276,3 +276,46 @@ def test_rules_of_a_profile():
     assert r["pesos"] == {"musica": 23.0, "fiesta": 18.0} and r["base"] is None and (r["desde"], r["hasta"]) == (19, 3)
     assert r["evita_ninos"] and r["sin_recurrentes"] and r["puntos_recurrente"] == -5.0 and (r["senal"], r["puntos_senal"]) == ("group", 4.0)
     assert _rule("", "mover", "taller")[12] is False and _rule("ninos", "barrio", "")[18] == 0.0
+
+
+def test_run_log_reads_and_drops_days(spark, tmp_path):
+    from kermesse.operators import review
+    path = str(tmp_path / "log")
+    runs = spark.sql("""select timestamp_ntz'2024-01-01 08:00:00' + make_interval(0, 0, 0, cast(id % 5 as int), cast(id % 3 as int), 0, 0) momento,
+        concat('f', id % 4) fuente, cast(id as int) encontrados from range(60)""")
+    log = review.append_run_log(runs, path)
+    latest = review.latest_run_per_source(log, F.lit("2024-01-03"))
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dia" in plan and "(dia" in plan.split("PartitionFilters: ")[1].split("]")[0]
+    want = {}
+    for r in runs.collect():
+        if r.momento.day == 3:
+            want[r.fuente] = max(want.get(r.fuente, r.momento), r.momento)
+    assert {r.fuente: r.momento for r in latest.collect()} == want
+    assert review.expire_run_log(spark, path, "2024-01-03") == ["2024-01-01", "2024-01-02"]
+    assert {r.dia.day for r in review.read_run_log(spark, path, runs.schema).select("dia").distinct().collect()} == {3, 4, 5}
+
+
+def test_catalogue_versions_swap_whole(spark, sf, tmp_path):
+    from kermesse.bindings import inputs as i
+    from kermesse.operators import store as st
+    path = str(tmp_path / "catalogo")
+    rows = i.published(spark, sf).withColumn("formato", F.when(F.col("seq") % 2 == 0, "taller").otherwise("panorama"))
+    first = st.publish_catalogue(rows.filter("seq < 100"), i.now(), path)
+    second = st.publish_catalogue(rows, i.now(), path)
+    header, back, facets = st.read_published(spark, path)
+    head = header.first()
+    assert (head.version, head.numero, head.total) == (second, 2, rows.count()) and first != second
+    assert sorted(r.seq for r in back.select("seq").collect()) == sorted(r.seq for r in rows.select("seq").collect())
+    assert {(r.faceta, r.valor): r.n for r in facets.collect()}["publico", "ninos"] == rows.filter("publico = 'ninos'").count()
+    plan = back.filter("formato = 'taller'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(formato" in plan
+    # A version that was not finished has no header and is not seen.
+    rows.limit(1).write.parquet(f"{path}/unfinished/filas")
+    assert st.read_published(spark, path)[0].first().version == second
+
+
+def test_facets_count_lists_and_leave_blanks_out(spark):
+    from kermesse.operators.store import facet_table
+    rows = spark.createDataFrame([("a", ["x", "y"]), ("", ["x"]), (None, None)], "f string, d array<string>")
+    assert {(r.faceta, r.valor): r.n for r in facet_table(rows, ("f", "d")).collect()} == {("f", "a"): 1, ("d", "x"): 2, ("d", "y"): 1}
