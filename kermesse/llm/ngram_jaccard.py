@@ -6,13 +6,13 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kermesse.llm.common import SHINGLE_WORDS, bounded, python_ready, slices, staged
 from kermesse.llm.components import components
+from kermesse.llm.hashing import between, mixed, words_of
 
 #: Similarity in percent that links two sets.
 PERCENT = 75
@@ -27,46 +27,20 @@ CHUNK, REPORTED = 6_000_000, 2
 #: Nodes whose numbers are broadcast to pick texts (16 bytes each); more are joined by a shuffle.
 BROADCAST_NODES = 1_000_000
 #: Words of 64 bits in the bitmap that pairs of a bucket are compared by.
-SHORT = 16
+SHORT = 32
 #: Bucket keys of a node by which pairs that meet earlier are known.
-FIRST = 8
-#: A component is cut into blocks of so many nodes, into FEW blocks of more nodes, or into as many blocks as keep each
-#: within LARGE nodes and BLOCK_TOKENS tokens. All blocks of a component meet, so no task holds a whole one.
-BLOCK_NODES, FEW, LARGE, BLOCK_TOKENS = 128, 32, 1024, 1_000_000
-#: Tokens that a block's sets are laid out by at once.
-COLUMNS = 4096
-#: Components of several blocks whose numbers are broadcast; more are joined by a shuffle.
-BROADCAST_CUT = 1_000_000
-
-_M = np.uint64(0x9E3779B97F4A7C15)
-
-
-def mixed(h: np.ndarray) -> np.ndarray:
-    """A bijective mix of 64-bit words."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-def shingle_sets(texts: list[str | None], size: int = SHINGLE_WORDS) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each whole text; with fewer words, the hash of them all; without, none."""
-    split = [t.encode().lower().split() if t else [] for t in texts]  # bytes: A-Z and ASCII blanks only
-    flat = np.array([w for s in split for w in s] + [b""], dtype=object)
-    hashes = pd.util.hash_array(flat, categorize=False)
-    out, at = [], 0
-    with np.errstate(over="ignore"):
-        for s in split:
-            n = len(s)
-            own, at = hashes[at:at + n], at + n
-            if not n:
-                out.append(np.zeros(0, np.uint64))
-                continue
-            k = min(size, n)
-            h = np.full(n - k + 1, k, np.uint64)
-            for i in range(k):
-                h = mixed(h * _M + own[i:n - k + 1 + i])
-            out.append(np.unique(h))
-    return out
+FIRST = 16
+
+
+def shingle_sets(texts: pa.Array, size: int = SHINGLE_WORDS) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each whole text, A-Z in lower case; with fewer words, the hash of them all;
+    without, none."""
+    words = words_of(texts, lower=True)
+    runs, first = words.runs(size), words.first
+    few = np.flatnonzero((np.diff(first) > 0) & (np.diff(first) < size))
+    short = dict(zip(few.tolist(), between(words.sums(), first[few], first[few + 1]))) if len(few) else {}
+    return [np.unique(runs[a:b - size + 1]) if b - a >= size else np.array([short[k]] if k in short else [], np.uint64)
+            for k, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist()))]
 
 
 def digest(s: np.ndarray) -> int:
@@ -76,8 +50,8 @@ def digest(s: np.ndarray) -> int:
 
 
 def read_sets(docs: DataFrame, size: int) -> DataFrame:
-    """One pass over all texts: a row (doc_id, node, n) a document, and rows (token, hits) of tokens that are frequent
-    in some chunk of a task."""
+    """One pass over all texts: a row (doc_id, key, node, n) a document, and rows (token, hits) of tokens that are
+    frequent in some chunk of a task."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
@@ -86,14 +60,14 @@ def read_sets(docs: DataFrame, size: int) -> DataFrame:
             many = hits >= REPORTED
             held.clear()
             n = int(many.sum())
-            return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
+            return pa.RecordBatch.from_arrays([*[pa.nulls(n, pa.int64())] * 4,
                                                pa.array(tokens[many].view(np.int64)), pa.array(hits[many].astype(np.int64))], names)
 
-        names, waiting = ["doc_id", "node", "n", "token", "hits"], 0
+        names, waiting = ["doc_id", "key", "node", "n", "token", "hits"], 0
         for b in slices(batches, 4):
-            sets = shingle_sets(b.column("text").to_pylist(), size)
+            sets = shingle_sets(b.column("text"), size)
             k = len(sets)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([digest(s) if len(s) else None for s in sets], pa.int64()),
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), pa.array([digest(s) if len(s) else None for s in sets], pa.int64()),
                                               pa.array([len(s) for s in sets], pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], names)
             held += sets
             waiting += sum(map(len, sets))
@@ -102,8 +76,7 @@ def read_sets(docs: DataFrame, size: int) -> DataFrame:
                 waiting = 0
         yield counted()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        read, "doc_id long, node long, n long, token long, hits long")
+    return docs.mapInArrow(read, "doc_id long, key long, node long, n long, token long, hits long")
 
 
 class Order:
@@ -169,7 +142,7 @@ def signatures(s: np.ndarray, order: Order, percent: int) -> np.ndarray:
                 if covered >= need:
                     break
             sums = [sum(pair) & 0xFFFFFFFFFFFFFFFF for (c, _), own in members.items() for pair in combinations(map(spread, own), c + 1)]
-            found.append(mixed(np.array(sums, np.uint64) + np.uint64(band) * _M))
+            found.append(mixed(np.array(sums, np.uint64) + np.uint64(band) * np.uint64(0x9E3779B97F4A7C15)))
     return np.unique(np.concatenate(found))
 
 
@@ -185,8 +158,9 @@ def signed(docs: DataFrame, order: Order, size: int, percent: int) -> DataFrame:
         seen: set[int] = set()
         for b in slices(batches, 2):
             sigs, nodes, sizes = [], [], []
-            for s in shingle_sets(b.column("text").to_pylist(), size):
-                if len(s) < 3 or (node := digest(s)) in seen:  # smaller sets are similar to their copies only
+            for s in shingle_sets(b.column("text"), size):
+                # A set that a set of one token more is not similar to is similar to its copies only.
+                if 100 * len(s) < percent * (len(s) + 1) or (node := digest(s)) in seen:
                     continue
                 seen.add(node)
                 own = signatures(s, order, percent)
@@ -197,7 +171,7 @@ def signed(docs: DataFrame, order: Order, size: int, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(nodes)),
                                                   pa.array(np.concatenate(sizes))], ["sig", "node", "n"])
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(sign, "sig long, node long, n int")
+    return docs.select("text").mapInArrow(sign, "sig long, node long, n int")
 
 
 def bitmap(s: np.ndarray, bits: int = 0) -> bytes:
@@ -225,12 +199,12 @@ def near_enough(shared, n, m, percent: int):
 def of_nodes(docs: DataFrame, reps: DataFrame, size: int, order: Order | None = None) -> DataFrame:
     """`node` and its sorted `tokens`; or, given the order, its `bits`, its `short` bitmap and the `weight` of its tokens.
 
-    Each set is read from one document. `reps` (node, doc_id) is broadcast if its counted rows are few, else joined by
-    a shuffle.
+    Each set is read from one document. `reps` (node, key) is broadcast if its counted rows are few, else joined by a
+    shuffle.
     """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 2):
-            sets = shingle_sets(b.column("text").to_pylist(), size)
+            sets = shingle_sets(b.column("text"), size)
             columns = {"named": pa.array([digest(s) if len(s) else None for s in sets], pa.int64()), "node": b.column("node")}
             if order:
                 columns |= {"bits": pa.array([bitmap(s) for s in sets], pa.binary()), "weight": pa.array([order.weight(s) for s in sets]),
@@ -239,10 +213,10 @@ def of_nodes(docs: DataFrame, reps: DataFrame, size: int, order: Order | None =
                 columns["tokens"] = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(bounded(reps, BROADCAST_NODES), "doc_id")
+    texts = docs.select("key", "text").join(bounded(reps, BROADCAST_NODES), "key")
     out = texts.select("text", "node").mapInArrow(read, "named long, node long, " + (
         "bits binary, weight double, short array<long>" if order else "tokens array<long>"))
-    # A repeated doc_id may bring another text, or the same one twice.
+    # A repeated key may bring another text, or the same one twice.
     return staged(out.where("named = node").drop("named").dropDuplicates(["node"]))
 
 
@@ -271,98 +245,41 @@ def similar_sizes(n, m, percent: int):
     return (100 * F.least(n, m) >= percent * F.greatest(n, m))
 
 
-def shared_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
-    """How many tokens each set of `a` shares with each of `b`."""
-    flat = [np.concatenate(own) for own in (a, b)]
-    at = [np.repeat(np.arange(len(own)), [len(s) for s in own]) for own in (a, b)]
-    both = np.intersect1d(*flat)
-    out = np.zeros((len(a), len(b)), np.float32)  # exact up to 16 million tokens
-    if not len(both):
-        return out
-    places = [np.minimum(np.searchsorted(both, x), len(both) - 1) for x in flat]
-    for k, x in enumerate(flat):
-        hit = both[places[k]] == x
-        order = np.argsort(places[k][hit], kind="stable")
-        places[k], at[k] = places[k][hit][order], at[k][hit][order]
-    for start in range(0, len(both), COLUMNS):
-        laid = []
-        for k, own in enumerate((a, b)):
-            low, high = np.searchsorted(places[k], [start, start + COLUMNS])
-            laid.append(np.zeros((len(own), min(COLUMNS, len(both) - start)), np.float32))
-            laid[k][at[k][low:high], places[k][low:high] - start] = 1
-        out += laid[0] @ laid[1].T
-    return out
-
-
-def counted_links(joined: DataFrame, copies: DataFrame, docs: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
-    """`node` and `others`: the documents of the other nodes similar to it, each pair of a component compared in whole.
-
-    `joined` (node, component) holds every link inside a component, `copies` (node, copies) a node's documents. The
-    nodes of a component are dealt out to blocks and each two blocks meet in a task that writes one row a node.
-    """
-    def compare(pairs: pa.Table) -> pa.Table:
-        i, own = pairs.column("i")[0].as_py(), pairs.column("own").to_numpy()
-        nodes, weight = pairs.column("node").to_numpy(), pairs.column("copies").to_numpy()
-        sets = [np.asarray(t, np.int64) for t in pairs.column("tokens").to_numpy(zero_copy_only=False)]
-        n = np.array([len(s) for s in sets])
-        left = np.flatnonzero(own == i)
-        right = np.flatnonzero(own != i) if pairs.column("j")[0].as_py() != i else left
-        others = np.zeros(len(sets), np.int64)
-        if len(left) and len(right):
-            shared = shared_counts([sets[k] for k in left], [sets[k] for k in right]).astype(np.int64)
-            linked = near_enough(shared, n[left][:, None], n[right][None, :], percent) & (nodes[left][:, None] != nodes[right][None, :])
-            others[left] = linked @ weight[right]
-            if left is not right:
-                others[right] = linked.T @ weight[left]
-        return pa.table({"node": pa.array(nodes), "others": pa.array(others)})
-
-    whole = of_nodes(docs, staged(reps.join(joined, "node", "left_semi")), size)
-    members = staged(joined.join(whole, "node").join(copies, "node").select("component", "node", "copies", "tokens"))
-    k = F.count(F.lit(1))
-    blocks = F.greatest(F.least(F.ceil(k / BLOCK_NODES), F.lit(FEW)), F.ceil(k / LARGE), F.ceil(F.sum(F.size("tokens")) / BLOCK_TOKENS)).cast("int")
-    cut = staged(members.groupBy("component").agg(blocks.alias("blocks")).where("blocks > 1"))
-    own = F.pmod(F.xxhash64("node"), F.coalesce("blocks", F.lit(1))).cast("int")
-    dealt = (members.join(bounded(cut, BROADCAST_CUT), "component", "left").withColumn("own", own)
-             .withColumn("with", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
-             .select("component", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "node", "copies", "tokens"))
-    told = dealt.groupBy("component", "i", "j").applyInArrow(compare, "node long, others long")
-    return told.groupBy("node").agg(F.sum("others").alias("others"))
-
-
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE_WORDS, count_links: bool = True) -> DataFrame:
-    """One row a row of `docs`: `doc_id`, `n_shingles` (long), `component_id`, `links` (long).
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE_WORDS) -> DataFrame:
+    """One row a row of `docs`: `doc_id`, `n_shingles` (long), `component_id`.
 
     Documents link when 100 * shared >= `percent` * united shingles of `size` words; `component_id` is the smallest
-    doc_id reachable by links. Documents with one set are one node, so copies meet once. `links` counts the other
-    documents that link with the row's text, copies among them: every doc_id with such a text, once a different set
-    of shingles it has, and every such row whose doc_id is null. Without `count_links` the column is left out.
+    doc_id reachable by links. Documents with one set are one node, so copies meet once.
 
     Candidates come from token-combination prefixes. A bucket holds the nodes of one signature; buckets of the same
     nodes count once. First each node is compared with its bucket's lead, the set with the commonest tokens; then, in
     buckets that still hold several components, the nodes outside the largest component meet all others that are not
-    yet joined to them. A pair is only made if short bitmaps, which bound the overlap from above, allow it. So a
-    group of near copies makes rows in proportion to its size, and no link between two components is lost. Links are
-    counted at the end: all pairs of a component's nodes meet block by block and only their counts are written.
+    yet joined to them. A pair is only made if bitmaps, which bound the overlap from above, allow it. So a group of near
+    copies makes rows in proportion to its size, and no link between two components is lost.
 
     Null and blank texts have no shingles and link with nothing. Rows that repeat a `doc_id` are linked through it.
-    A null `doc_id` joins its text's component without naming it. No rows give no rows; other columns are ignored.
+    A null `doc_id` joins its text's component without naming it: links through such a text count, and rows that only
+    null ids are reachable from have a null component. No rows give no rows; other columns are ignored.
     """
     python_ready(docs.sparkSession)
+    text = F.col("text").cast("string")
+    # Texts are found again by their key: the id, or where it is null a hash of the text.
+    docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("key"), text.alias("text"))
     read = staged(read_sets(docs, size))
-    rows = read.where("token is null").select("doc_id", "node", "n")
+    rows = read.where("token is null").select("doc_id", "key", "node", "n")
     top = (read.where("token is not null").groupBy("token").agg(F.sum("hits").alias("hits"))
            .where(F.col("hits") >= FREQUENT[0]).orderBy(F.col("hits").desc(), "token").limit(MOST_FREQUENT).toPandas())
     order = Order(top["token"].to_numpy(np.int64).view(np.uint64), top["hits"].to_numpy(np.int64), list(FREQUENT))
-    reps = staged(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-                  .where("doc_id is not null"))
-
-    of_sig = Window.partitionBy("sig")
-    whole = signed(docs, order, size, percent).withColumns({
-        "lead": F.min("node").over(of_sig), "last": F.max("node").over(of_sig)})
-    named = whole.where("lead < last").withColumns({
-        "b1": F.sum(F.shiftright(F.xxhash64("node"), 24)).over(of_sig), "b2": F.sum(F.shiftright(F.xxhash64(F.lit(1), "node"), 24)).over(of_sig)})
+    reps = staged(rows.where("node is not null").groupBy("node").agg(F.min("key").alias("key")))
+
+    whole = staged(signed(docs, order, size, percent))
+    # Reduced in tasks before the shuffle, so that a signature of many sets is one row a task.
+    named = (whole.groupBy("sig").agg(F.min("node").alias("lead"), F.max("node").alias("last"),
+                                      F.sum(F.shiftright(F.xxhash64("node"), 24)).alias("b1"),
+                                      F.sum(F.shiftright(F.xxhash64(F.lit(1), "node"), 24)).alias("b2"))
+             .where("lead < last").select("sig", "b1", "b2"))
     # Tasks name a set once each, so a set may be in a signature twice; its sums still name the bucket.
-    buckets = staged(named.select("b1", "b2", "node", "n").distinct())
+    buckets = staged(whole.join(staged(named), "sig").select("b1", "b2", "node", "n").distinct())
     nodes = of_nodes(docs, staged(reps.join(buckets.select("node").distinct(), "node", "left_semi")), size, order)
     weighed = buckets.join(nodes.select("node", "weight"), "node")
     lead = weighed.groupBy("b1", "b2").agg(F.max(F.struct("weight", "node", "n")).alias("lead"))
@@ -398,15 +315,6 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
                .agg(F.min("node").alias("least"), F.max("node").alias("last")).where("least < last").select("doc_id", "least"))
     same_id = rows.join(repeats, "doc_id").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
     of_node = components(links.unionByName(same_id))
-    told = rows.join(of_node, "node", "left").select("doc_id", "n", "node", F.coalesce("component", "node").alias("label"))
-    if count_links:
-        copies = staged(rows.where("node is not null").groupBy("node", "doc_id").agg(F.count(F.lit(1)).alias("k")).groupBy("node")
-                        .agg(F.sum(F.when(F.col("doc_id").isNull(), F.col("k")).otherwise(1)).alias("copies")))
-        others = counted_links(components(links), copies, docs, reps, size, percent)
-        degree = (copies.join(others, "node", "left").select("node", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
-                  .where("links > 0"))
-        told = told.join(degree, "node", "left").withColumn("links", F.coalesce("links", F.lit(0).cast("long")))
-    told = staged(told.drop("node"))
+    told = staged(rows.join(of_node, "node", "left").select("doc_id", "n", F.coalesce("component", "node").alias("label")))
     named = told.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
-    return told.join(named, "label", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"), *["links"] * count_links)
+    return told.join(named, "label", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))

@@ -191,24 +191,22 @@ def test_near_duplicates_match_brute_force(spark):
     assert all(r.n_shingles == len(sets[r.doc_id][0]) for r in got)
 
 
-def test_links_count_every_similar_document(spark):
-    """Edited copies of one text in several blocks, exact copies among them, copies alone, a chain and a null doc_id."""
-    rng = np.random.default_rng(23)
-    rows = []
-    for base, k in ((prose(rng, 90), 300), (prose(rng, 40), 8), (prose(rng, 2), 3)):
-        for i in range(k):
-            words = list(base)
-            for _ in range(0 if i % 5 == 0 else int(rng.integers(0, 1 + len(words) // 25))):
-                words[int(rng.integers(len(words)))] = prose(rng, 1)[0]
-            rows.append((len(rows), " ".join(words)))
-    rows += [(len(rows) + i, " ".join(f"c{k}" for k in range(i * 4, i * 4 + 60))) for i in range(9)]
-    rows += [(None, rows[0][1]), rows[0], (len(rows), "alone among all"), (len(rows) + 1, None), (len(rows) + 2, " "), (len(rows) + 3, "")]
-    sets = [frozenset(tuple(w[j:j + 5]) for j in range(max(1, len(w) - 4))) if w else frozenset() for w in ((t or "").split() for _, t in rows)]
-    held = list({(i if i is not None else f"row{at}", s): None for at, ((i, _), s) in enumerate(zip(rows, sets)) if s})
-    want = sorted((str(i), sum(100 * len(s & t) >= 75 * len(s | t) for j, t in held) - 1 if s else 0) for (i, _), s in zip(rows, sets))
-    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()
-    assert sorted((str(r.doc_id), r.links) for r in got) == want
-    assert max(n for _, n in want) > 200
+def test_small_sets_link_below_two_thirds(spark):
+    """At 60 percent a set of two shingles is similar to one of three."""
+    rows = [(1, "a b c d e f"), (2, "a b c d e f g"), (3, "p q"), (4, "p q r"), (5, "a b c d e f")]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent=60).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 1}
+
+
+def test_a_text_of_null_ids_links_its_neighbours(spark):
+    """10 and 20 are similar to the text between them only, which has no id; a copy of it, and null rows alone."""
+    text = lambda i: " ".join(f"c{k}" for k in range(i, i + 60))
+    rows = [(10, text(0)), (None, text(6)), (20, text(12)), (None, text(6)), (None, "only a null row holds this text of words"), (30, "apart from all others here")]
+    for percent, want in ((75, {10: 10, 20: 10, 30: 30}), (95, {10: 10, 20: 20, 30: 30})):
+        got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), percent=percent).collect()
+        assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == want
+        nulls = sorted(str(r.component_id) for r in got if r.doc_id is None)
+        assert nulls == (["10", "10", "None"] if percent == 75 else ["None"] * 3)
 
 
 def test_every_similar_pair_shares_a_signature():
