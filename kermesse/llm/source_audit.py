@@ -2,36 +2,62 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kermesse.llm.common import LOWER, UPPER, bounded, python_ready, staged
+from kermesse.llm.common import bounded, python_ready, slices, staged
 
 #: Documents of a language that hold a kept term, and the ranks of a group's terms that are told.
 MIN_DOCS, TOP_TERMS = 10, 10
 #: The vocabulary is never cut: its greatest size is the greatest integer.
 VOCABULARY = 2 ** 31 - 1
-#: Distinct terms of a language that one vectoriser reads; more are dealt out to several by hash, and each learns its
-#: share whole. Terms that too few documents hold never reach the driver.
-SHARD_TERMS = 5_000_000
+#: Terms of a language that one vectoriser keeps at most, by proof (each is in `min_docs` documents) or by a count of the
+#: distinct ones; more are dealt out to several vectorisers by hash, and each learns its share whole.
+SHARD_TERMS = 9_000_000
+#: Cells of document vectors that a task sums at once.
+CELLS = 4_000_000
 #: Terms whose names are broadcast to name indices; more are joined by a shuffle.
 BROADCAST_TERMS = 200_000
 #: Rows (group, term) that meet in a task when pairs of groups are evaluated.
 BLOCK_ROWS = 200_000
 #: Proportions are whole numbers of this many parts.
 PARTS = 1_000_000_000
-#: The ASCII signs that no term holds, and the letters that lose their case.
+#: Fixed value: the ASCII signs that no term holds.
 BREAKS = "".join(map(chr, (*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80))))
 #: Folders that texts are written to by their language's hash, so that a language is read alone.
 FOLDERS = 64
 
 
-def cleaned(text: Column) -> Column:
-    """The text with a blank for every sign that no term holds, and A-Z in lower case: its terms are what blanks part."""
-    return F.translate(text, UPPER + BREAKS, LOWER + " " * len(BREAKS))
+def cleaned(docs: DataFrame) -> DataFrame:
+    """`docs` (lang, source, text, folder) with `clean`, the text with a blank for every sign that no term holds and A-Z in
+    lower case, and `n`, how many terms blanks part it into."""
+    table = np.arange(256, dtype=np.uint8)
+    table[[ord(c) for c in BREAKS]] = 32
+    table[65:91] += 32
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 8):
+            text = b.column("text").cast(pa.large_string())
+            offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text) + 1]
+            raw = text.buffers()[2]
+            data = table[np.frombuffer(raw, np.uint8)[offsets[0]:offsets[-1]]] if raw is not None else np.zeros(0, np.uint8)
+            offsets = offsets - offsets[0]
+            begins = data != 32
+            inside = begins.copy()
+            begins[1:] &= ~inside[:-1]
+            edges = offsets[:-1][offsets[:-1] < len(data)]
+            begins[edges] = inside[edges]
+            n = np.diff(np.searchsorted(np.flatnonzero(begins), offsets))
+            clean = pa.Array.from_buffers(pa.large_string(), len(text), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("source"), clean, pa.array(n, pa.int64()), b.column("folder")],
+                                             ["lang", "source", "clean", "n", "folder"])
+
+    return docs.select("lang", "source", "text", "folder").mapInArrow(run, "lang string, source string, clean string, n long, folder int")
 
 
 def terms(clean: Column) -> Column:
@@ -39,6 +65,35 @@ def terms(clean: Column) -> Column:
     return F.split(clean, " ")
 
 
+def group_sums(vectors: DataFrame) -> DataFrame:
+    """Rows (source, at, n): the sum of sparse vectors (source, indices, values) by group, added up in tasks first."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes: dict[str, int] = {}
+        keys, values, waiting = [], [], 0
+
+        def told() -> pa.RecordBatch:
+            found, at = np.unique(np.concatenate(keys), return_inverse=True) if keys else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            sums = np.bincount(at, np.concatenate(values) if values else None, len(found)).astype(np.int64)
+            names = pa.array(list(codes), pa.string())
+            keys.clear()
+            values.clear()
+            return pa.RecordBatch.from_arrays([names.take(pa.array(found >> 32)), pa.array((found & 0xFFFFFFFF).astype(np.int32)), pa.array(sums)],
+                                              ["source", "at", "n"])
+
+        for b in batches:
+            cells = b.column("indices")
+            own = np.array([codes.setdefault(s, len(codes)) for s in b.column("source").to_pylist()], np.int64)
+            keys.append(np.repeat(own, cells.value_lengths().to_numpy()) << 32 | cells.flatten().to_numpy())
+            values.append(b.column("values").flatten().to_numpy())
+            waiting += len(values[-1])
+            if waiting > CELLS:
+                yield told()
+                waiting = 0
+        yield told()
+
+    return vectors.mapInArrow(add, "source string, at int, n long").groupBy("source", "at").agg(F.sum("n").alias("n"))
+
+
 def whole(a: Column, b: Column) -> Column:
     """a / b without its rest, as a long."""
     return F.call_function("div", a, b)
@@ -65,24 +120,23 @@ def counted(docs: DataFrame, min_docs: int, shard_terms: int) -> DataFrame:
     """
     spark = docs.sparkSession
     folder = F.pmod(F.xxhash64("lang"), F.lit(FOLDERS)).cast("int")
-    clean = staged(docs.select("lang", "source", cleaned(F.col("text")).alias("clean"), folder.alias("folder")), "folder")
-    langs = (docs.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.length("text")).alias("chars"), F.first(folder).alias("folder"))
+    clean = staged(cleaned(docs.withColumn("folder", folder)), "folder")
+    langs = (clean.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("n"), F.first("folder").alias("folder"))
              .where(F.col("docs") >= min_docs).orderBy("lang").collect())
     out = spark.createDataFrame([], "lang string, source string, term string, id long, n long")
     for lang in langs:
         own = clean.where((F.col("folder") == lang.folder) & (F.col("lang") == lang.lang)).select("source", terms(F.col("clean")).alias("terms"))
-        # A text of n signs has (n + 1) / 2 terms at most; only where that passes the bound are the terms counted.
-        distinct = lang.chars if lang.chars <= shard_terms else own.select(F.explode("terms").alias("t")).agg(
-            F.approx_count_distinct("t", 0.02)).first()[0] * 11 // 10
-        shards = max(1, -(-distinct // shard_terms))
+        most = lang.n // min_docs
+        if most > shard_terms:
+            most = own.select(F.explode("terms").alias("t")).agg(F.approx_count_distinct("t", 0.02)).first()[0] * 11 // 10
+        shards = max(1, -(-most // shard_terms))
         # A vectoriser wants one term at least: the empty one, which is none.
         none = spark.range(min_docs).select(F.lit("").alias("source"), F.array(F.lit("")).alias("terms"))
         for k in range(shards):
             part = own if shards == 1 else own.withColumn("terms", F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(shards)) == k))
             model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=VOCABULARY).fit(part.unionByName(none))
             vector = F.unwrap_udt("vector")
-            cells = model.transform(part).select("source", F.inline(F.arrays_zip(vector["indices"].alias("at"), vector["values"].alias("n"))))
-            sums = cells.groupBy("source", "at").agg(F.sum(F.col("n").cast("long")).alias("n"))
+            sums = group_sums(model.transform(part).select("source", vector["indices"].alias("indices"), vector["values"].alias("values")))
             words = pa.array(model.vocabulary)
             names = spark.createDataFrame(pa.table({"at": pa.array(range(len(words)), pa.int32()), "term": words})).where("term <> ''")
             named = sums.join(bounded(names, BROADCAST_TERMS), "at").select(
