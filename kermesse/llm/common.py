@@ -56,6 +56,22 @@ def python_ready(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+class Remembered(dict):
+    """What a task has worked out before, by string; emptied when it passes `most` bytes, by estimate."""
+
+    def __init__(self, most: int = 48_000_000):
+        super().__init__()
+        self.most, self.bytes = most, 0
+
+    def keep(self, key: str, value):
+        self.bytes += 200 + len(key)
+        if self.bytes > self.most:
+            self.clear()
+            self.bytes = 0
+        self[key] = value
+        return value
+
+
 def slices(batches: Iterator[pa.RecordBatch], mb: float = 8) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that a slice holds about `mb` of data, or one row."""
     for batch in batches:

@@ -12,14 +12,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kermesse.llm.common import python_ready, slices, staged
+from kermesse.llm.common import Remembered, python_ready, slices, staged
 
 #: Labelled rows of each class that the classifier is fitted on, by the least hash of their ids.
 FIT_ROWS = 10_000
 #: Least toxic texts and log-odds of a feature, and the most features a model keeps (its size, not the data's).
 SUPPORT, LEAST_ODDS, MAX_FEATURES = 0.004, 2.0, 50_000
-#: Restored tokens that a task remembers at a time.
-REMEMBERED = 300_000
 #: Letters that a sign may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a",
         "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i", "*": "aeiou", "#": "h",
@@ -128,19 +126,22 @@ def restored(token: str, model: CharModel) -> str:
     return max((score + model.of(a, b, 0), text) for (a, b), (score, text) in states.items())[1].strip()
 
 
-def tokens(text: str, model: CharModel, known: dict[str, tuple[str, ...]]) -> set[str]:
-    """Distinct restored words of a whole lower-cased text. `known`: restored before; emptied when it grows large."""
-    if len(known) > REMEMBERED:
-        known.clear()
+def pieces_of(text: str) -> set[str]:
+    """Distinct tokens of a whole text in lower case, and its runs of single characters with gaps."""
     text = text.lower()
     if not text.isascii():
         text = text.translate(_HIDDEN)
-    found = set()
     pieces = set(text.split())
     pieces.update(m.group() for m in _SPACED.finditer(text))
-    for piece in pieces:
+    return pieces
+
+
+def tokens(text: str, model: CharModel, known: Remembered) -> set[str]:
+    """Distinct restored words of a whole text."""
+    found = set()
+    for piece in pieces_of(text):
         if (words := known.get(piece)) is None:
-            known[piece] = words = tuple(_words(piece, model))
+            words = known.keep(piece, tuple(_words(piece, model)))
         found.update(words)
     return found
 
@@ -158,41 +159,45 @@ def grams(word: str) -> list[str]:
     return [f"={word}", *(edged[i:i + n] for n in (4, 5) for i in range(len(edged) - n + 1))]
 
 
+#: Columns of counts: toxic and clean texts of the first half, and of the rest.
+COUNTS = ("t1", "c1", "t0", "c0")
+
+
 def feature_counts(texts: DataFrame, model: CharModel) -> DataFrame:
-    """`feature`, and in how many toxic and clean texts it occurs, summed in tasks before the shuffle."""
+    """`feature`, and in how many toxic and clean texts of either half it occurs, summed in tasks before the shuffle."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[str, ...]] = {}
-        seen: tuple[Counter, Counter] = (Counter(), Counter())
+        known = Remembered()
+        seen = {(label, first): Counter() for first in (True, False) for label in (1, 0)}  # in the order of COUNTS
 
         def told():
-            rows = [(f, seen[1][f], seen[0][f]) for f in seen[0].keys() | seen[1].keys()]
-            for c in seen:
+            every = sorted(set().union(*seen.values()))
+            columns = [pa.array(every, pa.string()), *(pa.array([c[f] for f in every], pa.int64()) for c in seen.values())]
+            for c in seen.values():
                 c.clear()
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()),
-                                               pa.array([r[2] for r in rows], pa.int64())], ["feature", "toxic", "clean"])
+            return pa.RecordBatch.from_arrays(columns, ["feature", *COUNTS])
 
         for b in slices(batches, 1):
-            for text, label in zip(b.column("text").to_pylist(), b.column("label").to_pylist()):
-                seen[label].update({g for w in tokens(text or "", model, known) for g in grams(w)})
-                if len(seen[0]) + len(seen[1]) > 400_000:
+            for text, label, first in zip(*(b.column(c).to_pylist() for c in ("text", "label", "first"))):
+                seen[label, first].update({g for w in tokens(text or "", model, known) for g in grams(w)})
+                if sum(map(len, seen.values())) > 400_000:
                     yield told()
         yield told()
 
-    return texts.select("text", "label").mapInArrow(count, "feature string, toxic long, clean long").groupBy("feature").agg(
-        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    return texts.select("text", "label", "first").mapInArrow(count, "feature string, " + ", ".join(f"{c} long" for c in COUNTS)).groupBy(
+        "feature").agg(*(F.sum(c).alias(c) for c in COUNTS))
 
 
-def word_weights(texts: DataFrame, chars: CharModel, max_features: int) -> dict[str, float]:
-    """Log-odds of the features that are likelier in toxic texts."""
-    n = {r[0]: r[1] for r in texts.groupBy("label").count().collect()}
-    toxic, clean = n.get(1, 0), n.get(0, 0)
-    if not toxic or not clean:
+def word_weights(counts: DataFrame, toxic: list[str], clean: list[str], n: dict[str, int], max_features: int) -> dict[str, float]:
+    """Log-odds of the features that are likelier in toxic texts, from the counts and text numbers of these columns."""
+    n_toxic, n_clean = sum(n[c] for c in toxic), sum(n[c] for c in clean)
+    if not n_toxic or not n_clean:
         return {}
-    odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
-    best = (feature_counts(texts, chars).where(F.col("toxic") >= max(3, SUPPORT * toxic))
-            .withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
+    total = lambda columns: sum((F.col(c) for c in columns), F.lit(0))
+    odds = F.log((total(toxic) + 0.5) / (n_toxic + 1)) - F.log((total(clean) + 0.5) / (n_clean + 1))
+    best = (counts.withColumns({"toxic": total(toxic), "odds": odds})
+            .where((F.col("toxic") >= max(3, SUPPORT * n_toxic)) & (F.col("odds") >= LEAST_ODDS))
             .orderBy(F.col("odds").desc(), F.col("toxic").desc(), "feature").limit(max_features))
-    return {r.feature: r.odds for r in best.collect()}
+    return {r.feature: r.odds for r in best.select("feature", "odds").collect()}
 
 
 class ToxicModel:
@@ -200,22 +205,30 @@ class ToxicModel:
 
     def __init__(self, chars: CharModel, weights: dict[str, float]):
         self.chars, self.weights = chars, weights
-        self.known: dict[str, tuple[str, ...]] = {}
-        self.scored: dict[str, float] = {}
+        self.known, self.scored = Remembered(), Remembered()
         self.final = np.array([-4.0, 0.0, 0.0, 0.0])
 
     def __getstate__(self):
-        return self.__dict__ | {"known": {}, "scored": {}}
+        return self.__dict__ | {"known": Remembered(), "scored": Remembered()}
 
-    def numbers(self, text: str | None) -> tuple[float, float, float]:
-        if len(self.scored) > REMEMBERED:
-            self.scored.clear()
-        bad = []
-        for word in tokens(text or "", self.chars, self.known):
+    def bad_words(self, piece: str) -> tuple[tuple[str, float], ...]:
+        """The restored words of a piece that weigh anything."""
+        out = []
+        for word in _words(piece, self.chars):
             if (score := self.scored.get(word)) is None:
-                self.scored[word] = score = max((self.weights.get(g, 0.0) for g in grams(word)), default=0.0)
+                score = self.scored.keep(word, max((self.weights.get(g, 0.0) for g in grams(word)), default=0.0))
             if score:
-                bad.append(score)
+                out.append((word, score))
+        return tuple(out)
+
+    def numbers(self, text: str | None) -> tuple[float, float, float]:
+        found: dict[str, float] = {}
+        for piece in pieces_of(text or ""):
+            if (words := self.known.get(piece)) is None:
+                words = self.known.keep(piece, self.bad_words(piece))
+            if words:
+                found.update(words)
+        bad = found.values()
         return (max(bad) / 5, math.log1p(sum(s >= 4 for s in bad)), math.log1p(sum(s for s in bad if s >= 3)) / 2) if bad else (0.0,) * 3
 
     def score(self, numbers: np.ndarray) -> np.ndarray:
@@ -259,13 +272,16 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, max_featur
     sample = F.broadcast(chosen[0].unionByName(chosen[1]))  # 2 * fit_rows pairs of numbers
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(sample, "doc_id").dropDuplicates(["text", "label"])
     texts = staged(texts.select("doc_id", "text", "label", (F.pmod(order, F.lit(2)) == 0).alias("first")))
-    half, rest = texts.where("first"), texts.where("not first")
-    model = ToxicModel(chars, word_weights(half, chars, max_features))
+    counts = staged(feature_counts(texts, chars))
+    held = {("t" if r.label else "c") + ("1" if r.first else "0"): r["count"] for r in texts.groupBy("label", "first").count().collect()}
+    n = {c: held.get(c, 0) for c in COUNTS}
+    rest = texts.where("not first")
+    model = ToxicModel(chars, word_weights(counts, ["t1"], ["c1"], n, max_features))
     z = numbered(rest, model, ["label"]).select("label", "z1", "z2", "z3").orderBy("label", "z1", "z2", "z3").collect()
     y = np.array([r[0] for r in z], float)
     if 0 < y.sum() < len(y):
         model.final = logistic(np.array([r[1:] for r in z], float), y)
-    model.weights = word_weights(texts, chars, max_features)
+    model.weights = word_weights(counts, ["t1", "t0"], ["c1", "c0"], n, max_features)
     return model
 
 
