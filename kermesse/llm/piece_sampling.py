@@ -18,8 +18,8 @@ from kermesse.llm.common import python_ready, slices
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Exponent of a piece's probability: 0 samples all segmentations alike, large values the likeliest one.
 ALPHA, SEED = 1.0, 17
-#: Lattices that a task remembers at a time, and that it filters at a time.
-REMEMBERED, LEARNT = 100_000, 10_000
+#: Edges of the lattices that a task remembers (20 bytes each), and parts that it filters at a time.
+REMEMBERED, LEARNT = 2_500_000, 4_000
 #: Fixed values of the model's format: the mark of a blank, and the name of a byte piece.
 BLANK, BYTE = "▁", re.compile(r"<0x([0-9A-F]{2})>")
 
@@ -124,9 +124,9 @@ class Sampler:
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.first = self.last = self.start = np.zeros(0, np.int64)
-        self.key, self.id = np.zeros(0), np.zeros(0, np.int32)
-        self.nodes = 0
+        self.first = self.last = np.zeros(0, np.int64)
+        self.key, self.id, self.start = np.zeros(1 << 16), np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int64)
+        self.edges = self.nodes = 0
 
     def learn(self, parts: list[str]) -> None:
         """Forward filtering: for each position of each part, the chance of each piece by which a path arrives."""
@@ -164,16 +164,20 @@ class Sampler:
         upto = np.minimum(upto - np.repeat(upto[head] - chance[head], times), 1.0)
         upto[head + times - 1] = 1.0
         self.known.update(zip(parts, range(len(self.known), len(self.known) + len(parts))))
-        self.key = np.concatenate([self.key, self.nodes + node + upto])
-        self.id = np.concatenate([self.id, piece[order].astype(np.int32)])
-        self.start = np.concatenate([self.start, self.nodes + start_node[order]])
+        upon = self.edges + len(node)
+        while len(self.key) < upon:  # doubled, so that all growth together copies each edge about once
+            self.key, self.id, self.start = (np.concatenate([x, np.zeros_like(x)]) for x in (self.key, self.id, self.start))
+        self.key[self.edges:upon] = self.nodes + node + upto
+        self.id[self.edges:upon] = piece[order]
+        self.start[self.edges:upon] = self.nodes + start_node[order]
+        self.edges = upon
         self.first = np.concatenate([self.first, self.nodes + first])
         self.last = np.concatenate([self.last, self.nodes + first + sizes])
         self.nodes += len(mass)
 
     def sample(self, texts: list[str | None], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all texts in a row, and how many each text has."""
-        if len(self.known) > REMEMBERED:
+        if self.edges > REMEMBERED:
             self.clear()
         split = [_PARTS.findall(f" {text}") if text else () for text in texts]
         counts = np.array([len(own) for own in split], np.int64)
@@ -184,7 +188,7 @@ class Sampler:
         for at in range(0, len(new), LEARNT):
             self.learn(new[at:at + LEARNT])
         part = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
-        first, last, key, ids, start = self.first, self.last, self.key, self.id, self.start
+        first, last, key, ids, start = self.first, self.last, self.key[:self.edges], self.id, self.start
         ordinal = np.arange(len(part)) - np.repeat(np.cumsum(counts) - counts, counts)
         with np.errstate(over="ignore"):
             row = _mixed(keys.astype(np.int64).view(np.uint64) + np.uint64(self.seed) * np.uint64(0x9E3779B97F4A7C15))
@@ -227,7 +231,7 @@ def encode(docs: DataFrame, pieces: Pieces | None = None, alpha: float = ALPHA,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(pieces, alpha, seed)
-        for b in slices(batches, 1):
+        for b in slices(batches, 0.5):
             texts = b.column("text").to_pylist()
             keys = np.array([k or 0 for k in b.column("doc_id").to_pylist()], np.int64)
             ids, counts = sampler.sample(texts, keys)
