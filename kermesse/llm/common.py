@@ -51,9 +51,16 @@ def bounded(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+#: Bytes of a batch that is handed to a Python worker, unless the cluster names its own.
+BATCH_BYTES = 4_000_000
+
+
 def python_ready(spark: SparkSession) -> None:
-    """The Python workers import this package."""
+    """The Python workers import this package, and texts reach them in batches of bounded size."""
     ship_package(spark)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.sparkContext.getConf().contains(key):
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 class Remembered(dict):
