@@ -71,7 +71,7 @@ ORACLES["op4_url_filter"] = rf"""
 with u as (
   select page_id, case when contains(url, '://') then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
 p as (
-  select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+  select page_id, rest, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
   from u),
 r(kind, own, start) as (values {_values(RULES)}),
@@ -82,7 +82,7 @@ t(term, strict, weight) as (values {_values([(k, "true", w) for k, w in STRICT.i
 h as (
   select page_id, count(*) filter (strict = 'true')::int as strict_hits,
          coalesce(sum(weight) filter (strict = 'false'), 0)::double as soft_weight
-  from p, t where regexp_matches(translate(host || path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  from p, t where regexp_matches(translate(rest, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                  '(^|[^\p{{L}}\p{{N}}])' || term || '($|[^\p{{L}}\p{{N}}])')
   group by page_id)
 select p.page_id, host, path, rule,

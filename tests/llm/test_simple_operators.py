@@ -11,7 +11,7 @@ from kermesse.llm.chat_format import format_chat, loss_text, read_chat
 from kermesse.llm.line_dedup import line_dedup
 from kermesse.llm.quality_mcd import AXES, chi2_cdf, chi2_quantile, quality_outliers
 from kermesse.llm.text_stats import base_stats
-from kermesse.llm.url_filter import url_filter
+from kermesse.llm.url_filter import url_filter, vocabulary
 from tests.llm.awkward import TEXTS, awkward_docs, empty_docs
 from tools.compare import TABLES, rows_of
 
@@ -63,6 +63,16 @@ def test_url_filter(spark):
     got = {r.url: (r.rule, r.verdict) for r in url_filter(df).collect()}
     assert got == cases
     assert url_filter(df.where("false")).count() == 0
+    whole = {"http://a.com/p?q=Porn": "block", "http://a.com/#sex&poker": "block", "http://a.com/?ref=x&click=1&track=2": "allow",
+             "http://a.com/ads?click&track&tracker": "block", "http://a.com/free?win=1": "block", "http://a.com/sexes/pornos": "allow",
+             "http://a.com/" + "free-" * 50_000: "allow", "http://a.com/" + "y" * 200_000 + "?casino": "block"}
+    many = spark.createDataFrame([(1, u) for u in whole] * 2, "page_id long, url string")
+    got = url_filter(many).select("url", "verdict").collect()
+    assert len(got) == 2 * len(whole) and {r.url: r.verdict for r in got} == whole
+    own = spark.createDataFrame([("kite", True, 1.0), ("sail", False, 0.5), ("wind", False, 0.75), ("", True, 1.0)], "term string, strict boolean, weight double")
+    strict, soft = vocabulary(own)
+    pages = spark.createDataFrame([("http://a.com/kite",), ("http://a.com/sail",), ("http://a.com/sail/wind",), ("http://a.com/casino",)], "url string")
+    assert [r.verdict for r in url_filter(pages, strict=strict, soft=soft, soft_limit=1.25).collect()] == ["block", "allow", "block", "allow"]
     r = url_filter(df).where("url like 'ftp%'").first()
     assert (r.host, r.path) == ("example.com", "/de/x")
 
