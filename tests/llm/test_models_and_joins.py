@@ -14,7 +14,7 @@ from kermesse.llm.ngram_jaccard import Order, near_duplicates, signatures
 from kermesse.llm.piece_sampling import Pieces, Sampler, decode, encode
 from kermesse.llm.pu_quality import pu_quality
 from kermesse.llm.toxicity import CharModel, restored, toxicity
-from kermesse.llm.wrapper_extract import aligned, extract_main, main_text, parse, shape
+from kermesse.llm.wrapper_extract import aligned, anchored, extract_main, main_text, parse, shape
 from tests.llm.awkward import TEXTS, awkward_docs, empty_docs
 
 
@@ -284,6 +284,37 @@ PAGE = ("<html><head><title>t</title></head><body><div class='site'>Our site</di
         "<div>All rights kept</div>{tail}")
 
 
+@pytest.mark.parametrize("page", ["<b>" * 100_000 + "deep text", "<div>" * 100_000 + "deep text", "</i>" * 100_000 + "deep text",
+                                  "<div>" + "<b>" * 50_000 + "<p>deep text</p>" * 5], ids=["inline", "blocks", "ends", "mixed"])
+def test_deep_pages_do_not_crash(page):
+    source = f"<html><body><div class=c>{page}</body></html>"
+    own, _ = shape(parse(source))
+    assert aligned(own, own)
+    assert "deep text" in main_text(source, own, set())
+
+
+def test_wide_pages_are_matched_in_order():
+    """100,000 siblings, one put in and one left out: all others meet, in order."""
+    page = lambda items: "<html><body><div>" + "".join(f"<p class=c{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}>text {i}</p>" for i in items) + "</div></body></html>"
+    one, two = (shape(parse(page(items)))[0] for items in (range(100_000), [*range(50), 200_000, *range(50, 70), *range(71, 100_000)]))
+    pairs = aligned(one, two)
+    assert sum(same for _, _, same in pairs) >= 99_999
+    assert all(a < c and b < d for (a, b, _), (c, d, _) in zip(pairs[2:], pairs[3:]))
+
+
+def test_anchored_matches_keep_order():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        x, y = ([["p", str(v), []] for v in rng.integers(0, 12, rng.integers(0, 15))] for _ in range(2))
+        pairs = anchored(x, y)
+        assert all(a < c and b < d for (a, b), (c, d) in zip(pairs, pairs[1:]))
+        assert bool(pairs) == bool(x and y)
+
+
+def test_pages_of_no_rows(spark):
+    assert extract_main(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
 def test_pages_without_landmarks_lose_their_template(spark):
     rows = [(i, f"http://h.com/{i}", PAGE.format(i=i, tail="" if i % 2 else "</body></html>")) for i in range(6)]
     rows += [(20, "http://one.com/", PAGE.format(i=20, tail="")), (21, None, None), (22, "x", ""), (23, "http://h.com/x", "plain < text &amp; more")]
