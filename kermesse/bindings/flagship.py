@@ -7,9 +7,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from kermesse.bindings import inputs as i
-from kermesse.bindings.joins import catalogue
+from kermesse.bindings.joins import CATALOGUE, catalogue
 from kermesse.bindings.registry import register
-from kermesse.bindings.tables import COLLAPSED, FMT, stamp
+from kermesse.bindings.tables import COLLAPSED, FMT, KEYED, stamp
 from kermesse.operators import review
 from kermesse.plans import agenda, publish
 from kermesse.schemas import STORE
@@ -66,9 +66,27 @@ def p01c(spark, sf):
     return review.latest_run_per_source(log, i.now().cast("date")).select("fuente", "encontrados", "nuevos", "descartados", "error")
 
 
-@register("p03_publish_catalogue")
+# Rows of the store with an address each, located on the street of its nation by the nearest number within 250.
+ADDRESS = {"spark": "conv(substring(hash_dedup, 1, 4), 16, 10) % 25", "duck": "('0x' || substr(hash_dedup, 1, 4))::int % 25"}
+NUMBER = {"spark": "conv(substring(hash_dedup, 5, 4), 16, 10) % 900", "duck": "('0x' || substr(hash_dedup, 5, 4))::int % 900"}
+PUBLISHED = f"""WITH {KEYED.replace('last(lat ORDER BY seq) FILTER (lat IS NOT NULL) AS lat', 'last(lat ORDER BY seq) FILTER (lat IS NOT NULL) AS lat, last(lon ORDER BY seq) FILTER (lon IS NOT NULL) AS lon0')}, {CATALOGUE},
+cur AS (SELECT *, 'avenida building n' || {ADDRESS['duck']} AS calle, {NUMBER['duck']} AS numero_q, lon0 AS lon FROM stored
+  WHERE CAST(coalesce(fin, inicio) AS date) >= DATE '2024-01-15' AND estado <> 'descartado' AND fuente_url NOT LIKE '%/api/%'),
+near AS (SELECT hash_dedup, cat.lat AS la, cat.lon AS lo, row_number() OVER (PARTITION BY hash_dedup ORDER BY abs(cat.numero - numero_q), ciudad, cat.lat, cat.lon) AS rn FROM cur JOIN cat USING (calle) WHERE abs(cat.numero - numero_q) < 250 QUALIFY rn = 1),
+pin AS (SELECT cur.*, CASE WHEN cur.lat IS NULL THEN CASE WHEN la IS NULL THEN 'sin_ubicar' ELSE 'calle' END
+  WHEN sqrt(power((cur.lat - la) * 111, 2) + power((cur.lon - lo) * 92, 2)) > 1 THEN 'calle' ELSE 'fuente' END AS precision FROM cur LEFT JOIN near USING (hash_dedup)),
+g AS (SELECT *, count(*) OVER w AS n, bool_or(fin IS NOT NULL) OVER w AS ended, row_number() OVER (PARTITION BY titulo, lugar_nombre, strftime(inicio, '%H:%M') ORDER BY inicio, hash_dedup) AS rn
+  FROM pin WINDOW w AS (PARTITION BY titulo, lugar_nombre, strftime(inicio, '%H:%M'))),
+card AS (SELECT *, n >= 3 AND NOT ended AS serie FROM g WHERE NOT (n >= 3 AND NOT ended) OR rn = 1),
+shared AS (SELECT round_even(lat, 4) AS la, round_even(lon, 4) AS lo FROM card WHERE precision = 'fuente' GROUP BY 1, 2 HAVING min(lugar_nombre) <> max(lugar_nombre))
+SELECT CASE WHEN serie THEN 'taller' ELSE 'panorama' END AS formato, 'otros' AS categoria, CASE WHEN precision = 'fuente' AND shared.la IS NOT NULL THEN 'comuna' ELSE precision END AS precision, count(*) AS n
+FROM card LEFT JOIN shared ON round_even(lat, 4) = shared.la AND round_even(card.lon, 4) = shared.lo GROUP BY ALL"""
+
+
+@register("p03_publish_catalogue", PUBLISHED)
 def p03(spark, sf):
     """Labels, corrections, pins, series and formats over the whole store, counted by label."""
-    store = i.store_rows(spark, sf).withColumns({"lugar_direccion": F.concat(F.lit("Av. Building N"), (F.hash("hash_dedup") % 25).cast("string"), F.lit(" # "), F.abs(F.hash("titulo") % 900).cast("string"))})
+    street = F.concat(F.lit("Av. Building N"), F.expr(f"cast(cast({ADDRESS['spark']} as int) as string)"), F.lit(" # "), F.expr(f"cast(cast({NUMBER['spark']} as int) as string)"))
+    store = i.store_rows(spark, sf).withColumn("lugar_direccion", street)
     out = publish.publish(store, i.as_of(), catalogue(spark, sf))
     return out.groupBy("formato", "categoria", "precision").agg(F.count(F.lit(1)).alias("n"))
