@@ -66,6 +66,11 @@ def transformed() -> dict[str, Column]:
             "repeat_rate": F.col("n_repeat_words") / n}
 
 
+def named(*columns: str) -> Column:
+    """A group's key: its columns and their values, nulls as such, so that no group has the key of another or of a pool."""
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+
+
 def distance() -> Column:
     """Squared Mahalanobis distance of the axes from `_mu` under the inverse covariance `_inv` (row by row)."""
     off = [F.col(a) - F.col("_mu")[i] for i, a in enumerate(AXES)]
@@ -142,11 +147,11 @@ def quality_outliers(docs: DataFrame, half: float = HALF, steps: int = STEPS, mi
     k = len(AXES)
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     base = staged(counted(docs).withColumn("base_failed", failed).withColumns(transformed())
-                  .withColumn("_own", F.to_json(F.struct("lang", "source"))))
+                  .withColumn("_own", named("lang", "source")))
     judged = base.where("not base_failed")
     large = bounded(staged(judged.groupBy("_own").count().where(F.col("count") >= min_rows).select("_own", F.lit(True).alias("_large"))),
                     BROADCAST_GROUPS)
-    group = F.when(F.col("_large"), F.col("_own")).otherwise(F.to_json(F.struct("lang")))
+    group = F.when(F.col("_large"), F.col("_own")).otherwise(named("lang"))
     grouped = base.join(large, "_own", "left").withColumn("_g", group)
     rows = grouped.where("not base_failed").select("_g", *AXES)
     start = rows.groupBy("_g").agg(*[F.percentile_approx(a, [0.25, 0.5, 0.75], 2000).alias(f"_p{i}") for i, a in enumerate(AXES)])
