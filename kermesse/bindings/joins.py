@@ -81,7 +81,11 @@ def _queries(spark, sf, street: str, shift: int = 0):
 
 
 POINT = "round(lat, 6) AS lat, round(lon, 6) AS lon"
-ROUND = F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon")
+
+
+def _point():
+    return F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon")
+
 
 _WRITTEN: dict[tuple[str, str], geocode.Catalogue] = {}
 
@@ -97,13 +101,13 @@ def catalogue(spark, sf) -> geocode.Catalogue:
 @register("c05_geocode_exact_address", f"WITH {CATALOGUE} SELECT c_custkey AS qid, {POINT} FROM cat")
 def c05(spark, sf):
     q = _queries(spark, sf, "concat('Sala 12, Av. ', c_mktsegment, ' N', c_nationkey)")
-    return geocode.strict_addresses(q, catalogue(spark, sf).spans).select("qid", *ROUND)
+    return geocode.strict_addresses(q, catalogue(spark, sf).spans).select("qid", *_point())
 
 
 @register("c06_geocode_partial_street", f"WITH {CATALOGUE} SELECT c_custkey AS qid, {POINT}, 'parcial' AS tier FROM cat")
 def c06(spark, sf):
     q = _queries(spark, sf, "concat(c_mktsegment, ' n', c_nationkey)")
-    return geocode.loose_addresses(q, catalogue(spark, sf).spans).select("qid", *ROUND, "tier")
+    return geocode.loose_addresses(q, catalogue(spark, sf).spans).select("qid", *_point(), "tier")
 
 
 @register("c07_geocode_near_number", f"""WITH {CATALOGUE}, q AS (SELECT c_custkey AS qid, calle, numero + 3 AS n FROM cat),
@@ -111,7 +115,7 @@ h AS (SELECT qid, lat, lon, abs(numero - n) AS gap, row_number() OVER (PARTITION
 SELECT qid, {POINT}, CASE WHEN gap = 0 THEN 'exacta' ELSE 'cercana' END AS tier FROM h WHERE rn = 1""")
 def c07(spark, sf):
     q = _queries(spark, sf, "concat('Av. ', c_mktsegment, ' n', c_nationkey)", 3)
-    return geocode.loose_addresses(q, catalogue(spark, sf).spans).select("qid", *ROUND, "tier")
+    return geocode.loose_addresses(q, catalogue(spark, sf).spans).select("qid", *_point(), "tier")
 
 
 PLACES = """plc AS (SELECT concat('local supplier ', s_suppkey % 50) AS nombre, CASE WHEN s_suppkey % 2 = 0 THEN 'bar' ELSE 'cafe' END AS tipo, -33.45e0 - (s_suppkey % 50) / 1000.0e0 - CASE WHEN s_suppkey % 5 = 0 AND s_suppkey >= 50 THEN 0.05e0 ELSE 0 END AS lat,

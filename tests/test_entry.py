@@ -28,6 +28,14 @@ def test_every_sql_has_its_query():
     assert set(ORACLES) <= set(QUERIES)
 
 
+def test_queries_are_listed_without_a_session():
+    """Names are read before any session is there: no module builds a column while it loads."""
+    import subprocess
+    said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"],
+                          cwd=ROOT, capture_output=True, text=True)
+    assert said.stdout.split() == [str(len(QUERIES)), str(len(ORACLES))], said.stderr[-500:]
+
+
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
 
