@@ -6,6 +6,7 @@ plan is built (it is a short list by nature, and its length is checked) and comp
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import astuple, dataclass
 from functools import lru_cache
@@ -13,7 +14,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kermesse.functions.text import words_regex
+from kermesse.functions.text import WORD_START, words_regex
 from kermesse.vocab import labels as v
 from kermesse.vocab import offers as ov
 
@@ -21,8 +22,8 @@ RULES = ("regla string, eje string, capa string, ambito string, prioridad int, e
          "palabra string")
 #: Rules that a plan takes at most; a longer table is not a rule table.
 MOST = 5_000
-#: Layers of more rules are first tried as one alternation.
-FEW = 4
+#: What many patterns begin with; tried once for all of them.
+LEADS = (WORD_START, r"\b")
 
 
 @dataclass(frozen=True)
@@ -105,12 +106,36 @@ def scopes(rules: tuple[Rule, ...] | None, axis: str, name: str) -> list[str]:
     return list(dict.fromkeys(r.ambito for r in (shipped() if rules is None else rules) if (r.eje, r.capa) == (axis, name)))
 
 
+def _single(pattern: str) -> bool:
+    """Whether no ``|`` stands outside groups and classes; False where that is not plain to see."""
+    bare = re.sub(r"\\.", "", pattern)
+    if r"\Q" in pattern or re.search(r"\[[^\]]*\[|\[\^?\]", bare):
+        return False
+    bare, last = re.sub(r"\[[^\]]*\]", "", bare), None
+    while bare != last:
+        last, bare = bare, re.sub(r"\([^()]*\)", "", bare)
+    return not set(bare) & set("|()[]")
+
+
+def any_of(patterns: Iterable[str]) -> str:
+    """One pattern that matches where any of them does. A shared beginning is written once: tried for each of many words at
+    each character, it is what a long text takes its time for."""
+    rest, led = [], {lead: [] for lead in LEADS}
+    for p in patterns:
+        lead = next((x for x in LEADS if p.startswith(x) and _single(p)), None)
+        if lead is None:
+            rest.append(f"(?:{p})")
+        else:
+            led[lead].append(p[len(lead):])
+    return "|".join([f"{lead}(?:{'|'.join(ps)})" for lead, ps in led.items() if ps] + rest)
+
+
 def first_match(text: Column, rules: list[Rule]) -> Column:
     """``struct(label, rule, word)`` of the first rule that matches the folded text, NULL when none does."""
     out = F.lit(None).cast("struct<label: string, rule: string, word: string>")
     for r in reversed(rules):
         hit = text.rlike(r.patron) & ~text.rlike(r.salvo) if r.salvo else text.rlike(r.patron)
         out = F.when(hit, F.struct(F.lit(r.etiqueta).alias("label"), F.lit(r.regla).alias("rule"), F.lit(r.palabra).alias("word"))).otherwise(out)
-    if len(rules) > FEW:
-        out = F.when(text.rlike("|".join(f"(?:{r.patron})" for r in rules)), out)
+    if len(rules) > 1:
+        out = F.when(text.rlike(any_of(r.patron for r in rules)), out)
     return out
