@@ -83,19 +83,25 @@ def origin_breakdown(store: DataFrame) -> DataFrame:
 def rule_audit(store: DataFrame, rules: tuple[Rule, ...] | None = None) -> DataFrame:
     """How many rows each rule labelled, by axis: the rule, its label and the layer it read.
 
-    Every axis is read once a row; rows shrink to one per rule in each task before the shuffle.
+    Rows alike in all that the rules read are labelled once and counted as many; every axis is read once for them. They
+    shrink to one per rule in each task before the shuffle.
     """
     c = F.col
     args = (c("lugar_nombre"), c("fuente_nombre"))
-    rows = with_origin(store, rules)
-    told = rows.select(F.explode(F.array(
-        F.struct(F.lit("categoria").alias("eje"), c("regla"), c("etiqueta"), c("origen").alias("capa")),
-        *(F.struct(F.lit(axis).alias("eje"), got["rule"].alias("regla"), got["label"].alias("etiqueta"), F.lit("").alias("capa")) for axis, got in (
+    read = ["titulo", "categoria", "descripcion_corta", "lugar_nombre", "fuente_nombre"]
+    read += [x for x in ("precio_clp",) if x in store.columns]
+    rows = with_origin(store.groupBy(*read).agg(F.count(F.lit(1)).alias("_n")), rules)
+    # Each axis is one value with a name, taken apart after the explode: taken apart before, it is worked out for each part.
+    axes = rows.select("_n", F.explode(F.array(
+        F.struct(F.lit("categoria").alias("eje"), F.struct(c("etiqueta").alias("label"), c("origen").alias("reason"), c("regla").alias("rule")).alias("got")),
+        *(F.struct(F.lit(axis).alias("eje"), got.alias("got")) for axis, got in (
             ("subcategoria", labels.classify_subcategory(c("etiqueta"), c("titulo"), c("categoria"), c("descripcion_corta"), *args, rules)),
             ("escala", labels.classify_scale(c("titulo"), *args, c("precio_clp") if "precio_clp" in store.columns else F.lit(None).cast("int"),
                                              c("descripcion_corta"), rules)),
             ("publico", labels.classify_audience(c("titulo"), c("descripcion_corta"), c("etiqueta"), *args, None, rules)))))).alias("r"))
-    return told.groupBy("r.eje", "r.regla", "r.etiqueta", "r.capa").agg(F.count(F.lit(1)).alias("n"))
+    told = axes.select("_n", "r.eje", c("r.got.rule").alias("regla"), c("r.got.label").alias("etiqueta"),
+                       F.when(c("r.eje") == "categoria", c("r.got.reason")).otherwise("").alias("capa"))
+    return told.groupBy("eje", "regla", "etiqueta", "capa").agg(F.sum("_n").alias("n"))
 
 
 def first_seen_places(store: DataFrame, as_of: Column) -> DataFrame:
