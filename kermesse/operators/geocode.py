@@ -58,13 +58,13 @@ def number_catalogue(addresses: DataFrame) -> DataFrame:
     return addresses.withColumn("orden", F.struct("ciudad", "lat", "lon"))
 
 
-def _candidates(queries: DataFrame) -> DataFrame:
+def _candidates(queries: DataFrame, digits: int = 5) -> DataFrame:
     """qid, comuna, cand, cut, words left, number: every suffix of every candidate street."""
     area = F.when(F.coalesce(F.col("comuna"), F.lit("")) != "", F.col("comuna")).otherwise(
         area_hint(F.col("direccion")))
     base = queries.filter(F.coalesce(F.col("direccion"), F.lit("")) != "").select(
         "qid", area.alias("comuna"),
-        F.posexplode_outer(address_candidates(F.col("direccion"))).alias("cand", "c")
+        F.posexplode_outer(address_candidates(F.col("direccion"), digits)).alias("cand", "c")
     ).filter("c is not null")
     words = F.split(F.col("c.street"), " ")
     cuts = base.select("qid", "comuna", "cand", F.col("c.number").alias("numero"), words.alias("_w"),
@@ -95,18 +95,20 @@ def _block(number: Column) -> Column:
 
 @dataclass(frozen=True)
 class Catalogue:
-    """What the tiers look up: street spans and named places."""
+    """What the tiers look up: street spans and named places; ``digits`` is how long its house numbers get."""
 
     spans: DataFrame
     places: DataFrame
+    digits: int = 5
 
 
-def catalogue_of(addresses: DataFrame, places: DataFrame) -> Catalogue:
+def catalogue_of(addresses: DataFrame, places: DataFrame, digits: int = 5) -> Catalogue:
     """Both catalogues as they are, for one use; :func:`write_catalogue` keeps them for many."""
-    return Catalogue(street_spans(addresses), places)
+    return Catalogue(street_spans(addresses), places, digits)
 
 
-def write_catalogue(addresses: DataFrame, places: DataFrame, name: str | None = None, buckets: int | None = None) -> Catalogue:
+def write_catalogue(addresses: DataFrame, places: DataFrame, name: str | None = None, buckets: int | None = None,
+                    digits: int = 5) -> Catalogue:
     """Write both catalogues as tables bucketed and sorted by what the tiers look up, and read them back.
 
     Spans are built once. The tiers' joins read the buckets as they lie: only queries are shuffled, never a catalogue.
@@ -118,11 +120,11 @@ def write_catalogue(addresses: DataFrame, places: DataFrame, name: str | None =
     for part, rows, keys in (("tramos", street_spans(addresses), ("calle_q", "tramo")), ("locales", places, ("nombre",))):
         (rows.repartition(buckets, *keys).write.mode("overwrite").option("path", f"{root}/{part}")
          .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(f"{name}_{part}"))
-    return read_catalogue(spark, name)
+    return read_catalogue(spark, name, digits)
 
 
-def read_catalogue(spark: SparkSession, name: str) -> Catalogue:
-    return Catalogue(spark.table(f"{name}_tramos"), spark.table(f"{name}_locales"))
+def read_catalogue(spark: SparkSession, name: str, digits: int = 5) -> Catalogue:
+    return Catalogue(spark.table(f"{name}_tramos"), spark.table(f"{name}_locales"), digits)
 
 
 def _met(cands: DataFrame, spans: DataFrame, near: bool = False) -> DataFrame:
@@ -160,19 +162,19 @@ def _open(cands: DataFrame, best: DataFrame) -> DataFrame:
         F.col("_a").isNull() | (F.col("cand") < F.col("_a"))).drop("_a")
 
 
-def strict_addresses(queries: DataFrame, spans: DataFrame) -> DataFrame:
+def strict_addresses(queries: DataFrame, spans: DataFrame, digits: int = 5) -> DataFrame:
     """qid, lat, lon by street and number alone."""
-    exact = exact_matches(_candidates(queries), spans)
+    exact = exact_matches(_candidates(queries, digits), spans)
     return exact.groupBy("qid").agg(F.min(_rank(0, F.lit(0))).alias("s")).select("qid", "s.lat", "s.lon")
 
 
-def loose_addresses(queries: DataFrame, spans: DataFrame, strict: bool = True) -> DataFrame:
+def loose_addresses(queries: DataFrame, spans: DataFrame, strict: bool = True, digits: int = 5) -> DataFrame:
     """qid, lat, lon, tier: a candidate is relaxed before the next one is tried.
 
     Each looser match only sees candidates that could still win. ``strict=False`` leaves the exact match out, where it is
     known that none of the queries has one.
     """
-    cands = stage(_candidates(queries))
+    cands = stage(_candidates(queries, digits))
     best = None
     if strict:
         best = stage(exact_matches(cands, spans).groupBy("qid").agg(F.min(_rank(0, F.lit(0))).alias("r")))
@@ -235,13 +237,13 @@ def geocode_queries(queries: DataFrame, catalogue: Catalogue, prior: DataFrame |
         settled.append(found)
         waiting = waiting.join(found.select("qid"), "qid", "left_anti")
 
-    settle("exacta", lambda q: strict_addresses(q, catalogue.spans), "calle")
+    settle("exacta", lambda q: strict_addresses(q, catalogue.spans, catalogue.digits), "calle")
     venue = match_known_venue(F.col("lugar"), F.col("comuna"))
     settle("recinto", lambda q: q.select("qid", venue.alias("_v")).filter("_v is not null").select("qid", "_v.lat", "_v.lon"), "recinto")
     if prior is not None:
         settle("previa", lambda q: reuse_resolutions(q, prior), "calle")
-    settle("direccion", lambda q: loose_addresses(q, catalogue.spans, strict=False), "calle")
-    settle("lugar", lambda q: loose_addresses(q.select("qid", F.col("lugar").alias("direccion"), "comuna"), catalogue.spans), "calle")
+    settle("direccion", lambda q: loose_addresses(q, catalogue.spans, strict=False, digits=catalogue.digits), "calle")
+    settle("lugar", lambda q: loose_addresses(q.select("qid", F.col("lugar").alias("direccion"), "comuna"), catalogue.spans, digits=catalogue.digits), "calle")
     settle("local", lambda q: resolve_places(q, catalogue.places), "recinto")
     if seen is not None:
         seen["centro"] = waiting
@@ -305,14 +307,14 @@ def geocode(df: DataFrame, catalogue: Catalogue, prior: DataFrame | None = None,
     return filled.select(*df.columns).unionByName(df.filter(F.col("lat").isNotNull()))
 
 
-def override_contradicting_coords(df: DataFrame, spans: DataFrame, km: float = 1.0) -> DataFrame:
+def override_contradicting_coords(df: DataFrame, spans: DataFrame, km: float = 1.0, digits: int = 5) -> DataFrame:
     """Where the row's own address resolves further than ``km`` from its pin, the address wins."""
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
     both = F.col("lat").isNotNull() & (text("direccion") != "")
     keyed = df.withColumn("qid", F.when(both, F.sha2(F.concat_ws(
         "\u0001", text("direccion"), text("comuna")), 256)))
     queries = keyed.filter(both).select("qid", "direccion", "comuna").dropDuplicates(["qid"])
-    real = loose_addresses(queries, spans).select("qid", F.col("lat").alias("_la"), F.col("lon").alias("_lo"))
+    real = loose_addresses(queries, spans, digits=digits).select("qid", F.col("lat").alias("_la"), F.col("lon").alias("_lo"))
     out = lookup(keyed, real, ["qid"])
     far = F.coalesce(planar_km(F.col("lat"), F.col("lon"), F.col("_la"), F.col("_lo")) > km, F.lit(False))
     return out.withColumns({
