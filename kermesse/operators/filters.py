@@ -10,7 +10,7 @@ from kermesse.functions.cards import has_hour
 from kermesse.functions.dates import window_bounds
 from kermesse.functions.places import planar_km
 from kermesse.functions.text import (fold_text, is_machine_url, is_public_url, mentioned_word)
-from kermesse.operators.skew import lookup
+from kermesse.operators.skew import lookup, lookup_settings
 from kermesse.vocab.places import NOT_A_PLACE
 
 
@@ -52,8 +52,8 @@ def gate(df: DataFrame, config: DataFrame, as_of: Column) -> DataFrame:
     ``config`` has one row per source: fuente_nombre, requiere_comuna, filtro_palabras,
     descartar_palabras.
     """
-    joined = lookup(df, config.select("fuente_nombre", "requiere_comuna", "filtro_palabras",
-                                      "descartar_palabras"), ["fuente_nombre"])
+    joined = lookup_settings(df, config.select("fuente_nombre", "requiere_comuna", "filtro_palabras",
+                                               "descartar_palabras"), ["fuente_nombre"])
     no_area = F.coalesce(F.col("requiere_comuna"), F.lit(False)) & (
         F.coalesce(F.col("comuna"), F.lit("")) == "")
     motivo = F.coalesce(reject_reason(as_of), F.when(no_area, F.lit("sin comuna")),

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from kermesse.session import stage
+
 
 def lookup(big: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join ``big`` to ``dim`` (one row per key).
@@ -18,6 +20,21 @@ def lookup(big: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left")
     return big.join(dim, list(on), how)
 
 
+#: Settings up to this many characters as JSON go to every task whole.
+SETTINGS_CHARS = 8_000_000
+
+
+def lookup_settings(big: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Join ``big`` to ``dim``, one row of settings per source (or another key with few values).
+
+    Few keys make few partitions: shuffled by them, rows would pile up in as many tasks as there are sources. So ``dim``
+    is written and measured, and where it is small ``big`` stays where it lies. A larger one is looked up by a shuffle.
+    """
+    dim = stage(dim)
+    size = dim.agg(F.sum(F.length(F.to_json(F.struct(*dim.columns))).cast("bigint"))).first()[0] or 0
+    return lookup(big, F.broadcast(dim) if size <= SETTINGS_CHARS else dim, on)
+
+
 def best_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column], largest: bool = False) -> DataFrame:
     """One row per key, the first (or last) in ``order``; pre-aggregated before the shuffle."""
     rest = [c for c in df.columns if c not in keys]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kermesse.operators.collapse import collapse_multiday
 from kermesse.operators.filters import gate, in_date_window, is_current
-from kermesse.operators.skew import lookup
+from kermesse.operators.skew import lookup_settings
 from kermesse.operators.review import source_run_counts
 from kermesse.operators.store import expire_past, reconcile_dated, revive_current, upsert_events
 from kermesse.schemas import STORE, names
@@ -22,8 +22,9 @@ def daily_run(store: DataFrame, candidates: DataFrame, config: DataFrame, as_of:
     Returns the new snapshot, the rejected rows and the run counts. ``materialise`` writes
     the two steps all of them read; leave it off when only one of them is wanted.
     """
-    flagged = lookup(candidates, config.select("fuente_nombre", F.coalesce("colapsar", F.lit(True)).alias("_junta")),
-                     ["fuente_nombre"])
+    config = stage(config)
+    flagged = lookup_settings(candidates, config.select("fuente_nombre", F.coalesce("colapsar", F.lit(True)).alias("_junta")),
+                              ["fuente_nombre"])
     joins = F.coalesce("_junta", F.lit(True))
     kept_apart = flagged.filter(~joins).drop("_junta")
     collapsed = collapse_multiday(flagged.filter(joins).drop("_junta"))
