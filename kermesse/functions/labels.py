@@ -124,10 +124,9 @@ SPORT_SIGNAL = _any_word(d.SPORT_SIGNAL_WORDS)
 def kid_adult_flags(title: Column, description: Column, audience: Column) -> Column:
     """``struct(for_kids, adult)``; an adult signal vetoes the children's one."""
     def read(t: Column) -> Column:
-        grown = t.rlike(ADULT_SIGNAL)
-        kids = ~grown & ((audience == "ninos") | t.rlike(d.CHILD_SIGNAL))
-        return F.struct(F.coalesce(kids, F.lit(False)).alias("for_kids"),
-                        F.coalesce(grown | (audience == "adultos"), F.lit(False)).alias("adult"))
+        return let(t.rlike(ADULT_SIGNAL), lambda grown: F.struct(
+            F.coalesce(~grown & ((audience == "ninos") | t.rlike(d.CHILD_SIGNAL)), F.lit(False)).alias("for_kids"),
+            F.coalesce(grown | (audience == "adultos"), F.lit(False)).alias("adult")))
     return let(F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(description, F.lit(""))), read)
 
 

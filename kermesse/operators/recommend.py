@@ -12,6 +12,7 @@ from kermesse.functions.cards import has_hour
 from kermesse.functions.places import sector_of
 from kermesse.functions.text import title_base
 from kermesse.operators.collapse import mark_recurrent
+from kermesse.operators.columns import compute_once
 from kermesse.operators.skew import lookup, top_k
 from kermesse.session import stage
 from kermesse.vocab import discovery as v
@@ -86,15 +87,16 @@ def profiles_of(spark: SparkSession, profiles: list[Profile]) -> DataFrame:
 def prepare(published: DataFrame) -> DataFrame:
     """Adds recurrente, para_ninos, adulto and the base title."""
     flags = labels.kid_adult_flags(F.col("titulo"), F.col("descripcion"), F.col("publico"))
-    return mark_recurrent(published).withColumn("_f", flags).withColumns({
-        "para_ninos": F.col("_f.for_kids"), "adulto": F.col("_f.adult"),
-        "titulo_base": title_base(F.col("titulo"))}).drop("_f")
+    # Each search runs once a row, however many discards and points ask for its outcome.
+    rows = mark_recurrent(published)
+    read = compute_once(rows, recurrente=F.col("recurrente"), _f=flags, titulo_base=title_base(F.col("titulo")))
+    return read.select(*rows.columns, F.col("_f.for_kids").alias("para_ninos"), F.col("_f.adult").alias("adulto"), "titulo_base")
 
 
 def _signs(prepared: DataFrame) -> DataFrame:
     """What any profile may ask of a row's text and place, read once a row."""
     text = F.concat_ws(" ", F.coalesce("titulo", F.lit("")), F.coalesce("descripcion", F.lit("")))
-    return prepared.withColumn("_s", F.struct(
+    return compute_once(prepared, _s=F.struct(
         text.rlike(labels.SPORT_SIGNAL).alias("sport"), text.rlike(v.COUPLE_SIGNAL).alias("couple"), text.rlike(v.GROUP_SIGNAL).alias("group"),
         F.coalesce("titulo", F.lit("")).rlike(v.TALK_FORMAT).alias("talk"), sector_of(F.col("comuna")).alias("sector"),
         F.coalesce("gratis", F.lit(False)).alias("free")))
