@@ -109,29 +109,40 @@ def allowed_misses(n: int, percent: int) -> int:
 
 
 def signatures(s: np.ndarray, order: Order, percent: int) -> np.ndarray:
-    """Hashes that a set shares with every set at least `percent` similar to it.
+    """Hashes that a set shares with every set at least `percent` similar to it."""
+    return marked_signatures(s, order, percent)[0]
+
+
+def marked_signatures(s: np.ndarray, order: Order, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes that a set shares with every set at least `percent` similar to it, and which of them are early: one of these
+    is shared with every such set that is not smaller.
 
     The prefix grows until any `allowed_misses` of its tokens can go and one signature is still whole: a token of
-    class 0 is one; of class c, every combination of c + 1 tokens of one part is. Parts depend on a size band, so
-    a set writes the combinations of each band that a partner's size may lie in.
+    class 0 is one; of class c, every combination of c + 1 tokens of one part is. Of its smaller set a pair misses less,
+    so a shorter prefix, the early one, is enough there. Parts depend on a size band: a pair meets in the band of its
+    smaller set, so a set writes the combinations of its own band and of each one below that a smaller partner's size
+    may lie in.
     """
     n = len(s)
     s, classes = order.of(s)
     need = allowed_misses(n, percent) + 1
+    soon = n - -(-2 * percent * n // (100 + percent)) + 1
     if n < 2 * PART or not classes[:need].any():  # the bands' prefixes start with the same tokens of class 0
         found = [s[:need]]
     else:
         found = [s[:need][classes[:need] == 0]]
+    early = [np.arange(len(found[0])) < soon]
     with np.errstate(over="ignore"):
-        for band in range(int(-(-percent * n // 100)).bit_length() - 1, int(n * 100 // percent).bit_length()):
+        for band in range(int(-(-percent * n // 100)).bit_length() - 1, n.bit_length()):
             parts = (1 << band) // PART
             if parts < 2:
                 if n >= 2 * PART:
                     found.append(s[:need])  # a smaller partner is indexed by single tokens
+                    early.append(np.zeros(need, bool))
                 continue
             if not classes[:need].any():
                 continue
-            covered, members = 0, {}
+            covered, members, known = 0, {}, None
             for token, c in zip(s.tolist(), classes.tolist()):
                 if c == 0:
                     covered += 1
@@ -139,11 +150,23 @@ def signatures(s: np.ndarray, order: Order, percent: int) -> np.ndarray:
                     own = members.setdefault((c, token % parts), [])
                     own.append(token)
                     covered += len(own) > c
+                if known is None and covered >= soon:
+                    known = {part: len(own) for part, own in members.items()}
                 if covered >= need:
                     break
-            sums = [sum(pair) & 0xFFFFFFFFFFFFFFFF for (c, _), own in members.items() for pair in combinations(map(spread, own), c + 1)]
+            sums, at_once = [], []
+            for part, own in members.items():
+                mixes = list(map(spread, own))
+                most = 0 if band < n.bit_length() - 1 else len(own) if known is None else known.get(part, 0)
+                for chosen in combinations(range(len(own)), part[0] + 1):
+                    sums.append(sum(mixes[i] for i in chosen) & 0xFFFFFFFFFFFFFFFF)
+                    at_once.append(chosen[-1] < most)
             found.append(mixed(np.array(sums, np.uint64) + np.uint64(band) * np.uint64(0x9E3779B97F4A7C15)))
-    return np.unique(np.concatenate(found))
+            early.append(np.array(at_once, bool))
+    sigs, at = np.unique(np.concatenate(found), return_inverse=True)
+    marks = np.zeros(len(sigs), bool)
+    marks[at[np.concatenate(early)]] = True
+    return sigs, marks
 
 
 def spread(x: int) -> int:
@@ -153,41 +176,43 @@ def spread(x: int) -> int:
 
 
 def signed(docs: DataFrame, order: Order, size: int, percent: int) -> DataFrame:
-    """Rows (sig, node, n): the signatures of each distinct set of a task."""
+    """Rows (sig, early, node, n): the signatures of each distinct set of a task."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for b in slices(batches, 2):
-            sigs, nodes, sizes = [], [], []
+            sigs, early, nodes, sizes = [], [], [], []
             for s in shingle_sets(b.column("text"), size):
                 # A set that a set of one token more is not similar to is similar to its copies only.
                 if 100 * len(s) < percent * (len(s) + 1) or (node := digest(s)) in seen:
                     continue
                 seen.add(node)
-                own = signatures(s, order, percent)
+                own, marks = marked_signatures(s, order, percent)
                 sigs.append(own)
+                early.append(marks)
                 nodes.append(np.full(len(own), node, np.int64))
                 sizes.append(np.full(len(own), len(s), np.int32))
             if sigs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(nodes)),
-                                                  pa.array(np.concatenate(sizes))], ["sig", "node", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(early)),
+                                                  pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sizes))],
+                                                 ["sig", "early", "node", "n"])
 
-    return docs.select("text").mapInArrow(sign, "sig long, node long, n int")
+    return docs.select("text").mapInArrow(sign, "sig long, early boolean, node long, n int")
 
 
 def bitmap(s: np.ndarray, bits: int = 0) -> bytes:
-    """The set hashed to one bit a token, on `bits` bits or on at least four times as many, a power of two."""
-    marks = np.zeros(bits or 1 << max(6, int(4 * len(s) - 1).bit_length()), np.uint8)
-    marks[(s & np.uint64(len(marks) - 1)).astype(np.int64)] = 1
-    return np.packbits(marks, bitorder="little").tobytes()
+    """The set hashed to `bits` bits or to at least four times as many as tokens, a power of two; each token turns its bit."""
+    size = bits or 1 << max(6, int(4 * len(s) - 1).bit_length())
+    marks = np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(marks.astype(np.uint8), bitorder="little").tobytes()
 
 
 def most_shared(a: bytes, b: bytes, n: int, m: int) -> int:
-    """No two sets of n and m tokens with these bitmaps share more: each differing bit is a token of one alone."""
+    """No two sets of n and m tokens with these bitmaps share more: each differing bit is turned by a token of one alone."""
     x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
     while len(x) > len(y):
-        x = x[:len(x) // 2] | x[len(x) // 2:]
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
     while len(y) > len(x):
-        y = y[:len(y) // 2] | y[len(y) // 2:]
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
     return (n + m - int(np.bitwise_count(x ^ y).sum())) // 2
 
 
@@ -274,38 +299,39 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
 
     whole = staged(signed(docs, order, size, percent))
     # Reduced in tasks before the shuffle, so that a signature of many sets is one row a task.
-    named = (whole.groupBy("sig").agg(F.min("node").alias("lead"), F.max("node").alias("last"),
-                                      F.sum(F.shiftright(F.xxhash64("node"), 24)).alias("b1"),
-                                      F.sum(F.shiftright(F.xxhash64(F.lit(1), "node"), 24)).alias("b2"))
-             .where("lead < last").select("sig", "b1", "b2"))
+    # A signature that is early in none of its sets is not needed.
+    # Nodes are hashes, so the sum of their upper bits names a bucket; two buckets of one name are one, which loses no pair.
+    named = (whole.groupBy("sig").agg(F.min("node").alias("least"), F.max("node").alias("last"), F.max("early").alias("early"),
+                                      F.sum(F.shiftright("node", 24)).alias("bucket"))
+             .where("early and least < last").select("sig", "bucket"))
     # Tasks name a set once each, so a set may be in a signature twice; its sums still name the bucket.
-    buckets = staged(whole.join(staged(named), "sig").select("b1", "b2", "node", "n").distinct())
+    buckets = staged(whole.select("sig", "node", "n").join(staged(named), "sig").select("bucket", "node", "n").distinct())
     nodes = of_nodes(docs, staged(reps.join(buckets.select("node").distinct(), "node", "left_semi")), size, order)
     weighed = buckets.join(nodes.select("node", "weight"), "node")
-    lead = weighed.groupBy("b1", "b2").agg(F.max(F.struct("weight", "node", "n")).alias("lead"))
-    star = (buckets.join(lead, ["b1", "b2"]).where("node <> lead.node")
+    lead = weighed.groupBy("bucket").agg(F.max(F.struct("weight", "node", "n")).alias("lead"))
+    star = (buckets.join(lead, "bucket").where("node <> lead.node")
             .where(similar_sizes(F.col("n"), F.col("lead.n"), percent))
             .select(F.col("node").alias("a"), F.col("lead.node").alias("b"), "n", F.col("lead.n").alias("m")).distinct())
     first = verified(star, nodes, docs, reps, size, percent)
     joined = components(first)
-    labelled = staged(buckets.join(joined, "node", "left").select("b1", "b2", "node", "n", F.coalesce("component", "node").alias("label")))
-    largest = (labelled.groupBy("b1", "b2", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("b1", "b2")
+    labelled = staged(buckets.join(joined, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("label")))
+    largest = (labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("bucket")
                .agg(F.max(F.struct("k", "label")).alias("most"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
-               .select("b1", "b2", F.col("most.label").alias("main")))
-    opened = labelled.join(largest, ["b1", "b2"]).withColumn("k", F.xxhash64("b1", "b2"))
+               .select("bucket", F.col("most.label").alias("main")))
+    opened = labelled.join(largest, "bucket")
     # A pair that meets in a bucket with a smaller key is left to that one; the first keys of both tell most of them.
-    firsts = opened.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("k")), 1, FIRST).alias("first"))
+    firsts = opened.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("bucket")), 1, FIRST).alias("first"))
     opened = staged(opened.join(nodes.select("node", "short"), "node").join(firsts, "node"))
-    other = opened.where("label <> main").select("b1", "b2", "k", F.col("node").alias("a"), "n", F.col("label").alias("la"),
+    other = opened.where("label <> main").select("bucket", F.col("node").alias("a"), "n", F.col("label").alias("la"),
                                                  F.col("short").alias("x"), F.col("first").alias("fa"))
-    against = opened.select("b1", "b2", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("lb"), "main",
+    against = opened.select("bucket", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("lb"), "main",
                             F.col("short").alias("y"), F.col("first").alias("fb"))
     differ = sum((F.bit_count(F.get("x", F.lit(i)).bitwiseXOR(F.get("y", F.lit(i)))) for i in range(SHORT)), F.lit(0))
     most = (F.col("n") + F.col("m") - differ) / 2
-    met = other.join(against, (other["b1"] == against["b1"]) & (other["b2"] == against["b2"])
+    met = other.join(against, (other["bucket"] == against["bucket"])
                      & (F.col("la") != F.col("lb")) & ((F.col("a") < F.col("b")) | (F.col("lb") == F.col("main")))
                      & similar_sizes(F.col("n"), F.col("m"), percent) & near_enough(most, F.col("n"), F.col("m"), percent)
-                     & ~F.exists(F.array_intersect("fa", "fb"), lambda e: e < F.col("k")))
+                     & ~F.exists(F.array_intersect("fa", "fb"), lambda e: e < other["bucket"]))
     cross = met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"),
                        F.when(F.col("a") > F.col("b"), F.col("n")).otherwise(F.col("m")).alias("n"),
                        F.when(F.col("a") > F.col("b"), F.col("m")).otherwise(F.col("n")).alias("m")).distinct()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from kermesse.llm.components import components
 from kermesse.llm.decontaminate import contaminated
-from kermesse.llm.ngram_jaccard import Order, near_duplicates, signatures
+from kermesse.llm.ngram_jaccard import Order, bitmap, marked_signatures, most_shared, near_duplicates, signatures
 from kermesse.llm.piece_sampling import Pieces, Sampler, decode, encode
 from kermesse.llm.pu_quality import pu_quality
 from kermesse.llm.toxicity import CharModel, restored, toxicity
@@ -222,6 +222,34 @@ def test_every_similar_pair_shares_a_signature():
             assert len(np.intersect1d(signatures(a, order, 75), signatures(b, order, 75))), (len(a), len(b), both)
 
 
+def test_a_pair_meets_early_in_its_smaller_set():
+    rng = np.random.default_rng(3)
+    pool = np.unique(rng.integers(0, 2**63, 900).astype(np.uint64))
+    order = Order(pool, rng.choice([0, 30, 50, 300, 900], len(pool)), [24, 240])
+    every = soon = pairs = 0
+    for _ in range(400):
+        a = rng.permutation(pool)[:int(rng.integers(5, 200))]
+        lost, more = int(len(a) * rng.uniform(0, 0.25)), int(len(a) * rng.uniform(0, 0.3))
+        b = np.union1d(a[lost:], rng.permutation(pool)[:more])
+        small, large = sorted((np.sort(a), b), key=len)
+        both = len(np.intersect1d(a, b))
+        (sigs, early), others = marked_signatures(small, order, 75), signatures(large, order, 75)
+        every, soon = every + len(sigs), soon + int(early.sum())
+        if 100 * both >= 75 * (len(a) + len(b) - both):
+            pairs += 1
+            assert len(np.intersect1d(sigs[early], others)), (len(a), len(b), both)
+        for bits in (64, 2048, 0):
+            assert most_shared(bitmap(a, bits), bitmap(b, bits), len(a), len(b)) >= both
+    assert pairs > 50 and soon < 0.75 * every
+
+
+def test_a_bitmap_smaller_than_its_sets_still_tells_them_apart():
+    rng = np.random.default_rng(4)
+    a, b = (np.unique(rng.integers(0, 2**63, 3000).astype(np.uint64)) for _ in range(2))
+    most = most_shared(bitmap(a, 2048), bitmap(b, 2048), len(a), len(b))
+    assert 175 * most < 75 * (len(a) + len(b))  # not similar enough, as their 2048 bits tell
+
+
 def test_near_duplicates_awkward(spark):
     got = sorted(((r.doc_id, r.component_id, r.n_shingles) for r in near_duplicates(awkward_docs(spark)).collect()), key=str)
     want = []
