@@ -111,14 +111,15 @@ def write_catalogue(addresses: DataFrame, places: DataFrame, name: str | None =
                     digits: int = 5) -> Catalogue:
     """Write both catalogues as tables bucketed and sorted by what the tiers look up, and read them back.
 
-    Spans are built once. The tiers' joins read the buckets as they lie: only queries are shuffled, never a catalogue.
+    Spans are built once, in a folder a kind: exact matches, the most frequent, read whole streets alone. The tiers' joins
+    read the buckets as they lie: only queries are shuffled, never a catalogue.
     """
     spark = addresses.sparkSession
     name = name or f"catalogo_{uuid.uuid4().hex}"
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     root = f"{ensure_checkpoint_dir(spark)}/{name}"
-    for part, rows, keys in (("tramos", street_spans(addresses), ("calle_q", "tramo")), ("locales", places, ("nombre",))):
-        (rows.repartition(buckets, *keys).write.mode("overwrite").option("path", f"{root}/{part}")
+    for part, rows, keys, folders in (("tramos", street_spans(addresses), ("calle_q", "tramo"), ("kind",)), ("locales", places, ("nombre",), ())):
+        (rows.repartition(buckets, *keys).write.mode("overwrite").option("path", f"{root}/{part}").partitionBy(*folders)
          .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(f"{name}_{part}"))
     return read_catalogue(spark, name, digits)
 
