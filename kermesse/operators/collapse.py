@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -38,32 +38,48 @@ def gap_islands(days: DataFrame, keys: list[str], day: str, gap: int, name: str
             .drop("_opens"))
 
 
+def season_parts(cols: list[str]) -> dict[str, Column]:
+    """The season of one dated row (``cols``, among them ``inicio`` and ``seq``), in parts that ``MERGE`` puts together."""
+    at = [F.col("inicio").alias("t"), F.col("seq").alias("s")]
+    filled = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
+    day = F.unix_date(F.col("inicio").cast("date")).cast("bigint")
+    return {
+        "desde": day, "hasta": day, "n": F.lit(1).cast("bigint"),
+        "midnight": (F.hour("inicio") == 0) & (F.minute("inicio") == 0),
+        "first": F.struct(*at, F.struct(*cols).alias("row")),
+        "last": F.struct(*at, F.coalesce("fin", "inicio").alias("end")),
+        "max_end": F.coalesce("fin", "inicio"),
+        "ptext": F.when(filled("precio_texto"), F.struct(*at, F.col("precio_texto").alias("v"))),
+        "price": F.when(F.col("precio_clp").isNotNull(), F.struct(*at, F.col("precio_clp").alias("p"), F.col("es_gratis").alias("g"))),
+        "image": F.when(filled("imagen_url"), F.struct(*at, F.col("imagen_url").alias("v"))),
+    }
+
+
+#: How parts of the same season merge, in any order.
+MERGE = {"desde": F.min, "hasta": F.max, "n": F.sum, "midnight": F.bool_and, "first": F.min, "last": F.max, "max_end": F.max,
+         "ptext": F.min, "price": F.min, "image": F.min}
+
+
+def partial_seasons(dated: DataFrame, gap: int = MAX_SEASON_GAP_DAYS) -> DataFrame:
+    """``_serie`` and the merged parts of each season of these dated rows.
+
+    Rows are first folded to one row per series and day (map-side combined), so only the
+    calendar days of a series meet in the gap window.
+    """
+    parts = season_parts(dated.columns)
+    daily = (dated.withColumn("_serie", series_key()).groupBy("_serie", F.col("inicio").cast("date").alias("_dia"))
+             .agg(*[merge(parts[c]).alias(c) for c, merge in MERGE.items()]))
+    return (gap_islands(daily, ["_serie"], "_dia", gap).groupBy("_serie", "bloque")
+            .agg(*[merge(c).alias(c) for c, merge in MERGE.items()]).drop("bloque"))
+
+
 def collapse_multiday(events: DataFrame, gap: int = MAX_SEASON_GAP_DAYS, end_rule: str = "last") -> DataFrame:
     """One row per season of the same title and place; undated rows pass through.
 
-    Rows are first folded to one row per series and day (map-side combined), so only the
-    calendar days of a series meet in the gap window. ``end_rule``: the end of the
-    last-starting row (``last``) or the latest end (``max``).
+    ``end_rule``: the end of the last-starting row (``last``) or the latest end (``max``).
     """
-    cols = events.columns
-    dated = events.filter(F.col("inicio").isNotNull()).withColumn("_serie", series_key())
-    at = [F.col("inicio").alias("t"), F.col("seq").alias("s")]
-    filled = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
-    daily = dated.groupBy("_serie", F.col("inicio").cast("date").alias("_dia")).agg(
-        F.min(F.struct(*at, F.struct(*cols).alias("row"))).alias("first"),
-        F.max(F.struct(*at, F.coalesce("fin", "inicio").alias("end"))).alias("last"),
-        F.max(F.coalesce("fin", "inicio")).alias("max_end"),
-        F.count(F.lit(1)).alias("n"),
-        F.bool_and((F.hour("inicio") == 0) & (F.minute("inicio") == 0)).alias("midnight"),
-        F.min(F.when(filled("precio_texto"), F.struct(*at, F.col("precio_texto").alias("v")))).alias("ptext"),
-        F.min(F.when(F.col("precio_clp").isNotNull(), F.struct(
-            *at, F.col("precio_clp").alias("p"), F.col("es_gratis").alias("g")))).alias("price"),
-        F.min(F.when(filled("imagen_url"), F.struct(*at, F.col("imagen_url").alias("v")))).alias("image"))
-    blocks = gap_islands(daily, ["_serie"], "_dia", gap).groupBy("_serie", "bloque").agg(
-        F.min("first").alias("first"), F.max("last").alias("last"), F.max("max_end").alias("max_end"),
-        F.sum("n").alias("n"), F.bool_and("midnight").alias("midnight"),
-        F.min("ptext").alias("ptext"), F.min("price").alias("price"), F.min("image").alias("image"))
-    return season_rows(blocks, cols, end_rule).unionByName(events.filter(F.col("inicio").isNull()))
+    blocks = partial_seasons(events.filter(F.col("inicio").isNotNull()), gap)
+    return season_rows(blocks, events.columns, end_rule).unionByName(events.filter(F.col("inicio").isNull()))
 
 
 def season_rows(seasons: DataFrame, cols: list[str], end_rule: str = "last") -> DataFrame:

@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kermesse.functions.text import url_host
-from kermesse.operators.collapse import season_rows, series_key
+from kermesse.operators.collapse import partial_seasons, season_parts, season_rows
 from kermesse.operators.store import upsert_events
 from kermesse.schemas import CANDIDATE, STORE, names
 from kermesse.session import ship_package
-from kermesse.streaming.state import CIRCUIT, SEASON, SEASON_NAMES, SEASON_OUT, Circuit, Seasons
+from kermesse.streaming.state import CIRCUIT, SEASON, SEASON_NAMES, Circuit, Seasons
 from kermesse.vocab.calendar import MAX_SEASON_GAP_DAYS
 
 def _if_written(read) -> DataFrame | None:
@@ -77,23 +77,61 @@ def stream_collapse(candidates: DataFrame, path: str, checkpoint: str, lateness:
     still join it. Rows come in any order; one that starts before the watermark is late: it may belong to a season that
     was written, so it goes to the table ``tarde`` and changes nothing. Undated rows are written as they come.
 
+    Two streams follow each other. The first folds each micro-batch's rows to partial seasons, a few a series, by columns
+    (``partials``); the second merges those into the state, so that its Python processor sees no single rows.
+
     Results are the folders ``tipo=cerrada``, ``tipo=tarde`` and ``tipo=sin_fecha`` of each micro-batch; a replayed one
     writes its own folder again. ``read_seasons`` adds the open seasons, read from the state.
     """
-    _keyed_state(candidates.sparkSession)
-    dated = F.col("inicio").isNotNull()
+    spark = candidates.sparkSession
+    _keyed_state(spark)
+    folded = f"{checkpoint}/parciales"
+    stream_partials(candidates, path, folded, lateness, gap).awaitTermination()
+    # Lots are read whole: the watermark holds for all series of a lot. None may be passed over as old after a failed run.
+    partials = spark.readStream.schema(f"serie string, {SEASON}").option("maxFileAge", "36500d").parquet(f"{folded}/filas")
     # The watermark's own column stays outside: with it Spark would drop late rows without a word.
-    rows = candidates.withColumn("_hora", F.col("inicio").cast("timestamp")).withWatermark("_hora", lateness)
-    keyed = rows.select(F.when(dated, series_key()).otherwise(F.concat(F.lit("sin fecha "), F.col("seq").cast("string"))).alias("serie"),
-                        F.unix_millis("_hora").alias("ms"), *names(CANDIDATE))
-    told = keyed.groupBy("serie").transformWithState(Seasons(gap), SEASON_OUT, "Append", "EventTime")
+    rows = partials.withColumn("_hora", F.col("last.t").cast("timestamp")).withWatermark("_hora", lateness)
+    told = rows.select("serie", *SEASON_NAMES).groupBy("serie").transformWithState(Seasons(gap), SEASON, "Append", "EventTime")
 
     def write(batch: DataFrame, lot: int) -> None:
-        batch.write.mode("overwrite").partitionBy("tipo").parquet(f"{path}/{_origin(checkpoint)}/lote={lot:010d}")
+        batch.write.mode("overwrite").parquet(f"{path}/{_origin(checkpoint)}/lote={lot:010d}/tipo=cerrada")
 
     return told.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def stream_partials(candidates: DataFrame, path: str, folder: str, lateness: str, gap: int):
+    """Fold each micro-batch's rows to partial seasons in ``folder``; late and undated rows go to ``path`` as they are.
+
+    The newest start up to each lot is kept in ``folder``, so what is late does not hang on how the next stream batches.
+    """
+    spark, delay = candidates.sparkSession, _millis(candidates.sparkSession, lateness)
+    rows = candidates.select(*names(CANDIDATE))
+    undated, starts = F.col("inicio").isNull(), F.unix_millis(F.col("inicio").cast("timestamp"))
+
+    def newest(lot: int) -> int | None:
+        return None if lot < 0 else spark.read.schema("ms bigint").parquet(f"{folder}/hasta/lote={lot:010d}").first().ms
+
+    def write(batch: DataFrame, lot: int) -> None:
+        before, own = newest(lot - 1), f"{folder}/filas/lote={lot:010d}"
+        late = F.lit(False) if before is None else starts <= before - delay
+        partial_seasons(batch.where(~undated & ~late), gap).withColumnRenamed("_serie", "serie").write.mode("overwrite").parquet(own)
+        parts = {c: F.when(~undated, part) for c, part in season_parts(names(CANDIDATE)).items()}
+        parts |= {c: season_parts(names(CANDIDATE))[c] for c in ("n", "first")}
+        aside = batch.where(undated | late).select(*[parts[c].alias(c) for c in SEASON_NAMES], F.when(undated, "sin_fecha").otherwise("tarde").alias("tipo"))
+        aside.write.mode("overwrite").partitionBy("tipo").parquet(f"{path}/{_origin(folder)}/lote={lot:010d}")
+        last = spark.read.schema(SEASON).parquet(own).agg(F.max(F.unix_millis(F.col("last.t").cast("timestamp"))).alias("ms"))
+        last.select(F.greatest("ms", F.lit(before).cast("bigint")).alias("ms")).write.mode("overwrite").parquet(f"{folder}/hasta/lote={lot:010d}")
+
+    return rows.writeStream.foreachBatch(write).option("checkpointLocation", f"{folder}/ck").trigger(availableNow=True).start()
+
+
+def _millis(spark: SparkSession, delay: str) -> int:
+    """A delay as ``withWatermark`` counts it, months as 31 days."""
+    part = {p: f"extract({p} FROM CAST('{delay}' AS INTERVAL))" for p in ("YEAR", "MONTH", "DAY", "HOUR", "MINUTE", "SECOND")}
+    days = f"(({part['YEAR']} * 12 + {part['MONTH']}) * 31 + {part['DAY']})"
+    return spark.range(1).selectExpr(f"bigint((({days} * 24 + {part['HOUR']}) * 60 + {part['MINUTE']}) * 60000L + {part['SECOND']} * 1000) AS ms").first().ms
+
+
 def _origin(checkpoint: str) -> str:
     return f"origen=q{uuid.uuid5(uuid.NAMESPACE_URL, checkpoint).hex}"
 

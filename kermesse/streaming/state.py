@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime
 from collections.abc import Iterator
 from itertools import islice
 
@@ -10,7 +9,7 @@ import numpy as np
 from pyspark.sql import Row
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from kermesse.schemas import CANDIDATE, names
+from kermesse.schemas import CANDIDATE
 
 DAY_MS = 86_400_000
 
@@ -23,22 +22,6 @@ SEASON = (f"desde bigint, hasta bigint, n bigint, midnight boolean, first struct
           "ptext struct<t: timestamp_ntz, s: bigint, v: string>, price struct<t: timestamp_ntz, s: bigint, p: int, g: boolean>, "
           "image struct<t: timestamp_ntz, s: bigint, v: string>")
 SEASON_NAMES = ("desde", "hasta", "n", "midnight", "first", "last", "max_end", "ptext", "price", "image")
-SEASON_OUT = f"tipo string, {SEASON}"
-_ROW = names(CANDIDATE)
-_EPOCH = datetime.date(1970, 1, 1)
-
-
-def _own(r: Row) -> tuple:
-    """The season of one row."""
-    at = (r.inicio, r.seq)
-    row = tuple(r[c] for c in _ROW)
-    if r.inicio is None:
-        return (None, None, 1, None, (None, r.seq, row), None, None, None, None, None)
-    day = (r.inicio.date() - _EPOCH).days
-    end = r.inicio if r.fin is None else r.fin
-    return (day, day, 1, (r.inicio.hour, r.inicio.minute) == (0, 0), (*at, row), (*at, end), end,
-            (*at, r.precio_texto) if r.precio_texto else None, (*at, r.precio_clp, r.es_gratis) if r.precio_clp is not None else None,
-            (*at, r.imagen_url) if r.imagen_url else None)
 
 
 def _first(a: tuple | None, b: tuple | None) -> tuple | None:
@@ -52,7 +35,7 @@ def _merged(a: tuple, b: tuple) -> tuple:
 
 
 class Seasons(StatefulProcessor):
-    """Open seasons of a series, as disjoint runs of days more than ``gap`` apart."""
+    """Open seasons of a series, as disjoint runs of days more than ``gap`` apart, from partial ones."""
 
     def __init__(self, gap: int):
         self.gap = gap
@@ -62,26 +45,18 @@ class Seasons(StatefulProcessor):
         self.seasons = handle.getListState("temporadas", SEASON)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        passed = timerValues.getCurrentWatermarkInMs()
-        held = None
+        held = [_plain(s) for s in self.seasons.get()]
         for r in rows:
-            own = _own(r)
-            if r.inicio is None:
-                yield Row(tipo="sin_fecha", **dict(zip(SEASON_NAMES, own)))
-            elif r.ms <= passed:
-                yield Row(tipo="tarde", **dict(zip(SEASON_NAMES, own)))
-            else:
-                if held is None:
-                    held = [_plain(s) for s in self.seasons.get()]
-                near = [s for s in held if own[0] <= s[1] + self.gap and own[1] >= s[0] - self.gap]
-                held = [s for s in held if s not in near]
-                for s in near:
-                    own = _merged(s, own)
-                held.append(own)
-        if held is not None:
-            self.seasons.put([tuple(s) for s in held])
-            for s in held:
-                self.handle.registerTimer(self._closes(s))
+            own = tuple(_plain(r[c]) for c in SEASON_NAMES)
+            near = [s for s in held if own[0] <= s[1] + self.gap and own[1] >= s[0] - self.gap]
+            held = [s for s in held if s not in near]
+            for s in near:
+                own = _merged(s, own)
+            held.append(own)
+        self.seasons.put(held)
+        for closes in {self._closes(s) for s in held}:
+            self.handle.registerTimer(closes)
+        return iter(())
 
     def _closes(self, season: tuple) -> int:
         """When every day that could join the season has passed."""
@@ -98,14 +73,15 @@ class Seasons(StatefulProcessor):
             else:
                 self.seasons.clear()
         for s in done:
-            yield Row(tipo="cerrada", **dict(zip(SEASON_NAMES, s)))
+            yield Row(**dict(zip(SEASON_NAMES, s)))
 
     def close(self) -> None:
         pass
 
 
 def _plain(x):
-    return tuple(_plain(v) for v in x) if isinstance(x, tuple) else x
+    """A struct as a tuple: rows bring it as a dict in the order of its fields, the state as a tuple."""
+    return tuple(_plain(v) for v in (x.values() if isinstance(x, dict) else x)) if isinstance(x, (dict, tuple)) else x
 
 
 # -- failure circuit --------------------------------------------------------------------------
